@@ -1,9 +1,10 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, decontamination, langid, licenses, packing, quality, sharding
+from . import chat, decontamination, langid, licenses, packing, quality, sharding, suffixdedup
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
+    "op2_run_length_dedup": suffixdedup.op2_run_length_dedup,
     "op3_large_item_packing": packing.op3_large_item_packing,
     "op4_subword_langid": langid.op4_subword_langid,
     "op5_event_chat": chat.op5_event_chat,
