@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, decontamination, langid, licenses, packing, quality, sharding, suffixdedup
+from . import chat, decontamination, langid, licenses, minhash, packing, quality, sharding, suffixdedup
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_prefix_decontamination": decontamination.op6_prefix_decontamination,
     "op8_rule_ledger": quality.op8_rule_ledger,
     "op9_license_sentences": licenses.op9_license_sentences,
+    "op10_minhash_postings": minhash.op10_minhash_postings,
 }
 ORACLE_SQL = {
     "op5_event_chat": chat.OP5_SQL,
