@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,7 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package from where the driver has it; on a cluster ship it with --py-files."""
+    root, env = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    importable(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 

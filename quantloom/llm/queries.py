@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, decontamination, langid, licenses, minhash, packing, quality, sharding, suffixdedup
+from . import chat, decontamination, langid, licenses, minhash, packing, quality, scoring, sharding, suffixdedup
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_subword_langid": langid.op4_subword_langid,
     "op5_event_chat": chat.op5_event_chat,
     "op6_prefix_decontamination": decontamination.op6_prefix_decontamination,
+    "op7_attention_lm": scoring.op7_attention_lm,
     "op8_rule_ledger": quality.op8_rule_ledger,
     "op9_license_sentences": licenses.op9_license_sentences,
     "op10_minhash_postings": minhash.op10_minhash_postings,
