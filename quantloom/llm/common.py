@@ -27,14 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder that ``spark.checkpoint.dir`` names.
-
-    Only where nothing names one, as in tests, a temporary folder is set.
-    """
-    context = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that ``spark.checkpoint.dir`` names; only where nothing names one, as in tests, a temporary one is set."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quantloom-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: it cuts the lineage and outlives executors."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .buffers import LOWER, text_buffer
 from .common import slices, table
@@ -127,7 +128,8 @@ def fit(labelled: DataFrame, key: Column, rows: int = 4000) -> Model | None:
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Adds lang_pred, score and accepted to the rows; other columns pass through untouched."""
-    schema = df.schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
+    schema = T.StructType([*df.schema.fields]).add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
+    names = schema.names
     at = df.columns.index(text)
     lettered = df.withColumn("_letter", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
 
@@ -141,7 +143,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                 name = np.where(letter, np.array(model.languages, object)[best], UNKNOWN)
                 score = np.where(letter, score.astype(np.float64), 0.0)
                 ok = letter & (score >= model.reject_under)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(ok, pa.bool_())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(ok, pa.bool_())], names=names)
 
     return lettered.mapInArrow(run, schema)
 

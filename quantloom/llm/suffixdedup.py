@@ -275,7 +275,7 @@ def _index(groups: int, length: int) -> Callable:
     return run
 
 
-def _cut(length: int, names: list[str]) -> Callable:
+def _cut(length: int, names: list[str], whole: bool) -> Callable:
     """Documents with their marks: what is left of each, and the spans that go."""
 
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
@@ -284,6 +284,9 @@ def _cut(length: int, names: list[str]) -> Callable:
         start = offsets[row] + t["s"][record]
         step = np.bincount(start, minlength=len(buffer) + 1) - np.bincount(start + t["n"][record] + length - 1, minlength=len(buffer) + 1)
         gone = np.cumsum(step)[: len(buffer)] > 0
+        if whole and len(buffer):
+            lead = np.flatnonzero((buffer & 0xC0) != 0x80)  # a character goes if all its bytes do
+            gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(buffer))))
         edge = np.append(False, gone).astype(np.int8)
         rise = np.diff(edge) == 1
         inner = offsets[:-1][(offsets[:-1] < offsets[1:])]
@@ -301,8 +304,11 @@ def _cut(length: int, names: list[str]) -> Callable:
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, text: str = "text", id_column: str = "doc_id", hot: int = HOT) -> DataFrame:
-    """The columns of ``docs`` but its text, and ``n_bytes``, ``spans`` (what goes, in bytes) and ``kept`` (what is left, bytes)."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, text: str = "text", id_column: str = "doc_id", hot: int = HOT, whole: bool = False) -> DataFrame:
+    """The columns of ``docs`` but its text, and ``n_bytes``, ``spans`` (what goes, in bytes) and ``kept`` (what is left, bytes).
+
+    ``whole``: characters of which a byte stays are kept whole, so that what is left is text.
+    """
     others = [c for c in docs.columns if c != text]
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     groups = parts_for(docs, text, GROUP_MB)
@@ -315,7 +321,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, text: str
     marks = texts.groupBy("bucket").applyInArrow(_index(groups, length), FOUND_SQL).unionAll(found.filter(F.col("kind") == MARKS)).select("g", "blob")
     span = T.StructType().add("start", "long").add("end", "long")
     schema = docs.select(*others).schema.add("n_bytes", "long").add("spans", T.ArrayType(span)).add("kept", "binary")
-    return dealt.groupBy("_g").cogroup(marks.groupBy("g")).applyInArrow(_cut(length, others), schema)
+    return dealt.groupBy("_g").cogroup(marks.groupBy("g")).applyInArrow(_cut(length, others, whole), schema)
 
 
 def op2_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
