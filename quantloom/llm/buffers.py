@@ -6,6 +6,8 @@ Every function is linear in the buffer and keeps no state between batches.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -28,6 +30,15 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def row_ranges(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most ``limit`` bytes together, or of one text that is longer."""
+    i, n = 0, len(offsets) - 1
+    while i < n:
+        j = max(int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1, i + 1)
+        yield i, min(j, n)
+        i = min(j, n)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x ^ (x >> np.uint64(30))
@@ -50,7 +61,7 @@ class _Powers:
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = 1 << (n - 1).bit_length()
+            n = (n | 0x3FFFF) + 1
             for name, base in (("up", _BASE), ("down", _INVERSE)):
                 p = np.full(n, base, np.uint64)
                 p[0] = 1
@@ -74,6 +85,11 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def row_hash(rows: np.ndarray) -> np.ndarray:
+    """Hashes of the rows of a byte matrix, without a prefix table of all that they are taken from."""
+    return mix((_BYTE[rows] * _powers.to(rows.shape[1])[0][: rows.shape[1]]).sum(axis=1, dtype=np.uint64))
+
+
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 PUNCT = np.zeros(256, bool)

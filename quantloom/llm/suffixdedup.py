@@ -32,11 +32,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .buffers import mix, prefix_hash, span_hash, text_buffer
+from .buffers import mix, prefix_hash, row_hash, span_hash, text_buffer
 from .common import checkpointed, parts_for, slices, table
 from .runindex import RunLengthIndex
 
-LENGTH, K, GROUP_MB, HOT, SHARD = 100, 40, 16, 4096, 1 << 20
+LENGTH, K, GROUP_MB, HOT, SHARD = 100, 40, 8, 4096, 1 << 19
 NO_ID = -(1 << 63)
 _CHUNK = 1 << 20
 
@@ -143,7 +143,7 @@ MARKS, NEEDS = 1, 2
 
 def _send(groups: int, length: int, k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2, rows=1 << 20):
+        for batch in slices(batches, 2, limit=2 << 20, rows=1 << 20):
             buffer, offsets = text_buffer(batch.column(2))
             t = contexts(buffer, offsets, length, k)
             ids, th = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
@@ -211,7 +211,6 @@ def _fetch(groups: int, length: int, k: int) -> Callable:
         base = offsets[row]
         hot = np.flatnonzero(t["hot"])
         if len(hot):
-            prefix = prefix_hash(buffer)
             width = -(-(length - k + 1) // parts)
             cool = np.flatnonzero(t["hot"] == 0)
             pieces = [({name: x[cool] for name, x in t.items()}, base[cool])]
@@ -222,8 +221,10 @@ def _fetch(groups: int, length: int, k: int) -> Callable:
                 keep = hi >= lo
                 piece = {name: x[hot][keep] for name, x in t.items()}
                 piece["s"], piece["n"] = lo[keep], (hi - lo + 1)[keep]
-                a, b = base[hot][keep] + anchor[keep] - j * width, base[hot][keep] + anchor[keep] - (j + 1) * width + 1 + length
-                piece["mh"] = mix(piece["mh"] + span_hash(prefix, a, np.minimum(b, len(buffer))) + np.uint64(j))
+                common = base[hot][keep] + anchor[keep] - j * width
+                for i in range(0, len(common), 1 << 14):
+                    at = common[i : i + (1 << 14), None] + np.arange(length + 1 - width)
+                    piece["mh"][i : i + len(at)] = mix(piece["mh"][i : i + len(at)] + row_hash(buffer[np.minimum(at, len(buffer) - 1)]) + np.uint64(j))
                 pieces.append((piece, base[hot][keep]))
             base = np.concatenate([b for _, b in pieces])
             t = {name: np.concatenate([p[name] for p, _ in pieces]) for name in t}
@@ -282,13 +283,15 @@ def _cut(length: int, names: list[str], whole: bool) -> Callable:
         t = unpacked(marks.column("blob").to_pylist(), MARK)
         buffer, offsets, record, row = _places(docs, t)
         start = offsets[row] + t["s"][record]
-        step = np.bincount(start, minlength=len(buffer) + 1) - np.bincount(start + t["n"][record] + length - 1, minlength=len(buffer) + 1)
-        gone = np.cumsum(step)[: len(buffer)] > 0
+        step = np.zeros(len(buffer) + 1, np.int32)
+        np.add.at(step, start, 1)
+        np.subtract.at(step, start + t["n"][record] + length - 1, 1)
+        gone = np.cumsum(step, out=step)[: len(buffer)] > 0
         if whole and len(buffer):
             lead = np.flatnonzero((buffer & 0xC0) != 0x80)  # a character goes if all its bytes do
             gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(buffer))))
-        edge = np.append(False, gone).astype(np.int8)
-        rise = np.diff(edge) == 1
+        rise = gone.copy()
+        rise[1:] &= ~gone[:-1]
         inner = offsets[:-1][(offsets[:-1] < offsets[1:])]
         rise[inner] = gone[inner]  # a span ends with its document
         fall = np.append(gone[:-1] & (~gone[1:] | rise[1:]), gone[-1:])
@@ -296,7 +299,7 @@ def _cut(length: int, names: list[str], whole: bool) -> Callable:
         of = np.searchsorted(s, offsets)
         base = np.repeat(offsets[:-1], np.diff(of))
         spans = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.StructArray.from_arrays([pa.array(s - base, pa.int64()), pa.array(e - base, pa.int64())], names=["start", "end"]))
-        left = np.append(0, np.cumsum(~gone))[offsets]
+        left = np.append(0, np.cumsum(~gone, dtype=np.int32))[offsets]
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(docs), [None, pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(buffer[~gone].tobytes())]).cast(pa.binary())
         out = [docs.column(name) for name in names] + [pa.array(np.diff(offsets), pa.int64()), spans, kept]
         return pa.table(out, names=[*names, "n_bytes", "spans", "kept"])
