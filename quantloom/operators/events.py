@@ -102,7 +102,7 @@ def robust(rows: DataFrame, keys: list[str], value: str = "excess", cfg: Config
     cuts = rows.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(lo), F.lit(0.5), F.lit(hi))).alias("_cut"))
     clipped = F.least(F.greatest(F.col(value), F.col("_cut")[0]), F.col("_cut")[2])
     out = rows.join(cuts, keys).groupBy(*keys).agg(
-        F.count(value).alias("n"), rounded(F.first("_cut")[1], 6).alias("median"), rounded(F.avg(clipped), 6).alias("wmean"), rounded(F.avg((F.col(value) > 0).cast("int")), 6).alias("frac_gt0")
+        F.count(value).alias("n"), rounded(F.first("_cut")[1], 6).alias("median"), rounded(F.avg(clipped), 6).alias("wmean"), rounded(F.avg(exceeds(F.col(value), F.lit(0.0)).cast("int")), 6).alias("frac_gt0")
     )
     return out
 

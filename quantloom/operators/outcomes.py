@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from ..functions.expr import by_ticker, ratio, rounded
+from ..functions.expr import by_ticker, exceeds, ratio, rounded
 from .relatedness import shrunk
 
 
@@ -95,9 +95,9 @@ def outcomes_v2(preds: DataFrame, ahead: DataFrame, bench: DataFrame, betas: Dat
     df = df.filter(known).withColumn("raw_return", fractional(F.col("future_price"), F.col("price_at_signal")))
     df = df.withColumn("excess_return", F.col("raw_return") - F.col("beta_used") * F.col("benchmark_return"))
     df = df.withColumn("threshold_used", cfg.threshold_k * F.col("vol_at_signal") * F.sqrt(F.col("horizon_days").cast("double")))
-    right = F.when(F.col("bias") == "bullish", F.col("excess_return") > 0).when(F.col("bias") == "bearish", F.col("excess_return") < 0)
+    right = F.when(F.col("bias") == "bullish", exceeds(F.col("excess_return"), F.lit(0.0))).when(F.col("bias") == "bearish", exceeds(F.lit(0.0), F.col("excess_return")))
     df = df.withColumn("direction_correct", F.when(F.col("threshold_used").isNotNull(), right))
-    return df.withColumn("threshold_correct", F.col("direction_correct") & (F.abs("excess_return") >= F.col("threshold_used"))).drop("seam")
+    return df.withColumn("threshold_correct", F.col("direction_correct") & ~exceeds(F.col("threshold_used"), F.abs("excess_return"))).drop("seam")
 
 
 def episodes(preds: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

@@ -82,7 +82,7 @@ def distance_bucket(distance: Column) -> Column:
 def dist_buckets(feats: DataFrame, outcomes: DataFrame, horizon: int = 42) -> DataFrame:
     f = feats.filter("dist_52w_high is not null and sma200_slope > 0").select("ticker", F.col("date").alias("signal_date"), distance_bucket(F.col("dist_52w_high")).alias("dist_bucket"))
     o = outcomes.filter((F.col("horizon_days") == horizon) & F.col("excess_return").isNotNull() & (F.col("price_at_signal") >= 1.0)).select("ticker", "signal_date", "excess_return")
-    return o.join(f, ["ticker", "signal_date"]).groupBy("dist_bucket").agg(F.count("*").alias("n"), rounded(F.median("excess_return"), 6).alias("median_42d"), share(F.col("excess_return") > 0).alias("frac_gt0"))
+    return o.join(f, ["ticker", "signal_date"]).groupBy("dist_bucket").agg(F.count("*").alias("n"), rounded(F.median("excess_return"), 6).alias("median_42d"), share(exceeds(F.col("excess_return"), F.lit(0.0))).alias("frac_gt0"))
 
 
 def three_way(rows: DataFrame) -> DataFrame:

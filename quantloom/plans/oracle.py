@@ -208,8 +208,8 @@ step("ahead", "SELECT preds.ticker, preds.signal_date, bias, price_at_signal, vo
 step("out1", " UNION ALL ".join(f"SELECT ticker, signal_date, bias, price_at_signal, vol_at_signal, beta_used, CAST({h} AS INTEGER) AS horizon_days, close_{h} AS future_price, bench_{h} AS benchmark_return FROM ahead WHERE close_{h} IS NOT NULL AND NOT coalesce(seam_{h}, false)" for h in C.horizons_v2))
 step("out2", "SELECT *, (future_price - price_at_signal) / nullif(price_at_signal, 0) AS raw_return, 0.5::DOUBLE * vol_at_signal * sqrt(horizon_days::DOUBLE) AS threshold_used FROM out1")
 step("out3", "SELECT *, raw_return - beta_used * benchmark_return AS excess_return FROM out2")
-step("out4", "SELECT *, CASE WHEN threshold_used IS NOT NULL THEN CASE WHEN bias = 'bullish' THEN excess_return > 0 WHEN bias = 'bearish' THEN excess_return < 0 END END AS direction_correct FROM out3")
-step("outcomes", "SELECT *, direction_correct AND abs(excess_return) >= threshold_used AS threshold_correct FROM out4")
+step("out4", "SELECT *, CASE WHEN threshold_used IS NOT NULL THEN CASE WHEN bias = 'bullish' THEN excess_return > 1e-9 WHEN bias = 'bearish' THEN -excess_return > 1e-9 END END AS direction_correct FROM out3")
+step("outcomes", "SELECT *, direction_correct AND threshold_used - abs(excess_return) <= 1e-9 AS threshold_correct FROM out4")
 
 _was = lambda c: f"lag({c}) OVER ({W})"
 _up = lambda a, b, pa=None, pb=None: f"({pa or _was(a)}) - ({pb or _was(b)}) <= 1e-9 AND {a} - {b} > 1e-9"
@@ -222,16 +222,15 @@ _events = {
 }
 step("crossed", "SELECT *, " + ", ".join(f"coalesce({q}, false) AS {e}" for e, q in _events.items()) + f", row_number() OVER ({W}) - 1 AS pos FROM year_before")
 step("fires", " UNION ALL ".join(f"SELECT ticker, '{e}' AS event, pos AS position, date FROM crossed WHERE {e}" for e in EVENTS))
-_asof = lambda d: f"(SELECT close FROM bench b WHERE b.date <= {d} ORDER BY b.date DESC LIMIT 1)"
 step("calendar", "SELECT date FROM bars UNION SELECT date FROM bench")
-step("asof", "SELECT c.date, b.close AS m FROM calendar c ASOF LEFT JOIN bench b ON c.date >= b.date")
+step("bench_asof", "SELECT c.date, b.close AS m FROM calendar c ASOF LEFT JOIN bench b ON c.date >= b.date")
 step("looked", "SELECT ticker, date, close, " + ", ".join(f"lead(close, {h}) OVER ({W}) AS c{h}, lead(date, {h}) OVER ({W}) AS d{h}, max(q) OVER ({W} ROWS BETWEEN 1 FOLLOWING AND {h} FOLLOWING) AS m{h}" for h in C.horizons_events) + " FROM ratios")
 step(
     "excess",
     "SELECT looked.ticker, looked.date, "
     + ", ".join(f"CASE WHEN NOT coalesce(m{h} > {C.max_ratio} OR m{h} < 1.0::DOUBLE / {C.max_ratio}, false) THEN c{h} / nullif(looked.close, 0) - 1 - coalesce(0.67::DOUBLE * beta + 0.33::DOUBLE, 1.0::DOUBLE) * (a{h}.m / nullif(a.m, 0) - 1) END AS excess_{h}" for h in C.horizons_events)
-    + " FROM looked LEFT JOIN asof a ON looked.date = a.date LEFT JOIN beta_spy ON looked.ticker = beta_spy.ticker "
-    + " ".join(f"LEFT JOIN asof a{h} ON d{h} = a{h}.date" for h in C.horizons_events),
+    + " FROM looked LEFT JOIN bench_asof a ON looked.date = a.date LEFT JOIN beta_spy ON looked.ticker = beta_spy.ticker "
+    + " ".join(f"LEFT JOIN bench_asof a{h} ON d{h} = a{h}.date" for h in C.horizons_events),
 )
 step("long_excess", " UNION ALL ".join(f"SELECT ticker, date, CAST({h} AS INTEGER) AS horizon, excess_{h} AS excess FROM excess WHERE excess_{h} IS NOT NULL" for h in C.horizons_events))
 # the greedy choice, as a recursion from each kept fire to the next beyond the gap
@@ -251,7 +250,7 @@ def kept_sql(select: str) -> str:
 
 def robust(rows: str, keys: str) -> str:
     lo, hi = C.winsor
-    return f"""SELECT {keys}, count(excess) AS n, {r('any_value(mid)', 6)} AS median, {r('avg(least(greatest(excess, low), high))', 6)} AS wmean, {r('avg((excess > 0)::INT)', 6)} AS frac_gt0
+    return f"""SELECT {keys}, count(excess) AS n, {r('any_value(mid)', 6)} AS median, {r('avg(least(greatest(excess, low), high))', 6)} AS wmean, {r('avg((excess > 1e-9)::INT)', 6)} AS frac_gt0
     FROM (SELECT *, quantile_cont(excess, {lo}) OVER (PARTITION BY {keys}) AS low, quantile_cont(excess, 0.5) OVER (PARTITION BY {keys}) AS mid, quantile_cont(excess, {hi}) OVER (PARTITION BY {keys}) AS high FROM ({rows}) z) y GROUP BY {keys}"""
 
 
@@ -297,7 +296,7 @@ SQL = {
     "falling_knife": f"SELECT ticker_regime, trend_direction, count(*) AS n, {r('avg(a.excess_return)', 6)} AS mean_21, {r('median(a.excess_return)', 6)} AS median_21, {r('avg(b.excess_return)', 6)} AS mean_63, {r('median(b.excess_return)', 6)} AS median_63, {share('a.direction_correct')} AS dir_acc_21 FROM features f LEFT JOIN (SELECT * FROM outcomes WHERE horizon_days = 21) a ON a.ticker = f.ticker AND a.signal_date = f.date LEFT JOIN (SELECT * FROM outcomes WHERE horizon_days = 63) b ON b.ticker = f.ticker AND b.signal_date = f.date WHERE dist_sma200 < -0.05 AND ticker_regime IS NOT NULL AND (a.excess_return IS NOT NULL OR b.excess_return IS NOT NULL) GROUP BY 1, 2",
     "outcome_base_rates": f"SELECT horizon_days, count(*) AS n, {r('avg(excess_return)', 6)} AS mean_excess, {r('median(excess_return)', 6)} AS median_excess, {share('direction_correct')} AS dir_acc FROM outcomes WHERE excess_return IS NOT NULL AND horizon_days IN (21, 63) GROUP BY 1",
     "threshold_sensitivity": f"SELECT CAST(t AS INTEGER) AS threshold, sum((adx_14 >= t OR abs(sma200_slope) >= 0.02)::INT)::BIGINT AS trending_n, sum((NOT (adx_14 >= t OR abs(sma200_slope) >= 0.02))::INT)::BIGINT AS ranging_n, {r('sum((adx_14 >= t OR abs(sma200_slope) >= 0.02)::INT) * 100.0::DOUBLE / count(*)', 4)} AS trending_pct FROM features, (VALUES (20), (25), (30), (35), (40)) v(t) WHERE adx_14 IS NOT NULL AND sma200_slope IS NOT NULL GROUP BY t",
-    "dist_bucket": f"SELECT {_dist} AS dist_bucket, count(*) AS n, {r('median(excess_return)', 6)} AS median_42d, {share('excess_return > 0')} AS frac_gt0 FROM outcomes o JOIN features f ON f.ticker = o.ticker AND f.date = o.signal_date WHERE horizon_days = 42 AND excess_return IS NOT NULL AND price_at_signal >= 1 AND dist_52w_high IS NOT NULL AND sma200_slope > 0 GROUP BY 1",
+    "dist_bucket": f"SELECT {_dist} AS dist_bucket, count(*) AS n, {r('median(excess_return)', 6)} AS median_42d, {share('excess_return > 1e-9')} AS frac_gt0 FROM outcomes o JOIN features f ON f.ticker = o.ticker AND f.date = o.signal_date WHERE horizon_days = 42 AND excess_return IS NOT NULL AND price_at_signal >= 1 AND dist_52w_high IS NOT NULL AND sma200_slope > 0 GROUP BY 1",
     "price_buckets": f"SELECT CASE WHEN price_at_signal < 5 THEN 'a_under_5' WHEN price_at_signal < 20 THEN 'b_5_to_20' WHEN price_at_signal < 100 THEN 'c_20_to_100' ELSE 'd_100_up' END AS price_bucket, count(*) AS n, {r('median(excess_return)', 6)} AS median_excess FROM outcomes WHERE horizon_days = 42 AND excess_return IS NOT NULL GROUP BY 1",
     "three_way": f"SELECT bias, horizon_days, count(*) AS n, {share('ret > 0.01')} AS frac_up, {share('ret < -0.01')} AS frac_down, {share('abs(ret) <= 0.01')} AS frac_dead_zone, {share(chr(39).join(['sign(ret) = CASE bias WHEN ', 'bullish', ' THEN 1 ELSE -1 END']))} AS direction_only FROM long_v1 WHERE ret IS NOT NULL GROUP BY 1, 2",
     "base_rates": f"SELECT horizon_days, count(*) AS n, {share('ret > 0.01')} AS base_up, {share('ret < -0.01')} AS base_down, {share('ret > 0')} AS base_up_any, {r('avg(ret)', 6)} AS avg_return FROM long_v1 WHERE ret IS NOT NULL GROUP BY 1",
