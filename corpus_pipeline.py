@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quantloom.llm.common import checkpoint_folder, importable, table
@@ -24,11 +24,20 @@ SIMILAR = (80, 100)
 SHINGLE = 5
 
 
+def bundled(docs: DataFrame) -> DataFrame:
+    """doc_id, text, lang and all columns but the text as one, so that no column of a stage can clash with one of the documents."""
+    return docs.select("doc_id", "text", "lang", F.struct(*[c for c in docs.columns if c != "text"]).alias("_document"))
+
+
+def unbundled(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    return df.select(*[changed.get(c, F.col("text") if c == "text" else F.col("_document")[c]).alias(c) for c in columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts whose language can't be told: none, without a letter, or under the calibrated score."""
     importable(spark)
-    model = fit(docs, F.col("doc_id"))
-    return predict(docs, model).filter("accepted").select(docs.columns)
+    model = fit(docs.select("doc_id", "text", "lang"), F.col("doc_id"))
+    return unbundled(predict(bundled(docs), model).filter("accepted"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,14 +52,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts 100-byte repeats of earlier text, whole characters only; documents of which nothing is left go."""
     importable(spark)
-    out = remove_repeats(docs, whole=True).withColumn("text", F.col("kept").cast("string")).filter("text <> '' or n_bytes = 0")
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    out = remove_repeats(bundled(docs), whole=True).withColumn("text", F.col("kept").cast("string")).filter("text <> '' or n_bytes = 0")
+    return unbundled(out, docs.columns, n_chars=F.length("text").cast("long"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold ten consecutive words of a benchmark item, or an item of fewer words if it has ``long_enough``."""
     benchmark = long_enough(table(spark, sf_dir, "benchmark", "item_id", "text"))
-    return contamination(docs, benchmark, WINDOW).filter(F.size("spans") == 0).select(docs.columns)
+    return unbundled(contamination(bundled(docs), benchmark, WINDOW).filter(F.size("spans") == 0), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: it cuts the lineage and outlives executors."""
+    importable(df.sparkSession)
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 

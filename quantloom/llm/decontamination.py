@@ -12,7 +12,8 @@ all documents. Counting rarities and joining both run in tasks over bounded slic
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z, compared by 64-bit hashes. Nulls: a null
 text has no words, a null item id is left out of the list of items. Ties in rarity go by position.
-Repeated items or documents are each counted. Empty tables: nothing is contaminated.
+Repeated items or documents are each counted. Columns with the names of those that are added give way.
+Empty tables: nothing is contaminated.
 """
 
 from __future__ import annotations
@@ -163,6 +164,7 @@ def _against(df: DataFrame, block: Block, at: int) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_mb: int = BLOCK_MB, text: str = "text") -> DataFrame:
     """Adds to each document n_words, the hit ``spans`` of words (merged) and the ids of the ``items`` with occurring windows, sorted as strings."""
+    docs = docs.drop("n_words", "spans", "items")
     out = docs.select(
         *docs.columns, F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"), F.array().cast("array<string>").alias("items")
     )

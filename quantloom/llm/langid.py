@@ -12,7 +12,8 @@ slice at a time; only the sample's counts and the model (``BUCKETS`` x ``DIM``)
 
 Nulls: a null text, or one with no letter, is ``und`` with score 0 and is rejected. Rows without a label
 teach nothing. Ties between languages go to the first in order. With no labelled row at all every
-text is ``und``. An empty table gives an empty result; repeated rows are predicted alike.
+text is ``und``. An empty table gives an empty result; repeated rows are predicted alike; columns with the
+names of those that are added give way.
 """
 
 from __future__ import annotations
@@ -128,6 +129,7 @@ def fit(labelled: DataFrame, key: Column, rows: int = 4000) -> Model | None:
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Adds lang_pred, score and accepted to the rows; other columns pass through untouched."""
+    df = df.drop("lang_pred", "score", "accepted", "_letter")
     schema = T.StructType([*df.schema.fields]).add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
     names = schema.names
     at = df.columns.index(text)

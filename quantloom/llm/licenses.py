@@ -6,7 +6,8 @@ document is a sequence of identifiers. A licence rule is an ordered list of iden
 where they stand one after another in that sequence, unknown sentences between them set aside.
 
 Nulls: a null text has no sentences. Rows are independent, so that repeated rows, ties and columns
-of other names change nothing; an empty table gives an empty result.
+of other names change nothing (those with the names of added ones give way); an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -71,6 +72,7 @@ def known() -> dict[str, str]:
 
 def recognise(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_sentences, ``sentence_ids`` (in order) and ``rules`` (those that apply, a rule within a longer one that applies left out)."""
+    docs = docs.drop("n_sentences", "sentence_ids", "rules")
     spaced = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
     df = docs.withColumn("_said", F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), BREAK, -1), spaced), lambda s: s != ""))
     ids = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])

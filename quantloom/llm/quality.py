@@ -6,7 +6,8 @@ a document passes if no bit of the mask is set, and what each rule alone costs a
 from the bits without touching a text again.
 
 Nulls: a null text has no words and fails as an empty one does. Rows are independent, so that ties,
-repeated rows and columns of other names change nothing; an empty table gives an empty result.
+repeated rows and columns of other names change nothing (those with the names of added ones give way); an
+empty table gives an empty result.
 All work on a document is in the order n log n of its words.
 """
 
@@ -28,6 +29,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     stands in the text twice or more.
     """
     w = WINDOW
+    docs = docs.drop("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals", "failed")
     df = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     df = df.withColumn("_words", F.filter(F.split("_text", "[ \\t-\\r]+", -1), lambda x: x != ""))
     df = df.withColumn("_lines", F.filter(F.split("_text", "\n", -1), lambda x: x.rlike("[^ \\t-\\r]")))

@@ -9,7 +9,8 @@ No step sorts all rows in one task: cells are counted, the at most ``2**(bits *
 summed along the curve, and a row's place is its cell's start plus its number within the cell.
 
 Nulls: a null dimension is quantised as 0, a null text has no bytes, a null id is an id like any
-other. Repeated rows get places of their own. An empty table gives an empty result.
+other. Repeated rows get places of their own. Columns with the names of added ones give way. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -70,6 +71,7 @@ def hilbert_shards(df: DataFrame, dims: dict[str, Column], tie: list[str], shard
     """
     n_dims = len(dims)
     assert bits * n_dims <= 16, "the table of cells is broadcast: at most 65,536 cells"
+    df = df.drop("hilbert", "shard", "slot")
     cell = sum((F.col(name) * (1 << (bits * (n_dims - 1 - i))) for i, name in enumerate(dims)), F.lit(0))
     base = df.withColumns(dims)
     base = base.join(F.broadcast(curve(df.sparkSession, n_dims, bits)), cell == F.col("cell"))

@@ -19,7 +19,8 @@ the input, so that a group is about ``GROUP_MB`` of it at any size.
 
 Nulls: a null text is empty, a null id sorts before all others. Rows with one id and different texts are
 documents in the order of a checksum of the text; rows that repeat id and text are one document and
-get one result each. Texts shorter than ``length`` lose nothing. An empty table gives an empty result.
+get one result each. Texts shorter than ``length`` lose nothing. An empty table gives an empty result; columns with the names of
+added ones give way.
 """
 
 from __future__ import annotations
@@ -116,6 +117,8 @@ def contexts(buffer: np.ndarray, offsets: np.ndarray, length: int, k: int) -> Ta
 
 def later_copies(t: Table) -> np.ndarray:
     """Of equal contexts, a flag for all but the first; a context that is the same place twice counts once."""
+    if not len(t["mh"]):
+        return np.zeros(0, bool)
     same = mix(t["mh"] + t["ch"] * np.uint64(0x9E3779B97F4A7C15))
     order = np.argsort(same)
     twice = np.append(False, same[order][1:] == same[order][:-1])
@@ -166,8 +169,8 @@ def _meet(groups: int, hot: int) -> Callable:
         out = [(MARKS, g, b) for kind, g, b in zip(kinds, gs, blobs, strict=True) if kind == MARKS]
         t = unpacked([b for kind, b in zip(kinds, blobs, strict=True) if kind != MARKS], RECORD)
         order = np.argsort(t["mh"])
-        twice = np.append(False, t["mh"][order][1:] == t["mh"][order][:-1])
-        t = {name: x[order[twice | np.append(twice[1:], False)]] for name, x in t.items()} if len(order) else t
+        twice = t["mh"][order][1:] == t["mh"][order][:-1]
+        t = {name: x[order[np.append(False, twice) | np.append(twice, False)]] for name, x in t.items()} if len(order) else t
         copy = later_copies(t)
         again, first = np.flatnonzero(copy), np.flatnonzero(~copy)
         _, which, count = np.unique(t["mh"][first], return_inverse=True, return_counts=True)
@@ -312,7 +315,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, text: str
 
     ``whole``: characters of which a byte stays are kept whole, so that what is left is text.
     """
-    others = [c for c in docs.columns if c != text]
+    added = (text, "n_bytes", "spans", "kept", "_id", "_th", "_body", "_g")
+    others = [c for c in docs.columns if c not in added]
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     groups = parts_for(docs, text, GROUP_MB)
     keyed = docs.select(*others, F.coalesce(F.col(id_column), F.lit(NO_ID)).cast("long").alias("_id"), F.crc32(body).alias("_th"), body.alias("_body"))
