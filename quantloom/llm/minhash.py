@@ -111,8 +111,12 @@ def _sets(width: int) -> Callable:
     return run
 
 
-def _links(rows: pa.Table, t: int, num: int, den: int, sides: np.ndarray | None) -> list[tuple[int, int]]:
-    """A forest of confirmed links among the rows; with ``sides``, only between a row of side 0 and any other."""
+def _joined(rows: pa.Table, t: int, num: int, den: int, apart: np.ndarray | None = None) -> tuple[list[int], list[tuple[int, int]]]:
+    """The row that each row is linked with in the end, and the confirmed links that led there.
+
+    ``apart``: rows of 0 are held against all, rows of 1 not against each other; their ``label`` column says
+    what links elsewhere already connect.
+    """
     sig = np.array(rows.column("sig").combine_chunks().flatten()).reshape(len(rows), COORDINATES)
     size = rows.column("n").to_numpy()
     sets = [np.frombuffer(b, np.uint64) for b in rows.column("shingles").to_pylist()]
@@ -124,34 +128,53 @@ def _links(rows: pa.Table, t: int, num: int, den: int, sides: np.ndarray | None)
             i = root[i]
         return i
 
-    out = []
-    known: dict[str, int] = {}
-    if sides is not None:  # what links already connect
-        for i, label in enumerate(rows.column("label").to_pylist()):
-            root[i] = known.setdefault(label, i)
+    links = []
+    if apart is not None:
+        known: dict[bytes, int] = {}
+        root = [known.setdefault(label, i) for i, label in enumerate(rows.column("label").to_pylist())]
     crowd = np.argsort(-rows.column("crowd").to_numpy(), kind="stable")
-    for a in range(len(crowd)):
-        i = crowd[a]
+    for a, i in enumerate(crowd.tolist()):
         rest = crowd[a + 1 :]
-        if sides is not None and sides[i]:
-            rest = rest[sides[rest] == 0]
+        if apart is not None and apart[i]:
+            rest = rest[apart[rest] == 0]
         small, large = np.minimum(size[rest], size[i]), np.maximum(size[rest], size[i])
-        rest = rest[(small * den >= large * num) & ((sig[rest] == sig[i]).sum(axis=1) >= t)]
+        rest = rest[(small * den >= large * num) & ((sig[rest] == sig[i]).sum(axis=1) >= t)]  # length bound, collisions
         for j in rest.tolist():
-            if find(j) != find(int(i)):
+            if find(j) != find(i):
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if den * both >= num * (size[i] + size[j] - both):
-                    root[find(j)] = find(int(i))
-                    out.append((int(i), j))
-    return out
+                    root[find(j)] = find(i)
+                    links.append((i, j))
+    return [find(i) for i in range(len(rows))], links
+
+
+LABELLED, LINKED = "node binary, label binary", "a binary, b binary"
 
 
-EDGE = "a binary, b binary"
+def _family(t: int, num: int, den: int) -> Callable:
+    """(node, label) of a family or chunk; the label is the pivot's where the chunk has one and links reach it."""
 
+    def run(rows: pa.Table) -> pa.Table:
+        root, _ = _joined(rows, t, num, den)
+        node = rows.column("node").to_pylist()
+        if "_pivot" in rows.column_names:
+            pivot = rows.column("_pivot")[0].as_py()
+            centre = root[node.index(pivot)]
+            return pa.table([pa.array(node, pa.binary()), pa.array([pivot if r == centre else node[r] for r in root], pa.binary())], names=["node", "label"])
+        return pa.table([pa.array(node, pa.binary()), pa.array([node[r] for r in root], pa.binary())], names=["node", "label"])
 
-def _edges(rows: pa.Table, pairs: list[tuple[int, int]]) -> pa.Table:
-    node = rows.column("node").to_pylist()
-    return pa.table([pa.array([node[i] for i, _ in pairs], pa.binary()), pa.array([node[j] for _, j in pairs], pa.binary())], names=["a", "b"])
+    return run
+
+
+def _between(t: int, num: int, den: int) -> Callable:
+    """Links between labels: a block of nodes apart from their pivot, against a chunk of their family."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        _, links = _joined(rows, t, num, den, rows.column("side").to_numpy())
+        label = rows.column("label").to_pylist()
+        return pa.table([pa.array([label[i] for i, _ in links], pa.binary()), pa.array([label[j] for _, j in links], pa.binary())], names=["a", "b"])
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, text: str = "text", id_column: str = "doc_id", family: int = FAMILY) -> DataFrame:
@@ -160,6 +183,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     Linked are sets with ``den * intersection >= num * union``.
     """
     t = match_threshold(num / den)
+    docs = docs.select(id_column, text)
     keyed = docs.withColumn("_id", F.coalesce(F.col(id_column), F.lit(NO_ID)).cast("long"))
     signed = checkpointed(keyed.select("_id", text).mapInArrow(_sign(width), "_id long, n long, node binary, sig array<long>"))
     classes = signed.filter("n > 0").groupBy("node").agg(F.min("_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"))
@@ -181,8 +205,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     sizes = families.groupBy("family").agg(F.count("*").alias("_size"))
     full = members.join(bodies, "node").join(sizes, "family").select("family", "_size", "node", "n", "sig", "shingles", "crowd")
     full = checkpointed(full)
-    small = full.filter(F.col("_size") <= family).groupBy("family").applyInArrow(lambda r: _edges(r, _links(r, t, num, den, None)), EDGE)
-    links = components(_large(full.filter(F.col("_size") > family), small, t, num, den, family))
+    links = full.filter(F.col("_size") <= family).groupBy("family").applyInArrow(_family(t, num, den), LABELLED)
+    large = full.filter(F.col("_size") > family)
+    if large.limit(1).count():
+        links = links.unionAll(_large(large, t, num, den, family))
+    links = checkpointed(links)
     reached = classes.select("node", "rep").join(links, "node").groupBy("label").agg(F.min("rep").alias("component"))
     named = links.join(reached, "label").select("node", "component")
     least = classes.select("node", "rep").join(named, "node", "left").select("node", F.coalesce("component", "rep").alias("_component"))
@@ -192,30 +219,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     return told.select(shown("_id").alias(id_column), "n_shingles", shown("_component").alias("component_id"), (F.col("_id") == F.col("_component")).alias("kept"))
 
 
-def _large(full: DataFrame, small: DataFrame, t: int, num: int, den: int, family: int) -> DataFrame:
-    """The links of families of more than ``family`` nodes, and those of the small ones with them."""
+def _large(full: DataFrame, t: int, num: int, den: int, family: int) -> DataFrame:
+    """(node, label) in families of more than ``family`` nodes."""
     pivots = full.groupBy("family").agg(F.max_by("node", F.struct("crowd", "node")).alias("_pivot"))
-    chunked = full.join(pivots, "family").withColumn("_chunk", F.pmod(F.xxhash64("node"), F.ceil(F.col("_size") / family)).cast("int"))
-    chunked = checkpointed(chunked)
-    pivot = chunked.filter(F.col("node") == F.col("_pivot"))
-    each = pivot.withColumn("_chunk", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("_size") / family) - 1).cast("int")))).join(
-        pivot.select("node", F.col("_chunk").alias("_home")), "node"
-    )
-    within = chunked.unionByName(each.filter(F.col("_chunk") != F.col("_home")).drop("_home"))
-    inner = checkpointed(within.groupBy("family", "_chunk").applyInArrow(lambda r: _edges(r, _links(r, t, num, den, None)), EDGE))
-    labels = components(inner)
-    known = chunked.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    centre = known.filter(F.col("node") == F.col("_pivot")).select("family", F.col("label").alias("_centre"))
-    known = checkpointed(known.join(centre, "family"))
-    apart = known.filter(F.col("label") != F.col("_centre"))
+    chunks = F.ceil(F.col("_size") / family).cast("int")
+    chunked = checkpointed(full.join(pivots, "family").withColumn("_chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")))
+    every = F.explode(F.sequence(F.lit(0), chunks - 1))
+    pivot = chunked.filter(F.col("node") == F.col("_pivot")).withColumn("_home", F.col("_chunk")).withColumn("_chunk", every)
+    within = chunked.unionByName(pivot.filter("_chunk <> _home").drop("_home"))
+    inner = within.groupBy("family", "_chunk").applyInArrow(_family(t, num, den), LABELLED).distinct()
+    known = checkpointed(chunked.join(inner, "node"))
+    apart = known.filter(F.col("label") != F.col("_pivot"))
     left = apart.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
-    apart = apart.join(left, "family").withColumn("_block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("_blocks")).cast("int"))
-    chunk = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("_size") / family) - 1).cast("int")))
-    asks = apart.withColumn("_chunk", chunk).withColumn("side", F.lit(0)).drop("_blocks")
-    answers = known.join(left, "family").withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumn("side", F.lit(1)).drop("_blocks")
-    both = asks.unionByName(answers).groupBy("family", "_block", "_chunk")
-    outer = both.applyInArrow(lambda r: _edges(r, _links(r, t, num, den, r.column("side").to_numpy())), EDGE)
-    return small.unionAll(inner).unionAll(outer).filter("a != b")
+    asks = apart.join(left, "family").withColumn("_block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("_blocks")).cast("int"))
+    asks = asks.withColumn("_chunk", every).withColumn("side", F.lit(0))
+    answers = known.join(left, "family").withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumn("side", F.lit(1))
+    outer = asks.unionByName(answers).groupBy("family", "_block", "_chunk").applyInArrow(_between(t, num, den), LINKED)
+    met = components(outer).select(F.col("node").alias("label"), F.col("label").alias("_met"))
+    return known.select("node", "label").join(met, "label", "left").select("node", F.coalesce("_met", "label").alias("label"))
 
 
 def op10_minhash_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
