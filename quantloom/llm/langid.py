@@ -75,7 +75,7 @@ class Model:
         return p.argmax(axis=1), p.max(axis=1)
 
 
-def train(x: np.ndarray, labels: list[str], epochs: int = 60, batch: int = 32, rate: float = 20.0, wrong: float = 0.001, seed: int = 7) -> Model:
+def train(x: np.ndarray, labels: list[str], epochs: int = 60, batch: int = 32, rate: float = 20.0, wrong: float = 0.001, least: float = 0.35, seed: int = 7) -> Model:
     """Stochastic gradient descent on four fifths, calibration on the rest."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
@@ -104,7 +104,7 @@ def train(x: np.ndarray, labels: list[str], epochs: int = 60, batch: int = 32, r
         m.temperature = float(min(np.geomspace(0.25, 8, 41), key=loss))
         best, score = m.predict(x[held])
         right = np.sort(score[best == y[held]])
-        m.reject_under = float(min(right[int(wrong * len(right))], 0.5)) if len(right) else 0.0
+        m.reject_under = float(min(right[int(wrong * len(right))], least)) if len(right) else 0.0
     return m
 
 
