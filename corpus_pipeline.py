@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quantloom.llm.common import checkpoint_folder, importable, table
+from quantloom.llm.common import checkpoint_folder, checkpointed, importable, sieved, table
 from quantloom.llm.decontamination import WINDOW, contamination, long_enough
 from quantloom.llm.langid import fit, predict
 from quantloom.llm.minhash import near_duplicates
@@ -43,10 +43,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id in each group of near-duplicates; rows that repeat id and text stay once."""
     importable(spark)
-    kept = near_duplicates(docs, SHINGLE, *SIMILAR).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    same = Window.partitionBy("doc_id", "text").orderBy("doc_id")
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return left.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1").select(docs.columns)
+    found = checkpointed(near_duplicates(docs, SHINGLE, *SIMILAR).select(F.col("doc_id").alias("_found"), F.col("kept").alias("_kept")))
+    ids = found.groupBy("_found").agg(F.count("*").alias("_n"), F.bool_or("_kept").alias("_stays"))
+    sifted = sieved(docs, "doc_id", ids.filter("_n > 1 or not _stays").select("_found"), "_maybe")
+    # texts are shuffled only of rows that may go
+    looked = sifted.filter("_maybe").join(ids.filter("_stays").select("_found"), F.col("doc_id").eqNullSafe(F.col("_found")), "left_semi")
+    once = looked.withColumn("_copy", F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("doc_id"))).filter("_copy = 1")
+    return sifted.filter("not _maybe").select(docs.columns).unionAll(once.select(docs.columns))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

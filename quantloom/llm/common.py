@@ -61,6 +61,23 @@ def ranked(df: DataFrame, keys: list[str], tie: list[str], out: str, ways: int =
     return numbered.join(shifts, on).withColumn(out, F.col("_before") + F.col("_own")).drop("_way", "_w", "_own", "_before", *[f"_k{i}" for i in range(len(keys))])
 
 
+SIEVE_BITS = 24
+
+
+def sieved(df: DataFrame, column: str, members: DataFrame, out: str) -> DataFrame:
+    """Adds ``out``: false for rows whose ``column`` is surely not among the values of ``members``' first column.
+
+    A bitmap of ``2**SIEVE_BITS`` bits, as at most 262,144 rows of 64, is broadcast whatever the input; where it fills up
+    more rows pass that an exact join then settles. Big rows that a join would drop are so kept from being shuffled.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << SIEVE_BITS))
+    marks = members.select(bit(members.columns[0]).alias("_bit")).withColumn("_word", F.expr("_bit div 64"))
+    words = marks.groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, cast(_bit % 64 as int)))").alias("_mask"))
+    own = df.withColumn("_bit", bit(column)).withColumn("_at", F.expr("_bit div 64"))
+    met = own.join(F.broadcast(words), F.col("_at") == F.col("_word"), "left")
+    return met.withColumn(out, F.coalesce(F.expr("shiftright(_mask, cast(_bit % 64 as int)) & 1L = 1L"), F.lit(False))).drop("_bit", "_at", "_word", "_mask")
+
+
 def parts_for(df: DataFrame, column: str, mb: int = 16) -> int:
     """How many groups of about ``mb`` MB of UTF-8 the column fills; it grows with the input."""
     total = df.agg(F.sum(F.octet_length(column))).first()[0] or 0

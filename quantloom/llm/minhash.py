@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .buffers import LOWER, WHITE, mix, prefix_hash, span_hash, text_buffer, words
-from .common import checkpointed, slices, table
+from .common import checkpointed, sieved, slices, table
 from .components import components
 
 COORDINATES, FAMILY, BLOCK = 32, 512, 256
@@ -199,8 +199,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     met = prefix.join(first, "list").filter(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b")
     families = components(met).withColumnRenamed("label", "family")
     crowds = prefix.groupBy("node").agg(F.max("crowd").alias("crowd"))
-    members = families.join(crowds, "node").join(classes, "node")
-    bodies = keyed.select("_id", F.col(text).alias("_text")).join(members.select(F.col("rep").alias("_id"), "node"), "_id")
+    members = checkpointed(families.join(crowds, "node").join(classes, "node"))
+    wanted = members.select(F.col("rep").alias("_id"), "node")
+    bodies = sieved(keyed.select("_id", F.col(text).alias("_text")), "_id", wanted, "_wanted").filter("_wanted").select("_id", "_text").join(wanted, "_id")
     bodies = bodies.select("node", "_text").mapInArrow(_sets(width), "node binary, shingles binary").filter("shingles is not null").dropDuplicates(["node"])
     sizes = families.groupBy("family").agg(F.count("*").alias("_size"))
     full = members.join(bodies, "node").join(sizes, "family").select("family", "_size", "node", "n", "sig", "shingles", "crowd")
