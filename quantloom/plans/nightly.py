@@ -48,12 +48,13 @@ def run(spark: SparkSession, root: str, bars: DataFrame, index: DataFrame, bench
         tables.save(tables.replaced(tables.read(spark, path, schema("relatedness_matrix")), pairs, "window_days", [days]), path, ["window_days"])
         _upsert(spark, root, "sector_beta", relatedness.betas(good, market, days, cfg))
     _upsert(spark, root, "signal_predictions", outcomes.predictions(day(analysed), cfg=cfg), ignore=True)
-    predicted = tables.read(spark, f"{root}/signal_predictions", schema("signal_predictions"))
+    stored = lambda: tables.read(spark, f"{root}/signal_predictions", schema("signal_predictions"))  # noqa: E731  read again after each write
     ahead = outcomes.forward(bars, cfg)
-    resolved = outcomes.resolve_v1(predicted.drop(*[f"{n}_{h}d" for h in cfg.horizons_v1 for n in ("return", "correct")]), ahead, cfg)
+    resolved = outcomes.resolve_v1(stored().drop(*[f"{n}_{h}d" for h in cfg.horizons_v1 for n in ("return", "correct")]), ahead, cfg)
     resolved = resolved.withColumns({f"actual_price_{h}d": F.col(f"close_{h}") for h in cfg.horizons_v1}).withColumn("resolved_at", F.current_timestamp())
     _upsert(spark, root, "signal_predictions", resolved)
-    _upsert(spark, root, "signal_accuracy", outcomes.accuracy_rollup(resolved, cfg))
+    _upsert(spark, root, "signal_accuracy", outcomes.accuracy_rollup(stored().filter("resolved_at is not null"), cfg))
+    predicted = stored()
     betas = tables.read(spark, f"{root}/sector_beta", schema("sector_beta")).filter(F.col("window_days") == max(cfg.windows))
     first = betas.agg(F.min("etf_proxy").alias("etf_proxy"))  # one row
     own = betas.join(F.broadcast(first), "etf_proxy").select("ticker", "beta")
