@@ -31,7 +31,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names; only where nothing names one, as in tests, a temporary one is set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quantloom-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quantloom-"))
     return context.getCheckpointDir()
 
 
