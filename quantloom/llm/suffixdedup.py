@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .buffers import mix, prefix_hash, row_hash, span_hash, text_buffer
+from .buffers import mix, prefix_hash, row_hash, row_ranges, span_hash, text_buffer
 from .common import checkpointed, parts_for, slices, table
 from .runindex import RunLengthIndex
 
@@ -286,13 +286,20 @@ def _cut(length: int, names: list[str], whole: bool) -> Callable:
         t = unpacked(marks.column("blob").to_pylist(), MARK)
         buffer, offsets, record, row = _places(docs, t)
         start = offsets[row] + t["s"][record]
-        step = np.zeros(len(buffer) + 1, np.int32)
-        np.add.at(step, start, 1)
-        np.subtract.at(step, start + t["n"][record] + length - 1, 1)
-        gone = np.cumsum(step, out=step)[: len(buffer)] > 0
-        if whole and len(buffer):
-            lead = np.flatnonzero((buffer & 0xC0) != 0x80)  # a character goes if all its bytes do
-            gone = np.repeat(np.logical_and.reduceat(gone, lead), np.diff(np.append(lead, len(buffer))))
+        by = np.argsort(start, kind="stable")
+        start, end = start[by], (start + t["n"][record] + length - 1)[by]
+        gone = np.zeros(len(buffer), bool)
+        for i, j in row_ranges(offsets, 1 << 20):  # marks lie within their documents
+            lo, hi = offsets[i], offsets[j]
+            own = slice(*np.searchsorted(start, [lo, hi]))
+            step = np.zeros(hi - lo + 1, np.int32)
+            np.add.at(step, start[own] - lo, 1)
+            np.subtract.at(step, end[own] - lo, 1)
+            part = np.cumsum(step, out=step)[:-1] > 0
+            if whole and len(part):
+                lead = np.flatnonzero((buffer[lo:hi] & 0xC0) != 0x80)  # a character goes if all its bytes do
+                part = np.repeat(np.logical_and.reduceat(part, lead), np.diff(np.append(lead, len(part))))
+            gone[lo:hi] = part
         rise = gone.copy()
         rise[1:] &= ~gone[:-1]
         inner = offsets[:-1][(offsets[:-1] < offsets[1:])]
@@ -305,6 +312,7 @@ def _cut(length: int, names: list[str], whole: bool) -> Callable:
         left = np.append(0, np.cumsum(~gone, dtype=np.int32))[offsets]
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(docs), [None, pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(buffer[~gone].tobytes())]).cast(pa.binary())
         out = [docs.column(name) for name in names] + [pa.array(np.diff(offsets), pa.int64()), spans, kept]
+        pa.default_memory_pool().release_unused()
         return pa.table(out, names=[*names, "n_bytes", "spans", "kept"])
 
     return run
