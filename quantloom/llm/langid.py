@@ -118,7 +118,7 @@ def fit(labelled: DataFrame, key: Column, rows: int = 4000) -> Model | None:
     low = F.pmod(F.xxhash64(key), F.lit(parts)) < int(min(1.0, rows / n) * parts) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0, rows=256):
+        for batch in slices(batches, 0, limit=1 << 20, rows=256):
             x = features(batch.column(0)).astype(np.float16)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), batch.column(1)], names=["x", "lang"])
 
@@ -136,7 +136,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     lettered = df.withColumn("_letter", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, at, rows=256):
+        for batch in slices(batches, at, limit=1 << 20, rows=256):
             letter = np.array(batch.column(batch.num_columns - 1).to_pylist(), bool)
             if model is None:
                 name, score, ok = np.full(len(letter), UNKNOWN, object), np.zeros(len(letter)), np.zeros(len(letter), bool)

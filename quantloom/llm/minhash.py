@@ -88,7 +88,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sign(width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, limit=1 << 20):
             sets = shingle_sets(batch.column(1), width)
             full = [x for x in sets if len(x)]
             sig, size = signatures(full), np.array([len(x) for x in sets], np.int64)
@@ -103,7 +103,7 @@ def _sign(width: int) -> Callable:
 
 def _sets(width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, limit=1 << 20):
             sets = shingle_sets(batch.column(1), width)
             own = [x.tobytes() if digest(x) == node else None for x, node in zip(sets, batch.column(0).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], names=["node", "shingles"])
