@@ -39,6 +39,7 @@ from .runindex import RunLengthIndex
 
 LENGTH, K, GROUP_MB, HOT, SHARD = 100, 40, 8, 4096, 1 << 19
 NO_ID = -(1 << 63)
+FIRST, COPY, SAME = range(3)
 _CHUNK = 1 << 20
 
 RECORD = [("mh", "<u8"), ("ch", "<u8"), ("doc", "<i8"), ("th", "<u4"), ("s", "<u4"), ("n", "u1"), ("off", "u1")]
@@ -116,18 +117,19 @@ def contexts(buffer: np.ndarray, offsets: np.ndarray, length: int, k: int) -> Ta
 
 
 def later_copies(t: Table) -> np.ndarray:
-    """Of equal contexts, a flag for all but the first; a context that is the same place twice counts once."""
+    """``FIRST``, ``COPY`` or ``SAME`` for each context: of equal ones, all at other places than the first are copies; a place that comes again counts once."""
     if not len(t["mh"]):
-        return np.zeros(0, bool)
+        return np.zeros(0, np.uint8)
     same = mix(t["mh"] + t["ch"] * np.uint64(0x9E3779B97F4A7C15))
     order = np.argsort(same)
     twice = np.append(False, same[order][1:] == same[order][:-1])
     twice = order[twice | np.append(twice[1:], False)]
-    flag = np.zeros(len(same), bool)
+    flag = np.full(len(same), FIRST, np.uint8)
     if len(twice):
         rows = twice[np.lexsort((t["s"][twice], t["th"][twice], t["doc"][twice], t["ch"][twice], t["mh"][twice]))]
-        again = np.append(False, (t["mh"][rows][1:] == t["mh"][rows][:-1]) & (t["ch"][rows][1:] == t["ch"][rows][:-1]))
-        flag[rows[again]] = True
+        as_before = lambda *names: np.append(False, np.logical_and.reduce([t[n][rows][1:] == t[n][rows][:-1] for n in names]))
+        flag[rows[as_before("mh", "ch")]] = COPY
+        flag[rows[as_before("mh", "ch", "doc", "th", "s")]] = SAME
     return flag
 
 
@@ -152,7 +154,7 @@ def _send(groups: int, length: int, k: int) -> Callable:
             ids, th = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             t["doc"], t["th"] = ids[t["row"]], th[t["row"]]
             copy = later_copies(t)
-            first, again = np.flatnonzero(~copy), np.flatnonzero(copy)
+            first, again = np.flatnonzero(copy == FIRST), np.flatnonzero(copy == COPY)
             out = [(b, 0, -1, packed(t, RECORD, first[rows])) for b, rows in split(((t["mh"][first] >> np.uint64(32)) % np.uint64(groups)).astype(np.int64))]
             out += [(g, MARKS, g, packed(t, MARK, again[rows])) for g, rows in split(group_of(t["doc"][again], groups))]
             yield from _rows(out, SENT).to_batches()
@@ -172,7 +174,7 @@ def _meet(groups: int, hot: int) -> Callable:
         twice = t["mh"][order][1:] == t["mh"][order][:-1]
         t = {name: x[order[np.append(False, twice) | np.append(twice, False)]] for name, x in t.items()} if len(order) else t
         copy = later_copies(t)
-        again, first = np.flatnonzero(copy), np.flatnonzero(~copy)
+        again, first = np.flatnonzero(copy == COPY), np.flatnonzero(copy == FIRST)
         _, which, count = np.unique(t["mh"][first], return_inverse=True, return_counts=True)
         first, count = first[count[which] > 1], count[which][count[which] > 1]
         t["hot"] = np.zeros(len(copy), np.uint8)

@@ -124,6 +124,15 @@ def test_repeats_on_odd_rows(odd):
     assert suffixdedup.remove_repeats(nothing(odd)).count() == 0
 
 
+def test_rows_that_repeat_id_and_text_keep_a_unique_text(spark):
+    one, two, other = (" ".join(f"{w}{i}" for i in range(40)) for w in ("alpha", "beta", "gamma"))
+    rows = [(5, one), (5, one), (None, two), (None, two), (None, two), (6, other), (7, other), (7, other)]
+    for parts in (1, 8):  # in one batch, and each in its own
+        got = suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        left = Counter((r.doc_id, bytes(r.kept).decode()) for r in got)
+        assert left == {(5, one): 2, (None, two): 3, (6, other): 1, (7, ""): 2}
+
+
 # 3
 def test_ids_equal_the_tokenizer_file(texts):
     import public_tokenizers
