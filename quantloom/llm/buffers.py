@@ -85,11 +85,6 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def row_hash(rows: np.ndarray) -> np.ndarray:
-    """Hashes of the rows of a byte matrix, without a prefix table of all that they are taken from."""
-    return mix((_BYTE[rows] * _powers.to(rows.shape[1])[0][: rows.shape[1]]).sum(axis=1, dtype=np.uint64))
-
-
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 PUNCT = np.zeros(256, bool)

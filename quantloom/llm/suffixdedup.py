@@ -9,7 +9,8 @@ id, or earlier in the same one. Strings are judged on the input and never cross
    earliest of their kind where they are found, in the task that makes them already, so that a passage that
    a third of all documents hold leaves a task once.
 2. Where an anchor has several different contexts, their texts are fetched and dealt out by anchor (an anchor
-   with very many is dealt out by its strings' wider surroundings instead). Each shard is indexed by a
+   with very many is dealt out string by string instead, by a hash of the whole string and its anchor, each string once a
+   slice from the task that holds it; equal ones are marked where they meet). Each shard is indexed by a
    run-compressed Burrows-Wheeler transform with sampled run ends, all its contexts are streamed through it,
    and the starts whose matching statistics reach ``length`` in an earlier context are marked.
 3. Marks meet their documents, are unified and cut out.
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .buffers import mix, prefix_hash, row_hash, row_ranges, span_hash, text_buffer
+from .buffers import mix, prefix_hash, row_ranges, span_hash, text_buffer
 from .common import checkpointed, parts_for, slices, table
 from .runindex import RunLengthIndex
 
@@ -73,13 +74,15 @@ def split(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(key[rows[0]]), rows
 
 
-def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
-    """The same numbers as ``group_column``."""
-    return np.mod(np.mod(ids, 2147483647) * 48271, 2147483647) % groups
+def group_of(ids: np.ndarray, th: np.ndarray, groups: int) -> np.ndarray:
+    """Documents are dealt by id and checksum of the text; the same numbers as ``group_column``."""
+    prime = 2147483647
+    return np.mod(np.mod(np.mod(ids, prime) + np.mod(th.astype(np.int64), prime), prime) * 48271, prime) % groups
 
 
 def group_column(groups: int) -> Column:
-    return (F.pmod(F.pmod(F.col("_id"), F.lit(2147483647)) * 48271, F.lit(2147483647)) % groups).cast("int")
+    prime = F.lit(2147483647)
+    return (F.pmod(F.pmod(F.pmod(F.col("_id"), prime) + F.pmod(F.col("_th"), prime), prime) * 48271, prime) % groups).cast("int")
 
 
 def contexts(buffer: np.ndarray, offsets: np.ndarray, length: int, k: int) -> Table:
@@ -142,8 +145,8 @@ SENT = [("bucket", pa.int32()), ("kind", pa.int32()), ("g", pa.int32()), ("blob"
 SENT_SQL = "bucket int, kind int, g int, blob binary"
 FOUND = SENT[1:]
 FOUND_SQL = "kind int, g int, blob binary"
-TEXTS = [("bucket", pa.int32()), ("blob", pa.binary())]
-MARKS, NEEDS = 1, 2
+MARKS, NEEDS, STRINGS, CONTEXTS = 1, 2, 3, 4
+SPREAD, LOT = 8, 1 << 13
 
 
 def _send(groups: int, length: int, k: int) -> Callable:
@@ -156,7 +159,7 @@ def _send(groups: int, length: int, k: int) -> Callable:
             copy = later_copies(t)
             first, again = np.flatnonzero(copy == FIRST), np.flatnonzero(copy == COPY)
             out = [(b, 0, -1, packed(t, RECORD, first[rows])) for b, rows in split(((t["mh"][first] >> np.uint64(32)) % np.uint64(groups)).astype(np.int64))]
-            out += [(g, MARKS, g, packed(t, MARK, again[rows])) for g, rows in split(group_of(t["doc"][again], groups))]
+            out += [(g, MARKS, g, packed(t, MARK, again[rows])) for g, rows in split(group_of(t["doc"][again], t["th"][again], groups))]
             yield from _rows(out, SENT).to_batches()
 
     return run
@@ -179,8 +182,8 @@ def _meet(groups: int, hot: int) -> Callable:
         first, count = first[count[which] > 1], count[which][count[which] > 1]
         t["hot"] = np.zeros(len(copy), np.uint8)
         t["hot"][first] = count > hot
-        out += [(MARKS, g, packed(t, MARK, again[rows])) for g, rows in split(group_of(t["doc"][again], groups))]
-        out += [(NEEDS, g, packed(t, NEED, first[rows])) for g, rows in split(group_of(t["doc"][first], groups))]
+        out += [(MARKS, g, packed(t, MARK, again[rows])) for g, rows in split(group_of(t["doc"][again], t["th"][again], groups))]
+        out += [(NEEDS, g, packed(t, NEED, first[rows])) for g, rows in split(group_of(t["doc"][first], t["th"][first], groups))]
         return _rows(out, FOUND)
 
     return run
@@ -200,54 +203,67 @@ def _places(docs: pa.Table, t: Table) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return buffer, offsets, record, row
 
 
-def _fetch(groups: int, length: int, k: int) -> Callable:
-    """The texts of the contexts that are asked for. Those of a hot anchor go as four parts, each named by what all its strings cover."""
-    parts = 4
+def _strings(t: Table, base: np.ndarray, buffer: np.ndarray, groups: int, length: int) -> list[tuple]:
+    """The strings of some contexts, one by one: each distinct one once, by its hash, and marks for its copies."""
+    n = t["n"].astype(np.int64)
+    of = np.repeat(np.arange(len(n)), n)
+    s = t["s"][of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    size = n + length - 1  # contexts laid side by side, so that a string's bytes are hashed by prefix sums
+    edge = np.cumsum(size) - size
+    at = np.repeat(base + t["s"] - edge, size) + np.arange(size.sum())
+    start = edge[of] + s - t["s"][of]
+    whole = span_hash(prefix_hash(buffer[at]), start, start + length)
+    u = {"mh": whole, "ch": t["mh"][of], "doc": t["doc"][of], "th": t["th"][of], "s": s, "n": np.ones(len(of), np.uint8), "off": np.zeros(len(of), np.uint8)}
+    copy = later_copies(u)
+    first, again = np.flatnonzero(copy == FIRST), np.flatnonzero(copy == COPY)
+    # strings side by side of one context are one mark
+    cut = np.flatnonzero(np.append(True, (np.diff(again) != 1) | (np.diff(of[again]) != 0))) if len(again) else again
+    m = {"doc": u["doc"][again[cut]], "th": u["th"][again[cut]], "s": s[again[cut]], "n": np.diff(np.append(cut, len(again)))}
+    out = [(g, MARKS, g, packed(m, MARK, rows)) for g, rows in split(group_of(m["doc"], m["th"], groups))]
+    return out + [(b, STRINGS, -1, packed(u, RECORD, first[rows])) for b, rows in split(((u["mh"][first] >> np.uint64(32)) % np.uint64(groups * SPREAD)).astype(np.int64) + groups)]
+
+
+def _fetch(groups: int, length: int) -> Callable:
+    """The texts of the contexts that are asked for; of those of a hot anchor, their strings."""
 
     def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
         t = unpacked(asked.column("blob").to_pylist(), NEED)
         if not len(t["doc"]):
-            return _rows([], TEXTS)
+            return _rows([], SENT)
         buffer, offsets, record, row = _places(docs, t)
         record, once = np.unique(record, return_index=True)
         row = row[once]
         t = {name: x[record] for name, x in t.items()}
         t["s"] = t["s"].astype(np.int64)
         base = offsets[row]
-        hot = np.flatnonzero(t["hot"])
-        if len(hot):
-            width = -(-(length - k + 1) // parts)
-            cool = np.flatnonzero(t["hot"] == 0)
-            pieces = [({name: x[cool] for name, x in t.items()}, base[cool])]
-            for j in range(parts):  # strings that start j * width to (j + 1) * width - 1 before the anchor
-                anchor = t["s"][hot] + t["off"][hot]
-                lo = np.maximum(t["s"][hot], anchor - (j + 1) * width + 1)
-                hi = np.minimum(t["s"][hot] + t["n"][hot] - 1, anchor - j * width)
-                keep = hi >= lo
-                piece = {name: x[hot][keep] for name, x in t.items()}
-                piece["s"], piece["n"] = lo[keep], (hi - lo + 1)[keep]
-                common = base[hot][keep] + anchor[keep] - j * width
-                for i in range(0, len(common), 1 << 14):
-                    at = common[i : i + (1 << 14), None] + np.arange(length + 1 - width)
-                    piece["mh"][i : i + len(at)] = mix(piece["mh"][i : i + len(at)] + row_hash(buffer[np.minimum(at, len(buffer) - 1)]) + np.uint64(j))
-                pieces.append((piece, base[hot][keep]))
-            base = np.concatenate([b for _, b in pieces])
-            t = {name: np.concatenate([p[name] for p, _ in pieces]) for name in t}
         out = []
-        for bucket, rows in split(((t["mh"] >> np.uint64(32)) % np.uint64(groups)).astype(np.int64)):
+        hot = np.flatnonzero(t["hot"])
+        for i in range(0, len(hot), LOT):
+            rows = hot[i : i + LOT]
+            out += _strings({name: x[rows] for name, x in t.items()}, base[rows], buffer, groups, length)
+        cool = np.flatnonzero(t["hot"] == 0)
+        for bucket, rows in split(((t["mh"][cool] >> np.uint64(32)) % np.uint64(groups)).astype(np.int64)):
+            rows = cool[rows]
             size = t["n"][rows].astype(np.int64) + length - 1
             at = np.repeat(base[rows] + t["s"][rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            out.append((bucket, packed(t, CONTEXT, rows) + buffer[at].tobytes()))
-        return _rows(out, TEXTS)
+            out.append((bucket, CONTEXTS, -1, packed(t, CONTEXT, rows) + buffer[at].tobytes()))
+        return _rows(out, SENT)
 
     return run
 
 
 def _index(groups: int, length: int) -> Callable:
-    """Indexes the contexts of some anchors, a shard of about a megabyte at a time, and marks what stands in an earlier one."""
+    """Indexes the contexts of some anchors, a shard of about a megabyte at a time, and marks what stands in an earlier one; marks later ones of equal strings."""
 
     def run(sent: pa.Table) -> pa.Table:
-        blobs = sent.column("blob").to_pylist()
+        rows = list(zip(*(sent.column(c).to_pylist() for c in ("kind", "g", "blob")), strict=True))
+        done = [row for row in rows if row[0] == MARKS]
+        u = unpacked([b for kind, _, b in rows if kind == STRINGS], RECORD)
+        again = np.flatnonzero(later_copies(u) == COPY)
+        done += [(MARKS, g, packed(u, MARK, again[rows])) for g, rows in split(group_of(u["doc"][again], u["th"][again], groups))]
+        blobs = [b for kind, _, b in rows if kind == CONTEXTS]
+        if not blobs:
+            return _rows(done, FOUND)
         t = unpacked(blobs, CONTEXT)
         record = sum(np.dtype(kind).itemsize for _, kind in CONTEXT)
         text = np.concatenate([np.frombuffer(b, np.uint8, offset=8 + record * int.from_bytes(b[:8], "little")) for b in blobs])
@@ -259,7 +275,7 @@ def _index(groups: int, length: int) -> Callable:
         group = np.cumsum(new) - 1
         order, group = (x[np.bincount(group)[group] > 1] for x in (order, group))
         if not len(order):
-            return _rows([], FOUND)
+            return _rows(done, FOUND)
         total = np.cumsum(size[order])
         starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         shard = (total[starts] // SHARD)[np.searchsorted(starts, np.arange(len(order)), side="right") - 1]  # groups are not torn apart
@@ -276,7 +292,7 @@ def _index(groups: int, length: int) -> Callable:
             for name, x in (("doc", t["doc"][who]), ("th", t["th"][who]), ("s", t["s"][who] + first[cut]), ("n", np.diff(np.append(cut, len(which))))):
                 marks[name].append(x)
         m = {name: np.concatenate(x) for name, x in marks.items()}
-        return _rows([(MARKS, g, packed(m, MARK, rows)) for g, rows in split(group_of(m["doc"], groups))], FOUND)
+        return _rows(done + [(MARKS, g, packed(m, MARK, rows)) for g, rows in split(group_of(m["doc"], m["th"], groups))], FOUND)
 
     return run
 
@@ -334,7 +350,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, text: str
     found = checkpointed(sent.groupBy("bucket").applyInArrow(_meet(groups, hot), FOUND_SQL))
     dealt = keyed.withColumn("_g", group_column(groups))
     needs = found.filter(F.col("kind") == NEEDS).select("g", "blob")
-    texts = dealt.groupBy("_g").cogroup(needs.groupBy("g")).applyInArrow(_fetch(groups, length, k), "bucket int, blob binary")
+    texts = dealt.groupBy("_g").cogroup(needs.groupBy("g")).applyInArrow(_fetch(groups, length), SENT_SQL)
     marks = texts.groupBy("bucket").applyInArrow(_index(groups, length), FOUND_SQL).unionAll(found.filter(F.col("kind") == MARKS)).select("g", "blob")
     span = T.StructType().add("start", "long").add("end", "long")
     schema = docs.select(*others).schema.add("n_bytes", "long").add("spans", T.ArrayType(span)).add("kept", "binary")

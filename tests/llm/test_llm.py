@@ -133,6 +133,28 @@ def test_rows_that_repeat_id_and_text_keep_a_unique_text(spark):
         assert left == {(5, one): 2, (None, two): 3, (6, other): 1, (7, ""): 2}
 
 
+def test_strings_of_a_hot_anchor_are_sent_once(spark):
+    """Many documents with one passage in different surroundings: what a task sends names no key twice, so that no group grows with them."""
+    passage, n = " ".join(f"word{i}" for i in range(60)), 50
+    body = [f"{i * 7919:0150d}{passage}{i * 104729:0150d}".encode() for i in range(n)]
+    docs = pa.table({"_id": pa.array(range(n), pa.int64()), "_th": pa.array([zlib.crc32(b) for b in body], pa.int64()), "_body": pa.array(body, pa.binary())})
+    (sent,) = suffixdedup._send(1, 100, 40)(iter(docs.to_batches()))
+    found = suffixdedup._meet(1, 1)(pa.Table.from_batches([sent]))
+    needs = found.filter(pa.array([k == suffixdedup.NEEDS for k in found.column("kind").to_pylist()]))
+    out = suffixdedup._fetch(1, 100)(docs, needs)
+    rows = [suffixdedup.unpacked([b], suffixdedup.RECORD) for kind, b in zip(out.column("kind").to_pylist(), out.column("blob").to_pylist(), strict=True) if kind == suffixdedup.STRINGS]
+    assert not any(kind == suffixdedup.CONTEXTS for kind in out.column("kind").to_pylist())
+    keys = np.concatenate([t["mh"] for t in rows])
+    assert len(keys) and len(np.unique(keys)) == len(keys)
+
+
+def test_documents_without_an_id_are_dealt_by_their_texts(spark):
+    rows = spark.range(2000).select(F.lit(suffixdedup.NO_ID).alias("_id"), F.crc32(F.col("id").cast("string")).alias("_th"))
+    got = rows.select("_id", "_th", suffixdedup.group_column(16).alias("g")).toPandas()
+    assert got.g.value_counts().max() < 300
+    assert (suffixdedup.group_of(got._id.to_numpy(), got._th.to_numpy().astype(np.uint32), 16) == got.g).all()
+
+
 # 3
 def test_ids_equal_the_tokenizer_file(texts):
     import public_tokenizers
