@@ -5,6 +5,11 @@ letters a-z and digits as one space) and looked up among known licence sentences
 document is a sequence of identifiers. A licence rule is an ordered list of identifiers; it applies
 where they stand one after another in that sequence, unknown sentences between them set aside.
 
+A sentence may be wrapped over lines, with comment marks before them: it ends at end punctuation or a
+line without a letter or digit, and a line with a copyright year or mark stands alone. A sentence unknown
+as a whole is looked up line by line. ``n_sentences`` counts pieces between line ends and end punctuation.
+``OP9_SQL`` cuts at every line end and has ``SENTENCES`` alone: it says the same of unwrapped statements only.
+
 Nulls: a null text has no sentences. Rows are independent, so that repeated rows, ties and columns
 of other names change nothing (those with the names of added ones give way); an empty table gives an
 empty result.
@@ -44,6 +49,24 @@ SENTENCES = {
     "cc-by4-line": "Licensed under CC BY 4.0.",
     "cc0-line": "To the extent possible under law, the author has dedicated all copyright to the public domain.",
 }
+# Other ways to state the same, not in OP9_SQL.
+VARIANTS = [
+    ("apache2-line", "Licensed under the Apache License 2.0"),
+    ("apache2-line", "This project is licensed under the Apache License, Version 2.0"),
+    ("apache2-line", "This project is licensed under the Apache License 2.0"),
+    ("mit-line", "Licensed under the MIT License"),
+    ("mit-line", "This project is licensed under the MIT License"),
+    ("mit-line", "This project is licensed under the terms of the MIT License"),
+    ("mit-line", "Distributed under the MIT License"),
+    ("gpl3-line", "Licensed under the GNU General Public License, version 3"),
+    ("gpl3-line", "Licensed under the GNU General Public License v3.0"),
+    ("gpl3-line", "This project is licensed under the GNU General Public License v3.0"),
+    ("bsd-names", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission of the copyright holder"),
+    ("cc-by-nc4-line", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("cc-by4-line", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by4-line", "This work is licensed under the Creative Commons Attribution 4.0 International License"),
+    ("cc0-line", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide"),
+]
 # (rule, licence, identifiers in their order)
 RULES = [
     ("apache2-short", "Apache-2.0", ["apache2-line"]),
@@ -59,6 +82,8 @@ RULES = [
     ("cc0-short", "CC0-1.0", ["cc0-line"]),
 ]
 BREAK = "[.!?;:][ \\t-\\r]+|\\n"
+WRAPPED_BREAK = "[.!?;:][ \\t-\\r]+|\\n[^\\p{L}\\p{N}\\n]*\\n"
+OWNER = "(?im)^([^\\p{L}\\p{N}\\n]*copyright[ \\t]*(?:\\(c\\)|\u00a9|[0-9])[^\\n]*)\\n"
 
 
 def normalise(text: str) -> str:
@@ -74,9 +99,14 @@ def recognise(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_sentences, ``sentence_ids`` (in order) and ``rules`` (those that apply, a rule within a longer one that applies left out)."""
     docs = docs.drop("n_sentences", "sentence_ids", "rules")
     spaced = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
-    df = docs.withColumn("_said", F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), BREAK, -1), spaced), lambda s: s != ""))
-    ids = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
-    df = df.withColumn("sentence_ids", F.filter(F.transform("_said", lambda s: F.try_element_at(ids, s)), lambda x: x.isNotNull()))
+    body = F.coalesce(F.col(text), F.lit(""))
+    df = docs.withColumn("_said", F.filter(F.transform(F.split(body, BREAK, -1), spaced), lambda s: s != ""))
+    names = {**known(), **{normalise(s): k for k, s in VARIANTS}}
+    ids = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    name = lambda s: F.try_element_at(ids, spaced(s))
+    sentences = F.split(F.regexp_replace(body, OWNER, "$1\n\n"), WRAPPED_BREAK, -1)
+    named = F.flatten(F.transform(sentences, lambda s: F.when(name(s).isNotNull(), F.array(name(s))).otherwise(F.transform(F.split(s, "\n", -1), name))))
+    df = df.withColumn("sentence_ids", F.filter(named, lambda x: x.isNotNull()))
     line = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))
     applies = {name: line.contains(f",{','.join(seq)},") for name, _, seq in RULES}
     outer: dict[str, list[str]] = {name: [other for other, _, longer in RULES if len(longer) > len(seq) and f",{','.join(seq)}," in f",{','.join(longer)},"] for name, _, seq in RULES}

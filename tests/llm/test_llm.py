@@ -308,6 +308,29 @@ def test_licence_rules(spark):
     assert got == {1: ["mit-text"], 2: ["bsd3-text"], 3: [], 4: [], 5: ["mit-short"]}
 
 
+def test_wrapped_and_commented_licences(spark):
+    import textwrap
+
+    wrap = lambda ids, end=".": "\n\n".join(textwrap.fill(licenses.SENTENCES[k] + end, 60) for k in ids)
+    marked = lambda t, mark: "\n".join(f"{mark} {x}".rstrip() for x in t.split("\n"))
+    rules = {name: ids for name, _, ids in licenses.RULES}
+    apache = textwrap.fill(" ".join(licenses.SENTENCES[k] + (";" if k == "apache2-header" else ".") for k in rules["apache2-notice"]), 50)
+    mit = wrap(rules["mit-text"])
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty"
+    bsd = "\n".join(textwrap.fill(f"{i}. {licenses.SENTENCES[k]}.", 60) for i, k in enumerate(rules["bsd3-text"]))
+    rows = [
+        (1, "/*\n" + marked(f"Copyright (c) 2020 Someone\n{mit}", " *") + "\n */\nint x;"),
+        (2, marked(f"Copyright 2021 Some Co\n\n{apache}", "#") + "\n\nimport os"),
+        (3, marked(gpl, "//")),
+        (4, bsd.replace("\n", "\r\n")),
+        (5, "Released under the MIT License\nint x = 1\nfloat y"),
+        (6, "x\n\nThis project is licensed\nunder the MIT License."),
+        (7, mit.replace("free of charge", "for a fee")),
+    ]
+    got = {r.doc_id: r.rules for r in licenses.recognise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ["mit-text"], 2: ["apache2-notice"], 3: ["gpl3-notice"], 4: ["bsd3-text"], 5: ["mit-short"], 6: ["mit-short"], 7: []}
+
+
 # 10
 def brute_components(texts, width, num, den):
     sets, root = {}, {i: i for i in texts}
