@@ -72,6 +72,12 @@ class _Powers:
 _powers = _Powers()
 
 
+def forget_powers() -> None:
+    """Lets the powers that one long text needed go again."""
+    if len(_powers.up) > 1 << 21:
+        _powers.__init__()
+
+
 def prefix_hash(buffer: np.ndarray) -> np.ndarray:
     """Prefix sums for ``span_hash``; one longer than the buffer."""
     out = np.zeros(len(buffer) + 1, np.uint64)

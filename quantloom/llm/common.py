@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import os
+import re
 import tempfile
+import time
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -13,9 +17,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .buffers import forget_powers
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers on this machine import the package from where the driver has it; on a cluster ship it with --py-files."""
+    """Lets Python workers on this machine import the package from where the driver has it; on a cluster ship it with --py-files.
+
+    Arrow batches of texts are bounded by bytes too (4 MB), where the session doesn't say otherwise: ten thousand long texts would be gigabytes.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
     root, env = str(Path(__file__).parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
@@ -28,10 +42,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; only where nothing names one, as in tests, a temporary one is set."""
+    """The shared folder that ``spark.checkpoint.dir`` names; a temporary one where nothing names one and all is on one machine, as in tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quantloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("executors need a shared folder: name it in spark.checkpoint.dir")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quantloom-"))
     return context.getCheckpointDir()
 
 
@@ -84,6 +101,32 @@ def parts_for(df: DataFrame, column: str, mb: int = 16) -> int:
     return max(1, math.ceil(total / (mb << 20)))
 
 
+_libc = ctypes.CDLL(None)
+_leaned = 0.0
+
+
+def lean() -> None:
+    """In a task, before its work and after it: hands what the worker process no longer uses back to the machine.
+
+    Python workers are used again and otherwise keep the most that any task ever made them take. Large blocks are
+    mapped by themselves (``mallopt``, where the C library has it), so that they go back when they are freed.
+    Where groups are many and small it acts every half second at most.
+    """
+    global _leaned
+    now = time.monotonic()
+    if now < _leaned + 0.5:
+        return
+    if not _leaned and hasattr(_libc, "mallopt"):
+        _libc.mallopt(-3, 1 << 18)  # M_MMAP_THRESHOLD
+        _libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+    _leaned = now
+    forget_powers()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20, rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that a slice has at most ``rows`` rows and, but for one long text, ``limit`` bytes."""
     for batch in batches:

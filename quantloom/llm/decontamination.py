@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .buffers import LOWER, PUNCT, prefix_hash, span_hash, text_buffer, words
-from .common import slices, table
+from .common import lean, slices, table
 
 WINDOW, BLOCK_MB = 10, 8
 
@@ -110,8 +110,9 @@ def rarities(docs: DataFrame, block: Block, text: str = "text") -> np.ndarray:
     vocabulary = docs.sparkSession.sparkContext.broadcast(block.vocabulary)  # of one block
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         total = np.zeros(len(vocabulary.value), np.int64)
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, limit=1 << 20):
             hashes, _ = word_hashes(batch.column(0))
             at = np.minimum(np.searchsorted(vocabulary.value, hashes), max(len(total) - 1, 0))
             if len(total):
@@ -145,8 +146,9 @@ def _against(df: DataFrame, block: Block, at: int) -> DataFrame:
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         block = shared.value
-        for batch in slices(batches, at):
+        for batch in slices(batches, at, limit=1 << 20):
             hashes, first = word_hashes(batch.column(at))
             doc, start, window = block.occurrences(block.number(hashes), first)
             spans, items = (batch.column(batch.num_columns - k).to_pylist() for k in (2, 1))
@@ -158,6 +160,7 @@ def _against(df: DataFrame, block: Block, at: int) -> DataFrame:
                 spans[d], items[d] = merge(spans[d]), sorted(set(items[d]))
             spans = pa.array([[{"start": s, "end": e} for s, e in own] for own in spans], SPANS)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(np.diff(first), pa.int64()), spans, pa.array(items, pa.list_(pa.string()))], names=names)
+        lean()
 
     return df.mapInArrow(run, df.schema)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, ranked, slices, table
+from .common import checkpointed, lean, ranked, slices, table
 from .subwords import subwords
 
 CAPACITY, END = 1024, 2
@@ -40,8 +40,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, path: str
     """One row for each piece of each document's subword ids, ``end`` included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         encode = subwords(path).encode
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, limit=1 << 20):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.append(encode(text or ""), np.uint32(end)).astype("<u4", copy=False)
