@@ -3,9 +3,9 @@
 A text's subwords are its byte n-grams of one to three bytes, hashed to ``BUCKETS`` rows of an
 embedding table. The mean of their embeddings goes through one linear layer and a softmax. Table and
 layer are trained by minibatch stochastic gradient descent in numpy on a bounded sample of labelled
-texts (``rows``, a parameter; chosen by a hash of the id over the whole table). A part of the sample is
-held out of training: on it a temperature is fitted, so that a score is a probability, and the score
-under which a text is rejected, so that at most a share ``wrong`` of rightly named texts go.
+texts (``rows``, a parameter; chosen by a hash of id and text over the whole table). On a second bounded sample
+(``held``) that training has not seen a temperature is fitted, so that a score is a probability, and the score
+under which a text is rejected, so that a share ``wrong`` of rightly named texts go.
 
 Counting n-grams, in training and in prediction, runs in Spark tasks over whole texts, a bounded
 slice at a time; only the sample's counts and the model (``BUCKETS`` x ``DIM``) pass the driver.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .buffers import LOWER, text_buffer
-from .common import slices, table
+from .common import lean, slices, table
 
 BUCKETS, DIM, UNKNOWN = 4096, 16, "und"
 _MULTIPLIERS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -75,21 +75,20 @@ class Model:
         return p.argmax(axis=1), p.max(axis=1)
 
 
-def train(x: np.ndarray, labels: list[str], epochs: int = 60, batch: int = 32, rate: float = 20.0, wrong: float = 0.001, least: float = 0.35, seed: int = 7) -> Model:
-    """Stochastic gradient descent on four fifths, calibration on the rest."""
+def train(x: np.ndarray, labels: list[str], epochs: int = 60, batch: int = 32, rate: float = 20.0, seed: int = 7) -> Model:
+    """Stochastic gradient descent; languages weigh as the root of their share."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
     y = np.array([languages.index(v) for v in labels])
     order = rng.permutation(len(y))
-    held, fit = order[: len(y) // 5], order[len(y) // 5 :]
     m = Model(languages, rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32), np.zeros((DIM, len(languages)), np.float32), np.zeros(len(languages), np.float32))
-    weight = 1 / np.sqrt(np.bincount(y[fit], minlength=len(languages)).clip(1))
+    weight = 1 / np.sqrt(np.bincount(y, minlength=len(languages)).clip(1))
     weight = (weight / weight.mean())[y]
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        rng.shuffle(fit)
-        for i in range(0, len(fit), batch):
-            rows = fit[i : i + batch]
+        rng.shuffle(order)
+        for i in range(0, len(order), batch):
+            rows = order[i : i + batch]
             mean = x[rows] @ m.table
             error = softmax(mean @ m.layer + m.bias)
             error[np.arange(len(rows)), y[rows]] -= 1
@@ -98,33 +97,56 @@ def train(x: np.ndarray, labels: list[str], epochs: int = 60, batch: int = 32, r
             m.layer -= 0.1 * step * (mean.T @ error)
             m.bias -= 0.01 * step * error.sum(axis=0)
             m.table -= step * (x[rows].T @ back)
-    if len(held):
-        z = m.logits(x[held])
-        loss = lambda t: -np.log(softmax(z / t)[np.arange(len(held)), y[held]].clip(1e-12)).mean()
-        m.temperature = float(min(np.geomspace(0.25, 8, 41), key=loss))
-        best, score = m.predict(x[held])
-        right = np.sort(score[best == y[held]])
-        m.reject_under = float(min(right[int(wrong * len(right))], least)) if len(right) else 0.0
     return m
 
 
-def fit(labelled: DataFrame, key: Column, rows: int = 4000) -> Model | None:
-    """A model from about ``rows`` of the labelled (text, lang) rows, those whose ``key`` hashes lowest."""
+def calibrate(m: Model, z: np.ndarray, labels: list[str], wrong: float = 0.001) -> Model:
+    """Fits the temperature and the least score on logits of rows that the training has not seen."""
+    known = [i for i, v in enumerate(labels) if v in m.languages]
+    if not known:
+        return m
+    z, y = z[known], np.array([m.languages.index(labels[i]) for i in known])
+    loss = lambda t: -np.log(softmax(z / t)[np.arange(len(y)), y].clip(1e-12)).mean()
+    m.temperature = float(min(np.geomspace(0.02, 8, 61), key=loss))
+    p = softmax(z / m.temperature)
+    right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y])
+    m.reject_under = float(right[int(wrong * len(right))]) if len(right) else 0.0
+    return m
+
+
+def fit(labelled: DataFrame, key: Column, rows: int = 4000, held: int = 20_000, wrong: float = 0.001) -> Model | None:
+    """A model from ``rows`` of the labelled (text, lang) rows, those whose ``key`` and text hash lowest (four fifths where there are
+    no more); calibrated on the ``held`` that hash next. Both samples are bounded, and the same however the table is laid out."""
     labelled = labelled.filter(F.col("lang").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     n = labelled.count()
     if not n:
         return None
-    parts = 1 << 20
-    low = F.pmod(F.xxhash64(key), F.lit(parts)) < int(min(1.0, rows / n) * parts) + 1
+    parts = 1 << 30
+    cut = int(min(0.8, rows / n) * parts) + 1
+    top = int(min(1.0, cut / parts + max(held / n, 0.2 if n < held else 0)) * parts)
+    drawn = labelled.select("text", "lang", F.pmod(F.xxhash64(key, "text"), F.lit(parts)).alias("draw"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in slices(batches, 0, limit=1 << 20, rows=256):
             x = features(batch.column(0)).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), batch.column(1)], names=["x", "lang"])
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), *batch.columns[1:]], names=["x", "lang", "draw"])
 
-    sample = labelled.filter(low).select("text", "lang").mapInArrow(run, "x binary, lang string").limit(2 * rows).collect()
+    sample = drawn.filter(F.col("draw") < cut).mapInArrow(counted, "x binary, lang string, draw long").orderBy("draw", "x").limit(rows).collect()
+    if not sample:
+        return None
     x = np.frombuffer(b"".join(bytes(r["x"]) for r in sample), np.float16).reshape(len(sample), BUCKETS).astype(np.float32)
-    return train(x, [r["lang"] for r in sample])
+    model = train(x, [r["lang"] for r in sample])
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
+        for batch in slices(batches, 0, limit=1 << 20, rows=256):
+            z = model.logits(features(batch.column(0))).astype("<f4")
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in z], pa.binary()), *batch.columns[1:]], names=["z", "lang", "draw"])
+
+    held_out = drawn.filter((F.col("draw") >= cut) & (F.col("draw") < top)).mapInArrow(judged, "z binary, lang string, draw long").orderBy("draw", "z").limit(held).collect()
+    z = np.frombuffer(b"".join(bytes(r["z"]) for r in held_out), "<f4").reshape(len(held_out), len(model.languages))
+    return calibrate(model, z, [r["lang"] for r in held_out], wrong)
 
 
 def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -136,6 +158,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     lettered = df.withColumn("_letter", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in slices(batches, at, limit=1 << 20, rows=256):
             letter = np.array(batch.column(batch.num_columns - 1).to_pylist(), bool)
             if model is None:
@@ -146,6 +169,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
                 score = np.where(letter, score.astype(np.float64), 0.0)
                 ok = letter & (score >= model.reject_under)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(ok, pa.bool_())], names=names)
+        lean()
 
     return lettered.mapInArrow(run, schema)
 
