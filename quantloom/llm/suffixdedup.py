@@ -5,18 +5,19 @@ id, or earlier in the same one. Strings are judged on the input and never cross
 
 1. Each string is assigned to its anchor, the leftmost least-hashed ``K``-gram in it: equal strings have
    equal anchors, and strings of one anchor are consecutive, a *context* of at most ``2 * length - K`` bytes.
-   Contexts are dealt out by anchor as short records (no text). Equal contexts are told apart from the
-   earliest of their kind where they are found, in the task that makes them already, so that a passage that
-   a third of all documents hold leaves a task once.
+   Contexts are dealt out by their whole hash as short records (no text). Equal contexts are told apart from the
+   earliest of their kind where they are found: in the task that makes them already, which remembers those that it has
+   met twice (``REMEMBERED`` of them), so that a passage that a third of all documents hold leaves a task once.
+   How many different contexts an anchor has is summed apart, from one number of each bucket: no anchor's records meet in one task.
 2. Where an anchor has several different contexts, their texts are fetched and dealt out by anchor (an anchor
-   with very many is dealt out string by string instead, by a hash of the whole string and its anchor, each string once a
+   with more than ``HOT`` is dealt out string by string instead, by a hash of the whole string and its anchor, each string once a
    slice from the task that holds it; equal ones are marked where they meet). Each shard is indexed by a
    run-compressed Burrows-Wheeler transform with sampled run ends, all its contexts are streamed through it,
    and the starts whose matching statistics reach ``length`` in an earlier context are marked.
 3. Marks meet their documents, are unified and cut out.
 
-Records travel packed, many to a row, as the columns of one numpy table. Group counts follow the bytes of
-the input, so that a group is about ``GROUP_MB`` of it at any size.
+Records travel packed, many to a row, as the columns of one numpy table. The numbers of groups and buckets follow the bytes of
+the input, so that a group is about ``GROUP_MB`` of it at any size; a task sends a bucket at most one row for each record.
 
 Nulls: a null text is empty, a null id sorts before all others. Rows with one id and different texts are
 documents in the order of a checksum of the text; rows that repeat id and text are one document and
@@ -35,13 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .buffers import mix, prefix_hash, row_ranges, span_hash, text_buffer
-from .common import checkpointed, parts_for, slices, table
+from .common import checkpointed, lean, parts_for, slices, table
 from .runindex import RunLengthIndex
 
-LENGTH, K, GROUP_MB, HOT, SHARD = 100, 40, 8, 4096, 1 << 19
+LENGTH, K, BUCKET_MB, GROUP_MB, HOT, SHARD, REMEMBERED = 100, 40, 8, 4, 4096, 1 << 19, 1 << 17
 NO_ID = -(1 << 63)
 FIRST, COPY, SAME = range(3)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 RECORD = [("mh", "<u8"), ("ch", "<u8"), ("doc", "<i8"), ("th", "<u4"), ("s", "<u4"), ("n", "u1"), ("off", "u1")]
 MARK = [("doc", "<i8"), ("th", "<u4"), ("s", "<u4"), ("n", "u1")]
@@ -123,7 +124,7 @@ def later_copies(t: Table) -> np.ndarray:
     """``FIRST``, ``COPY`` or ``SAME`` for each context: of equal ones, all at other places than the first are copies; a place that comes again counts once."""
     if not len(t["mh"]):
         return np.zeros(0, np.uint8)
-    same = mix(t["mh"] + t["ch"] * np.uint64(0x9E3779B97F4A7C15))
+    same = _both(t)
     order = np.argsort(same)
     twice = np.append(False, same[order][1:] == same[order][:-1])
     twice = order[twice | np.append(twice[1:], False)]
@@ -136,6 +137,50 @@ def later_copies(t: Table) -> np.ndarray:
     return flag
 
 
+class Remembered:
+    """Contexts that a task has met twice, with the least place of each: what comes again is known to be a copy and need not be sent."""
+
+    def __init__(self, most: int = REMEMBERED) -> None:
+        self.most, self.key = most, np.zeros(0, np.uint64)
+        self.t = {name: np.zeros(0, kind) for name, kind in RECORD[:5]}
+
+    def look(self, t: Table, flag: np.ndarray) -> np.ndarray:
+        """``flag`` of ``later_copies``, with those that are first in ``t`` alone set to ``COPY`` or ``SAME``."""
+        first = np.flatnonzero(flag == FIRST)
+        key = _both(t)[first]
+        if len(self.key):
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            known = (self.key[at] == key) & (self.t["mh"][at] == t["mh"][first]) & (self.t["ch"][at] == t["ch"][first])
+            at, own = at[known], first[known]
+            before = np.zeros(len(at), bool)
+            level = np.ones(len(at), bool)  # equal so far
+            for name in ("doc", "th", "s"):
+                a, b = self.t[name][at].astype(np.int64), t[name][own].astype(np.int64)
+                before |= level & (a < b)
+                level &= a == b
+            flag[own[before]], flag[own[level]] = COPY, SAME
+            lower = ~before & ~level
+            for name in ("doc", "th", "s"):
+                self.t[name][at[lower]] = t[name][own[lower]]
+            first, key = first[~known], key[~known]
+        room = self.most - len(self.key)
+        again = np.flatnonzero(np.isin(key, _both(t)[flag == COPY]))[:room]
+        if len(again):
+            new = np.append(self.key, key[again])
+            order = np.argsort(new, kind="stable")
+            self.key = new[order]
+            self.t = {name: np.append(x, t[name][first[again]].astype(x.dtype))[order] for name, x in self.t.items()}
+        return flag
+
+
+def _both(t: Table) -> np.ndarray:
+    return mix(t["mh"] + t["ch"] * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _rows(out: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Table:
     columns = zip(*out, strict=True) if out else [[] for _ in schema]
     return pa.table([pa.array(list(c), kind) for c, (_, kind) in zip(columns, schema, strict=True)], names=[n for n, _ in schema])
@@ -145,45 +190,86 @@ SENT = [("bucket", pa.int32()), ("kind", pa.int32()), ("g", pa.int32()), ("blob"
 SENT_SQL = "bucket int, kind int, g int, blob binary"
 FOUND = SENT[1:]
 FOUND_SQL = "kind int, g int, blob binary"
-MARKS, NEEDS, STRINGS, CONTEXTS = 1, 2, 3, 4
+ASKED = [("owner", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())]
+ASKED_SQL = "owner int, bucket int, blob binary"
+RECORDS, MARKS, NEEDS, STRINGS, CONTEXTS = range(5)
 SPREAD, LOT = 8, 1 << 13
 
 
-def _send(groups: int, length: int, k: int) -> Callable:
+def _send(buckets: int, groups: int, length: int, k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
+        known = Remembered()
         for batch in slices(batches, 2, limit=2 << 20, rows=1 << 20):
             buffer, offsets = text_buffer(batch.column(2))
             t = contexts(buffer, offsets, length, k)
             ids, th = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             t["doc"], t["th"] = ids[t["row"]], th[t["row"]]
-            copy = later_copies(t)
+            copy = known.look(t, later_copies(t))
             first, again = np.flatnonzero(copy == FIRST), np.flatnonzero(copy == COPY)
-            out = [(b, 0, -1, packed(t, RECORD, first[rows])) for b, rows in split(((t["mh"][first] >> np.uint64(32)) % np.uint64(groups)).astype(np.int64))]
-            out += [(g, MARKS, g, packed(t, MARK, again[rows])) for g, rows in split(group_of(t["doc"][again], t["th"][again], groups))]
+            out = [(b, RECORDS, -1, packed(t, RECORD, first[rows])) for b, rows in split(_bucket(_both(t)[first], buckets))]
+            out += [(g % buckets, MARKS, g, packed(t, MARK, again[rows])) for g, rows in split(group_of(t["doc"][again], t["th"][again], groups))]
             yield from _rows(out, SENT).to_batches()
+        lean()
 
     return run
 
 
-def _meet(groups: int, hot: int) -> Callable:
-    """The records of some anchors: later copies of a context are marks, different contexts of an anchor need their texts."""
+def _received(sent: pa.Table) -> tuple[Table, np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's records, what later_copies says of them, and the anchors of the first ones with their numbers."""
+    rows = zip(sent.column("kind").to_pylist(), sent.column("blob").to_pylist(), strict=True)
+    t = unpacked([b for kind, b in rows if kind == RECORDS], RECORD)
+    copy = later_copies(t)
+    anchors, count = np.unique(t["mh"][copy == FIRST], return_counts=True)
+    return t, copy, anchors, count
+
+
+def _count(buckets: int) -> Callable:
+    """To the owner of each anchor: how many different contexts this bucket has of it."""
 
     def run(sent: pa.Table) -> pa.Table:
-        kinds = sent.column("kind").to_pylist()
-        blobs, gs = sent.column("blob").to_pylist(), sent.column("g").to_pylist()
-        out = [(MARKS, g, b) for kind, g, b in zip(kinds, gs, blobs, strict=True) if kind == MARKS]
-        t = unpacked([b for kind, b in zip(kinds, blobs, strict=True) if kind != MARKS], RECORD)
-        order = np.argsort(t["mh"])
-        twice = t["mh"][order][1:] == t["mh"][order][:-1]
-        t = {name: x[order[np.append(False, twice) | np.append(twice, False)]] for name, x in t.items()} if len(order) else t
-        copy = later_copies(t)
+        lean()
+        _, _, anchors, count = _received(sent)
+        own = sent.column("bucket")[0].as_py()
+        return _rows([(o, own, anchors[rows].tobytes() + np.minimum(count[rows], 255).astype("u1").tobytes()) for o, rows in split(_bucket(anchors, buckets))], ASKED)
+
+    return run
+
+
+def _total(hot: int) -> Callable:
+    """Back to each bucket, in its order: 0 for an anchor with one context in all buckets, 1 for several, 2 for more than ``hot``."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        lean()
+        blobs = asked.column("blob").to_pylist()
+        size = [len(b) // 9 for b in blobs]
+        anchors, at = np.unique(np.concatenate([np.frombuffer(b, "<u8", n) for b, n in zip(blobs, size, strict=True)]), return_inverse=True)
+        total = np.bincount(at, weights=np.concatenate([np.frombuffer(b, "u1", n, 8 * n) for b, n in zip(blobs, size, strict=True)]), minlength=len(anchors))
+        told = ((total > 1).astype("u1") + (total > hot))[at].astype("u1")
+        return _rows(list(zip(asked.column("owner").to_pylist(), asked.column("bucket").to_pylist(), [x.tobytes() for x in np.split(told, np.cumsum(size)[:-1])], strict=True)), ASKED)
+
+    return run
+
+
+def _meet(buckets: int, groups: int) -> Callable:
+    """The records of some contexts: later copies of one are marks, and where the anchor has others a context's text is needed."""
+
+    def run(sent: pa.Table, answered: pa.Table) -> pa.Table:
+        lean()
+        rows = list(zip(*(sent.column(c).to_pylist() for c in ("kind", "g", "blob")), strict=True))
+        out = [row for row in rows if row[0] == MARKS]
+        t, copy, anchors, _ = _received(sent)
+        told = np.zeros(len(anchors), np.uint8)
+        said = dict(zip(answered.column("owner").to_pylist(), answered.column("blob").to_pylist(), strict=True))
+        for o, own in split(_bucket(anchors, buckets)):
+            told[own] = np.frombuffer(said[o], "u1")
         again, first = np.flatnonzero(copy == COPY), np.flatnonzero(copy == FIRST)
-        _, which, count = np.unique(t["mh"][first], return_inverse=True, return_counts=True)
-        first, count = first[count[which] > 1], count[which][count[which] > 1]
+        told = told[np.searchsorted(anchors, t["mh"][first])]
+        first, told = first[told > 0], told[told > 0]
         t["hot"] = np.zeros(len(copy), np.uint8)
-        t["hot"][first] = count > hot
-        out += [(MARKS, g, packed(t, MARK, again[rows])) for g, rows in split(group_of(t["doc"][again], t["th"][again], groups))]
-        out += [(NEEDS, g, packed(t, NEED, first[rows])) for g, rows in split(group_of(t["doc"][first], t["th"][first], groups))]
+        t["hot"][first] = told > 1
+        out += [(MARKS, g, packed(t, MARK, again[own])) for g, own in split(group_of(t["doc"][again], t["th"][again], groups))]
+        out += [(NEEDS, g, packed(t, NEED, first[own])) for g, own in split(group_of(t["doc"][first], t["th"][first], groups))]
         return _rows(out, FOUND)
 
     return run
@@ -203,7 +289,7 @@ def _places(docs: pa.Table, t: Table) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return buffer, offsets, record, row
 
 
-def _strings(t: Table, base: np.ndarray, buffer: np.ndarray, groups: int, length: int) -> list[tuple]:
+def _strings(t: Table, base: np.ndarray, buffer: np.ndarray, buckets: int, groups: int, length: int) -> list[tuple]:
     """The strings of some contexts, one by one: each distinct one once, by its hash, and marks for its copies."""
     n = t["n"].astype(np.int64)
     of = np.repeat(np.arange(len(n)), n)
@@ -220,13 +306,14 @@ def _strings(t: Table, base: np.ndarray, buffer: np.ndarray, groups: int, length
     cut = np.flatnonzero(np.append(True, (np.diff(again) != 1) | (np.diff(of[again]) != 0))) if len(again) else again
     m = {"doc": u["doc"][again[cut]], "th": u["th"][again[cut]], "s": s[again[cut]], "n": np.diff(np.append(cut, len(again)))}
     out = [(g, MARKS, g, packed(m, MARK, rows)) for g, rows in split(group_of(m["doc"], m["th"], groups))]
-    return out + [(b, STRINGS, -1, packed(u, RECORD, first[rows])) for b, rows in split(((u["mh"][first] >> np.uint64(32)) % np.uint64(groups * SPREAD)).astype(np.int64) + groups)]
+    return out + [(b, STRINGS, -1, packed(u, RECORD, first[rows])) for b, rows in split(_bucket(u["mh"][first], buckets * SPREAD) + buckets)]
 
 
-def _fetch(groups: int, length: int) -> Callable:
+def _fetch(buckets: int, groups: int, length: int) -> Callable:
     """The texts of the contexts that are asked for; of those of a hot anchor, their strings."""
 
     def run(docs: pa.Table, asked: pa.Table) -> pa.Table:
+        lean()
         t = unpacked(asked.column("blob").to_pylist(), NEED)
         if not len(t["doc"]):
             return _rows([], SENT)
@@ -240,9 +327,9 @@ def _fetch(groups: int, length: int) -> Callable:
         hot = np.flatnonzero(t["hot"])
         for i in range(0, len(hot), LOT):
             rows = hot[i : i + LOT]
-            out += _strings({name: x[rows] for name, x in t.items()}, base[rows], buffer, groups, length)
+            out += _strings({name: x[rows] for name, x in t.items()}, base[rows], buffer, buckets, groups, length)
         cool = np.flatnonzero(t["hot"] == 0)
-        for bucket, rows in split(((t["mh"][cool] >> np.uint64(32)) % np.uint64(groups)).astype(np.int64)):
+        for bucket, rows in split(_bucket(t["mh"][cool], buckets)):
             rows = cool[rows]
             size = t["n"][rows].astype(np.int64) + length - 1
             at = np.repeat(base[rows] + t["s"][rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -256,6 +343,7 @@ def _index(groups: int, length: int) -> Callable:
     """Indexes the contexts of some anchors, a shard of about a megabyte at a time, and marks what stands in an earlier one; marks later ones of equal strings."""
 
     def run(sent: pa.Table) -> pa.Table:
+        lean()
         rows = list(zip(*(sent.column(c).to_pylist() for c in ("kind", "g", "blob")), strict=True))
         done = [row for row in rows if row[0] == MARKS]
         u = unpacked([b for kind, _, b in rows if kind == STRINGS], RECORD)
@@ -301,6 +389,7 @@ def _cut(length: int, names: list[str], whole: bool) -> Callable:
     """Documents with their marks: what is left of each, and the spans that go."""
 
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
+        lean()
         t = unpacked(marks.column("blob").to_pylist(), MARK)
         buffer, offsets, record, row = _places(docs, t)
         start = offsets[row] + t["s"][record]
@@ -330,7 +419,6 @@ def _cut(length: int, names: list[str], whole: bool) -> Callable:
         left = np.append(0, np.cumsum(~gone, dtype=np.int32))[offsets]
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(docs), [None, pa.py_buffer(left.astype(np.int64).tobytes()), pa.py_buffer(buffer[~gone].tobytes())]).cast(pa.binary())
         out = [docs.column(name) for name in names] + [pa.array(np.diff(offsets), pa.int64()), spans, kept]
-        pa.default_memory_pool().release_unused()
         return pa.table(out, names=[*names, "n_bytes", "spans", "kept"])
 
     return run
@@ -344,13 +432,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, text: str
     added = (text, "n_bytes", "spans", "kept", "_id", "_th", "_body", "_g")
     others = [c for c in docs.columns if c not in added]
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    groups = parts_for(docs, text, GROUP_MB)
+    buckets = parts_for(docs, text, BUCKET_MB)
+    groups = -(-buckets * BUCKET_MB // GROUP_MB)
     keyed = docs.select(*others, F.coalesce(F.col(id_column), F.lit(NO_ID)).cast("long").alias("_id"), F.crc32(body).alias("_th"), body.alias("_body"))
-    sent = keyed.select("_id", "_th", "_body").mapInArrow(_send(groups, length, k), SENT_SQL)
-    found = checkpointed(sent.groupBy("bucket").applyInArrow(_meet(groups, hot), FOUND_SQL))
+    sent = keyed.select("_id", "_th", "_body").mapInArrow(_send(buckets, groups, length, k), SENT_SQL)
+    counted = sent.groupBy("bucket").applyInArrow(_count(buckets), ASKED_SQL).groupBy("owner").applyInArrow(_total(hot), ASKED_SQL)
+    found = checkpointed(sent.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(_meet(buckets, groups), FOUND_SQL))
     dealt = keyed.withColumn("_g", group_column(groups))
     needs = found.filter(F.col("kind") == NEEDS).select("g", "blob")
-    texts = dealt.groupBy("_g").cogroup(needs.groupBy("g")).applyInArrow(_fetch(groups, length), SENT_SQL)
+    texts = dealt.groupBy("_g").cogroup(needs.groupBy("g")).applyInArrow(_fetch(buckets, groups, length), SENT_SQL)
     marks = texts.groupBy("bucket").applyInArrow(_index(groups, length), FOUND_SQL).unionAll(found.filter(F.col("kind") == MARKS)).select("g", "blob")
     span = T.StructType().add("start", "long").add("end", "long")
     schema = docs.select(*others).schema.add("n_bytes", "long").add("spans", T.ArrayType(span)).add("kept", "binary")
