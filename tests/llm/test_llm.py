@@ -138,10 +138,11 @@ def test_strings_of_a_hot_anchor_are_sent_once(spark):
     passage, n = " ".join(f"word{i}" for i in range(60)), 50
     body = [f"{i * 7919:0150d}{passage}{i * 104729:0150d}".encode() for i in range(n)]
     docs = pa.table({"_id": pa.array(range(n), pa.int64()), "_th": pa.array([zlib.crc32(b) for b in body], pa.int64()), "_body": pa.array(body, pa.binary())})
-    (sent,) = suffixdedup._send(1, 100, 40)(iter(docs.to_batches()))
-    found = suffixdedup._meet(1, 1)(pa.Table.from_batches([sent]))
+    (sent,) = suffixdedup._send(1, 1, 100, 40)(iter(docs.to_batches()))
+    sent = pa.Table.from_batches([sent])
+    found = suffixdedup._meet(1, 1)(sent, suffixdedup._total(1)(suffixdedup._count(1)(sent)))
     needs = found.filter(pa.array([k == suffixdedup.NEEDS for k in found.column("kind").to_pylist()]))
-    out = suffixdedup._fetch(1, 100)(docs, needs)
+    out = suffixdedup._fetch(1, 1, 100)(docs, needs)
     rows = [suffixdedup.unpacked([b], suffixdedup.RECORD) for kind, b in zip(out.column("kind").to_pylist(), out.column("blob").to_pylist(), strict=True) if kind == suffixdedup.STRINGS]
     assert not any(kind == suffixdedup.CONTEXTS for kind in out.column("kind").to_pylist())
     keys = np.concatenate([t["mh"] for t in rows])
@@ -267,19 +268,74 @@ def test_base_scores_against_counts(spark, small, texts):
         assert r.base_score == pytest.approx(sum(log10((count[w] + 1) / (n + v + 1)) for w in own), rel=1e-9) and r.score < 0
 
 
+def made_model(ids, steps=20):
+    """A model of one text's counts, and its windows."""
+    count = np.bincount(np.append(ids, attention.END), minlength=attention.VOCABULARY).astype(float)
+    top = np.argsort(-count, kind="stable")[: attention.BESIDE]
+    feature = np.bincount(attention.neighbours(ids, top), minlength=attention.VOCABULARY * 2 * attention.BESIDE).reshape(attention.VOCABULARY, -1)
+    cut = attention.windows(ids)
+    return attention.train(attention.start(count, feature), *cut, steps=steps), cut
+
+
+def plain_logs(model, ids):
+    """The same model, a token and a key at a time."""
+    p, out = {n: w.astype(float) for n, w in model.p.items()}, []
+    line = [attention.START] * (attention.PAD + 1) + list(ids)
+    target = [*ids, attention.END]
+    for t, own in enumerate(target):
+        begin = t // attention.STEP * attention.STEP
+        seen = line[begin : t + attention.PAD + 1]
+        x = p["embed"][seen]
+        q = x[-1] @ p["q"]
+        s = np.array([q @ (k @ p["k"]) + p["distance"][len(seen) - 1 - i] for i, k in enumerate(x)])
+        a = np.exp(s - s.max())
+        y = x[-1] + (a / a.sum()) @ (x @ p["v"]) @ p["o"]
+        z = y + np.maximum(y @ p["w1"] + p["b1"], 0) @ p["w2"]
+        logit = z @ p["out"] + p["bias"]
+        top = logit.max()
+        out.append((logit[model.class_of[own]] - top - np.log(np.exp(logit - top).sum()) + model.share[own]) / np.log(10))
+    return np.array(out)
+
+
 def test_each_token_is_scored_once_and_causally():
     rng = np.random.default_rng(1)
     ids = rng.integers(0, 500, 333)
-    x, y, real = attention.windows(ids)
+    model, (x, y, real) = made_model(ids)
     assert y[real].tolist() == [*ids.tolist(), attention.END]
-    model = attention.train(x, y, real, steps=20)
     base = model.log10(x, y)[real]
+    np.testing.assert_allclose(base, plain_logs(model, ids.tolist()), rtol=1e-3, atol=1e-4)
     changed = ids.copy()
     changed[200:] = 7
     x2, y2, real2 = attention.windows(changed)
     np.testing.assert_allclose(model.log10(x2, y2)[real2][:200], base[:200], rtol=1e-4)
-    whole = np.exp(model.forward(x[:1])["logits"][0, 0] - np.log(np.exp(model.forward(x[:1])["logits"][0, 0]).sum()))
-    assert whole.sum() == pytest.approx(1, rel=1e-4)
+    total = np.bincount(model.class_of, weights=np.exp(model.share), minlength=attention.CLASSES)
+    np.testing.assert_allclose(total[np.unique(model.class_of)], 1, rtol=1e-3)  # shares of a class, and so all ids, come to one
+
+
+def test_low_scores_stay_finite():
+    model, (x, y, _) = made_model(np.arange(300))
+    model.p["q"] *= 1e4
+    model.p["bias"] -= 1e3
+    assert np.isfinite(model.log10(x, y)).all()
+
+
+def test_what_partitions_learn_is_averaged(spark):
+    """The tree of sums equals a sum, with more partitions than a task takes."""
+    cells = spark.range(0, 100, 1, 40).mapInArrow(
+        lambda batches: (scoring._cells(int(b.column(0)[0].as_py()), np.array([3, 5, 3]), np.array([1.0, 2.0, 1.0])) for b in batches if b.num_rows), scoring.CELLS
+    )
+    out = scoring.tree_sum(cells, 8, 100)
+    assert out[3] == 2 * cells.count() and out[5] == 2 * cells.count() and out.sum() == out[3] + out[5]
+
+
+def test_attention_beats_unigrams_on_held_out_texts(spark, small, texts):
+    rows = {r.doc_id: r for r in scoring.op7_attention_lm(spark, small).collect()}
+    ids = {i: np.append(subwords().encode(t or ""), attention.END) for i, t in texts.items()}
+    count = np.bincount(np.concatenate([ids[i] for i in ids if not rows[i].held_out]), minlength=attention.VOCABULARY) + 0.5
+    logs = np.log10(count / count.sum())
+    held = [i for i in ids if rows[i].held_out]
+    assert all(np.isfinite(r.score) and r.score < 0 for r in rows.values())
+    assert sum(rows[i].score for i in held) > 0.9 * sum(logs[ids[i]].sum() for i in held)
 
 
 def test_scores_on_odd_rows(odd):
