@@ -178,11 +178,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     return out
 
 
-def long_enough(benchmark: DataFrame, least: int = 5) -> DataFrame:
-    """Items of at least ``least`` words: for filtering, where a phrase of two or three words says nothing of its source."""
-    return benchmark.filter(F.size(F.filter(F.split("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1), lambda w: w != "")) >= least)
-
-
 def op6_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
