@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.llm.common import checkpoint_folder, checkpointed, importable, sieved, table
-from quantloom.llm.decontamination import WINDOW, contamination, long_enough
+from quantloom.llm.decontamination import WINDOW, contamination
 from quantloom.llm.langid import fit, predict
-from quantloom.llm.minhash import near_duplicates
+from quantloom.llm.minhash import NO_ID, grouped
 from quantloom.llm.packing import pack_documents
 from quantloom.llm.suffixdedup import remove_repeats
 
@@ -34,39 +35,57 @@ def unbundled(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts whose language can't be told: none, without a letter, or under the calibrated score."""
+    """Rejects texts whose language can't be told: none, without a letter, or under the calibrated score.
+
+    The model is fitted on a bounded sample of the rows with a label and calibrated on another (``langid.fit``). Rows that repeat fare alike; with no
+    label at all nothing can be told and all go; an empty table stays empty.
+    """
     importable(spark)
     model = fit(docs.select("doc_id", "text", "lang"), F.col("doc_id"))
     return unbundled(predict(bundled(docs), model).filter("accepted"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id in each group of near-duplicates; rows that repeat id and text stay once."""
+    """Keeps of each group of near-duplicates the document of the smallest id (of that id, the text of the smallest hash); rows that repeat id and text stay once.
+
+    Decided by id and text: of two rows of one id each goes or stays by itself. A document without a word is in no group and stays.
+    Nulls, empty texts, ties and an empty table: see ``minhash``; other columns pass through.
+    """
     importable(spark)
-    found = checkpointed(near_duplicates(docs, SHINGLE, *SIMILAR).select(F.col("doc_id").alias("_found"), F.col("kept").alias("_kept")))
-    ids = found.groupBy("_found").agg(F.count("*").alias("_n"), F.bool_or("_kept").alias("_stays"))
-    sifted = sieved(docs, "doc_id", ids.filter("_n > 1 or not _stays").select("_found"), "_maybe")
-    # texts are shuffled only of rows that may go
-    looked = sifted.filter("_maybe").join(ids.filter("_stays").select("_found"), F.col("doc_id").eqNullSafe(F.col("_found")), "left_semi")
-    once = looked.withColumn("_copy", F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("doc_id"))).filter("_copy = 1")
-    return sifted.filter("not _maybe").select(docs.columns).unionAll(once.select(docs.columns))
+    rows = checkpointed(grouped(docs, SHINGLE, *SIMILAR).groupBy("_id", "_h", "_group").agg(F.count("*").alias("_n")))
+    least = rows.groupBy("_group").agg(F.min(F.struct("_id", "_h")).alias("_least"))
+    told = rows.join(least, "_group").withColumn("_stays", F.struct("_id", "_h") == F.col("_least"))
+    key = F.xxhash64("_id", "_h")
+    doubtful = checkpointed(told.filter("_n > 1 or not _stays").select(key.alias("_key"), "_id", "_h", "_stays"))
+    keyed = bundled(docs).withColumns({"_id": F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long"), "_h": F.xxhash64("text")}).withColumn("_key", key)
+    sifted = sieved(keyed, "_key", doubtful.select("_key"), "_maybe")  # texts are shuffled only of rows that may go
+    looked = sifted.filter("_maybe").join(doubtful, ["_key", "_id", "_h"], "left")
+    once = looked.filter("_stays").dropDuplicates(["_id", "_h"])
+    parts = [sifted.filter("not _maybe"), looked.filter("_stays is null"), once]
+    return unbundled(reduce(DataFrame.unionAll, [p.select("text", "_document") for p in parts]), docs.columns)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts 100-byte repeats of earlier text, whole characters only; documents of which nothing is left go."""
+    """Cuts 100-byte repeats of earlier text, whole characters only; documents of which nothing is left go.
+
+    A null text becomes an empty one, and stays. ``n_chars``, where there is one, is counted again. Repeats and ties: see ``suffixdedup``.
+    """
     importable(spark)
     out = remove_repeats(bundled(docs), whole=True).withColumn("text", F.col("kept").cast("string")).filter("text <> '' or n_bytes = 0")
     return unbundled(out, docs.columns, n_chars=F.length("text").cast("long"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold ten consecutive words of a benchmark item, or an item of fewer words if it has ``long_enough``."""
-    benchmark = long_enough(table(spark, sf_dir, "benchmark", "item_id", "text"))
+    """Drops documents that hold ten consecutive words of a benchmark item, or the whole of an item of fewer words.
+
+    Nulls, repeats and empty tables: see ``decontamination``; a text without words stays.
+    """
+    benchmark = table(spark, sf_dir, "benchmark", "item_id", "text")
     return unbundled(contamination(bundled(docs), benchmark, WINDOW).filter(F.size("spans") == 0), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens: a row for each piece of each document."""
+    """Sequences of at most 1024 tokens: a row for each piece of each document; a null or empty text is its end alone. Only doc_id and text are read."""
     importable(spark)
     return pack_documents(docs.select("doc_id", "text"))
 
