@@ -27,8 +27,7 @@ class Subwords:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as uint32."""
-        ids = self._bpe.encode(text, allowed_special="all") if SPECIAL in text else self._bpe.encode_ordinary(text)
-        return np.array(ids, np.uint32)
+        return self._bpe.encode_to_numpy(text, allowed_special="all") if SPECIAL in text else self._bpe.encode_to_numpy(text, disallowed_special=())
 
 
 _kept: dict[str | None, Subwords] = {}

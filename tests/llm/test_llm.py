@@ -273,10 +273,15 @@ def made_model(ids, steps=20):
     count = np.bincount(np.append(ids, attention.END), minlength=attention.VOCABULARY).astype(float)
     top = np.argsort(-count, kind="stable")[: attention.BESIDE]
     feature = np.bincount(attention.neighbours(ids, top), minlength=attention.VOCABULARY * 2 * attention.BESIDE).reshape(attention.VOCABULARY, -1)
-    cut = attention.windows(ids)
+    cut = laid(ids)
     return attention.train(attention.start(count, feature), *cut, steps=steps), cut
 
 
+def laid(*texts):
+    line, begin, y, real, _ = attention.windows(np.concatenate(texts), np.array([len(t) for t in texts]))
+    return attention.inputs_at(line, begin), y, real
+
+
 def plain_logs(model, ids):
     """The same model, a token and a key at a time."""
     p, out = {n: w.astype(float) for n, w in model.p.items()}, []
@@ -306,8 +311,10 @@ def test_each_token_is_scored_once_and_causally():
     np.testing.assert_allclose(base, plain_logs(model, ids.tolist()), rtol=1e-3, atol=1e-4)
     changed = ids.copy()
     changed[200:] = 7
-    x2, y2, real2 = attention.windows(changed)
+    x2, y2, real2 = laid(changed)
     np.testing.assert_allclose(model.log10(x2, y2)[real2][:200], base[:200], rtol=1e-4)
+    both = laid(ids[:50], np.zeros(0, np.int64), ids)  # texts side by side are windows of their own
+    assert both[1][both[2]].tolist() == [*ids[:50].tolist(), attention.END, attention.END, *ids.tolist(), attention.END] and (both[0][-len(x) :] == x).all()
     total = np.bincount(model.class_of, weights=np.exp(model.share), minlength=attention.CLASSES)
     np.testing.assert_allclose(total[np.unique(model.class_of)], 1, rtol=1e-3)  # shares of a class, and so all ids, come to one
 
