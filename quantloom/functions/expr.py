@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -57,29 +58,53 @@ def band(value: Column, bands: Sequence[tuple], last: object, take: int = 1) ->
     return F.when(value.isNotNull(), out.otherwise(F.lit(last)))
 
 
-def ewm(df: DataFrame, value: str, alpha: float, out: str) -> DataFrame:
-    """Exponential average without adjustment, seeded by the first value; NULLs repeat the last average and
-    widen the next step's weight.
+BLOCK = "_block"
+
+
+def in_blocks() -> WindowSpec:
+    """The ticker's rows in their order, sorted as the blocks of ``ewms`` are."""
+    return Window.partitionBy(KEY).orderBy(BLOCK, TIME)
+
+
+def ewms(df: DataFrame, averages: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """Adds exponential averages (out: (value, alpha)) without adjustment, seeded by the first value; NULLs repeat the
+    last average and widen the next step's weight.
 
     The recurrence y = a y' + b x is summed in closed form: with L the running sum of ln a,
-    y = exp(L) * sum(b x exp(-L)). exp(-L) would overflow on long histories, so the sums start anew every
-    ``block`` values, and a block starts from the one before; what stands two blocks back has a weight
-    below 1e-16. Six running windows, no UDF, any length of history.
+    y = exp(L) * sum(b x exp(-L)). exp(-L) would overflow on long histories, so the sums start anew in every
+    block, and a block starts from the one before; what stands two blocks back has a weight
+    below 1e-16 if a value is known in half of the rows that have any. No UDF, any length of history.
+
+    All averages of a call share the block, and so do those of later calls: the first leaves it in ``_block`` (as long as the slowest
+    of its averages needs; later ones may not be slower), so that all their windows share one sort.
     """
-    x, w = F.col(value), by_ticker()
-    so_far, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
-    block = int(37 / alpha)
-    keep = df.columns
-    df = df.withColumn("_p", F.row_number().over(w)).withColumn("_n", F.count(x).over(so_far))
-    df = df.withColumn("_q", F.last(F.when(x.isNotNull(), F.col("_p")), ignorenulls=True).over(before))
-    old = F.pow(F.lit(1 - alpha), F.col("_p") - F.col("_q"))
-    df = df.withColumn("_la", F.when(x.isNotNull() & F.col("_q").isNotNull(), F.ln(old / (old + alpha))).otherwise(0.0))
-    df = df.withColumn("_b", F.when(F.col("_q").isNull(), F.lit(1.0)).otherwise(alpha / (old + alpha)))
-    df = df.withColumn("_block", F.floor((F.greatest(F.col("_n"), F.lit(1)) - 1) / block))
-    inner = Window.partitionBy(KEY, "_block").orderBy(TIME).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_l", F.sum("_la").over(inner))
-    df = df.withColumn("_y", F.exp("_l") * F.sum(F.when(x.isNotNull(), F.col("_b") * x * F.exp(-F.col("_l"))).otherwise(0.0)).over(inner))
-    ends = F.when(x.isNotNull() & (F.col("_n") % block == 0), F.col("_y"))
-    df = df.withColumn("_from", F.coalesce(F.last(ends, ignorenulls=True).over(before), F.lit(0.0)))
-    y = F.when(F.col("_n") > 0, F.col("_y") + F.exp("_l") * F.col("_from"))
-    return df.select(*keep, y.alias(out))
+    before, so_far = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0)
+    items = [(out, F.col(value), alpha, f"_{i}") for i, (out, (value, alpha)) in enumerate(averages.items())]
+    keep = [c for c in df.columns if c != BLOCK]
+    if BLOCK not in df.columns:
+        some = reduce(lambda a, b: a | b, [x.isNotNull() for _, x, _, _ in items])
+        rows = 2 * int(37 / min(alpha for *_, alpha, _ in items))
+        df = df.withColumn(BLOCK, F.floor(F.count(F.when(some, 1)).over(by_ticker().rowsBetween(*before)) / rows))
+    w = in_blocks()
+    inner = Window.partitionBy(KEY, BLOCK).orderBy(TIME).rowsBetween(*so_far)
+    df = df.withColumn("_p", F.row_number().over(w))
+    df = df.withColumns({f"_q{i}": F.last(F.when(x.isNotNull(), F.col("_p")), ignorenulls=True).over(w.rowsBetween(*before)) for _, x, _, i in items})
+    steps = {}
+    for _, x, alpha, i in items:
+        old = F.pow(F.lit(1 - alpha), F.col("_p") - F.col(f"_q{i}"))
+        seeded = F.col(f"_q{i}").isNotNull()
+        steps[f"_a{i}"] = F.when(x.isNotNull() & seeded, F.ln(old / (old + alpha))).otherwise(0.0)
+        steps[f"_b{i}"] = F.when(x.isNotNull(), F.when(seeded, alpha / (old + alpha)).otherwise(F.lit(1.0)) * x).otherwise(0.0)
+    df = df.withColumns(steps)
+    df = df.withColumns({f"_l{i}": F.sum(f"_a{i}").over(inner) for *_, i in items})
+    df = df.withColumns({f"_y{i}": F.exp(f"_l{i}") * F.sum(F.col(f"_b{i}") * F.exp(-F.col(f"_l{i}"))).over(inner) for *_, i in items})
+    ends = F.lead(BLOCK).over(w) != F.col(BLOCK)
+    df = df.withColumn("_ends", F.coalesce(ends, F.lit(False)))
+    df = df.withColumns({f"_f{i}": F.coalesce(F.last(F.when(F.col("_ends"), F.col(f"_y{i}")), ignorenulls=True).over(w.rowsBetween(*before)), F.lit(0.0)) for *_, i in items})
+    known = {i: x.isNotNull() | F.col(f"_q{i}").isNotNull() for _, x, _, i in items}
+    return df.select(*keep, BLOCK, *[F.when(known[i], F.col(f"_y{i}") + F.exp(f"_l{i}") * F.col(f"_f{i}")).alias(out) for out, _, _, i in items])
+
+
+def ewm(df: DataFrame, value: str, alpha: float, out: str) -> DataFrame:
+    """One exponential average by itself."""
+    return ewms(df, {out: (value, alpha)}).drop(BLOCK)

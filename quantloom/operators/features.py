@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from ..functions.expr import by_ticker, ewm, full, ratio
+from ..functions.expr import by_ticker, ewms, full, in_blocks, ratio
 
 
 def change(column: str, rows: int) -> Column:
@@ -17,7 +17,7 @@ def change(column: str, rows: int) -> Column:
 def displacement(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Needs bars with indicators; adds the eleven scale-free features."""
     c = F.col
-    df = df.withColumn("dist_sma50", ratio(c("close") - c("sma_50"), c("sma_50"))).withColumn("dist_sma200", ratio(c("close") - c("sma_200"), c("sma_200")))
+    df = df.withColumns({f"dist_sma{n}": ratio(c("close") - c(f"sma_{n}"), c(f"sma_{n}")) for n in (50, 200)})
     mean, deviation = full(F.avg("dist_sma200"), c("dist_sma200"), cfg.year), full(F.stddev_samp("dist_sma200"), c("dist_sma200"), cfg.year)
     return df.withColumns(
         {
@@ -40,15 +40,14 @@ def with_adx(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     keep, w, alpha = df.columns, by_ticker(), 1 / cfg.adx_window
     high, low = F.col("high"), F.col("low")
     close, up, down = F.lag("close").over(w), high - F.lag("high").over(w), F.lag("low").over(w) - low
-    df = df.withColumn("_tr", F.greatest(high - low, F.abs(high - close), F.abs(low - close))).withColumn("_u", up).withColumn("_d", down)
-    df = df.withColumn("_plus", F.when((F.col("_u") > F.col("_d")) & (F.col("_u") > 0), F.col("_u")).otherwise(0.0))
-    df = df.withColumn("_minus", F.when((F.col("_d") > F.col("_u")) & (F.col("_d") > 0), F.col("_d")).otherwise(0.0))
-    for name in ("_tr", "_plus", "_minus"):
-        df = ewm(df, name, alpha, f"{name}_avg")
-    plus, minus = (100.0 * ratio(F.col(f"{n}_avg"), F.col("_tr_avg")) for n in ("_plus", "_minus"))
-    df = df.withColumn("_pdi", plus).withColumn("_mdi", minus)
+    df = df.withColumns({"_tr": F.greatest(high - low, F.abs(high - close), F.abs(low - close)), "_u": up, "_d": down})
+    plus = F.when((F.col("_u") > F.col("_d")) & (F.col("_u") > 0), F.col("_u")).otherwise(0.0)
+    minus = F.when((F.col("_d") > F.col("_u")) & (F.col("_d") > 0), F.col("_d")).otherwise(0.0)
+    df = df.withColumns({"_plus": plus, "_minus": minus})
+    df = ewms(df, {f"{name}_avg": (name, alpha) for name in ("_tr", "_plus", "_minus")})
+    df = df.withColumns({n: 100.0 * ratio(F.col(f"{side}_avg"), F.col("_tr_avg")) for n, side in (("_pdi", "_plus"), ("_mdi", "_minus"))})
     df = df.withColumn("_dx", 100.0 * ratio(F.abs(F.col("_pdi") - F.col("_mdi")), F.col("_pdi") + F.col("_mdi")))
-    df = ewm(df, "_dx", alpha, "_adx").withColumn("_row", F.row_number().over(w))
+    df = ewms(df, {"_adx": ("_dx", alpha)}).withColumn("_row", F.row_number().over(in_blocks()))
     return df.select(*keep, F.when(F.col("_row") > 2 * cfg.adx_window, F.col("_adx")).alias("adx_14"))
 
 

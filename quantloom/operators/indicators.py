@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from ..functions.expr import band, by_ticker, ewm, exceeds, full, ratio, rounded
+from ..functions.expr import BLOCK, band, by_ticker, ewms, exceeds, full, ratio, rounded
 
 
 def sma(column: str, rows: int) -> Column:
@@ -17,24 +17,39 @@ def with_sma(bars: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return bars.withColumns({"sma_50": sma("close", cfg.sma_short), "sma_200": sma("close", cfg.sma_long)})
 
 
+def _steps(bars: DataFrame) -> DataFrame:
+    step = F.col("close") - F.lag("close").over(by_ticker())
+    df = bars.withColumn("_step", step)
+    move = lambda c: F.when(F.col("_step").isNotNull(), F.greatest(c, F.lit(0.0)))
+    return df.withColumns({"_up": move(F.col("_step")), "_down": move(-F.col("_step"))}).drop("_step")
+
+
+def _macd_averages(cfg: Config) -> dict[str, tuple[str, float]]:
+    return {"_fast": ("close", 2 / (cfg.macd[0] + 1)), "_slow": ("close", 2 / (cfg.macd[1] + 1))}
+
+
+def _rsi_averages(cfg: Config) -> dict[str, tuple[str, float]]:
+    return {"_gain": ("_up", 1 / cfg.rsi_window), "_loss": ("_down", 1 / cfg.rsi_window)}
+
+
+def _macd(averaged: DataFrame, cfg: Config) -> DataFrame:
+    df = averaged.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+    return ewms(df, {"macd_signal": ("macd", 2 / (cfg.macd[2] + 1))}).withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+
+
+def _rsi(averaged: DataFrame) -> DataFrame:
+    gain, loss = F.col("_gain"), F.col("_loss")
+    rsi = F.when(loss > 0, 100.0 - 100.0 / (1.0 + ratio(gain, loss))).when(gain > 0, F.lit(100.0))
+    return averaged.withColumn("rsi_14", rsi).drop("_up", "_down", "_gain", "_loss")
+
+
 def with_macd(bars: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    fast, slow, signal = cfg.macd
-    df = ewm(ewm(bars, "close", 2 / (fast + 1), "_fast"), "close", 2 / (slow + 1), "_slow")
-    df = df.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
-    df = ewm(df, "macd", 2 / (signal + 1), "macd_signal")
-    return df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+    return _macd(ewms(bars, _macd_averages(cfg)), cfg).drop(BLOCK)
 
 
 def with_rsi(bars: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Wilder's RSI: 100 where nothing was lost, NULL where nothing moved at all."""
-    step = F.col("close") - F.lag("close").over(by_ticker())
-    df = bars.withColumn("_step", step)
-    df = df.withColumn("_up", F.when(F.col("_step").isNotNull(), F.greatest(F.col("_step"), F.lit(0.0))))
-    df = df.withColumn("_down", F.when(F.col("_step").isNotNull(), F.greatest(-F.col("_step"), F.lit(0.0))))
-    df = ewm(ewm(df, "_up", 1 / cfg.rsi_window, "_gain"), "_down", 1 / cfg.rsi_window, "_loss")
-    gain, loss = F.col("_gain"), F.col("_loss")
-    rsi = F.when(loss > 0, 100.0 - 100.0 / (1.0 + ratio(gain, loss))).when(gain > 0, F.lit(100.0))
-    return df.withColumn("rsi_14", rsi).drop("_step", "_up", "_down", "_gain", "_loss")
+    return _rsi(ewms(_steps(bars), _rsi_averages(cfg))).drop(BLOCK)
 
 
 def with_bollinger(bars: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -44,7 +59,10 @@ def with_bollinger(bars: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def indicators(bars: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    return with_bollinger(with_rsi(with_macd(with_sma(bars, cfg), cfg), cfg), cfg)
+    """All indicators; the averages share their blocks, and so two sorts serve every window."""
+    df = _steps(with_bollinger(with_sma(bars, cfg), cfg))
+    df = ewms(df, {**_macd_averages(cfg), **_rsi_averages(cfg)})
+    return _macd(_rsi(df), cfg).drop(BLOCK)
 
 
 def vix_context(index: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from quantloom.functions.expr import ewm, fixed, full, rounded
+from quantloom.functions.expr import ewm, ewms, fixed, full, rounded
 from pyspark.sql import functions as F
 
 
@@ -36,3 +36,19 @@ def test_full_frame_is_null_until_so_many_values(spark):
 def test_rounding_is_half_up(spark):
     row = spark.range(1).select(rounded(F.lit(1.005), 2).alias("a"), rounded(F.lit(-2.675), 2).alias("b"), fixed(F.lit(0.475 * 2), 2).alias("c")).first()
     assert (row.a, row.b, row.c) == (1.01, -2.68, "0.95")
+
+
+def test_averages_of_one_call_share_blocks_over_sparse_values(spark):
+    rng = np.random.default_rng(4)
+    x = 50 + rng.normal(size=3000).cumsum()
+    gaps = x.copy()
+    gaps[rng.random(3000) < 0.4] = np.nan
+    gaps[1000:1100] = np.nan
+    days = pd.date_range("2010-01-01", periods=3000).date
+    df = spark.createDataFrame([("A", d, float(a), None if np.isnan(b) else float(b)) for d, a, b in zip(days, x, gaps)], "ticker string, date date, x double, g double")
+    first = ewms(df, {"fast": ("x", 0.2), "slow": ("g", 1 / 14)})
+    got = ewms(first, {"again": ("fast", 0.2)}).orderBy("date").toPandas()
+    want = {"fast": pd.Series(x).ewm(alpha=0.2, adjust=False).mean(), "slow": pd.Series(gaps).ewm(alpha=1 / 14, adjust=False).mean()}
+    want["again"] = want["fast"].ewm(alpha=0.2, adjust=False).mean()
+    for name, w in want.items():
+        np.testing.assert_allclose(got[name].astype(float), w, rtol=1e-9)
