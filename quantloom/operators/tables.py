@@ -1,12 +1,14 @@
 """Writes to tables of Parquet files: upsert, insert where absent, replace a window, purge.
 
-A table is never overwritten while it is read: the new content goes to a folder of its own beside it
-and takes its place by renaming, through Spark's own file system, whatever store that is.
+A table is a folder of partitions (years, windows, or one for all), a partition one of versions. What is there is never
+overwritten or moved: new content is written beside and published by renaming it to the next version, through Spark's own
+file system. A night touches the partitions that it has rows of, however much history there is.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,24 +50,85 @@ def without(target: DataFrame, listed: DataFrame, key: list[str]) -> DataFrame:
     return target.join(listed.select(*key), key, "left_anti").select(target.columns)
 
 
-def read(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table at ``path``, columns that its files lack as NULL; empty if there is nothing yet."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+PART, VERSION = "part", "v"
 
 
-def save(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Writes beside and renames: a reader sees the old content or the new."""
-    spark = df.sparkSession
+def _fs(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs
-    new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(new)
     at = hadoop.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(at):
-        fs.rename(at, hadoop.Path(old))
-    fs.rename(hadoop.Path(new), at)
-    fs.delete(hadoop.Path(old), True)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop.Path
+
+
+def versions(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """The partitions of a table and their versions, the oldest first."""
+    fs, at = _fs(spark, path)
+    found: dict[str, list[int]] = {}
+    for f in fs.globStatus(at(f"{path}/{PART}=*/{VERSION}=*")) or []:
+        folder = f.getPath()
+        found.setdefault(folder.getParent().getName()[len(PART) + 1 :], []).append(int(folder.getName()[len(VERSION) + 1 :]))
+    return {part: sorted(v) for part, v in found.items()}
+
+
+def read(spark: SparkSession, path: str, schema, only: Iterable[str] | None = None) -> DataFrame:
+    """The table at ``path``, or some of its partitions: the newest version of each. Columns that files lack are NULL; empty if nothing was ever published."""
+    wanted = None if only is None else set(only)
+    paths = [f"{path}/{PART}={part}/{VERSION}={v[-1]}" for part, v in versions(spark, path).items() if wanted is None or part in wanted]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def publish(df: DataFrame, path: str, part: Column | None = None, empty: Iterable[str] = ()) -> list[str]:
+    """Writes the partitions that ``df`` has rows of, and those named in ``empty`` without rows, each as a new version; gives their names.
+
+    All is written beside first (``_new-``, which no reader looks at). Then each partition's folder is renamed to a
+    version's name that isn't there yet: a reader sees a partition's old version or its new one. A run that
+    stops on the way leaves some partitions old and none missing, and can be done again. A rename that does not happen, for one because another
+    writer took the name, is an error. The version before stays for readers that have begun; older ones go.
+    """
+    spark = df.sparkSession
+    fs, at = _fs(spark, path)
+    new = f"{path}/_new-{uuid.uuid4().hex}"
+    named = df.withColumn(PART, F.coalesce(part.cast("string"), F.lit("none")) if part is not None else F.lit("all"))
+    (named.repartition(PART) if part is not None else named).write.partitionBy(PART).parquet(new)
+    before, done = versions(spark, path), []
+    staged = {f.getPath().getName()[len(PART) + 1 :]: f.getPath() for f in fs.globStatus(at(f"{new}/{PART}=*")) or []}
+    for name in empty if part is not None else ["all"]:
+        if name not in staged:
+            spark.createDataFrame([], df.schema).write.parquet(f"{new}/{PART}={name}")
+            staged[name] = at(f"{new}/{PART}={name}")
+    for name, folder in staged.items():
+        target = at(f"{path}/{PART}={name}/{VERSION}={max(before.get(name, [0])) + 1}")
+        fs.mkdirs(target.getParent())
+        if fs.exists(target) or not fs.rename(folder, target):
+            raise OSError(f"{target} could not be published")
+        done.append(name)
+    for name in done:
+        for old in before.get(name, [])[:-1]:
+            fs.delete(at(f"{path}/{PART}={name}/{VERSION}={old}"), True)
+    fs.delete(at(new), True)
+    return done
+
+
+def parts_of(rows: DataFrame, part: Column | None) -> list[str]:
+    """Partitions that the rows belong to: a value for each, years or window lengths."""
+    if part is None:
+        return ["all"]
+    return [r[0] for r in rows.select(F.coalesce(part.cast("string"), F.lit("none"))).distinct().collect()]
+
+
+def merge(spark: SparkSession, path: str, schema, source: DataFrame, key: list[str], part: Column | None = None, ignore: bool = False, keep: tuple[str, ...] = ()) -> list[str]:
+    """Upserts (or inserts where absent) into a table: only partitions that the source has rows of are read and written.
+
+    ``part`` is made of key columns, so that a key stays in its partition. The source is computed twice, so pass it cheap to read.
+    """
+    target = read(spark, path, schema, parts_of(source, part))
+    return publish(inserted(target, source, key) if ignore else upserted(target, source, key, keep), path, part)
+
+
+def replace(spark: SparkSession, path: str, source: DataFrame, column: str, values: list) -> list[str]:
+    """Replaces what a table partitioned by ``column`` has of these values; the others are not touched."""
+    return publish(source.filter(F.col(column).isin(*values)), path, F.col(column), [str(v) for v in values])
+
+
+def save(df: DataFrame, path: str, part: Column | None = None) -> None:
+    """Publishes all of a table; partitions that it no longer has become empty."""
+    publish(df, path, part, versions(df.sparkSession, path) if part is not None else ())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LEVEL = "array<struct<price:double,type:string,role:string,significance:string,note:string>>"
@@ -21,9 +23,23 @@ TABLES = {
 }
 
 
+# what a table is partitioned by: the year of a date, or the length of a window; others are in one piece
+YEARS = {"raw_prices": "date", "stock_signals": "date", "signal_features": "date", "analysis": "date", "signal_predictions": "signal_date", "prediction_outcomes": "signal_date"}
+WINDOWS = ("relatedness_matrix", "sector_beta")
+
+
+def part(table: str) -> Column | None:
+    return F.year(YEARS[table]) if table in YEARS else F.col("window_days") if table in WINDOWS else None
+
+
 def key(table: str) -> list[str]:
     return list(TABLES[table][0])
 
 
 def schema(table: str) -> T.StructType:
     return T._parse_datatype_string(TABLES[table][1])
+
+
+def fit(df: DataFrame, table: str) -> DataFrame:
+    """The table's columns in their order and types; what is not given is NULL."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema(table)])

@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators import ingest, tables
-from ..schemas import key, schema
-from ..plans.nightly import _fit
+from ..schemas import fit, key, part, schema
 
 RAW = "ticker string, date date, open double, high double, low double, close double, adjusted_close double, volume bigint"
 
 
 def take(spark: SparkSession, landing: str, root: str, checkpoint: str, fmt: str = "json") -> None:
-    """Upserts files not seen before into ``raw_prices``; running it again changes nothing, late corrections replace."""
+    """Upserts files not seen before into ``raw_prices``, in the years that they have bars of; running it again changes nothing, late corrections replace."""
     path = f"{root}/raw_prices"
 
     def batch(rows, _) -> None:
-        new = _fit(ingest.valid(ingest.adjusted(rows)), "raw_prices")
-        tables.save(tables.upserted(tables.read(spark, path, schema("raw_prices")), new, key("raw_prices")), path)
+        new = fit(ingest.valid(ingest.adjusted(rows)), "raw_prices")
+        tables.merge(spark, path, schema("raw_prices"), new, key("raw_prices"), part("raw_prices"))
 
     stream = spark.readStream.schema(RAW).format(fmt).load(landing)
     query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
