@@ -58,8 +58,18 @@ class Config:
     winsor: tuple[float, float] = (0.01, 0.99)
     # ingest
     max_missing_share: float = 0.20
+    days_a_year: int = 252
     benchmark: str = "SPY"
 
+    @property
+    def history_days(self) -> int:
+        """Calendar days after which a bar no longer shows in any feature of today: the slowest average twice over (ADX averages an average) on top of the longest window.
+
+        Counted at ``days_a_year`` bars a year; of a ticker that trades more rarely fewer bars are seen, and the first of them still shows a little.
+        """
+        slowest = 2 * 37 * max(self.rsi_window, self.adx_window, (self.macd[1] + 1) // 2)
+        return (self.min_history + self.year + slowest) * 366 // self.days_a_year + 30
+
     @property
     def min_history(self) -> int:
         """Rows of history that every feature needs: the slope window on top of the long average."""

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
@@ -105,17 +103,22 @@ def selected(analysed: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return analysed.filter(F.abs("composite_vix_adj") >= cfg.signal_threshold)
 
 
-def top_brief(analysed: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """The most confident rows of the last day, ties by ticker."""
-    last = analysed.agg(F.max("date").alias("_last"))  # one row
-    return analysed.join(F.broadcast(last), F.col("date") == F.col("_last")).drop("_last").orderBy(F.desc("confidence"), "ticker").limit(cfg.brief_size)
+def top_brief(chosen: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Of the selected rows of the last day those with a side, the most confident first, ties by ticker."""
+    last = chosen.agg(F.max("date").alias("_last"))  # one row
+    rows = chosen.join(F.broadcast(last), F.col("date") == F.col("_last")).drop("_last").filter("bias <> 'neutral'")
+    return rows.orderBy(F.desc("confidence"), "ticker").limit(cfg.brief_size)
+
+
+def strongest(chosen: DataFrame) -> DataFrame:
+    """Selected rows in the order in which they are worked on: the strongest first, ties by ticker."""
+    return chosen.orderBy(F.desc(F.abs("composite_vix_adj")), "ticker")
 
 
-def brief_text(brief: DataFrame, write: Callable[[str], str] = lambda prompt: prompt) -> str:
-    """The message of a brief (a dozen rows), passed through ``write``, which may be a model."""
-    rows = brief.select("ticker", "bias", "confidence", "reasoning", "vix_regime", "vix_trend", "vol_environment").collect()
+def brief_text(rows: list[Row]) -> str:
+    """The message of a brief, from the dozen rows of ``top_brief``."""
     lines = [f"VIX {rows[0]['vix_regime']}, {rows[0]['vix_trend']}; volatility {rows[0]['vol_environment']}"] if rows else ["No signals."]
     for side in ("bullish", "bearish"):
         own = [f"- {r['ticker']} ({r['confidence']:.2f}): {r['reasoning']}" for r in rows if r["bias"] == side]
         lines += [side.capitalize(), *own] if own else []
-    return write("\n".join(lines))
+    return "\n".join(lines)

@@ -107,6 +107,90 @@ def robust(rows: DataFrame, keys: list[str], value: str = "excess", cfg: Config
     return out
 
 
+SPLITS = ("all", "slope", "volume", "year")
+
+
+def priced(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Rows at or above the price floor; the study's windows count these alone."""
+    return df.filter(F.col("close") >= cfg.price_floor)
+
+
+def splits(kept: DataFrame, feats: DataFrame, excess: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """One row a kept fire, horizon and group that it is graded in: (event, horizon, split, value, excess).
+
+    Groups: all; the long average's slope above 0 or not (unknown is not); volume confirmed or not (unknown is not); the year, at 42 days.
+    """
+    f = feats.select("ticker", "date", "sma200_slope", "vol_ratio")
+    rows = kept.join(long_excess(excess, cfg), ["ticker", "date"]).join(f, ["ticker", "date"], "left")
+    up = F.coalesce(F.col("sma200_slope") > 0, F.lit(False))
+    loud = F.coalesce(F.col("vol_ratio") >= cfg.volume_confirm, F.lit(False))
+    cell = lambda split, value: F.struct(F.lit(split).alias("split"), value.alias("value"))
+    own = [cell("all", F.lit("all")), cell("slope", F.when(up, "up").otherwise("not_up")), cell("volume", F.when(loud, "confirmed").otherwise("unconfirmed"))]
+    year = F.when(F.col("horizon") == 42, cell("year", F.year("date").cast("string")))
+    return rows.select("event", "horizon", "excess", F.inline(F.array_compact(F.array(*own, year))))
+
+
+def base_rows(feats: DataFrame, excess: DataFrame, cfg: Config = DEFAULT, by_date: bool = False) -> DataFrame:
+    """(horizon, slope, excess) of every date, once as ``all`` and once by the slope where it is known; with ticker and date if asked."""
+    rows = long_excess(excess, cfg).join(feats.select("ticker", "date", "sma200_slope"), ["ticker", "date"], "left")
+    slope = F.when(F.col("sma200_slope") > 0, "up").when(F.col("sma200_slope").isNotNull(), "flat_down")
+    return rows.select(*(["ticker", "date"] if by_date else []), "horizon", "excess", F.explode(F.array_compact(F.array(F.lit("all"), slope))).alias("slope"))
+
+
+def summary(graded: DataFrame, base: DataFrame) -> DataFrame:
+    """Each event and horizon against all dates, in percent. ``graded`` and ``base`` are ``robust`` over ``splits`` and ``base_rows``."""
+    own = graded.filter("split = 'all'").drop("split", "value")
+    all_ = base.filter("slope = 'all'").select("horizon", F.col("median").alias("_base"))
+    names = F.create_map(*[F.lit(x) for pair in EVENTS.items() for x in pair])
+    percent = lambda c: rounded(c * 100.0, 4)
+    return own.join(all_, "horizon").select(
+        F.col("event").alias("event_type"), names[F.col("event")].alias("event_name"), F.when(F.col("event").isin(BULLISH), "bullish").otherwise("bearish").alias("bias"), F.col("horizon").alias("horizon_days"), "n",
+        percent(F.col("median")).alias("median_excess_pct"), percent(F.col("wmean")).alias("wmean_excess_pct"), rounded(F.col("frac_gt0"), 4).alias("frac_gt0"),
+        percent(F.col("_base")).alias("base_median_pct"), percent(F.col("median") - F.col("_base")).alias("vs_base_pct"),
+    )
+
+
+def verdict(graded: DataFrame, base: DataFrame, horizon: int = 42, least: int = 30, share: float = 0.6) -> DataFrame:
+    """Which events have an edge: better than all dates over all years, and in ``share`` of the years that have ``least`` fires."""
+    all_ = base.filter((F.col("slope") == "all") & (F.col("horizon") == horizon)).select(F.col("median").alias("_base"))  # one row
+    own = graded.filter(F.col("horizon") == horizon).crossJoin(F.broadcast(all_))
+    pooled, yearly = F.col("split") == "all", (F.col("split") == "year") & (F.col("n") >= least)
+    out = own.groupBy("event").agg(
+        F.max(F.when(pooled, F.col("n"))).alias("n"),
+        F.max(F.when(pooled, F.col("median"))).alias("median"),
+        F.max("_base").alias("base_median"),
+        F.count(F.when(yearly & (F.col("median") > F.col("_base")), 1)).alias("years_better"),
+        F.count(F.when(yearly, 1)).alias("years"),
+    )
+    edge = (F.col("years") > 0) & (F.col("years_better") >= share * F.col("years")) & (F.col("median") > F.col("base_median"))
+    return out.filter("n is not null").withColumn("edge", F.coalesce(edge, F.lit(False)))
+
+
+def monotonic(confluent: DataFrame, horizon: int = 42) -> DataFrame:
+    """(slope, buckets, monotonic): whether the median never falls from a bucket to the next. ``confluent`` is ``robust`` by n_bull, horizon and slope."""
+    own = confluent.filter(F.col("horizon") == horizon)
+    fell = F.col("median") < F.lag("median").over(Window.partitionBy("slope").orderBy("n_bull"))  # at most four rows each
+    return own.withColumn("_fell", F.coalesce(fell, F.lit(False))).groupBy("slope").agg(F.count("*").alias("buckets"), (~F.bool_or("_fell")).alias("monotonic"))
+
+
+def equivalence(bars: DataFrame, bench: DataFrame, betas: DataFrame, excess: DataFrame, anchors: int = 20, cfg: Config = DEFAULT) -> DataFrame:
+    """One row: excess returns of a few anchors (those whose md5 is the lowest) worked out again by plain lookups, and how many differ."""
+    order = F.md5(F.concat_ws("|", "ticker", F.col("date").cast("string")))
+    some = excess.filter("excess_42 is not null").orderBy(order).limit(anchors)
+    numbered = bars.select("ticker", "date", "close", F.row_number().over(by_ticker()).alias("_at"))
+    here = long_excess(some, cfg).join(numbered, ["ticker", "date"])
+    there = numbered.select("ticker", F.col("date").alias("_then"), F.col("close").alias("_c"), F.col("_at").alias("_to"))
+    both = here.join(there, (here["ticker"] == there["ticker"]) & (F.col("_to") == F.col("_at") + F.col("horizon"))).drop(there["ticker"])
+
+    def market(df: DataFrame, day: str, out: str) -> DataFrame:
+        seen = df.join(bench.select(F.col("date").alias("_b"), F.col("close").alias("_m")), F.col("_b") <= F.col(day))
+        return seen.groupBy(*df.columns).agg(F.max_by("_m", "_b").alias(out))
+
+    both = market(market(both, "date", "_m0"), "_then", "_m1").join(betas.select("ticker", "beta"), "ticker", "left")
+    again = F.col("_c") / F.col("close") - 1 - shrunk(F.col("beta"), cfg) * (F.col("_m1") / F.col("_m0") - 1)
+    return both.agg(F.countDistinct("ticker", "date").alias("anchors"), F.count("*").alias("checked"), F.count(F.when(F.abs(again - F.col("excess")) > 1e-6, 1)).alias("failed"))
+
+
 def confluence(crossed: DataFrame, kept: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """(ticker, date, n_bull): how many kinds of bullish events were kept in the last ``dedup_rows + 1`` rows, three at most."""
     wide = kept.filter(F.col("event").isin(BULLISH)).groupBy("ticker", "date").pivot("event", BULLISH).agg(F.lit(1))

@@ -76,28 +76,39 @@ def accuracy_rollup(resolved: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     return out.filter(F.col("total_signals") >= cfg.min_sample)
 
 
+def _waiting(preds: DataFrame, ahead: DataFrame, cfg: Config) -> DataFrame:
+    """One row a prediction and horizon: horizon_days, future_price, seam, and the threshold. Where versions overlap the highest one speaks."""
+    newest = Window.partitionBy("ticker", "signal_date").orderBy(F.desc("signal_version"))
+    preds = preds.filter(F.col("price_at_signal") >= cfg.price_floor).withColumn("_v", F.row_number().over(newest)).filter("_v = 1")
+    f = ahead.select("ticker", F.col("date").alias("signal_date"), "vol_at_signal", *[f"{n}_{h}" for h in cfg.horizons_v2 for n in ("close", "seam")])
+    cells = F.array(*[F.struct(F.lit(h).alias("horizon_days"), F.col(f"close_{h}").alias("future_price"), F.coalesce(F.col(f"seam_{h}"), F.lit(False)).alias("seam")) for h in cfg.horizons_v2])
+    df = preds.join(f, ["ticker", "signal_date"]).select("ticker", "signal_date", "bias", "price_at_signal", "vol_at_signal", F.inline(cells))
+    return df.withColumn("threshold_used", cfg.threshold_k * F.col("vol_at_signal") * F.sqrt(F.col("horizon_days").cast("double")))
+
+
+def seeds(preds: DataFrame, ahead: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Rows for horizons that can't be resolved: not reached yet, or torn by a seam. They wait without an outcome."""
+    df = _waiting(preds, ahead, cfg).filter("future_price is null or seam")
+    return df.select("ticker", "signal_date", "horizon_days", "price_at_signal", "vol_at_signal", "threshold_used")
+
+
 def outcomes_v2(preds: DataFrame, ahead: DataFrame, bench: DataFrame, betas: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """One row a prediction and horizon: excess over beta times the benchmark, volatility-scaled threshold, seams set aside.
 
     ``bench`` is (date, close) of the benchmark, counted on its own rows; ``betas`` is (ticker, beta).
-    Where versions overlap the highest one speaks. Each horizon is resolved by itself.
+    Each horizon is resolved by itself.
     """
-    newest = Window.partitionBy("ticker", "signal_date").orderBy(F.desc("signal_version"))
-    preds = preds.filter("price_at_signal >= 1").withColumn("_v", F.row_number().over(newest)).filter("_v = 1").drop("_v")
     one = Window.partitionBy("ticker").orderBy("date")
     market = bench.withColumns({f"bench_{h}": ratio(F.lead("close", h).over(one), F.col("close")) - 1.0 for h in cfg.horizons_v2})
-    market = market.select(F.col("date").alias("signal_date"), *[f"bench_{h}" for h in cfg.horizons_v2])
-    f = ahead.select("ticker", F.col("date").alias("signal_date"), "vol_at_signal", *[f"{n}_{h}" for h in cfg.horizons_v2 for n in ("close", "seam")])
-    df = preds.join(f, ["ticker", "signal_date"]).join(market, "signal_date", "left").join(betas.select("ticker", "beta"), "ticker", "left")
-    cells = F.array(*[F.struct(F.lit(h).alias("horizon_days"), F.col(f"close_{h}").alias("future_price"), F.col(f"seam_{h}").alias("seam"), F.col(f"bench_{h}").alias("benchmark_return")) for h in cfg.horizons_v2])
-    df = df.select("ticker", "signal_date", "bias", "price_at_signal", "vol_at_signal", shrunk(F.col("beta"), cfg).alias("beta_used"), F.inline(cells))
-    known = F.col("future_price").isNotNull() & ~F.coalesce("seam", F.lit(False))
-    df = df.filter(known).withColumn("raw_return", fractional(F.col("future_price"), F.col("price_at_signal")))
+    cells = F.array(*[F.struct(F.lit(h).alias("horizon_days"), F.col(f"bench_{h}").alias("benchmark_return")) for h in cfg.horizons_v2])
+    market = market.select(F.col("date").alias("signal_date"), F.inline(cells))
+    df = _waiting(preds, ahead, cfg).filter("future_price is not null and not seam").drop("seam")
+    df = df.join(market, ["signal_date", "horizon_days"], "left").join(betas.select("ticker", "beta"), "ticker", "left")
+    df = df.withColumn("beta_used", shrunk(F.col("beta"), cfg)).drop("beta").withColumn("raw_return", fractional(F.col("future_price"), F.col("price_at_signal")))
     df = df.withColumn("excess_return", F.col("raw_return") - F.col("beta_used") * F.col("benchmark_return"))
-    df = df.withColumn("threshold_used", cfg.threshold_k * F.col("vol_at_signal") * F.sqrt(F.col("horizon_days").cast("double")))
     right = F.when(F.col("bias") == "bullish", exceeds(F.col("excess_return"), F.lit(0.0))).when(F.col("bias") == "bearish", exceeds(F.lit(0.0), F.col("excess_return")))
     df = df.withColumn("direction_correct", F.when(F.col("threshold_used").isNotNull(), right))
-    return df.withColumn("threshold_correct", F.col("direction_correct") & ~exceeds(F.col("threshold_used"), F.abs("excess_return"))).drop("seam")
+    return df.withColumn("threshold_correct", F.col("direction_correct") & ~exceeds(F.col("threshold_used"), F.abs("excess_return")))
 
 
 def episodes(preds: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

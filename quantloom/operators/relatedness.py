@@ -116,6 +116,12 @@ def betas(returns: DataFrame, proxies: DataFrame, window_days: int, cfg: Config
     return out.select("ticker", "etf_proxy", F.lit(window_days).alias("window_days"), rounded(ratio(F.col("c"), F.col("v")), 6).alias("beta"), "n_obs")
 
 
+def fallbacks(rows: DataFrame, betas: DataFrame) -> DataFrame:
+    """One row: how many tickers there are, and how many have no beta and fall back to 1."""
+    own = betas.filter("beta is not null").select("ticker").distinct().withColumn("_in", F.lit(1))
+    return rows.select("ticker").distinct().join(own, "ticker", "left").agg(F.count("*").alias("tickers"), F.count(F.when(F.col("_in").isNull(), 1)).alias("fallbacks"))
+
+
 def shrunk(beta: Column, cfg: Config = DEFAULT) -> Column:
     a, b = cfg.beta_shrink
     return F.coalesce(a * beta + b, F.lit(1.0))

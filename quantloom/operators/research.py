@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
@@ -148,13 +149,59 @@ def threshold_grid(resolved: DataFrame, days: int = 10, cfg: Config = DEFAULT) -
     return out.filter(F.col("n") >= cfg.min_sample)
 
 
-def best_threshold(resolved: DataFrame, bias: str = "bullish", days: int = 10, least: float = 0.03, cfg: Config = DEFAULT) -> DataFrame:
-    """The threshold to propose, if it gains ``least`` over all; among equals the first in the grid."""
-    hits = resolved.filter((F.col("bias") == bias) & F.col(f"correct_{days}d").isNotNull())
-    base = hits.agg(F.avg(F.col(f"correct_{days}d").cast("int")).alias("_base"))  # one row
-    grid = threshold_grid(hits, days, cfg).filter(F.col("threshold") != cfg.signal_threshold)
-    best = grid.agg(F.max_by(F.struct("threshold", "accuracy", "n"), F.struct(F.col("accuracy"), -F.col("threshold"))).alias("b")).join(base)
-    return best.filter(F.col("b.accuracy") - F.col("_base") >= least).select("b.threshold", "b.accuracy", "b.n", rounded(F.col("b.accuracy") - F.col("_base"), 4).alias("accuracy_delta"))
+def proposals(resolved: DataFrame, bias: str = "bullish", days: int = 10, least: float = 0.03, cfg: Config = DEFAULT) -> DataFrame:
+    """(param_name, current_value, proposed_value, accuracy_delta, sample_size, vix_regime_scope): what gains ``least`` in accuracy.
+
+    The threshold against all predictions of ``bias``; each regime's multiplier against those of ``bias`` in the regime, with candidates
+    judged on all of its predictions. Among equal candidates the first of the grid; each side needs ``min_sample``.
+    """
+    hit = F.col(f"correct_{days}d")
+    rows = resolved.filter(hit.isNotNull()).select("bias", "vix_regime", F.abs("composite_vix_adj").alias("_s"), hit.cast("int").alias("_hit"))
+    own = rows.filter(F.col("bias") == bias)
+    enough = lambda df: df.filter(F.col("n") >= cfg.min_sample)
+    rate = [F.count("*").alias("n"), F.avg("_hit").alias("accuracy")]
+    best = F.max_by(F.struct("candidate", "accuracy", "n"), F.struct("accuracy", -F.col("candidate"))).alias("_best")
+
+    others = F.array(*[F.lit(t) for t in GRID["signal_threshold"] if t != cfg.signal_threshold])
+    kept = own.select("_s", "_hit", F.explode(others).alias("candidate")).filter(F.col("_s") >= F.col("candidate"))
+    found = enough(kept.groupBy("candidate").agg(*rate)).agg(best)
+    base = enough(own.agg(*rate)).select(F.col("accuracy").alias("_base"))
+    threshold = found.crossJoin(F.broadcast(base)).select(F.lit("signal_threshold").alias("param_name"), F.lit(cfg.signal_threshold).alias("current_value"), "_best", "_base", F.col("_best.n").alias("sample_size"), F.lit(None).cast("string").alias("vix_regime_scope"))  # one row each
+
+    cells = [F.struct(F.lit(name).alias("param_name"), F.lit(regime).alias("vix_regime"), F.lit(now).alias("current_value"), F.lit(c).alias("candidate")) for name, (regime, now, cs) in ((k, v) for k, v in GRID.items() if k.startswith("vix_")) for c in cs if c != now]
+    grid = resolved.sparkSession.range(1).select(F.inline(F.array(*cells)))  # a dozen rows
+    moved = rows.join(F.broadcast(grid), "vix_regime").filter(F.col("_s") * (F.col("candidate") / F.col("current_value")) >= cfg.signal_threshold)
+    found = enough(moved.groupBy("param_name", "vix_regime", "current_value", "candidate").agg(*rate)).groupBy("param_name", "vix_regime", "current_value").agg(best)
+    base = enough(own.groupBy("vix_regime").agg(*rate)).select("vix_regime", F.col("accuracy").alias("_base"))
+    whole = enough(rows.groupBy("vix_regime").agg(F.count("*").alias("n"))).select("vix_regime", F.col("n").alias("sample_size"))
+    regimes = found.join(base, "vix_regime").join(whole, "vix_regime").select("param_name", "current_value", "_best", "_base", "sample_size", F.col("vix_regime").alias("vix_regime_scope"))
+
+    out = threshold.unionByName(regimes).withColumn("accuracy_delta", F.col("_best.accuracy") - F.col("_base"))
+    out = out.filter(F.col("accuracy_delta") >= least)
+    return out.select("param_name", "current_value", F.col("_best.candidate").alias("proposed_value"), rounded(F.col("accuracy_delta"), 4).alias("accuracy_delta"), "sample_size", "vix_regime_scope")
+
+
+def numbered(found: DataFrame, last: int) -> DataFrame:
+    """Proposals with ids after ``last`` and a sentence on each."""
+    said = F.format_string("%s from %s to %s: accuracy %+.1f points on %d predictions.", "param_name", F.col("current_value").cast("string"), F.col("proposed_value").cast("string"), F.col("accuracy_delta") * 100, "sample_size")
+    at = F.row_number().over(Window.orderBy("param_name", "vix_regime_scope"))  # four rows at most
+    return found.withColumns({"id": (at + last).cast("long"), "rationale": said})
+
+
+def review_prompt(accuracy: Sequence[Row], pending: Sequence[Row], when: dt.date) -> str:
+    """The weekly review's message, of the accuracy table and the proposals that wait."""
+    percent = lambda v, form="+.2%": "" if v is None else format(v, form)
+    lines = [f"Parameter health, {when}", ""]
+    for r in accuracy:
+        told = f"{r['signal_version']} {r['vix_regime']} {r['bias']} {r['horizon_days']}d: {r['correct_signals']} of {r['total_signals']} right ({percent(r['accuracy_rate'], '.1%')})"
+        lines.append(told + (f", mean return {percent(r['avg_return'])}" if r["avg_return"] is not None else ""))
+    lines += [] if accuracy else ["No accuracy yet."]
+    lines.append("")
+    for p in pending:
+        scope = "".join(f" [{k} {p[c]}]" for k, c in (("regime", "vix_regime_scope"), ("volatility", "vol_env_scope")) if p[c])
+        lines.append(f"#{p['id']} {p['param_name']}: {p['current_value']} to {p['proposed_value']}, {percent(p['accuracy_delta'], '+.1%')}{scope}, {p['sample_size']} predictions. {p['rationale'] or ''}".rstrip())
+    lines += [] if pending else ["No proposal waits."]
+    return "\n".join([*lines, "", "Approve or reject each proposal, with a reason."])
 
 
 def vix_grid(resolved: DataFrame, days: int = 10, cfg: Config = DEFAULT) -> DataFrame:
@@ -190,5 +237,3 @@ def parity(a: DataFrame, b: DataFrame, keys: list[str], columns: list[str], tole
     alone = F.col("_ina").isNull() | F.col("_inb").isNull()
     one = both.agg(F.count(F.when(alone, 1)).alias("_alone"), *[F.max(d[c]).alias(f"m_{c}") for c in columns], *[F.count(F.when((d[c] > tolerance) | torn[c], 1)).alias(f"n_{c}") for c in columns])
     return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col("_alone").alias("unmatched"), F.col(f"m_{c}").alias("max_diff"), F.col(f"n_{c}").alias("n_diff")) for c in columns])))
-
-

@@ -45,8 +45,11 @@ def audit(universe: DataFrame) -> DataFrame:
     return _rooted(us, us, "ticker").withColumn("reason", reason).filter("reason is not null").select("ticker", "exchange", "reason")
 
 
-def quality_listing(symbols: DataFrame, exchange: str) -> DataFrame:
-    """Symbols (code, name, type, currency, venue) that are common stock of the exchange."""
+def quality_listing(symbols: DataFrame, exchange: str, accepted: DataFrame | None = None) -> DataFrame:
+    """Symbols (code, name, type, currency, venue) that are common stock of the exchange.
+
+    ``accepted`` (code) is the universe so far: a US code of five letters goes as a warrant, right or unit if its root is in there.
+    """
     internal, money, venues = EXCHANGES[exchange]
     upper, name = F.upper("code"), F.lower("name")
     keep = F.col("type").isin(*EQUITY_TYPES) & (F.col("currency") == money) & (F.coalesce("code", F.lit("")) != "") & ~ends(upper, DOTTED)
@@ -57,7 +60,8 @@ def quality_listing(symbols: DataFrame, exchange: str) -> DataFrame:
     df = symbols.filter(keep)
     if internal == "us":
         df = df.filter(~F.col("code").rlike(TEST_SYMBOL) & ~ends(upper, HYPHENATED))
-        df = _rooted(df, symbols, "code").filter(~F.col("_rooted")).drop("_rooted")
+        if accepted is not None:
+            df = _rooted(df, accepted, "code").filter(~F.col("_rooted")).drop("_rooted")
     return df
 
 
@@ -66,3 +70,18 @@ def merged(existing: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame
     b = new.select(F.col("ticker").alias("_t"), *[F.col(c).alias(f"_{c}") for c in columns])
     both = existing.join(b, F.col("ticker") == F.col("_t"), "full")
     return both.select(F.coalesce("ticker", "_t").alias("ticker"), *[F.coalesce(c, f"_{c}").alias(c) for c in columns])
+
+
+def migrated(entries: DataFrame) -> DataFrame:
+    """Universe entries of the older form, which says ``categories`` for signal_categories, in the newer one; lists that nobody gave are empty."""
+    none = F.array().cast("array<string>")
+    given = [F.col(c) for c in ("signal_categories", "categories") if c in entries.columns]
+    df = entries.withColumn("signal_categories", F.coalesce(*given, none)).drop("categories")
+    return df.withColumns({c: F.lit(None).cast("string") for c in ("cap_tier", "provider_sector", "provider_industry") if c not in df.columns})
+
+
+def counts(entries: DataFrame) -> DataFrame:
+    """One row: tickers in all, by exchange, and those without data."""
+    where = lambda c: F.count(F.when(c, 1))
+    listed = {f"{name}_listed": where(F.col("exchange") == name) for name, *_ in EXCHANGES.values()}
+    return entries.agg(F.count("*").alias("total_unique_tickers"), *[c.alias(n) for n, c in listed.items()], where(~F.col("has_data")).alias("no_data_tickers"))

@@ -41,7 +41,22 @@ def tickers(universe: DataFrame, exchanges: list[str] | None = None, extra: Data
     return own.unionAll(extra.select("ticker")) if extra is not None else own
 
 
-def write_universe(df: DataFrame, path: str) -> None:
+def metadata(spark: SparkSession, path: str) -> DataFrame:
+    """Company data as a provider gives them, as rows of ``ticker_metadata``."""
+    raw = spark.read.schema("ticker string, Name string, Sector string, Industry string, MarketCapitalization bigint, Exchange string").json(path)
+    named = {"Name": "name", "Sector": "sector", "Industry": "industry", "MarketCapitalization": "market_cap", "Exchange": "exchange"}
+    df = raw.withColumnsRenamed(named)
+    return df.withColumns({"provider_sector": F.col("sector"), "provider_industry": F.col("industry"), "updated_at": F.current_timestamp()})
+
+
+def write_universe(df: DataFrame, path: str, backup: bool = False) -> None:
+    """Overwrites the document; with ``backup`` what was there is copied to ``path.bak`` first."""
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at, conf = hadoop.Path(path), spark._jsc.hadoopConfiguration()
+    fs = at.getFileSystem(conf)
+    if backup and fs.exists(at):
+        hadoop.FileUtil.copy(fs, at, fs, hadoop.Path(f"{path}.bak"), False, True, conf)
     df.write.mode("overwrite").json(path)
 
 
