@@ -1,67 +1,120 @@
 """The nightly run as one function: stages in their order, tables written where they belong.
 
-The same plans serve a night and a backfill: a night keeps the rows of its date at the end. Betas are
-computed before outcomes, which use them.
+The same plans serve a night and a backfill. A night reads as much history as its averages can feel, and unresolved predictions; what several
+tables are made of is computed once and kept in the shared folder. Relatedness and the review of parameters are Sunday's work; betas
+come before outcomes, which use them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
-from ..operators import analysis, features, indicators, outcomes, relatedness, tables
-from ..schemas import key, schema
+from ..functions.shared import checkpointed
+from ..operators import analysis, features, indicators, outcomes, relatedness, research, tables
+from ..schemas import fit, key, part, schema
 
-PARTITIONS = {"relatedness_matrix": ["window_days"], "sector_beta": ["window_days"]}
+log = logging.getLogger(__name__)
 
 
-def _fit(df: DataFrame, table: str) -> DataFrame:
-    """The table's columns in their order and types; what is not given is NULL."""
-    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema(table)])
+def _merge(spark: SparkSession, root: str, table: str, rows: DataFrame, ignore: bool = False, keep: tuple[str, ...] = ()) -> None:
+    tables.merge(spark, f"{root}/{table}", schema(table), fit(rows, table), key(table), part(table), ignore, keep)
 
 
-def _upsert(spark: SparkSession, root: str, table: str, rows: DataFrame, ignore: bool = False, keep: tuple[str, ...] = ()) -> None:
-    path = f"{root}/{table}"
-    target, rows = tables.read(spark, path, schema(table)), _fit(rows, table)
-    out = tables.inserted(target, rows, key(table)) if ignore else tables.upserted(target, rows, key(table), keep)
-    tables.save(out, path, PARTITIONS.get(table))
+def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return tables.read(spark, f"{root}/{table}", schema(table))
 
 
-def run(spark: SparkSession, root: str, bars: DataFrame, index: DataFrame, bench: DataFrame, proxies: DataFrame, on: dt.date | None = None, cfg: Config = DEFAULT) -> None:
-    """Computes and writes all tables below ``root``; ``on`` keeps one date (a night), None keeps all (a backfill)."""
+def history(bars: DataFrame, on: dt.date | None, cfg: Config = DEFAULT) -> DataFrame:
+    """The bars that a date's indicators depend on; all of them for a backfill."""
+    if on is None:
+        return bars
+    return bars.filter((F.col("date") <= F.lit(on)) & (F.col("date") > F.lit(on - dt.timedelta(days=cfg.history_days))))
+
+
+def run(
+    spark: SparkSession, root: str, bars: DataFrame, index: DataFrame, bench: DataFrame, proxies: DataFrame, on: dt.date | None = None, cfg: Config = DEFAULT, write: Callable[[str], str] = lambda prompt: prompt
+) -> None:
+    """Computes and writes all tables below ``root``; ``on`` keeps one date (a night), None keeps all (a backfill). ``write`` turns a prompt into a text."""
+    sunday = on is None or on.weekday() == 6
     day = (lambda df: df.filter(F.col("date") == F.lit(on))) if on else (lambda df: df)
-    found = features.features(indicators.signals(indicators.indicators(bars, cfg), indicators.vix_context(index, cfg), cfg), cfg)
-    analysed = analysis.key_levels(analysis.analyse(found, cfg), cfg)
-    _upsert(spark, root, "raw_prices", day(bars))
-    _upsert(spark, root, "stock_signals", day(found))
-    _upsert(spark, root, "signal_features", day(found))
-    _upsert(spark, root, "analysis", analysis.selected(day(analysed), cfg))
-    returns = relatedness.calendar_returns(bars).withColumn("r", relatedness.masked(F.col("r"), cfg))
-    market = relatedness.calendar_returns(proxies).withColumn("r", relatedness.masked(F.col("r"), cfg))
-    good = returns.join(relatedness.eligible(bars, cfg).select("ticker"), "ticker", "left_semi")
+    _merge(spark, root, "raw_prices", day(bars))
+    context = indicators.vix_context(index, cfg)
+    found = checkpointed(features.features(indicators.signals(indicators.indicators(history(bars, on, cfg), cfg), context, cfg), cfg))
+    _merge(spark, root, "stock_signals", day(found))
+    _merge(spark, root, "signal_features", day(found))
+    if sunday:
+        relate(spark, root, bars if on is None else bars.filter(F.col("date") <= F.lit(on)), proxies, cfg)
+    analysed = checkpointed(day(analysis.key_levels(analysis.analyse(found, cfg), cfg)))
+    chosen = analysis.selected(analysed, cfg)
+    _merge(spark, root, "analysis", chosen)
+    top = analysis.top_brief(chosen, cfg).collect()  # a dozen rows
+    if top:
+        brief(spark, root, top[0]["date"], "daily", write(analysis.brief_text(top)), len(top))
+    _merge(spark, root, "signal_predictions", outcomes.predictions(analysed, cfg=cfg), ignore=True)
+    resolve(spark, root, bars, bench, cfg)
+    if sunday:
+        review(spark, root, on or (top[0]["date"] if top else None), cfg, write)
+
+
+def relate(spark: SparkSession, root: str, bars: DataFrame, proxies: DataFrame, cfg: Config = DEFAULT) -> None:
+    """Correlations and betas of each window. What the windows can't reach is not read."""
+    end = bars.agg(F.max("date")).first()[0]
+    if end is None:
+        return
+    near = F.col("date") >= F.lit(end - dt.timedelta(days=max(cfg.windows) + 30))
+    returns, market = (relatedness.calendar_returns(df.filter(near)).withColumn("r", relatedness.masked(F.col("r"), cfg)) for df in (bars, proxies))
+    good = checkpointed(returns.join(relatedness.eligible(bars, cfg).select("ticker"), "ticker", "left_semi"))
     for days in cfg.windows:
-        path = f"{root}/relatedness_matrix"
-        pairs = _fit(relatedness.correlation_blocks(good, days, cfg), "relatedness_matrix")
-        tables.save(tables.replaced(tables.read(spark, path, schema("relatedness_matrix")), pairs, "window_days", [days]), path, ["window_days"])
-        _upsert(spark, root, "sector_beta", relatedness.betas(good, market, days, cfg))
-    _upsert(spark, root, "signal_predictions", outcomes.predictions(day(analysed), cfg=cfg), ignore=True)
-    stored = lambda: tables.read(spark, f"{root}/signal_predictions", schema("signal_predictions"))  # noqa: E731  read again after each write
-    ahead = outcomes.forward(bars, cfg)
-    resolved = outcomes.resolve_v1(stored().drop(*[f"{n}_{h}d" for h in cfg.horizons_v1 for n in ("return", "correct")]), ahead, cfg)
-    resolved = resolved.withColumns({f"actual_price_{h}d": F.col(f"close_{h}") for h in cfg.horizons_v1}).withColumn("resolved_at", F.current_timestamp())
-    _upsert(spark, root, "signal_predictions", resolved)
-    _upsert(spark, root, "signal_accuracy", outcomes.accuracy_rollup(stored().filter("resolved_at is not null"), cfg))
-    predicted = stored()
-    betas = tables.read(spark, f"{root}/sector_beta", schema("sector_beta")).filter(F.col("window_days") == max(cfg.windows))
-    first = betas.agg(F.min("etf_proxy").alias("etf_proxy"))  # one row
-    own = betas.join(F.broadcast(first), "etf_proxy").select("ticker", "beta")
-    out = outcomes.outcomes_v2(predicted, ahead, bench, own, cfg).join(outcomes.episodes(predicted, cfg).drop("bias"), ["ticker", "signal_date"], "left")
-    _upsert(spark, root, "prediction_outcomes", out.withColumn("resolved_at", F.current_timestamp()), keep=("price_at_signal", "episode_id", "is_episode_head"))
-    if on is None or on.weekday() == 6:
-        brief = analysis.top_brief(day(analysed), cfg)
-        text, n = analysis.brief_text(brief), brief.count()
-        when = on or analysed.agg(F.max("date")).first()[0]
-        _upsert(spark, root, "daily_brief", spark.createDataFrame([(when, "daily", text, n)], "date date, brief_type string, brief_text string, ticker_count int"))
+        tables.replace(spark, f"{root}/relatedness_matrix", fit(relatedness.correlation_blocks(good, days, cfg), "relatedness_matrix"), "window_days", [days])
+        _merge(spark, root, "sector_beta", checkpointed(relatedness.betas(good, market, days, cfg)))
+
+
+def resolve(spark: SparkSession, root: str, bars: DataFrame, bench: DataFrame, cfg: Config = DEFAULT) -> None:
+    """Outcomes of all predictions that have waited long enough, seeds of those that have not, and the accuracy table."""
+    first = _stored(spark, root, "prediction_outcomes").filter("resolved_at is null").select("signal_date").unionAll(_stored(spark, root, "signal_predictions").filter("resolved_at is null").select("signal_date"))
+    since = first.agg(F.min("signal_date")).first()[0]
+    if since is None:
+        return
+    ahead = checkpointed(outcomes.forward(bars.filter(F.col("date") >= F.lit(since - dt.timedelta(days=4 * cfg.vol_lookback))), cfg))
+    open_ = checkpointed(_stored(spark, root, "signal_predictions").filter(F.col("signal_date") >= F.lit(since)))
+    v1 = outcomes.resolve_v1(open_.filter("resolved_at is null").drop(*[f"{n}_{h}d" for h in cfg.horizons_v1 for n in ("return", "correct")]), ahead, cfg)
+    v1 = v1.withColumns({f"actual_price_{h}d": F.col(f"close_{h}") for h in cfg.horizons_v1}).withColumn("resolved_at", F.current_timestamp())
+    _merge(spark, root, "signal_predictions", checkpointed(v1))
+    _merge(spark, root, "signal_accuracy", outcomes.accuracy_rollup(_stored(spark, root, "signal_predictions").filter("resolved_at is not null"), cfg))
+    betas = _stored(spark, root, "sector_beta").filter((F.col("window_days") == max(cfg.windows)) & (F.col("etf_proxy") == cfg.benchmark))
+    missed = relatedness.fallbacks(open_, betas).first()
+    if missed["fallbacks"]:
+        log.warning("%s of %s tickers have no beta to %s: 1.0 is used", missed["fallbacks"], missed["tickers"], cfg.benchmark)
+    named = outcomes.episodes(_stored(spark, root, "signal_predictions"), cfg).drop("bias")
+    seeds = outcomes.seeds(open_, ahead, cfg).join(named, ["ticker", "signal_date"], "left")
+    _merge(spark, root, "prediction_outcomes", checkpointed(seeds), ignore=True)
+    out = outcomes.outcomes_v2(open_, ahead, bench, betas.select("ticker", "beta"), cfg).join(named, ["ticker", "signal_date"], "left")
+    done = _stored(spark, root, "prediction_outcomes").filter("resolved_at is not null").select("ticker", "signal_date", "horizon_days")
+    fresh = out.join(done, ["ticker", "signal_date", "horizon_days"], "left_anti").withColumn("resolved_at", F.current_timestamp())
+    _merge(spark, root, "prediction_outcomes", checkpointed(fresh), keep=("price_at_signal", "episode_id", "is_episode_head"))
+
+
+def brief(spark: SparkSession, root: str, when: dt.date, kind: str, text: str, n: int) -> None:
+    row = spark.createDataFrame([(when, kind, text, n)], "date date, brief_type string, brief_text string, ticker_count int")
+    _merge(spark, root, "daily_brief", row.withColumn("created_at", F.current_timestamp()))
+
+
+def review(spark: SparkSession, root: str, when: dt.date | None, cfg: Config = DEFAULT, write: Callable[[str], str] = lambda prompt: prompt) -> None:
+    """Appends new proposals, then writes the review of those pending beside the accuracy table."""
+    resolved = _stored(spark, root, "signal_predictions").filter("resolved_at is not null")
+    old = _stored(spark, root, "parameter_proposals")
+    last = old.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    new = research.numbered(research.proposals(resolved, cfg=cfg), last).withColumns({"proposed_at": F.current_timestamp(), "status": F.lit("pending")})
+    known = old.filter("status = 'pending'").select("param_name", F.col("proposed_value").alias("_v"))
+    new = new.join(known, (new["param_name"] == known["param_name"]) & (new["proposed_value"] == known["_v"]), "left_anti")
+    _merge(spark, root, "parameter_proposals", checkpointed(new), ignore=True)
+    if when is not None:
+        pending = _stored(spark, root, "parameter_proposals").filter("status = 'pending'").orderBy(F.desc("proposed_at"), "id").collect()  # a few rows
+        accuracy = _stored(spark, root, "signal_accuracy").orderBy("signal_version", "horizon_days", F.desc("accuracy_rate"), "vix_regime", "vol_environment", "bias").collect()  # a row for each combination of labels
+        brief(spark, root, when, "parameter_review", write(research.review_prompt(accuracy, pending, when)), len(pending))

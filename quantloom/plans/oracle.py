@@ -78,9 +78,9 @@ for name, column in (("brand_days", "p_brand"), ("type_days", "p_type")):
     step(name, f"SELECT *, sum(step) OVER (PARTITION BY ticker ORDER BY date {_RUN}) AS cum FROM {name}_raw")
 step("bars_mid", "SELECT ticker, date, hi, volume, 100 * exp(0.002::DOUBLE * cum) AS close, 100 * exp(0.002::DOUBLE * (cum - step)) AS open FROM brand_days")
 step("bars", "SELECT ticker, date, open, greatest(open, close) * (1 + hi::DOUBLE / 1000) AS high, least(open, close) * (1 - hi::DOUBLE / 1000) AS low, close, volume FROM bars_mid")
-step("etf", "SELECT ticker, date, 100 * exp(0.002::DOUBLE * cum) AS close FROM type_days")
 step("bench_days", f"SELECT CAST(l_shipdate AS DATE) AS date, {_STEP} AS step FROM lineitem GROUP BY 1")
 step("bench", f"SELECT 'SPY' AS ticker, date, 100 * exp(0.0002::DOUBLE * sum(step) OVER (ORDER BY date {_RUN})) AS close FROM bench_days")
+step("etf", "SELECT ticker, date, 100 * exp(0.002::DOUBLE * cum) AS close FROM type_days UNION ALL SELECT ticker, date, close FROM bench")
 step("index_vol", "SELECT CAST(l_shipdate AS DATE) AS date, (10 + 4 * (count(*) % 9))::DOUBLE AS vix, (80 + (sum(l_linenumber) % 45))::DOUBLE AS vvix FROM lineitem GROUP BY 1")
 
 W = "PARTITION BY ticker ORDER BY date"
@@ -169,7 +169,7 @@ step(
     "beta_90",
     f"SELECT ticker, etf_proxy, CAST(90 AS INTEGER) AS window_days, {r('c / nullif(v, 0)', 6)} AS beta, n AS n_obs FROM (SELECT ticker, etf_proxy, covar_samp(r, m) AS c, count(*) AS n FROM own_cut_90 JOIN etf_cut_90 USING (date) GROUP BY 1, 2) x JOIN beta_own USING (etf_proxy) WHERE n >= {C.min_overlap}",
 )
-step("beta_spy", "SELECT ticker, beta FROM beta_90 WHERE etf_proxy = (SELECT min(ticker) FROM etf)")
+step("beta_spy", f"SELECT ticker, beta FROM beta_90 WHERE etf_proxy = '{C.benchmark}'")
 
 _frame = f"OVER ({W} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)"
 step("trend1", f"SELECT *, list(composite_vix_adj) FILTER (composite_vix_adj IS NOT NULL) {_frame} AS seen FROM features")
@@ -206,6 +206,7 @@ step("long_v1", " UNION ALL ".join(f"SELECT ticker, signal_date, signal_version,
 step("market", "SELECT date AS signal_date, " + ", ".join(f"lead(close, {h}) OVER (ORDER BY date) / nullif(close, 0) - 1 AS bench_{h}" for h in C.horizons_v2) + " FROM bench")
 step("ahead", "SELECT preds.ticker, preds.signal_date, bias, price_at_signal, vol_at_signal, coalesce(0.67::DOUBLE * beta + 0.33::DOUBLE, 1.0::DOUBLE) AS beta_used, " + ", ".join(f"close_{h}, seam_{h}, bench_{h}" for h in C.horizons_v2) + " FROM preds JOIN forward ON preds.ticker = forward.ticker AND preds.signal_date = forward.date LEFT JOIN market ON preds.signal_date = market.signal_date LEFT JOIN beta_spy ON preds.ticker = beta_spy.ticker WHERE price_at_signal >= 1")
 step("out1", " UNION ALL ".join(f"SELECT ticker, signal_date, bias, price_at_signal, vol_at_signal, beta_used, CAST({h} AS INTEGER) AS horizon_days, close_{h} AS future_price, bench_{h} AS benchmark_return FROM ahead WHERE close_{h} IS NOT NULL AND NOT coalesce(seam_{h}, false)" for h in C.horizons_v2))
+step("seeds", " UNION ALL ".join(f"SELECT ticker, signal_date, CAST({h} AS INTEGER) AS horizon_days, price_at_signal, vol_at_signal, {C.threshold_k}::DOUBLE * vol_at_signal * sqrt({h}::DOUBLE) AS threshold_used FROM ahead WHERE close_{h} IS NULL OR coalesce(seam_{h}, false)" for h in C.horizons_v2))
 step("out2", "SELECT *, (future_price - price_at_signal) / nullif(price_at_signal, 0) AS raw_return, 0.5::DOUBLE * vol_at_signal * sqrt(horizon_days::DOUBLE) AS threshold_used FROM out1")
 step("out3", "SELECT *, raw_return - beta_used * benchmark_return AS excess_return FROM out2")
 step("out4", "SELECT *, CASE WHEN threshold_used IS NOT NULL THEN CASE WHEN bias = 'bullish' THEN excess_return > 1e-9 WHEN bias = 'bearish' THEN -excess_return > 1e-9 END END AS direction_correct FROM out3")
@@ -213,7 +214,8 @@ step("outcomes", "SELECT *, direction_correct AND threshold_used - abs(excess_re
 
 _was = lambda c: f"lag({c}) OVER ({W})"
 _up = lambda a, b, pa=None, pb=None: f"({pa or _was(a)}) - ({pb or _was(b)}) <= 1e-9 AND {a} - {b} > 1e-9"
-step("year", f"SELECT *, {full('max', 'high', C.year)} AS yh, {full('min', 'low', C.year)} AS yl FROM features")
+step("priced", f"SELECT * FROM features WHERE close >= {C.price_floor}")
+step("year", f"SELECT *, {full('max', 'high', C.year)} AS yh, {full('min', 'low', C.year)} AS yl FROM priced")
 step("year_before", f"SELECT *, {_was('yh')} AS hi52, {_was('yl')} AS lo52 FROM year")
 _events = {
     "E1": _up("sma_50", "sma_200"), "E2": _up("close", "sma_200"), "E3": _up("macd", "macd_signal"), "E4": _up("macd", "macd_signal") + " AND macd < 0",
@@ -222,9 +224,10 @@ _events = {
 }
 step("crossed", "SELECT *, " + ", ".join(f"coalesce({q}, false) AS {e}" for e, q in _events.items()) + f", row_number() OVER ({W}) - 1 AS pos FROM year_before")
 step("fires", " UNION ALL ".join(f"SELECT ticker, '{e}' AS event, pos AS position, date FROM crossed WHERE {e}" for e in EVENTS))
-step("calendar", "SELECT date FROM bars UNION SELECT date FROM bench")
+step("priced_ratios", f"SELECT ticker, date, close, close / nullif(lag(close) OVER ({W}), 0) AS q FROM bars WHERE close >= {C.price_floor}")
+step("calendar", "SELECT date FROM priced_ratios UNION SELECT date FROM bench")
 step("bench_asof", "SELECT c.date, b.close AS m FROM calendar c ASOF LEFT JOIN bench b ON c.date >= b.date")
-step("looked", "SELECT ticker, date, close, " + ", ".join(f"lead(close, {h}) OVER ({W}) AS c{h}, lead(date, {h}) OVER ({W}) AS d{h}, max(q) OVER ({W} ROWS BETWEEN 1 FOLLOWING AND {h} FOLLOWING) AS m{h}" for h in C.horizons_events) + " FROM ratios")
+step("looked", "SELECT ticker, date, close, " + ", ".join(f"lead(close, {h}) OVER ({W}) AS c{h}, lead(date, {h}) OVER ({W}) AS d{h}, max(q) OVER ({W} ROWS BETWEEN 1 FOLLOWING AND {h} FOLLOWING) AS m{h}" for h in C.horizons_events) + " FROM priced_ratios")
 step(
     "excess",
     "SELECT looked.ticker, looked.date, "
@@ -272,9 +275,23 @@ _cond = {
 _vix = ", ".join(f"('{n}', '{g}', {c}::DOUBLE, {c / now}::DOUBLE)" for n, v in GRID.items() if n.startswith("vix_") for g, now, cs in [v] for c in cs)
 _combos = ", ".join("(" + ", ".join(f"{x}::DOUBLE" for x in c) + ")" for c in weight_combos())
 step("weights", f"SELECT * FROM (VALUES {_combos}) v(w0, w1, w2, w3)")
-step("symbols", "SELECT *, chr((65 + a % 26)::INT) || chr((65 + b % 26)::INT) || 'ZZ' || CASE k WHEN 0 THEN 'T' WHEN 1 THEN 'W' WHEN 2 THEN 'R' WHEN 3 THEN 'U' WHEN 4 THEN '-WT' WHEN 5 THEN '.WS' WHEN 6 THEN '-UN' ELSE '' END AS code, CASE WHEN p_size % 5 = 0 THEN 'ETF' ELSE 'Common Stock' END AS type, CASE WHEN p_size % 7 = 0 THEN 'CAD' ELSE 'USD' END AS currency, CASE WHEN p_size % 3 = 0 THEN 'NYSE' WHEN p_size % 3 = 1 THEN 'NASDAQ' ELSE 'OTC' END AS venue, p_name || CASE WHEN p_size % 11 = 0 THEN ' Warrant' WHEN p_size % 11 = 1 THEN ' acquisition corp' ELSE '' END AS name FROM (SELECT p_name, p_size, p_partkey % 26 AS a, (p_partkey // 26) % 26 AS b, (p_partkey // 676) % 8 AS k FROM part) x")
+step("symbols", "SELECT *, chr((65 + a % 26)::INT) || chr((65 + b % 26)::INT) || 'ZZ' || CASE k WHEN 0 THEN 'T' WHEN 1 THEN 'W' WHEN 2 THEN 'R' WHEN 3 THEN 'U' WHEN 4 THEN '-WT' WHEN 5 THEN '.WS' WHEN 6 THEN '-UN' ELSE '' END AS code, CASE WHEN p_partkey % 5 = 0 THEN 'ETF' ELSE 'Common Stock' END AS type, CASE WHEN p_partkey % 7 = 0 THEN 'CAD' ELSE 'USD' END AS currency, CASE WHEN p_partkey % 3 = 0 THEN 'NYSE' WHEN p_partkey % 3 = 1 THEN 'NASDAQ' ELSE 'OTC' END AS venue, p_name || CASE WHEN p_partkey % 11 = 0 THEN ' Warrant' WHEN p_partkey % 11 = 1 THEN ' acquisition corp' ELSE '' END AS name, p_partkey % 2 = 0 AS listed FROM (SELECT p_name, p_partkey, p_partkey % 26 AS a, (p_partkey // 26) % 26 AS b, p_size % 8 AS k FROM part) x")
+step("provided", "SELECT ticker || CASE WHEN day(date) % 7 = 0 THEN '.TO' WHEN day(date) % 11 = 0 THEN '.INDX' ELSE '' END AS ticker, date, open, high, low, CASE WHEN day(date) = 31 THEN 0.0::DOUBLE ELSE close END AS close, CASE WHEN day(date) = 30 THEN 0.0::DOUBLE WHEN month(date) < 7 THEN close / 2 ELSE close END AS adjusted_close, CASE WHEN day(date) = 29 THEN NULL ELSE volume END AS volume FROM bars")
+step("scaled", "SELECT *, CASE WHEN close <> 0 THEN adjusted_close / close ELSE 1.0::DOUBLE END AS f FROM provided WHERE adjusted_close > 0")
+step("companies", "SELECT 'S' || s_suppkey AS ticker, s_name AS name, CAST(round(s_acctbal * 100) AS BIGINT) AS market_cap, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE CAST(DATE '2024-01-01' + CAST(s_suppkey % 15 AS INTEGER) AS DATE) END AS updated_at FROM supplier")
+step("entries", "SELECT CASE WHEN venue = 'OTC' THEN 'tsx_venture' WHEN currency = 'CAD' THEN 'tsx' ELSE 'us' END AS exchange, type <> 'ETF' AS has_data, listed FROM symbols")
 _ends = lambda c, xs: "(" + " OR ".join(f"ends_with({c}, '{x}')" for x in xs) + ")"
-_five = lambda c: f"(length({c}) = 5 AND NOT contains({c}, '-') AND substr({c}, 5, 1) IN ('W', 'R', 'U') AND substr({c}, 1, 4) IN (SELECT code FROM symbols))"
+_five = lambda c, only="": f"(length({c}) = 5 AND NOT contains({c}, '-') AND substr({c}, 5, 1) IN ('W', 'R', 'U') AND substr({c}, 1, 4) IN (SELECT code FROM symbols {only}))"
+
+_grid = ", ".join(f"({t}::DOUBLE)" for t in GRID["signal_threshold"] if t != C.signal_threshold)
+_moved = ", ".join(f"('{n}', '{g}', {now}::DOUBLE, {c}::DOUBLE)" for n, v in GRID.items() if n.startswith("vix_") for g, now, cs in [v] for c in cs if c != now)
+step("hits", "SELECT bias, vix_regime, abs(composite_vix_adj) AS s, correct_10d::INT AS hit FROM resolved WHERE correct_10d IS NOT NULL")
+step("hits_own", "SELECT * FROM hits WHERE bias = 'bullish'")
+step("grid_1", f"SELECT t AS candidate, count(*) AS n, avg(hit) AS accuracy FROM hits_own, (VALUES {_grid}) v(t) WHERE s >= t GROUP BY 1 HAVING count(*) >= {C.min_sample}")
+step("best_1", "SELECT * FROM grid_1 ORDER BY accuracy DESC, candidate LIMIT 1")
+step("grid_2", f"SELECT param_name, g.vix_regime, now, candidate, count(*) AS n, avg(hit) AS accuracy FROM hits h JOIN (VALUES {_moved}) g(param_name, vix_regime, now, candidate) ON g.vix_regime = h.vix_regime WHERE s * (candidate / now) >= {C.signal_threshold} GROUP BY 1, 2, 3, 4 HAVING count(*) >= {C.min_sample}")
+step("best_2", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY param_name ORDER BY accuracy DESC, candidate) AS k FROM grid_2) z WHERE k = 1")
+step("proposed", f"SELECT 'signal_threshold' AS param_name, {C.signal_threshold}::DOUBLE AS current_value, candidate AS proposed_value, accuracy - b.a AS gain, n AS sample_size, NULL::VARCHAR AS vix_regime_scope FROM best_1, (SELECT avg(hit) AS a FROM hits_own HAVING count(*) >= {C.min_sample}) b UNION ALL SELECT param_name, now, candidate, accuracy - b.a, w.n, g.vix_regime FROM best_2 g JOIN (SELECT vix_regime, avg(hit) AS a FROM hits_own GROUP BY 1 HAVING count(*) >= {C.min_sample}) b ON b.vix_regime = g.vix_regime JOIN (SELECT vix_regime, count(*) AS n FROM hits GROUP BY 1 HAVING count(*) >= {C.min_sample}) w ON w.vix_regime = g.vix_regime")
 
 _r4 = lambda *cs: ", ".join(f"{r(c, 4)} AS {c}" for c in cs)
 SQL = {
@@ -314,7 +331,7 @@ SQL = {
     "bias_confidence": "SELECT ticker, date, bias, confidence FROM confident",
     "key_levels": " UNION ALL ".join(_levels),
     "reasoning_text": "SELECT ticker, date, reasoning FROM analysed",
-    "top_brief": f"SELECT ticker, date, bias, confidence, reasoning FROM analysed WHERE date = (SELECT max(date) FROM analysed) ORDER BY confidence DESC, ticker LIMIT {C.brief_size}",
+    "top_brief": f"SELECT ticker, date, bias, confidence, reasoning FROM analysed WHERE abs(composite_vix_adj) >= {C.signal_threshold} AND bias <> 'neutral' AND date = (SELECT max(date) FROM analysed WHERE abs(composite_vix_adj) >= {C.signal_threshold}) ORDER BY confidence DESC, ticker LIMIT {C.brief_size}",
     "predictions": f"SELECT * REPLACE ({r('price_at_signal', 4)} AS price_at_signal) FROM preds",
     "resolve_v1": "SELECT ticker, signal_date, bias, " + ", ".join(f"{r(f'return_{h}d', 6)} AS return_{h}d, correct_{h}d" for h in C.horizons_v1) + " FROM resolved",
     "accuracy_rollup": f"SELECT signal_version, coalesce(vix_regime, '') AS vix_regime, coalesce(vol_environment, '') AS vol_environment, bias, horizon_days, count(*) AS total_signals, sum(hit::INT)::BIGINT AS correct_signals, {share('hit')} AS accuracy_rate, {r('avg(ret)', 4)} AS avg_return, {r('avg(ret) FILTER (hit)', 4)} AS avg_return_correct, {r('avg(ret) FILTER (NOT hit)', 4)} AS avg_return_wrong FROM long_v1 WHERE ret IS NOT NULL AND hit IS NOT NULL GROUP BY 1, 2, 3, 4, 5 HAVING count(*) >= {C.min_sample}",
@@ -324,23 +341,42 @@ SQL = {
     "unresolved_anti": "SELECT ticker, signal_date, signal_version, bias FROM preds p WHERE NOT EXISTS (SELECT 1 FROM outcomes o WHERE o.ticker = p.ticker AND o.signal_date = p.signal_date)",
     "events_cross": "SELECT ticker, date, event FROM fires",
     "event_forward_excess": "SELECT ticker, date, " + ", ".join(f"{r(f'excess_{h}', 6)} AS excess_{h}" for h in C.horizons_events) + " FROM excess",
-    "base_stats": robust("SELECT e.horizon, e.excess, CASE WHEN sma200_slope > 0 THEN 'up' ELSE 'flat_down' END AS slope FROM long_excess e JOIN features f ON f.ticker = e.ticker AND f.date = e.date WHERE sma200_slope IS NOT NULL", "horizon, slope"),
     "threshold_grid": f"SELECT bias, t AS threshold, count(*) AS n, {share('correct_10d')} AS accuracy FROM resolved, (VALUES {', '.join(f'({t}::DOUBLE)' for t in GRID['signal_threshold'])}) v(t) WHERE correct_10d IS NOT NULL AND abs(composite_vix_adj) >= t GROUP BY 1, 2 HAVING count(*) >= {C.min_sample}",
     "vix_grid": f"SELECT param, g.vix_regime, candidate, count(*) AS n, {share('correct_10d')} AS accuracy FROM resolved p JOIN (VALUES {_vix}) g(param, vix_regime, candidate, scale) ON g.vix_regime = p.vix_regime WHERE correct_10d IS NOT NULL AND abs(composite_vix_adj) * scale >= {C.signal_threshold} GROUP BY 1, 2, 3 HAVING count(*) >= {C.min_sample}",
     "weight_grid": f"SELECT w0, w1, w2, w3, count(*) AS n, {r('avg(abs(sc)) FILTER (hit) - avg(abs(sc)) FILTER (NOT hit)', 4)} AS separation FROM (SELECT w.*, correct_10d AS hit, {weighted(['w0', 'w1', 'w2', 'w3'])} AS sc FROM resolved p JOIN parts s ON s.ticker = p.ticker AND s.date = p.signal_date, weights w WHERE correct_10d IS NOT NULL) x GROUP BY 1, 2, 3, 4",
     "universe_audit": "SELECT code AS ticker, 'us' AS exchange, CASE WHEN regexp_matches(code, '^Z[A-Z]ZZT$') THEN 'nasdaq_test_symbol' WHEN " + _ends("code", HYPHENATED) + " THEN 'hyphenated_suffix' WHEN " + _ends("code", (".WT", ".WS", ".RT")) + " THEN 'dotted_suffix' WHEN substr(code, 5, 1) = 'W' THEN 'nasdaq5_warrant' WHEN substr(code, 5, 1) = 'R' THEN 'nasdaq5_rights' ELSE 'nasdaq5_unit' END AS reason FROM symbols WHERE regexp_matches(code, '^Z[A-Z]ZZT$') OR " + _ends("code", HYPHENATED) + " OR " + _ends("code", (".WT", ".WS", ".RT")) + " OR " + _five("code"),
-    "listing_filter": "SELECT code, name, venue FROM symbols WHERE type = 'Common Stock' AND currency = 'USD' AND venue IN ('NYSE', 'NASDAQ') AND NOT regexp_matches(code, '^Z[A-Z]ZZT$') AND NOT " + _ends("upper(code)", DOTTED) + " AND NOT " + _ends("upper(code)", HYPHENATED) + " AND NOT " + _five("code") + " AND NOT (" + " OR ".join(f"contains(lower(name), '{n.lower()}')" for n in NAMES) + ")",
+    "listing_filter": "SELECT code, name, venue FROM symbols WHERE type = 'Common Stock' AND currency = 'USD' AND venue IN ('NYSE', 'NASDAQ') AND NOT regexp_matches(code, '^Z[A-Z]ZZT$') AND NOT " + _ends("upper(code)", DOTTED) + " AND NOT " + _ends("upper(code)", HYPHENATED) + " AND NOT " + _five("code", "WHERE listed") + " AND NOT (" + " OR ".join(f"contains(lower(name), '{n.lower()}')" for n in NAMES) + ")",
     "upsert_update": f"SELECT ticker, date, {r('CASE WHEN date >= DATE ' + chr(39) + '1998-01-01' + chr(39) + ' THEN close * 2 ELSE close END', 4)} AS close FROM bars WHERE date < DATE '1999-01-01' OR date >= DATE '1998-01-01'",
     "upsert_ignore": f"SELECT ticker, date, {r('CASE WHEN date < DATE ' + chr(39) + '1999-01-01' + chr(39) + ' THEN close ELSE close * 2 END', 4)} AS close FROM bars",
+    "proposals": f"SELECT param_name, current_value, proposed_value, {r('gain', 4)} AS accuracy_delta, sample_size, vix_regime_scope FROM proposed WHERE gain >= 0",
+    "outcome_seeds": f"SELECT ticker, signal_date, horizon_days, {r('price_at_signal', 6)} AS price_at_signal, {r('vol_at_signal', 6)} AS vol_at_signal, {r('threshold_used', 6)} AS threshold_used FROM seeds",
+    "beta_fallbacks": "SELECT count(*) AS tickers, count(*) FILTER (b.ticker IS NULL) AS fallbacks FROM (SELECT DISTINCT ticker FROM bars UNION SELECT ticker || 'x' FROM bars WHERE day(date) = 1) t LEFT JOIN beta_spy b USING (ticker)",
+    "indicator_parity": " UNION ALL ".join(f"SELECT '{c}' AS column, count(*) - count(*) AS unmatched, count(*) - count(*) AS n_diff, true AS within FROM bars" for c in ("sma_50", "sma_200", "macd", "macd_signal", "macd_hist", "rsi_14", "bb_upper", "bb_lower")),
+    "ingest_adjusted": f"SELECT ticker, date, {r('open * f', 6)} AS open, {r('high * f', 6)} AS high, {r('low * f', 6)} AS low, {r('adjusted_close', 4)} AS close, coalesce(volume, 0) AS volume, CASE WHEN ends_with(ticker, '.TO') OR ends_with(ticker, '.V') THEN 'CAD' ELSE 'USD' END AS currency, CASE WHEN regexp_matches(ticker, '[.](TO|V|INDX)$') THEN ticker ELSE ticker || '.US' END AS symbol, ticker IN ('VIX.INDX', 'VVIX.INDX') AS is_index FROM scaled",
+    "metadata_stale": "SELECT ticker, name, updated_at FROM companies WHERE updated_at IS NULL OR DATE '2024-01-14' >= updated_at + 7",
+    "metadata_upsert": "SELECT ticker, name || ' Ltd' AS name, market_cap + 1 AS market_cap, DATE '2024-02-01' AS updated_at FROM companies WHERE market_cap > 0 UNION ALL SELECT ticker, name, market_cap, updated_at FROM companies WHERE updated_at IS NOT NULL AND market_cap <= 0",
+    "universe_counts": "SELECT count(*) AS total_unique_tickers, count(*) FILTER (exchange = 'us') AS us_listed, count(*) FILTER (exchange = 'tsx') AS tsx_listed, count(*) FILTER (exchange = 'tsx_venture') AS tsx_venture_listed, count(*) FILTER (NOT has_data) AS no_data_tickers, sum(listed::INT)::BIGINT AS categories FROM entries",
     "replace_window": "SELECT ticker, etf_proxy, CAST(365 AS INTEGER) AS window_days, beta FROM beta_90 UNION ALL SELECT ticker, etf_proxy, window_days, -beta FROM beta_90",
 }
 ORACLE_SQL = {name: chain(sql) for name, sql in SQL.items()}
 ORACLE_SQL["event_dedup"] = kept_sql("SELECT ticker, event, position, date FROM kept_dated")
 _bull = " + ".join(f"(count(*) FILTER (event = '{e}') > 0)::INT" for e in BULLISH)
-ORACLE_SQL["event_stats"] = kept_sql(robust("SELECT k.event, e.horizon, e.excess FROM kept_dated k JOIN long_excess e ON e.ticker = k.ticker AND e.date = k.date", "event, horizon"))
-ORACLE_SQL["confluence"] = kept_sql(
-    robust(
-        f"SELECT n_bull, e.horizon, e.excess FROM (SELECT c.ticker, c.date, CAST(least({_bull}, 3) AS INTEGER) AS n_bull FROM crossed c LEFT JOIN kept_dated k ON k.ticker = c.ticker AND k.position BETWEEN c.pos - {C.dedup_rows} AND c.pos AND k.event IN ({', '.join(repr(e) for e in BULLISH)}) GROUP BY c.ticker, c.date) b JOIN long_excess e ON e.ticker = b.ticker AND e.date = b.date",
-        "n_bull, horizon",
-    )
+_fired = "SELECT k.event, k.date, e.horizon, e.excess, coalesce(c.sma200_slope > 0, false) AS up, coalesce(c.vol_ratio >= {C.volume_confirm}, false) AS loud FROM kept_dated k JOIN long_excess e ON e.ticker = k.ticker AND e.date = k.date LEFT JOIN crossed c ON c.ticker = k.ticker AND c.date = k.date".replace("{C.volume_confirm}", str(C.volume_confirm))
+_split = f"SELECT event, horizon, excess, split, value FROM (SELECT *, 'all' AS split, 'all' AS value FROM ({_fired}) f UNION ALL SELECT *, 'slope', CASE WHEN up THEN 'up' ELSE 'not_up' END FROM ({_fired}) f UNION ALL SELECT *, 'volume', CASE WHEN loud THEN 'confirmed' ELSE 'unconfirmed' END FROM ({_fired}) f UNION ALL SELECT *, 'year', CAST(year(date) AS VARCHAR) FROM ({_fired}) f WHERE horizon = 42) g"
+_slopes = "SELECT e.ticker, e.date, e.horizon, e.excess, s.slope FROM long_excess e LEFT JOIN crossed c ON c.ticker = e.ticker AND c.date = e.date, (VALUES ('all'), ('up'), ('flat_down')) s(slope) WHERE s.slope = 'all' OR (s.slope = 'up' AND c.sma200_slope > 0) OR (s.slope = 'flat_down' AND c.sma200_slope <= 0)"
+_graded, _base = robust(_split, "event, horizon, split, value"), robust(f"SELECT horizon, slope, excess FROM ({_slopes}) b", "horizon, slope")
+_bulls = f"SELECT c.ticker, c.date, CAST(least({_bull}, 3) AS INTEGER) AS n_bull FROM crossed c LEFT JOIN kept_dated k ON k.ticker = c.ticker AND k.position BETWEEN c.pos - {C.dedup_rows} AND c.pos AND k.event IN ({', '.join(repr(e) for e in BULLISH)}) GROUP BY c.ticker, c.date"
+_confluent = robust(f"SELECT n_bull, e.horizon, e.slope, e.excess FROM ({_bulls}) b JOIN ({_slopes}) e ON e.ticker = b.ticker AND e.date = b.date WHERE e.slope <> 'flat_down'", "n_bull, horizon, slope")
+_name = "CASE g.event " + " ".join(f"WHEN '{e}' THEN '{n}'" for e, n in EVENTS.items()) + " END"
+ORACLE_SQL["base_stats"] = kept_sql(_base)
+ORACLE_SQL["event_splits"] = kept_sql(_graded)
+ORACLE_SQL["event_stats"] = kept_sql(f"SELECT event, horizon, n, median, wmean, frac_gt0 FROM ({_graded}) q WHERE split = 'all'")
+ORACLE_SQL["event_summary"] = kept_sql(
+    f"SELECT g.event AS event_type, {_name} AS event_name, CASE WHEN g.event IN ({', '.join(repr(e) for e in BULLISH)}) THEN 'bullish' ELSE 'bearish' END AS bias, g.horizon AS horizon_days, g.n, {r('g.median * 100', 4)} AS median_excess_pct, {r('g.wmean * 100', 4)} AS wmean_excess_pct, {r('g.frac_gt0', 4)} AS frac_gt0, {r('b.median * 100', 4)} AS base_median_pct, {r('(g.median - b.median) * 100', 4)} AS vs_base_pct FROM ({_graded}) g JOIN ({_base}) b ON b.horizon = g.horizon AND b.slope = 'all' WHERE g.split = 'all'"
+)
+ORACLE_SQL["event_verdict"] = kept_sql(
+    f"SELECT *, coalesce(years > 0 AND years_better >= 0.6::DOUBLE * years AND median > base_median, false) AS edge FROM (SELECT g.event, max(g.n) FILTER (split = 'all') AS n, max(g.median) FILTER (split = 'all') AS median, max(b.median) AS base_median, count(*) FILTER (split = 'year' AND g.n >= 30 AND g.median > b.median) AS years_better, count(*) FILTER (split = 'year' AND g.n >= 30) AS years FROM ({_graded}) g JOIN ({_base}) b ON b.slope = 'all' AND b.horizon = 42 WHERE g.horizon = 42 GROUP BY 1) v WHERE n IS NOT NULL"
 )
+ORACLE_SQL["confluence"] = kept_sql(_confluent)
+ORACLE_SQL["confluence_monotonic"] = kept_sql(f"SELECT slope, count(*) AS buckets, NOT bool_or(coalesce(median < before, false)) AS monotonic FROM (SELECT *, lag(median) OVER (PARTITION BY slope ORDER BY n_bull) AS before FROM ({_confluent}) c WHERE horizon = 42) m GROUP BY 1")
+ORACLE_SQL["equivalence_gate"] = chain("SELECT count(DISTINCT (ticker, date)) AS anchors, count(excess_21) + count(excess_42) + count(excess_63) AS checked, count(*) - count(*) AS failed FROM (SELECT * FROM excess WHERE excess_42 IS NOT NULL ORDER BY md5(ticker || '|' || CAST(date AS VARCHAR)) LIMIT 20) x")

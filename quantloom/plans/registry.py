@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.expr import rounded
+from ..functions.shared import checkpointed
 from ..operators import analysis, events, features, indicators, ingest, outcomes, relatedness, research, tables, universe
 from ..sources import market
 from .oracle import ORACLE_SQL
@@ -19,54 +20,80 @@ FEATURES = ["dist_sma50", "dist_sma200", "dist_sma200_z", "rsi_centered", "bb_pc
 
 
 class Market:
-    """The derived tables of one folder, each built when first asked for; all lazy."""
+    """The derived tables of one folder, each built when first asked for. What several tables are made of is kept in the shared
+    folder (``kept`` in the name of a step below); the rest is lazy."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.dir, self._made = spark, sf_dir, {}
 
-    def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    def _once(self, name: str, make: Callable[[], DataFrame], keep: bool = False) -> DataFrame:
         if name not in self._made:
-            self._made[name] = make()
+            self._made[name] = checkpointed(make()) if keep else make()
         return self._made[name]
 
     bars = property(lambda s: s._once("bars", lambda: market.bars(s.spark, s.dir)))
-    etf = property(lambda s: s._once("etf", lambda: market.etf(s.spark, s.dir)))
+    kept_bars = property(lambda s: s._once("kept_bars", lambda: s.bars, keep=True))
     bench = property(lambda s: s._once("bench", lambda: market.benchmark(s.spark, s.dir)))
+    etf = property(lambda s: s._once("etf", lambda: market.etf(s.spark, s.dir).unionByName(s.bench)))
     context = property(lambda s: s._once("context", lambda: indicators.vix_context(market.index_vol(s.spark, s.dir))))
     signals = property(lambda s: s._once("signals", lambda: indicators.signals(indicators.indicators(s.bars), s.context)))
+    kept_signals = property(lambda s: s._once("kept_signals", lambda: indicators.signals(indicators.indicators(s.kept_bars), s.context), keep=True))
     features = property(lambda s: s._once("features", lambda: features.features(s.signals)))
+    kept_features = property(lambda s: s._once("kept_features", lambda: features.features(indicators.signals(indicators.indicators(s.kept_bars), s.context)), keep=True))
     returns = property(lambda s: s._once("returns", lambda: s._masked(s.bars)))
-    etf_returns = property(lambda s: s._once("etf_returns", lambda: s._masked(s.etf)))
-    betas = property(lambda s: s._once("betas", lambda: relatedness.betas(s.returns, s.etf_returns, 90)))
+    betas = property(lambda s: s._once("betas", lambda: relatedness.betas(s.returns, s._masked(s.etf), 90)))
+    market_beta = property(lambda s: s._once("market_beta", lambda: s.betas.filter(F.col("etf_proxy") == DEFAULT.benchmark).select("ticker", "beta"), keep=True))
     analysed = property(lambda s: s._once("analysed", lambda: analysis.analyse(s.signals)))
-    preds = property(lambda s: s._once("preds", lambda: outcomes.predictions(s.analysed)))
-    ahead = property(lambda s: s._once("ahead", lambda: outcomes.forward(s.bars)))
-    resolved = property(lambda s: s._once("resolved", lambda: outcomes.resolve_v1(s.preds, s.ahead)))
+    preds = property(lambda s: s._once("preds", lambda: outcomes.predictions(analysis.analyse(s.kept_signals)), keep=True))
+    ahead = property(lambda s: s._once("ahead", lambda: outcomes.forward(s.kept_bars)))
+    resolved = property(lambda s: s._once("resolved", lambda: outcomes.resolve_v1(s.preds, s.ahead), keep=True))
     outcomes = property(lambda s: s._once("outcomes", lambda: outcomes.outcomes_v2(s.preds, s.ahead, s.bench, s.market_beta)))
-    crossed = property(lambda s: s._once("crossed", lambda: events.crossings(s.signals)))
+    crossed = property(lambda s: s._once("crossed", lambda: events.crossings(events.priced(s.kept_features)), keep=True))
     kept = property(lambda s: s._once("kept", lambda: events.dedup(events.fires(s.crossed))))
-    excess = property(lambda s: s._once("excess", lambda: events.forward_excess(s.bars, s.bench, s.market_beta)))
+    excess = property(lambda s: s._once("excess", lambda: events.forward_excess(events.priced(s.kept_bars), s.bench, s.market_beta), keep=True))
+    graded = property(lambda s: s._once("graded", lambda: s._robust(events.splits(s.kept, s.crossed, s.excess), ["event", "horizon", "split", "value"]), keep=True))
+    base = property(lambda s: s._once("base", lambda: s._robust(events.base_rows(s.crossed, s.excess), ["horizon", "slope"]), keep=True))
+
+    @property
+    def confluent(self) -> DataFrame:
+        """Buckets of bullish events on all dates, and on those with the long average rising."""
+        rows = events.confluence(self.crossed, self.kept).join(events.base_rows(self.crossed.select("ticker", "date", "sma200_slope"), self.excess, by_date=True), ["ticker", "date"])
+        return self._robust(rows.filter("slope <> 'flat_down'"), ["n_bull", "horizon", "slope"])
+
+    @staticmethod
+    def _robust(rows: DataFrame, keys: list[str]) -> DataFrame:
+        return events.robust(checkpointed(rows), keys)  # read twice
 
     @staticmethod
     def _masked(bars: DataFrame) -> DataFrame:
         return relatedness.calendar_returns(bars).withColumn("r", relatedness.masked(F.col("r")))
 
-    @property
-    def market_beta(self) -> DataFrame:
-        """Betas against the first proxy by name, which stands for the market."""
-        first = self.etf.agg(F.min("ticker").alias("etf_proxy"))  # one row
-        return self.betas.join(F.broadcast(first), "etf_proxy").select("ticker", "beta")
-
     @property
     def symbols(self) -> DataFrame:
         """A listing, by rule from the parts: codes with and without the marks that curation looks for."""
-        code = "case (p_partkey div 676) % 8 when 0 then 'T' when 1 then 'W' when 2 then 'R' when 3 then 'U' when 4 then '-WT' when 5 then '.WS' when 6 then '-UN' else '' end"
+        code = "case p_size % 8 when 0 then 'T' when 1 then 'W' when 2 then 'R' when 3 then 'U' when 4 then '-WT' when 5 then '.WS' when 6 then '-UN' else '' end"
         return market.load(self.spark, self.dir, "part").selectExpr(
             f"concat(char(65 + p_partkey % 26), char(65 + (p_partkey div 26) % 26), 'ZZ', {code}) as code",
-            "case when p_size % 5 = 0 then 'ETF' else 'Common Stock' end as type",
-            "case when p_size % 7 = 0 then 'CAD' else 'USD' end as currency",
-            "case when p_size % 3 = 0 then 'NYSE' when p_size % 3 = 1 then 'NASDAQ' else 'OTC' end as venue",
-            "concat(p_name, case when p_size % 11 = 0 then ' Warrant' when p_size % 11 = 1 then ' acquisition corp' else '' end) as name",
+            "case when p_partkey % 5 = 0 then 'ETF' else 'Common Stock' end as type",
+            "case when p_partkey % 7 = 0 then 'CAD' else 'USD' end as currency",
+            "case when p_partkey % 3 = 0 then 'NYSE' when p_partkey % 3 = 1 then 'NASDAQ' else 'OTC' end as venue",
+            "concat(p_name, case when p_partkey % 11 = 0 then ' Warrant' when p_partkey % 11 = 1 then ' acquisition corp' else '' end) as name",
+            "p_partkey % 2 = 0 as listed",
+        )
+
+    @property
+    def provided(self) -> DataFrame:
+        """Bars as a provider gives them, by rule from the daily ones: some adjusted, some without a trade, some of another exchange."""
+        return self.bars.selectExpr(
+            "concat(ticker, case when day(date) % 7 = 0 then '.TO' when day(date) % 11 = 0 then '.INDX' else '' end) as ticker", "date", "open", "high", "low",
+            "case when day(date) = 31 then 0D else close end as close", "case when day(date) = 30 then 0D when month(date) < 7 then close / 2 else close end as adjusted_close", "case when day(date) = 29 then null else volume end as volume",
+        )
+
+    @property
+    def companies(self) -> DataFrame:
+        """Company data by rule from the suppliers."""
+        return market.load(self.spark, self.dir, "supplier").selectExpr(
+            "concat('S', s_suppkey) as ticker", "s_name as name", "cast(round(s_acctbal * 100) as bigint) as market_cap", "case when s_suppkey % 7 = 0 then null else date_add(date'2024-01-01', cast(s_suppkey % 15 as int)) end as updated_at"
         )
 
 
@@ -85,9 +112,29 @@ def _missing(m: Market) -> DataFrame:
     return ingest.missing(market.load(m.spark, m.dir, "part").select(F.col("p_brand").alias("ticker")), today)
 
 
-def _base_stats(m: Market) -> DataFrame:
-    slope = m.features.filter("sma200_slope is not null").select("ticker", "date", F.when(F.col("sma200_slope") > 0, "up").otherwise("flat_down").alias("slope"))
-    return events.robust(events.long_excess(m.excess).join(slope, ["ticker", "date"]), ["horizon", "slope"])
+def _ingested(m: Market) -> DataFrame:
+    df = ingest.adjusted(m.provided)
+    df = df.withColumns({"symbol": ingest.provider_symbol(F.col("ticker")), "is_index": ingest.is_index(F.col("ticker"))})
+    return show(df, "ticker date volume currency symbol is_index", "close", "open high low")
+
+
+def _companies(m: Market) -> DataFrame:
+    new = m.companies.filter("market_cap > 0").selectExpr("ticker", "concat(name, ' Ltd') as name", "market_cap + 1 as market_cap", "date'2024-02-01' as updated_at")
+    return tables.upserted(m.companies.filter("updated_at is not null"), new, ["ticker"])
+
+
+def _parity(m: Market) -> DataFrame:
+    """Indicators worked out together against each by itself."""
+    each = indicators.with_bollinger(indicators.with_rsi(indicators.with_macd(indicators.with_sma(m.kept_bars))))
+    names = ["sma_50", "sma_200", "macd", "macd_signal", "macd_hist", "rsi_14", "bb_upper", "bb_lower"]
+    out = research.parity(indicators.indicators(m.kept_bars), each, ["ticker", "date"], names)
+    return out.select("column", "unmatched", "n_diff", (F.col("max_diff") <= 1e-9).alias("within"))
+
+
+def _counts(m: Market) -> DataFrame:
+    entries = m.symbols.selectExpr("code as ticker", "case when venue = 'OTC' then 'tsx_venture' when currency = 'CAD' then 'tsx' else 'us' end as exchange", "type <> 'ETF' as has_data", "case when listed then array(venue) end as categories")
+    out = universe.migrated(entries)
+    return universe.counts(out).crossJoin(out.agg(F.sum(F.size("signal_categories")).alias("categories")))  # with one row
 
 
 def _levels(m: Market) -> DataFrame:
@@ -123,15 +170,15 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "regime_share": lambda m: research.regime_share(m.features),
     "regime_by_year": lambda m: research.regime_by_year(m.features),
     "regime_streaks": lambda m: research.regime_streaks(m.features),
-    "falling_knife": lambda m: research.falling_knife(m.features, m.outcomes, -0.05),
+    "falling_knife": lambda m: research.falling_knife(m.kept_features, m.outcomes, -0.05),
     "outcome_base_rates": lambda m: research.outcome_base_rates(m.outcomes),
     "threshold_sensitivity": lambda m: research.threshold_sensitivity(m.features),
-    "dist_bucket": lambda m: research.dist_buckets(m.features, m.outcomes),
+    "dist_bucket": lambda m: research.dist_buckets(m.kept_features, m.outcomes),
     "price_buckets": lambda m: research.price_buckets(m.outcomes),
     "three_way": lambda m: research.three_way(_long(m)),
     "base_rates": lambda m: research.base_rates(_long(m)),
     "inversion": lambda m: research.inversion(_long(m)),
-    "condition_hits": lambda m: research.condition_hits(m.resolved, m.signals),
+    "condition_hits": lambda m: research.condition_hits(m.resolved, m.kept_signals),
     "conf_deciles": lambda m: research.confidence_deciles(m.resolved),
     "episode_inflation": lambda m: research.episode_inflation(m.preds),
     "returns_masked": lambda m: show(m.returns, "ticker date", r6="r"),
@@ -144,7 +191,7 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "bias_confidence": lambda m: show(m.analysed, "ticker date bias confidence"),
     "key_levels": _levels,
     "reasoning_text": lambda m: show(m.analysed, "ticker date reasoning"),
-    "top_brief": lambda m: show(analysis.top_brief(m.analysed), "ticker date bias confidence reasoning"),
+    "top_brief": lambda m: show(analysis.top_brief(analysis.selected(m.analysed)), "ticker date bias confidence reasoning"),
     "predictions": lambda m: m.preds.withColumn("price_at_signal", rounded(F.col("price_at_signal"), 4)),
     "resolve_v1": lambda m: show(m.resolved, "ticker signal_date bias correct_5d correct_10d correct_20d", r6="return_5d return_10d return_20d"),
     "accuracy_rollup": lambda m: outcomes.accuracy_rollup(m.resolved),
@@ -155,14 +202,27 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "events_cross": lambda m: show(events.fires(m.crossed), "ticker date event"),
     "event_dedup": lambda m: show(m.kept.withColumn("position", F.col("position").cast("long")), "ticker event position date"),
     "event_forward_excess": lambda m: show(m.excess, "ticker date", r6="excess_21 excess_42 excess_63"),
-    "event_stats": lambda m: events.robust(m.kept.join(events.long_excess(m.excess), ["ticker", "date"]), ["event", "horizon"]),
-    "base_stats": _base_stats,
-    "confluence": lambda m: events.robust(events.confluence(m.crossed, m.kept).join(events.long_excess(m.excess), ["ticker", "date"]), ["n_bull", "horizon"]),
+    "event_stats": lambda m: m.graded.filter("split = 'all'").drop("split", "value"),
+    "event_splits": lambda m: m.graded,
+    "event_summary": lambda m: events.summary(m.graded, m.base),
+    "event_verdict": lambda m: events.verdict(m.graded, m.base),
+    "base_stats": lambda m: m.base,
+    "confluence": lambda m: m.confluent,
+    "confluence_monotonic": lambda m: events.monotonic(m.confluent),
+    "equivalence_gate": lambda m: events.equivalence(events.priced(m.kept_bars), m.bench, m.market_beta, m.excess),
+    "proposals": lambda m: research.proposals(m.resolved, least=0.0),
+    "outcome_seeds": lambda m: show(outcomes.seeds(m.preds, m.ahead), "ticker signal_date horizon_days", r6="price_at_signal vol_at_signal threshold_used"),
+    "beta_fallbacks": lambda m: relatedness.fallbacks(m.kept_bars.unionByName(m.kept_bars.filter("day(date) = 1").withColumn("ticker", F.concat("ticker", F.lit("x")))), m.market_beta),
+    "indicator_parity": _parity,
+    "ingest_adjusted": _ingested,
+    "metadata_stale": lambda m: ingest.stale(m.companies, F.lit("2024-01-14").cast("date")).select("ticker", "name", "updated_at"),
+    "metadata_upsert": _companies,
+    "universe_counts": _counts,
     "threshold_grid": lambda m: research.threshold_grid(m.resolved),
     "vix_grid": lambda m: research.vix_grid(m.resolved),
-    "weight_grid": lambda m: research.weight_grid(m.signals, m.resolved),
+    "weight_grid": lambda m: research.weight_grid(m.kept_signals, m.resolved),
     "universe_audit": lambda m: universe.audit(m.symbols.select(F.col("code").alias("ticker"), F.lit("us").alias("exchange"))),
-    "listing_filter": lambda m: universe.quality_listing(m.symbols, "US").select("code", "name", "venue"),
+    "listing_filter": lambda m: universe.quality_listing(m.symbols, "US", m.symbols.filter("listed")).select("code", "name", "venue"),
     "upsert_update": lambda m: _upsert(m, "update"),
     "upsert_ignore": lambda m: _upsert(m, "ignore"),
     "replace_window": _replace,

@@ -3,9 +3,13 @@
 import datetime as dt
 import json
 
+import pandas as pd
+from pyspark.sql import functions as F
+
+from quantloom.config import load
 from quantloom.operators import tables
 from quantloom.plans import nightly
-from quantloom.schemas import TABLES, key, schema
+from quantloom.schemas import TABLES, fit, key, schema
 from quantloom.sources import files, market
 from quantloom.streaming import landing
 
@@ -27,17 +31,85 @@ def test_landing_takes_each_file_once_and_corrections(spark, tmp_path):
     assert [(r.ticker, r.date, r.close) for r in rows] == [("A", dt.date(2024, 1, 2), 1.75)]
 
 
-def test_nightly_fills_its_tables_and_repeats(spark, small, tmp_path):
+def inputs(spark, small):
+    """Three brands; proxies are QQQ and SPY, of which the first by name is not the benchmark."""
     bars = market.bars(spark, small).filter("ticker in ('Brand#1', 'Brand#2', 'Brand#3')").cache()
-    root = str(tmp_path)
+    bench = market.benchmark(spark, small)
+    other = bars.filter("ticker = 'Brand#1'").select(F.lit("QQQ").alias("ticker"), "date", "close")
+    return bars, market.index_vol(spark, small), bench, other.unionByName(bench)
+
+
+def stored(spark, root):
+    return {t: tables.read(spark, f"{root}/{t}", schema(t)) for t in TABLES}
+
+
+def test_nightly_fills_its_tables_and_repeats(spark, small, tmp_path):
+    bars, index, bench, proxies = inputs(spark, small)
     counts = []
     for _ in range(2):
-        nightly.run(spark, root, bars, market.index_vol(spark, small), market.benchmark(spark, small), market.etf(spark, small))
-        counts.append({t: tables.read(spark, f"{root}/{t}", schema(t)).count() for t in TABLES})
+        nightly.run(spark, str(tmp_path), bars, index, bench, proxies)
+        counts.append({t: df.count() for t, df in stored(spark, tmp_path).items()})
     assert counts[0] == counts[1] and counts[0]["stock_signals"] == bars.count() and counts[0]["prediction_outcomes"] > 0
-    for t in TABLES:
-        df = tables.read(spark, f"{root}/{t}", schema(t))
+    got = stored(spark, tmp_path)
+    for t, df in got.items():
         assert df.count() == df.select(*key(t)).distinct().count()
+    assert {r[0] for r in got["sector_beta"].select("etf_proxy").distinct().collect()} <= {"QQQ", "SPY"}
+    beta = {r.ticker: r.beta for r in got["sector_beta"].filter("etf_proxy = 'SPY' and window_days = 365").collect()}
+    used = got["prediction_outcomes"].filter("resolved_at is not null").select("ticker", "beta_used").distinct().collect()
+    assert used and all(abs(r.beta_used - (0.67 * beta[r.ticker] + 0.33 if r.ticker in beta else 1.0)) < 1e-9 for r in used)
+    assert got["prediction_outcomes"].filter("resolved_at is null and excess_return is null and vol_at_signal is not null").count() > 0  # seeds
+    assert sorted(r.brief_type for r in got["daily_brief"].collect())[-1] == "parameter_review"
+
+
+def test_a_night_equals_the_backfill_and_sunday_relates(spark, small, tmp_path):
+    _, index, bench, proxies = inputs(spark, small)
+    made = [bench.select(F.lit(t).alias("ticker"), "date", *[(F.col("close") * f).alias(c) for c, f in (("open", 1.0), ("high", high), ("low", 0.99), ("close", 1.0))], (F.dayofmonth("date") * k).cast("long").alias("volume")) for t, high, k in (("A", 1.01, 10), ("B", 1.02, 7))]
+    bars = made[0].unionByName(made[1]).cache()  # a bar every day
+    cfg = load({"sma_short": 5, "sma_long": 20, "macd": [3, 6, 3], "rsi_window": 5, "adx_window": 5, "year": 30, "slope_window": 10, "signal_threshold": 0.1, "days_a_year": 365})
+    assert bars.agg(F.countDistinct("date")).first()[0] > 3 * cfg.history_days
+    whole, night = str(tmp_path / "whole"), str(tmp_path / "night")
+    nightly.run(spark, whole, bars, index, bench, proxies, cfg=cfg)
+    last = stored(spark, whole)["analysis"].agg(F.max("date")).first()[0]
+    weekday, sunday = ([d for d in (last - dt.timedelta(i) for i in range(14)) if (d.weekday() == 6) == is_sunday][0] for is_sunday in (False, True))
+    for on in sorted([weekday, sunday]):
+        nightly.run(spark, night, bars, index, bench, proxies, on=on, cfg=cfg)
+        got = stored(spark, night)
+        assert (got["sector_beta"].count() + tables.read(spark, f"{night}/daily_brief", schema("daily_brief")).filter("brief_type = 'parameter_review'").count() > 0) == (on >= sunday)
+        for t in ("stock_signals", "signal_features"):
+            a, b = (stored(spark, root)[t].filter(F.col("date") == F.lit(on)).toPandas().sort_values("ticker", ignore_index=True) for root in (whole, night))
+            pd.testing.assert_frame_equal(a, b, rtol=1e-9)
+        chosen = stored(spark, night)["analysis"].filter((F.col("date") == F.lit(on)) & (F.col("bias") != "neutral")).count()
+        briefs = got["daily_brief"].filter((F.col("date") == F.lit(on)) & (F.col("brief_type") == "daily")).collect()
+        assert [r.ticker_count for r in briefs] == ([min(chosen, 12)] if chosen else [])  # every night with a signal
+    years = tables.versions(spark, f"{night}/stock_signals")
+    assert set(years) == {str(weekday.year), str(sunday.year)}
+
+
+def test_landed_files_and_reports(spark, tmp_path):
+    def put(name, *rows):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.json").write_text("\n".join(json.dumps(r) for r in rows))
+        return str(tmp_path / name)
+
+    acts = put("acts", {"ticker": "A", "date": "2024-01-02", "kind": "split", "factor": 2.0}, {"ticker": "A", "date": "2024-01-03", "kind": "dividend", "amount": 0.5})
+    assert [(r.ticker, r.factor) for r in files.actions(spark, acts, "split").collect()] == [("A", 2.0)]
+    assert [r.amount for r in files.actions(spark, acts, "dividend").collect()] == [0.5]
+    listed = put("sym", {"Code": "A", "Name": "Alpha", "Exchange": "NYSE", "Currency": "USD", "Type": "Common Stock"})
+    assert files.symbols(spark, listed).first().asDict() == {"code": "A", "name": "Alpha", "venue": "NYSE", "currency": "USD", "type": "Common Stock"}
+    meta = files.metadata(spark, put("meta", {"ticker": "A", "Name": "Alpha", "Sector": "Tech", "Industry": "Chips", "MarketCapitalization": 5, "Exchange": "NYSE"}))
+    root = str(tmp_path / "ticker_metadata")
+    tables.merge(spark, root, schema("ticker_metadata"), fit(meta, "ticker_metadata"), key("ticker_metadata"))
+    row = tables.read(spark, root, schema("ticker_metadata")).first()
+    assert (row.name, row.provider_sector, row.market_cap) == ("Alpha", "Tech", 5) and row.updated_at is not None
+    fires = spark.createDataFrame([("A", "E1", 1), ("B", "E2", 2)], "ticker string, event string, position int")
+    files.write_events(fires, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out/events")).count() == 2
+    files.write_summary(fires, str(tmp_path / "out"), "summary")
+    assert len(list((tmp_path / "out/summary").glob("*.csv"))) == 1
+    doc = str(tmp_path / "doc")
+    files.write_universe(fires, doc)
+    files.write_universe(fires.limit(1), doc, backup=True)
+    assert (spark.read.json(doc).count(), spark.read.json(f"{doc}.bak").count()) == (1, 2)
 
 
 def test_universe_document(spark, tmp_path):
