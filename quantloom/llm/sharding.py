@@ -9,7 +9,8 @@ No step sorts all rows in one task: cells are counted, the at most ``2**(bits *
 summed along the curve, and a row's place is its cell's start plus its number within the cell.
 
 Nulls: a null dimension is quantised as 0, a null text has no bytes, a null id is an id like any
-other. Repeated rows get places of their own. Columns with the names of added ones give way. An empty
+other. Rows that tie in their cell follow by id and checksum; repeated rows get places of their own. Of a text, long or empty,
+only the size and the checksum are taken. Columns with the names of added ones give way. An empty
 table gives an empty result.
 """
 
@@ -53,9 +54,20 @@ def curve(spark: SparkSession, dims: int, bits: int) -> DataFrame:
     return spark.createDataFrame([(int(c), int(h)) for c, h in zip(cells, hilbert_index(axes, bits), strict=True)], "cell long, hilbert long")
 
 
-def hashed(column: str, bits: int) -> Column:
-    """A category, quantised by its hash; null is 0."""
-    return F.when(F.col(column).isNull(), 0).otherwise(F.pmod(F.xxhash64(column), F.lit(1 << bits))).cast("long")
+def order_key(column: str) -> Column:
+    """A text's first seven bytes as a number: texts in order have keys in order."""
+    return F.conv(F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+
+
+def ordered(df: DataFrame, columns: list[str], bits: int) -> dict[str, Column]:
+    """Texts quantised in their order, into steps of about equally many rows: a step is how many of ``2**bits - 1`` quantiles lie below. Null is 0.
+
+    One aggregation with a bounded state; what comes to the driver is the quantiles.
+    """
+    at = [i / (1 << bits) for i in range(1, 1 << bits)]
+    row = df.agg(*[F.percentile_approx(order_key(c), at).alias(c) for c in columns]).first()
+    below = lambda c: sum((F.when(order_key(c) > q, 1).otherwise(0) for q in row[c] or []), F.lit(0))
+    return {c: F.coalesce(below(c), F.lit(0)).cast("long") for c in columns}
 
 
 def log_size(column: Column, bits: int) -> Column:
@@ -86,20 +98,29 @@ def hilbert_shards(df: DataFrame, dims: dict[str, Column], tie: list[str], shard
     return out.withColumn("slot", F.col("_place") - F.expr(f"(shard * {n}L + {shards - 1}) div {shards}")).drop("_cell", "_start", "_rank", "_place")
 
 
-def manifest(sharded: DataFrame, dims: list[str]) -> DataFrame:
-    """Per shard: rows and the range of every quantised dimension, for skipping shards."""
-    return sharded.groupBy("shard").agg(F.count("*").alias("n_rows"), *[f(d).alias(f"{n}_{d}") for d in dims for n, f in (("min", F.min), ("max", F.max))])
+def manifest(sharded: DataFrame, columns: list[str], rows: int = 1 << 20) -> DataFrame:
+    """Per run of ``rows`` slots of a shard: how many rows, and the range of each of the columns, for skipping files."""
+    run = F.expr(f"slot div {rows}L").alias("run")
+    return sharded.groupBy("shard", run).agg(F.count("*").alias("n_rows"), *[f(d).alias(f"{n}_{d}") for d in columns for n, f in (("min", F.min), ("max", F.max))])
+
+
+def matching(runs: DataFrame, **wanted: object) -> DataFrame:
+    """The runs of a manifest that may hold rows with these values."""
+    for column, value in wanted.items():
+        runs = runs.filter(F.lit(value).between(F.col(f"min_{column}"), F.col(f"max_{column}")))
+    return runs
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder a shard, rows in curve order within its files, so that Parquet's statistics are narrow."""
-    sharded.repartition(F.col("shard")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
+def write_shards(sharded: DataFrame, path: str, files: int) -> None:
+    """One folder a shard and about ``files`` files in all, each a range of the curve, so that Parquet's statistics are narrow and no task writes a whole shard."""
+    sharded.repartitionByRange(files, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, bits: int = 4) -> DataFrame:
     """Documents by source, language and size on the curve: doc_id, size, text_crc32 and the columns of ``hilbert_shards``."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-    dims = {"source_cell": hashed("source", bits), "lang_cell": hashed("lang", bits), "size_cell": log_size(F.col("size"), bits)}
+    cells = ordered(docs, ["source", "lang"], bits)
+    dims = {"source_cell": cells["source"], "lang_cell": cells["lang"], "size_cell": log_size(F.col("size"), bits)}
     own = docs.select("doc_id", "source", "lang", size.alias("size"), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"))
     return hilbert_shards(own, dims, ["doc_id", "text_crc32"], shards, bits)
 
