@@ -8,10 +8,9 @@ where they stand one after another in that sequence, unknown sentences between t
 A sentence may be wrapped over lines, with comment marks before them: it ends at end punctuation or a
 line without a letter or digit, and a line with a copyright year or mark stands alone. A sentence unknown
 as a whole is looked up line by line. ``n_sentences`` counts pieces between line ends and end punctuation.
-``OP9_SQL`` cuts at every line end and has ``SENTENCES`` alone: it says the same of unwrapped statements only.
 
-Nulls: a null text has no sentences. Rows are independent, so that repeated rows, ties and columns
-of other names change nothing (those with the names of added ones give way); an empty table gives an
+Nulls: a null or empty text has no sentences. Rows are independent, so that repeated rows, ties and columns
+of other names change nothing (those with the names of added ones give way). Work on a text is in proportion to its length. An empty table gives an
 empty result.
 """
 
@@ -49,7 +48,7 @@ SENTENCES = {
     "cc-by4-line": "Licensed under CC BY 4.0.",
     "cc0-line": "To the extent possible under law, the author has dedicated all copyright to the public domain.",
 }
-# Other ways to state the same, not in OP9_SQL.
+# Other ways to state the same.
 VARIANTS = [
     ("apache2-line", "Licensed under the Apache License 2.0"),
     ("apache2-line", "This project is licensed under the Apache License, Version 2.0"),
@@ -142,19 +141,24 @@ def op9_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _op9_sql() -> str:
     rules = ", ".join(f"({i}, '{name}', '{licence}', ',{','.join(seq)},')" for i, (name, licence, seq) in enumerate(RULES))
+    names = {**known(), **{normalise(s): k for k, s in VARIANTS}}
+    entries = ", ".join(f"('{s}', '{k}')" for s, k in names.items())
+    spaced = lambda x: f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
     return rf"""
 WITH rule(i, rule, licence, seq) AS (VALUES {rules}),
-cut AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '[.!?;:][ \t-\r]+|\n'),
-          lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS said FROM documents),
-ids AS (SELECT doc_id, len(said)::BIGINT AS n_sentences,
-          list_filter(list_transform(said, lambda x: (map_from_entries([{", ".join(f"('{s}', '{k}')" for s, k in known().items())}]))[x]), lambda x: x IS NOT NULL) AS ids FROM cut),
-line AS (SELECT *, ',' || array_to_string(ids, ',') || ',' AS line FROM ids),
-hit AS (SELECT doc_id, i, rule, licence, seq FROM line, rule WHERE contains(line, seq)),
+said(s, k) AS (VALUES {entries}),
+cut AS (SELECT doc_id, len(list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '{BREAK}'), lambda x: {spaced("x")}), lambda x: x <> ''))::BIGINT AS n_sentences,
+               regexp_split_to_array(regexp_replace(coalesce(text, ''), '{OWNER}', '\1' || chr(10) || chr(10), 'g'), '{WRAPPED_BREAK}') AS sentences FROM documents),
+sentence AS (SELECT doc_id, pos, sentences[pos] AS t, {spaced("sentences[pos]")} AS whole FROM cut, unnest(range(1, len(sentences) + 1)) u(pos)),
+line AS (SELECT doc_id, pos, 0 AS part, whole AS s FROM sentence WHERE whole IN (SELECT s FROM said)
+         UNION ALL SELECT doc_id, pos, part, {spaced("lines[part]")} FROM (SELECT doc_id, pos, string_split(t, chr(10)) AS lines FROM sentence WHERE whole NOT IN (SELECT s FROM said)) z, unnest(range(1, len(lines) + 1)) v(part)),
+ids AS (SELECT doc_id, string_agg(k, ',' ORDER BY pos, part) AS ids, count(*) AS n FROM line JOIN said USING (s) GROUP BY doc_id),
+hit AS (SELECT doc_id, i, rule, licence, seq FROM ids, rule WHERE contains(',' || ids || ',', seq)),
 best AS (SELECT * FROM hit h WHERE NOT EXISTS (SELECT 1 FROM hit o WHERE o.doc_id = h.doc_id AND length(o.seq) > length(h.seq) AND contains(o.seq, h.seq))),
 agg AS (SELECT doc_id, string_agg(rule, ',' ORDER BY i) AS rules, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences FROM best GROUP BY doc_id)
-SELECT line.doc_id, n_sentences, len(ids)::BIGINT AS n_known, array_to_string(ids, ',') AS sentence_ids,
+SELECT cut.doc_id, n_sentences, coalesce(n, 0)::BIGINT AS n_known, coalesce(ids, '') AS sentence_ids,
        coalesce(rules, '') AS rules, coalesce(licences, '') AS licences, rules IS NOT NULL AS licensed
-FROM line LEFT JOIN agg USING (doc_id)
+FROM cut LEFT JOIN ids USING (doc_id) LEFT JOIN agg USING (doc_id)
 """
 
 
