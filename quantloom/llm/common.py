@@ -6,8 +6,6 @@ import ctypes
 import gc
 import math
 import os
-import re
-import tempfile
 import time
 from collections.abc import Iterator
 from pathlib import Path
@@ -17,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import shared
 from .buffers import forget_powers
 
 
@@ -41,22 +40,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; a temporary one where nothing names one and all is on one machine, as in tests."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not re.match(r"local(\[|$)", context.master):
-            raise ValueError("executors need a shared folder: name it in spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quantloom-"))
-    return context.getCheckpointDir()
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: it cuts the lineage and outlives executors."""
+    """Reliable checkpoint in the shared folder: it cuts the lineage and outlives executors."""
     importable(df.sparkSession)
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    return shared.checkpointed(df)
 
 
 def ranked(df: DataFrame, keys: list[str], tie: list[str], out: str, ways: int = 64) -> DataFrame:

@@ -89,14 +89,15 @@ def train(x: np.ndarray, labels: list[str], epochs: int = 60, batch: int = 32, r
         rng.shuffle(order)
         for i in range(0, len(order), batch):
             rows = order[i : i + batch]
-            mean = x[rows] @ m.table
+            own = x[rows].astype(np.float32)
+            mean = own @ m.table
             error = softmax(mean @ m.layer + m.bias)
             error[np.arange(len(rows)), y[rows]] -= 1
             error *= (weight[rows] / len(rows))[:, None]
             back = error @ m.layer.T
             m.layer -= 0.1 * step * (mean.T @ error)
             m.bias -= 0.01 * step * error.sum(axis=0)
-            m.table -= step * (x[rows].T @ back)
+            m.table -= step * (own.T @ back)
     return m
 
 
@@ -132,11 +133,16 @@ def fit(labelled: DataFrame, key: Column, rows: int = 4000, held: int = 20_000,
             x = features(batch.column(0)).astype(np.float16)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), *batch.columns[1:]], names=["x", "lang", "draw"])
 
-    sample = drawn.filter(F.col("draw") < cut).mapInArrow(counted, "x binary, lang string, draw long").orderBy("draw", "x").limit(rows).collect()
-    if not sample:
+    sample = drawn.filter(F.col("draw") < cut).mapInArrow(counted, "x binary, lang string, draw long").orderBy("draw", "x").limit(rows)
+    x, names = np.zeros((rows, BUCKETS), np.float16), []
+    for r in sample.toLocalIterator():  # a row at a time, so that the driver holds the sample once
+        x[len(names)] = np.frombuffer(r["x"], np.float16)
+        names.append(r["lang"])
+    if not names:
         return None
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in sample), np.float16).reshape(len(sample), BUCKETS).astype(np.float32)
-    model = train(x, [r["lang"] for r in sample])
+    model = train(x[: len(names)], names)
+    del x
+    lean()
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
