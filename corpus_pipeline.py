@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm.common import checkpoint_folder, checkpointed, importable, sieved, table
+from quantloom.functions.shared import checkpoint_folder
+from quantloom.llm.common import checkpointed, importable, sieved, table
 from quantloom.llm.decontamination import WINDOW, contamination
 from quantloom.llm.langid import fit, predict
 from quantloom.llm.minhash import NO_ID, grouped
@@ -101,9 +102,16 @@ ORACLE_SQL = None  # SQL expresses neither the model nor the token ids; tests ho
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of ``documents``; what a stage wrote goes when the next one has written. An empty table gives an empty result."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            fs.delete(at(before), True)
+        before = f"{folder}/{name}"
     return docs
