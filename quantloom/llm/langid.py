@@ -131,12 +131,14 @@ def fit(labelled: DataFrame, key: Column, rows: int = 4000, held: int = 20_000,
         lean()
         for batch in slices(batches, 0, limit=1 << 20, rows=256):
             x = features(batch.column(0)).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), *batch.columns[1:]], names=["x", "lang", "draw"])
+            met = [np.flatnonzero(r) for r in x]  # a text meets a part of the buckets
+            yield pa.RecordBatch.from_arrays([pa.array([i.astype("<u2").tobytes() + r[i].tobytes() for i, r in zip(met, x, strict=True)], pa.binary()), *batch.columns[1:]], names=["x", "lang", "draw"])
 
     sample = drawn.filter(F.col("draw") < cut).mapInArrow(counted, "x binary, lang string, draw long").orderBy("draw", "x").limit(rows)
     x, names = np.zeros((rows, BUCKETS), np.float16), []
     for r in sample.toLocalIterator():  # a row at a time, so that the driver holds the sample once
-        x[len(names)] = np.frombuffer(r["x"], np.float16)
+        n = len(r["x"]) // 4
+        x[len(names), np.frombuffer(r["x"], "<u2", n)] = np.frombuffer(r["x"], np.float16, n, 2 * n)
         names.append(r["lang"])
     if not names:
         return None
