@@ -12,8 +12,9 @@ The template marks turns: ``<|im_start|>role\\ntext<|im_end|>\\n``. Control stri
 escaped (``&`` as ``&amp;``, ``<|`` as ``&lt;|``, a line end in a role as ``&nl;``) so that a text can
 never open or close a turn, and ``unescape`` gives back what was said.
 
-Nulls: a null text or role is empty, a null conversation is one of its own. Rows that tie in their
-turn follow by role and text; repeated rows are repeated turns. An empty table gives an empty result.
+Nulls: a null text or role is empty, a null turn comes first, a null conversation is one of its own. Rows that tie in their
+turn follow by role and text; repeated rows are repeated turns. A text may be empty or very long: it is streamed in parts. Columns that
+the log doesn't name are left behind, whatever they are called. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,17 +37,32 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("&lt;|"), F.lit("<|")), F.lit("&amp;"), F.lit("&"))
 
 
-def events_of(rows: DataFrame, part: int = PART) -> DataFrame:
-    """The log of plain (conv_id, turn, role, text) rows: a create and the text streamed in deltas of ``part`` characters."""
+def events_of(rows: DataFrame, part: int = PART, drafts: bool = False) -> DataFrame:
+    """The log of plain (conv_id, turn, role, text) rows: a create and the text streamed in deltas of ``part`` characters.
+
+    ``drafts``: as a log that was not written in one go. Of three turns one is streamed as it is, one begins with a draft that is edited, one with
+    a draft that is regenerated; and each conversation has a last turn that is deleted again. It folds into the same messages.
+    """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     said = rows.select(
         "conv_id", (F.row_number().over(order) - 1).cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    event = lambda n, kind, role, text: F.struct(n.cast("long").alias("n"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
+    none, turn, role, text = F.lit(None).cast("string"), F.col("turn"), F.col("role"), F.col("text")
+    event = lambda at, n, kind, who, what: F.struct(at.cast("long").alias("turn"), F.lit(n).cast("long").alias("n") if isinstance(n, int) else n.cast("long").alias("n"), F.lit(kind).alias("kind"), who.alias("role"), what.alias("text"))
     last = F.floor(F.greatest(F.length("text") - 1, F.lit(0)) / part).cast("int")
-    deltas = F.transform(F.sequence(F.lit(0), last), lambda i: event(i + 1, "delta", F.lit(None).cast("string"), F.substring(F.col("text"), i * part + 1, F.lit(part))))
-    log = said.select("conv_id", "turn", F.explode(F.concat(F.array(event(F.lit(0), "create", F.col("role"), F.lit(None).cast("string"))), deltas)).alias("e"))
-    return log.select("conv_id", (F.col("turn") * (1 << 32) + F.col("e.n")).alias("seq"), "turn", "e.kind", "e.role", "e.text")
+    piece = lambda i: F.substring(text, i * part + 1, F.lit(part))
+    streamed = lambda first: F.transform(F.sequence(F.lit(0), last), lambda i: event(turn, i + first, "delta", none, piece(i)))
+    create = event(turn, 0, "create", role, none)
+    log = F.concat(F.array(create), streamed(1))
+    if drafts:
+        draft = F.substring(text, 1, 16)
+        again = lambda kind: F.concat(F.array(create, event(turn, 1, "delta", none, draft), event(turn, 2, kind, none, piece(F.lit(0)))), F.filter(streamed(2), lambda e: e["n"] > 2))
+        log = F.when(turn % 3 == 1, again("edit")).when(turn % 3 == 2, again("regenerate")).otherwise(log)
+        end = F.lit(1 << 20)
+        taken_back = F.array(event(end, 0, "create", role, none), event(end, 1, "delta", none, draft), event(end, 2, "delete", none, none))
+        log = F.concat(log, F.when(turn == 0, taken_back).otherwise(F.slice(taken_back, 1, 0)))
+    log = said.select("conv_id", F.explode(log).alias("e"))
+    return log.select("conv_id", (F.col("e.turn") * (1 << 32) + F.col("e.n")).alias("seq"), "e.turn", "e.kind", "e.role", "e.text")
 
 
 def fold(log: DataFrame) -> DataFrame:
@@ -100,7 +116,7 @@ def read_back(formatted: Column) -> Column:
 def op5_event_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     test = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(INJECTION).alias("text"))
-    chats = render(fold(events_of(rows.unionByName(test))))
+    chats = render(fold(events_of(rows.unionByName(test), drafts=True)))
     chats = chats.select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"), F.filter("segments", lambda s: s["loss"]).alias("loss"))
     chats = chats.select("conv_id", "formatted", "turns", F.array_join(F.transform("loss", lambda s: unescape(s["text"])), "").alias("loss"))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -11,7 +11,8 @@ The benchmark is a stated query set: it is taken in blocks of bounded size and e
 all documents. Counting rarities and joining both run in tasks over bounded slices of documents.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z, compared by 64-bit hashes. Nulls: a null
-text has no words, a null item id is left out of the list of items. Ties in rarity go by position.
+text has no words, as an empty one, a null item id is left out of the list of items. Ties in rarity go by position. A very long text is taken
+whole, in a slice by itself.
 Repeated items or documents are each counted. Columns with the names of those that are added give way.
 Empty tables: nothing is contaminated.
 """

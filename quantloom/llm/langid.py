@@ -12,7 +12,7 @@ slice at a time; only the sample's counts and the model (``BUCKETS`` x ``DIM``)
 
 Nulls: a null text, or one with no letter, is ``und`` with score 0 and is rejected. Rows without a label
 teach nothing. Ties between languages go to the first in order. With no labelled row at all every
-text is ``und``. An empty table gives an empty result; repeated rows are predicted alike; columns with the
+text is ``und``. A very long text is counted whole, in a slice by itself. An empty table gives an empty result; repeated rows are predicted alike; columns with the
 names of those that are added give way.
 """
 

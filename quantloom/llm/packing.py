@@ -9,7 +9,8 @@ by length (at most ``capacity`` numbers on the driver, however many documents),
 number lo to hi of this length go, so many a bin, to bins from this number on". Pieces are then
 numbered within their length and look their run up; no piece visits the driver.
 
-Null and empty texts give one piece with the end token alone. Repeated rows are packed each.
+Null and empty texts give one piece with the end token alone; a very long text gives as many as it takes, encoded by itself. Pieces that tie in
+length go by id, number and checksum; repeated rows are packed each. Only doc_id and text are read, so that no other column can clash.
 An empty table gives an empty result.
 """
 

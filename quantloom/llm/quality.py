@@ -5,7 +5,7 @@ Which documents stay is then a question to the ledger: a policy is a version and
 a document passes if no bit of the mask is set, and what each rule alone costs a policy is counted
 from the bits without touching a text again.
 
-Nulls: a null text has no words and fails as an empty one does. Rows are independent, so that ties,
+Nulls: a null text has no words and fails as an empty one does. A very long text is measured whole. Rows are independent, so that ties,
 repeated rows and columns of other names change nothing (those with the names of added ones give way); an
 empty table gives an empty result.
 All work on a document is in the order n log n of its words.

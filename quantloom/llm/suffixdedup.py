@@ -21,7 +21,7 @@ the input, so that a group is about ``GROUP_MB`` of it at any size; a task sends
 
 Nulls: a null text is empty, a null id sorts before all others. Rows with one id and different texts are
 documents in the order of a checksum of the text; rows that repeat id and text are one document and
-get one result each. Texts shorter than ``length`` lose nothing. An empty table gives an empty result; columns with the names of
+get one result each. A very long text is hashed a chunk at a time and stands in one group. Texts shorter than ``length`` lose nothing. An empty table gives an empty result; columns with the names of
 added ones give way.
 """
 

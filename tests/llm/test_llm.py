@@ -298,6 +298,9 @@ def test_chat_round_trip(spark):
     row = chat.render(chat.fold(chat.events_of(df))).select("formatted", chat.read_back(F.col("formatted")).alias("t"), "segments").first()
     assert [(t.role, t.text) for t in row.t] == [(r or "", t or "") for r, t in said]
     assert "".join(s.text for s in row.segments) == row.formatted
+    log = chat.events_of(df, part=5, drafts=True).cache()
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"create", "delta", "edit", "regenerate", "delete"}
+    assert [(r.turn, r.role, r.text) for r in chat.fold(log).orderBy("turn").collect()] == [(i, r or "", t or "") for i, (r, t) in enumerate(said)]
     assert chat.render(chat.fold(chat.events_of(nothing(df)))).count() == 0
 
 
