@@ -170,6 +170,14 @@ def test_an_upsert_rewrites_only_its_partitions(spark, tmp_path):
     assert rows() == sorted([*want, ("D", 2023, 7.0)])
 
 
+def test_columns_that_files_lack_are_null(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.save(spark.createDataFrame([("A", 1.0)], "k string, v double"), path)
+    wider = spark.createDataFrame([("B", 2.0, "x")], "k string, v double, note string")
+    tables.merge(spark, path, wider.schema, wider, ["k"])
+    assert {r.k: r.note for r in tables.read(spark, path, wider.schema).collect()} == {"A": None, "B": "x"}
+
+
 def test_replace_empties_a_window(spark, tmp_path):
     path = str(tmp_path / "w")
     t = spark.createDataFrame([("A", 90, 1.0), ("A", 365, 2.0)], "k string, w int, v double")
