@@ -349,7 +349,7 @@ def made_model(ids, steps=20):
     """A model of one text's counts, and its windows."""
     count = np.bincount(np.append(ids, attention.END), minlength=attention.VOCABULARY).astype(float)
     top = np.argsort(-count, kind="stable")[: attention.BESIDE]
-    feature = np.bincount(attention.neighbours(ids, top), minlength=attention.VOCABULARY * 2 * attention.BESIDE).reshape(attention.VOCABULARY, -1)
+    feature = np.bincount(attention.neighbours(ids, np.array([len(ids)]), top), minlength=attention.VOCABULARY * 2 * attention.BESIDE).reshape(attention.VOCABULARY, -1)
     cut = laid(ids)
     return attention.train(attention.start(count, feature), *cut, steps=steps), cut
 
@@ -392,6 +392,13 @@ def test_each_token_is_scored_once_and_causally():
     np.testing.assert_allclose(model.log10(x2, y2)[real2][:200], base[:200], rtol=1e-4)
     both = laid(ids[:50], np.zeros(0, np.int64), ids)  # texts side by side are windows of their own
     assert both[1][both[2]].tolist() == [*ids[:50].tolist(), attention.END, attention.END, *ids.tolist(), attention.END] and (both[0][-len(x) :] == x).all()
+    apart = Counter(np.concatenate([attention.neighbours(t, np.array([len(t)]), np.arange(32)) for t in (ids, ids[:0], ids[:9])]).tolist())
+    assert Counter(attention.neighbours(np.concatenate([ids, ids[:9]]), np.array([len(ids), 0, 9]), np.arange(32)).tolist()) == apart
+    blobs = [t.astype("<u2").tobytes() for t in (ids, ids[:0], ids[:100])]
+    _, line, begin, y3, real3 = scoring._drawn(blobs, lambda d: d % np.uint64(3) == 0)
+    every = {(a.tobytes(), b.tobytes(), c.tobytes()) for a, b, c in zip(*laid(ids, ids[:0], ids[:100]), strict=True)}
+    some = list(zip(attention.inputs_at(line, begin), y3, real3, strict=True))
+    assert 0 < len(some) < len(every) and all((a.tobytes(), b.tobytes(), c.tobytes()) in every for a, b, c in some)
     total = np.bincount(model.class_of, weights=np.exp(model.share), minlength=attention.CLASSES)
     np.testing.assert_allclose(total[np.unique(model.class_of)], 1, rtol=1e-3)  # shares of a class, and so all ids, come to one
 
