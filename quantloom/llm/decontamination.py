@@ -19,7 +19,6 @@ Empty tables: nothing is contaminated.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
