@@ -54,7 +54,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     importable(spark)
     rows = checkpointed(grouped(docs, SHINGLE, *SIMILAR).groupBy("_id", "_h", "_group").agg(F.count("*").alias("_n")))
-    least = rows.groupBy("_group").agg(F.min(F.struct("_id", "_h")).alias("_least"))
+    least = checkpointed(rows.groupBy("_group").agg(F.min(F.struct("_id", "_h")).alias("_least")))  # so that a large group's rows can be split in the join
     told = rows.join(least, "_group").withColumn("_stays", F.struct("_id", "_h") == F.col("_least"))
     key = F.xxhash64("_id", "_h")
     doubtful = checkpointed(told.filter("_n > 1 or not _stays").select(key.alias("_key"), "_id", "_h", "_stays"))
