@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their SQL."""
 
-from . import chat, decontamination, langid, licenses, minhash, packing, quality, scoring, sharding, suffixdedup
+from . import bpe, chat, decontamination, langid, licenses, minhash, packing, quality, scoring, sharding, spelling, suffixdedup, whitening
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_rule_ledger": quality.op8_rule_ledger,
     "op9_license_sentences": licenses.op9_license_sentences,
     "op10_minhash_postings": minhash.op10_minhash_postings,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_matrix_bpe": bpe.op13_matrix_bpe,
 }
 ORACLE_SQL = {
     "op5_event_chat": chat.OP5_SQL,
