@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.expr import by_ticker, exceeds, full, ratio, rounded
+from ..functions.quantiles import quantiles
 from .relatedness import shrunk
 
 # The events in their order; the first eight are bullish.
@@ -97,14 +98,16 @@ def long_excess(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def robust(rows: DataFrame, keys: list[str], value: str = "excess", cfg: Config = DEFAULT) -> DataFrame:
-    """n, median, winsorised mean and the share above 0 by group: percentiles first, then the clipped mean against them."""
+    """n, median, winsorised mean and the share above 0 by group: quantiles first, then the clipped mean against them.
+
+    ``rows`` is read for each, so pass it cheap to read again.
+    """
     lo, hi = cfg.winsor
-    cuts = rows.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(lo), F.lit(0.5), F.lit(hi))).alias("_cut"))
+    cuts = quantiles(rows, keys, value, [lo, 0.5, hi]).select(*keys, F.col("q").alias("_cut"))
     clipped = F.least(F.greatest(F.col(value), F.col("_cut")[0]), F.col("_cut")[2])
-    out = rows.join(cuts, keys).groupBy(*keys).agg(
-        F.count(value).alias("n"), rounded(F.first("_cut")[1], 6).alias("median"), rounded(F.avg(clipped), 6).alias("wmean"), rounded(F.avg(exceeds(F.col(value), F.lit(0.0)).cast("int")), 6).alias("frac_gt0")
+    return rows.join(cuts, keys).groupBy(*keys).agg(
+        F.count(value).alias("n"), rounded(F.max(F.col("_cut")[1]), 6).alias("median"), rounded(F.avg(clipped), 6).alias("wmean"), rounded(F.avg(exceeds(F.col(value), F.lit(0.0)).cast("int")), 6).alias("frac_gt0")
     )
-    return out
 
 
 SPLITS = ("all", "slope", "volume", "year")

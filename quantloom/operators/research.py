@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.expr import exceeds, rounded
+from ..functions.quantiles import medians, quantiles
+from ..functions.shared import checkpointed
 from .indicators import score_parts, weighted
 
 # The parameter grids that are searched.
@@ -44,25 +46,34 @@ def regime_streaks(df: DataFrame) -> DataFrame:
     """Lengths of runs of one regime, by gaps and islands: mean, quartiles, longest."""
     df = df.filter("ticker_regime is not null")
     island = F.row_number().over(Window.partitionBy("ticker").orderBy("date")) - F.row_number().over(Window.partitionBy("ticker", "ticker_regime").orderBy("date"))
-    runs = df.select("ticker", "ticker_regime", island.alias("_island")).groupBy("ticker", "ticker_regime", "_island").agg(F.count("*").alias("run"))
-    out = runs.groupBy("ticker_regime").agg(F.count("*").alias("n_streaks"), rounded(F.avg("run"), 4).alias("mean_days"), F.percentile("run", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"), F.max("run").alias("max_days"))
-    return out.select("ticker_regime", "n_streaks", "mean_days", *[rounded(F.col("_q")[i], 4).alias(n) for i, n in enumerate(("p25", "median_days", "p75"))], "max_days")
+    runs = checkpointed(df.select("ticker", "ticker_regime", island.alias("_island")).groupBy("ticker", "ticker_regime", "_island").agg(F.count("*").alias("run")))
+    out = runs.groupBy("ticker_regime").agg(F.count("*").alias("n_streaks"), rounded(F.avg("run"), 4).alias("mean_days"), F.max("run").alias("max_days"))
+    cuts = quantiles(runs, ["ticker_regime"], "run", [0.25, 0.5, 0.75]).select("ticker_regime", *[rounded(F.col("q")[i], 4).alias(n) for i, n in enumerate(("p25", "median_days", "p75"))])
+    return out.join(cuts, "ticker_regime").select("ticker_regime", "n_streaks", "mean_days", "p25", "median_days", "p75", "max_days")
 
 
 def falling_knife(feats: DataFrame, outcomes: DataFrame, below: float = -0.15) -> DataFrame:
     """Excess after signals far under the long average, by regime and direction, NULLs last."""
     deep = feats.filter((F.col("dist_sma200") < below) & F.col("ticker_regime").isNotNull()).select("ticker", F.col("date").alias("signal_date"), "ticker_regime", "trend_direction")
     at = lambda h: outcomes.filter(F.col("horizon_days") == h).select("ticker", "signal_date", F.col("excess_return").alias(f"x{h}"), F.col("direction_correct").alias(f"d{h}"))
-    df = deep.join(at(21), ["ticker", "signal_date"], "left").join(at(63), ["ticker", "signal_date"], "left").filter("x21 is not null or x63 is not null")
-    out = df.groupBy("ticker_regime", "trend_direction").agg(
-        F.count("*").alias("n"), rounded(F.avg("x21"), 6).alias("mean_21"), rounded(F.median("x21"), 6).alias("median_21"), rounded(F.avg("x63"), 6).alias("mean_63"), rounded(F.median("x63"), 6).alias("median_63"), share(F.col("d21")).alias("dir_acc_21")
-    )
-    return out.orderBy("ticker_regime", F.asc_nulls_last("trend_direction"))
+    df = checkpointed(deep.join(at(21), ["ticker", "signal_date"], "left").join(at(63), ["ticker", "signal_date"], "left").filter("x21 is not null or x63 is not null"))
+    keys = ["ticker_regime", "trend_direction"]
+    out = df.groupBy(*keys).agg(F.count("*").alias("n"), rounded(F.avg("x21"), 6).alias("mean_21"), rounded(F.avg("x63"), 6).alias("mean_63"), share(F.col("d21")).alias("dir_acc_21"))
+    middle = medians(df, keys, ["x21", "x63"]).select(F.col(keys[0]).alias("_regime"), F.col(keys[1]).alias("_trend"), rounded(F.col("x21"), 6).alias("median_21"), rounded(F.col("x63"), 6).alias("median_63"))
+    both = out.join(middle, F.col("_regime").eqNullSafe(F.col(keys[0])) & F.col("_trend").eqNullSafe(F.col(keys[1])))  # a row for each pair of labels
+    return both.select(*keys, "n", "mean_21", "median_21", "mean_63", "median_63", "dir_acc_21").orderBy(keys[0], F.asc_nulls_last(keys[1]))
+
+
+def _with_median(out: DataFrame, rows: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    found = quantiles(rows, keys, value, [0.5])
+    return out.join(found.select(*keys, rounded(F.col("q")[0], 6).alias(name)), keys)
 
 
 def outcome_base_rates(outcomes: DataFrame, horizons: Sequence[int] = (21, 63)) -> DataFrame:
     df = outcomes.filter(F.col("excess_return").isNotNull() & F.col("horizon_days").isin(*horizons))
-    return df.groupBy("horizon_days").agg(F.count("*").alias("n"), rounded(F.avg("excess_return"), 6).alias("mean_excess"), rounded(F.median("excess_return"), 6).alias("median_excess"), share(F.col("direction_correct")).alias("dir_acc"))
+    df = checkpointed(df.select("horizon_days", "excess_return", "direction_correct"))
+    out = df.groupBy("horizon_days").agg(F.count("*").alias("n"), rounded(F.avg("excess_return"), 6).alias("mean_excess"), share(F.col("direction_correct")).alias("dir_acc"))
+    return _with_median(out, df, ["horizon_days"], "excess_return", "median_excess").select("horizon_days", "n", "mean_excess", "median_excess", "dir_acc")
 
 
 def threshold_sensitivity(df: DataFrame, cuts: Sequence[int] = (20, 25, 30, 35, 40), slope: float = 0.02) -> DataFrame:
@@ -83,7 +94,9 @@ def distance_bucket(distance: Column) -> Column:
 def dist_buckets(feats: DataFrame, outcomes: DataFrame, horizon: int = 42) -> DataFrame:
     f = feats.filter("dist_52w_high is not null and sma200_slope > 0").select("ticker", F.col("date").alias("signal_date"), distance_bucket(F.col("dist_52w_high")).alias("dist_bucket"))
     o = outcomes.filter((F.col("horizon_days") == horizon) & F.col("excess_return").isNotNull() & (F.col("price_at_signal") >= 1.0)).select("ticker", "signal_date", "excess_return")
-    return o.join(f, ["ticker", "signal_date"]).groupBy("dist_bucket").agg(F.count("*").alias("n"), rounded(F.median("excess_return"), 6).alias("median_42d"), share(exceeds(F.col("excess_return"), F.lit(0.0))).alias("frac_gt0"))
+    df = checkpointed(o.join(f, ["ticker", "signal_date"]).select("dist_bucket", "excess_return"))
+    out = df.groupBy("dist_bucket").agg(F.count("*").alias("n"), share(exceeds(F.col("excess_return"), F.lit(0.0))).alias("frac_gt0"))
+    return _with_median(out, df, ["dist_bucket"], "excess_return", "median_42d").select("dist_bucket", "n", "median_42d", "frac_gt0")
 
 
 def three_way(rows: DataFrame) -> DataFrame:
@@ -138,7 +151,8 @@ def price_buckets(outcomes: DataFrame, horizon: int = 42) -> DataFrame:
     p = F.col("price_at_signal")
     bucket = F.when(p < 5, "a_under_5").when(p < 20, "b_5_to_20").when(p < 100, "c_20_to_100").otherwise("d_100_up")
     df = outcomes.filter((F.col("horizon_days") == horizon) & F.col("excess_return").isNotNull())
-    return df.groupBy(bucket.alias("price_bucket")).agg(F.count("*").alias("n"), rounded(F.median("excess_return"), 6).alias("median_excess"))
+    found = quantiles(checkpointed(df.select(bucket.alias("price_bucket"), "excess_return")), ["price_bucket"], "excess_return", [0.5])
+    return found.select("price_bucket", "n", rounded(F.col("q")[0], 6).alias("median_excess"))
 
 
 def threshold_grid(resolved: DataFrame, days: int = 10, cfg: Config = DEFAULT) -> DataFrame:
