@@ -60,6 +60,7 @@ class Config:
     max_missing_share: float = 0.20
     days_a_year: int = 252
     benchmark: str = "SPY"
+    vix_source: str = "provider"
 
     @property
     def history_days(self) -> int:

@@ -35,29 +35,62 @@ def valid(bars: DataFrame) -> DataFrame:
     return bars.filter("close > 0 and volume >= 0")
 
 
-def missing(requested: DataFrame, bars: DataFrame) -> DataFrame:
-    """One row: requested, missing and whether so many are missing that nothing should go on; no bar at all is a holiday."""
-    have = bars.select("ticker").distinct().withColumn("_in", F.lit(1))
-    counts = requested.select("ticker").distinct().join(have, "ticker", "left").agg(F.count("*").alias("requested"), F.count(F.when(F.col("_in").isNull(), 1)).alias("missing"))
-    stop = (F.col("missing") < F.col("requested")) & (F.col("missing") > DEFAULT.max_missing_share * F.col("requested"))
-    return counts.withColumn("stop", stop)
-
+def missing(requested: DataFrame, bars: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """One row: requested, missing and whether so many are missing that nothing should go on.
 
-def check(requested: DataFrame, bars: DataFrame, cfg: Config = DEFAULT) -> None:
-    """Raises if the circuit breaker trips; reads one row."""
-    row = missing(requested, bars).first()
-    if row["missing"] < row["requested"] and row["missing"] > cfg.max_missing_share * row["requested"]:
+    ``bars`` is all that was fetched, valid or not: a bar that is not valid is there. Nothing fetched at all is a holiday; bars of others
+    alone are not.
+    """
+    have = bars.select("ticker").distinct().withColumn("_in", F.lit(1))
+    own = requested.select("ticker").distinct().withColumn("_asked", F.lit(1))
+    counts = own.join(have, "ticker", "full").agg(
+        F.count("_asked").alias("requested"), F.count(F.when(F.col("_in").isNull(), 1)).alias("missing"), F.count("_in").alias("_fetched")
+    )
+    stop = (F.col("_fetched") > 0) & (F.col("missing") > cfg.max_missing_share * F.col("requested"))
+    return counts.select("requested", "missing", stop.alias("stop"))
+
+
+def check(requested: DataFrame, bars: DataFrame, cfg: Config = DEFAULT) -> bool:
+    """Raises if the circuit breaker trips; false on a holiday. Reads one row."""
+    row = missing(requested, bars, cfg).first()
+    if row["stop"]:
         raise RuntimeError(f"{row['missing']} of {row['requested']} tickers have no bar")
+    return row["missing"] < row["requested"]
 
 
 def rebased(bars: DataFrame, splits: DataFrame) -> DataFrame:
-    """History restated for later splits (ticker, date, factor): bars before a split's date are divided by its factor."""
+    """History restated for later splits (ticker, date, factor): of bars before a split's date prices are divided by its factor and the volume multiplied."""
     hits = bars.select("ticker", "date").join(splits.select("ticker", F.col("date").alias("_on"), "factor"), "ticker").filter("date < _on")
     factor = hits.groupBy("ticker", "date").agg(F.exp(F.sum(F.ln("factor"))).alias("_f"))
     df = bars.join(factor, ["ticker", "date"], "left").withColumn("_f", F.coalesce("_f", F.lit(1.0)))
-    return df.withColumns({c: F.col(c) / F.col("_f") for c in ("open", "high", "low", "close")}).drop("_f")
+    prices = {c: F.col(c) / F.col("_f") for c in ("open", "high", "low", "close")}
+    return df.withColumns(prices | ({"volume": F.round(F.col("volume") * F.col("_f")).cast("long")} if "volume" in df.columns else {})).drop("_f")
+
+
+def acted(splits: DataFrame, dividends: DataFrame, since: Column, until: Column) -> DataFrame:
+    """Tickers with a split or a dividend dated from ``since`` to ``until``; indexes have none."""
+    both = splits.select("ticker", "date").unionByName(dividends.select("ticker", "date"))
+    return both.filter(F.col("date").between(since, until) & ~is_index(F.col("ticker"))).select("ticker").distinct()
+
+
+def shifted(stored: DataFrame, fetched: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """Tickers whose stored closes are of another adjustment than what was fetched for the same dates."""
+    both = stored.select("ticker", "date", "close").join(fetched.select("ticker", "date", F.col("close").alias("_new")), ["ticker", "date"])
+    return both.filter(F.abs(ratio(F.col("close"), F.col("_new")) - 1.0) > tolerance).select("ticker").distinct()
+
+
+def refreshed(stored: DataFrame, history: DataFrame) -> DataFrame:
+    """The stored bars, those of tickers that ``history`` has replaced by it as a whole, so that all rows of a ticker are of one adjustment."""
+    return stored.join(history.select("ticker").distinct(), "ticker", "left_anti").unionByName(history.select(stored.columns))
 
 
 def stale(metadata: DataFrame, now: Column, days: int = 7) -> DataFrame:
-    """Metadata to fetch again: never fetched, or so many days ago."""
-    return metadata.filter(F.col("updated_at").isNull() | (now >= F.date_add(F.to_date("updated_at"), days)))
+    """Metadata to fetch again: never fetched, or so many whole days of 24 hours ago."""
+    elapsed = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("updated_at").cast("timestamp"))
+    return metadata.filter(F.col("updated_at").isNull() | (elapsed >= days * 86_400_000_000))
+
+
+def due(tickers: DataFrame, metadata: DataFrame, now: Column, days: int = 7) -> DataFrame:
+    """Of the tickers those whose metadata is stale or was never stored; indexes have none."""
+    fresh = metadata.join(stale(metadata.select("ticker", "updated_at"), now, days).select("ticker"), "ticker", "left_anti")
+    return tickers.select("ticker").distinct().filter(~is_index(F.col("ticker"))).join(fresh.select("ticker"), "ticker", "left_anti")

@@ -11,12 +11,12 @@ from ..config import DEFAULT, Config
 from ..functions.expr import by_ticker, ratio, rounded
 
 
-def calendar_returns(bars: DataFrame) -> DataFrame:
+def calendar_returns(bars: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """(ticker, date, r): the daily return on the calendar of all tickers; after a gap there is none.
 
-    The calendar is one row a day whatever the number of tickers.
+    The calendar is one row a day whatever the number of tickers; ``calendar`` has the dates where ``bars`` are of some tickers only.
     """
-    days = bars.select("date").distinct().withColumn("_day", F.row_number().over(Window.orderBy("date")))
+    days = (bars if calendar is None else calendar).select("date").distinct().withColumn("_day", F.row_number().over(Window.orderBy("date")))
     df = bars.select("ticker", "date", "close").join(days, "date")
     w = by_ticker()
     r = F.when(F.lag("_day").over(w) == F.col("_day") - 1, ratio(F.col("close"), F.lag("close").over(w)) - 1.0)

@@ -8,31 +8,38 @@ file system. A night touches the partitions that it has rows of, however much hi
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def upserted(target: DataFrame, source: DataFrame, key: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """The target's rows with the source's in their place or beside them; columns in ``keep`` stay as the target has them.
+def upserted(target: DataFrame, source: DataFrame, key: list[str], keep: tuple[str, ...] = (), latest: str | None = None) -> DataFrame:
+    """The target's rows with the source's in their place or beside them. Columns in ``keep``, and those that the source lacks, stay as the target has them.
 
-    The source wins by key; a key that it has twice, its greatest row.
+    The source wins by key; of several rows of a key in the source the greatest. With ``latest``, a column that both have, the row that has
+    the greatest value there wins, be it the target's: what arrived late never gives way to what arrived before it.
     """
     columns = target.columns
-    source = source.select(*[F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in columns])
-    rows = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)))
+    by = [F.desc_nulls_last(latest)] if latest and latest in source.columns else []
+    keep = (*keep, *(c for c in columns if c not in source.columns))
+    rows = target.withColumn("_new", F.lit(0)).unionByName(_filled(source, target).withColumn("_new", F.lit(1)))
     comparable = [c for c in columns if c not in key]
-    w = Window.partitionBy(*key).orderBy(F.desc("_new"), *[F.desc_nulls_last(c) for c in comparable])
+    w = Window.partitionBy(*key).orderBy(*by, F.desc("_new"), *[F.desc_nulls_last(c) for c in comparable])
     old = Window.partitionBy(*key)
     out = rows.withColumns({c: F.coalesce(F.max(F.when(F.col("_new") == 0, F.col(c))).over(old), F.col(c)) for c in keep}) if keep else rows
     return out.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").select(columns)
 
 
+def _filled(source: DataFrame, target: DataFrame) -> DataFrame:
+    """The target's columns; those that the source lacks are NULL."""
+    return source.select(*[F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns])
+
+
 def inserted(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
     """The target and those source rows whose key it lacks; a key that the source has twice, its least row."""
     own = Window.partitionBy(*key).orderBy(*[F.col(c) for c in target.columns if c not in key])
-    new = source.select(target.columns).join(target.select(*key), key, "left_anti").select(target.columns)
+    new = _filled(source, target).join(target.select(*key), key, "left_anti").select(target.columns)
     return target.unionByName(new.withColumn("_rank", F.row_number().over(own)).filter("_rank = 1").drop("_rank"))
 
 
@@ -69,26 +76,28 @@ def versions(spark: SparkSession, path: str) -> dict[str, list[int]]:
     return {part: sorted(v) for part, v in found.items()}
 
 
-def read(spark: SparkSession, path: str, schema, only: Iterable[str] | None = None) -> DataFrame:
-    """The table at ``path``, or some of its partitions: the newest version of each. Columns that files lack are NULL; empty if nothing was ever published."""
-    wanted = None if only is None else set(only)
-    paths = [f"{path}/{PART}={part}/{VERSION}={v[-1]}" for part, v in versions(spark, path).items() if wanted is None or part in wanted]
+def read(spark: SparkSession, path: str, schema, only: Iterable[str] | Callable[[str], bool] | None = None) -> DataFrame:
+    """The table at ``path``, or the partitions in ``only`` or for which it is true: the newest version of each. Columns that files lack are NULL; empty if nothing was ever published."""
+    wanted = (lambda _: True) if only is None else only if callable(only) else set(only).__contains__
+    paths = [f"{path}/{PART}={part}/{VERSION}={v[-1]}" for part, v in versions(spark, path).items() if wanted(part)]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def publish(df: DataFrame, path: str, part: Column | None = None, empty: Iterable[str] = ()) -> list[str]:
+def publish(df: DataFrame, path: str, part: Column | None = None, empty: Iterable[str] = (), order: Iterable[str] = ()) -> list[str]:
     """Writes the partitions that ``df`` has rows of, and those named in ``empty`` without rows, each as a new version; gives their names.
 
     All is written beside first (``_new-``, which no reader looks at). Then each partition's folder is renamed to a
     version's name that isn't there yet: a reader sees a partition's old version or its new one. A run that
     stops on the way leaves some partitions old and none missing, and can be done again. A rename that does not happen, for one because another
     writer took the name, is an error. The version before stays for readers that have begun; older ones go.
+    Rows are rebalanced by partition, large partitions over as many tasks as their bytes ask for, and sorted by ``order`` in each.
     """
     spark = df.sparkSession
     fs, at = _fs(spark, path)
     new = f"{path}/_new-{uuid.uuid4().hex}"
     named = df.withColumn(PART, F.coalesce(part.cast("string"), F.lit("none")) if part is not None else F.lit("all"))
-    (named.repartition(PART) if part is not None else named).write.partitionBy(PART).parquet(new)
+    dealt = named.hint("rebalance", PART).sortWithinPartitions(PART, *order) if part is not None else named
+    dealt.write.partitionBy(PART).parquet(new)
     before, done = versions(spark, path), []
     staged = {f.getPath().getName()[len(PART) + 1 :]: f.getPath() for f in fs.globStatus(at(f"{new}/{PART}=*")) or []}
     for name in empty if part is not None else ["all"]:
@@ -115,13 +124,26 @@ def parts_of(rows: DataFrame, part: Column | None) -> list[str]:
     return [r[0] for r in rows.select(F.coalesce(part.cast("string"), F.lit("none"))).distinct().collect()]
 
 
-def merge(spark: SparkSession, path: str, schema, source: DataFrame, key: list[str], part: Column | None = None, ignore: bool = False, keep: tuple[str, ...] = ()) -> list[str]:
+def merge(
+    spark: SparkSession, path: str, schema, source: DataFrame, key: list[str], part: Column | None = None, ignore: bool = False, keep: tuple[str, ...] = (), latest: str | None = None
+) -> list[str]:
     """Upserts (or inserts where absent) into a table: only partitions that the source has rows of are read and written.
 
     ``part`` is made of key columns, so that a key stays in its partition. The source is computed twice, so pass it cheap to read.
     """
     target = read(spark, path, schema, parts_of(source, part))
-    return publish(inserted(target, source, key) if ignore else upserted(target, source, key, keep), path, part)
+    return publish(inserted(target, source, key) if ignore else upserted(target, source, key, keep, latest), path, part, order=key)
+
+
+def replace_rows(spark: SparkSession, path: str, schema, rows: DataFrame, listed: DataFrame, key: list[str], part: Column, within: Callable[[str], bool] = lambda _: True) -> list[str]:
+    """Everything that a table has of the listed keys gives way to ``rows``; partitions that have neither are not touched.
+
+    ``within`` names the partitions that can have listed keys, others are not looked at. ``rows`` and ``listed`` are read several times.
+    """
+    held = read(spark, path, schema, within).join(listed.select(*key), key, "left_semi")
+    touched = sorted({*parts_of(rows, part), *parts_of(held, part)})
+    target = read(spark, path, schema, touched)
+    return publish(without(target, listed, key).unionByName(_filled(rows, target)), path, part, touched, order=key)
 
 
 def replace(spark: SparkSession, path: str, source: DataFrame, column: str, values: list) -> list[str]:

@@ -16,18 +16,30 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.shared import checkpointed
-from ..operators import analysis, features, indicators, outcomes, relatedness, research, tables
-from ..schemas import fit, key, part, schema
+from ..operators import analysis, features, indicators, ingest, outcomes, relatedness, research, tables
+from ..schemas import YEARS, buckets_of, fit, given, key, part, schema, within
 
 log = logging.getLogger(__name__)
 
 
-def _merge(spark: SparkSession, root: str, table: str, rows: DataFrame, ignore: bool = False, keep: tuple[str, ...] = ()) -> None:
-    tables.merge(spark, f"{root}/{table}", schema(table), fit(rows, table), key(table), part(table), ignore, keep)
+def _merge(spark: SparkSession, root: str, table: str, rows: DataFrame, ignore: bool = False, keep: tuple[str, ...] = (), latest: str | None = None) -> None:
+    tables.merge(spark, f"{root}/{table}", schema(table), given(rows, table), key(table), part(table), ignore, keep, latest)
 
 
-def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return tables.read(spark, f"{root}/{table}", schema(table))
+def _stored(spark: SparkSession, root: str, table: str, since: dt.date | None = None, until: dt.date | None = None, buckets: list[str] | None = None) -> DataFrame:
+    """A table, or what lies between two dates and in some groups of tickers: of partitions by year and group only those are read."""
+    dated = YEARS.get(table)
+    near = lambda year: (since is None or year >= since.year) and (until is None or year <= until.year)
+    df = tables.read(spark, f"{root}/{table}", schema(table), within(near, buckets) if dated else None)
+    for bound, test in ((since, "__ge__"), (until, "__le__")):
+        df = df if bound is None else df.filter(getattr(F.col(dated), test)(F.lit(bound)))
+    return df
+
+
+def prices(spark: SparkSession, root: str, tickers: DataFrame | None = None, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """Stored bars between two dates, of some tickers if they are given: only partitions that can have them are read."""
+    df = _stored(spark, root, "raw_prices", since, until, None if tickers is None else buckets_of(tickers))
+    return df if tickers is None else df.join(tickers.select("ticker"), "ticker", "left_semi")
 
 
 def history(bars: DataFrame, on: dt.date | None, cfg: Config = DEFAULT) -> DataFrame:
@@ -38,14 +50,16 @@ def history(bars: DataFrame, on: dt.date | None, cfg: Config = DEFAULT) -> DataF
 
 
 def run(
-    spark: SparkSession, root: str, bars: DataFrame, index: DataFrame, bench: DataFrame, proxies: DataFrame, on: dt.date | None = None, cfg: Config = DEFAULT, write: Callable[[str], str] = lambda prompt: prompt
+    spark: SparkSession, root: str, bars: DataFrame, index: DataFrame, bench: DataFrame, proxies: DataFrame, on: dt.date | None = None, cfg: Config = DEFAULT, write: Callable[[str], str] = lambda prompt: prompt, store: bool = True
 ) -> None:
-    """Computes and writes all tables below ``root``; ``on`` keeps one date (a night), None keeps all (a backfill). ``write`` turns a prompt into a text."""
+    """Computes and writes all tables below ``root``; ``on`` keeps one date (a night), None keeps all (a backfill). ``write`` turns a prompt into a text; without ``store`` the bars are there already."""
     sunday = on is None or on.weekday() == 6
     day = (lambda df: df.filter(F.col("date") == F.lit(on))) if on else (lambda df: df)
-    _merge(spark, root, "raw_prices", day(bars))
+    if store:
+        _merge(spark, root, "raw_prices", day(bars))
     context = indicators.vix_context(index, cfg)
     found = checkpointed(features.features(indicators.signals(indicators.indicators(history(bars, on, cfg), cfg), context, cfg), cfg))
+    found = found.withColumn("vix_source", F.when(F.col("vix_close").isNotNull(), cfg.vix_source))
     _merge(spark, root, "stock_signals", day(found))
     _merge(spark, root, "signal_features", day(found))
     if sunday:
@@ -75,14 +89,17 @@ def relate(spark: SparkSession, root: str, bars: DataFrame, proxies: DataFrame,
         _merge(spark, root, "sector_beta", checkpointed(relatedness.betas(good, market, days, cfg)))
 
 
-def resolve(spark: SparkSession, root: str, bars: DataFrame, bench: DataFrame, cfg: Config = DEFAULT) -> None:
-    """Outcomes of all predictions that have waited long enough, seeds of those that have not, and the accuracy table."""
-    first = _stored(spark, root, "prediction_outcomes").filter("resolved_at is null").select("signal_date").unionAll(_stored(spark, root, "signal_predictions").filter("resolved_at is null").select("signal_date"))
+def resolve(spark: SparkSession, root: str, bars: DataFrame, bench: DataFrame, cfg: Config = DEFAULT, names: DataFrame | None = None) -> None:
+    """Outcomes of all predictions that have waited long enough, seeds of those that have not, and the accuracy table; with ``names`` those of these tickers."""
+    groups = None if names is None else buckets_of(names)
+    own = (lambda df: df) if names is None else (lambda df: df.join(names.select("ticker"), "ticker", "left_semi"))
+    held = lambda table, since=None: own(_stored(spark, root, table, since, buckets=groups))
+    first = held("prediction_outcomes").filter("resolved_at is null").select("signal_date").unionAll(held("signal_predictions").filter("resolved_at is null").select("signal_date"))
     since = first.agg(F.min("signal_date")).first()[0]
     if since is None:
         return
-    ahead = checkpointed(outcomes.forward(bars.filter(F.col("date") >= F.lit(since - dt.timedelta(days=4 * cfg.vol_lookback))), cfg))
-    open_ = checkpointed(_stored(spark, root, "signal_predictions").filter(F.col("signal_date") >= F.lit(since)))
+    ahead = checkpointed(outcomes.forward(own(bars).filter(F.col("date") >= F.lit(since - dt.timedelta(days=4 * cfg.vol_lookback))), cfg))
+    open_ = checkpointed(held("signal_predictions", since))
     v1 = outcomes.resolve_v1(open_.filter("resolved_at is null").drop(*[f"{n}_{h}d" for h in cfg.horizons_v1 for n in ("return", "correct")]), ahead, cfg)
     v1 = v1.withColumns({f"actual_price_{h}d": F.col(f"close_{h}") for h in cfg.horizons_v1}).withColumn("resolved_at", F.current_timestamp())
     _merge(spark, root, "signal_predictions", checkpointed(v1))
@@ -91,15 +108,90 @@ def resolve(spark: SparkSession, root: str, bars: DataFrame, bench: DataFrame, c
     missed = relatedness.fallbacks(open_, betas).first()
     if missed["fallbacks"]:
         log.warning("%s of %s tickers have no beta to %s: 1.0 is used", missed["fallbacks"], missed["tickers"], cfg.benchmark)
-    named = outcomes.episodes(_stored(spark, root, "signal_predictions"), cfg).drop("bias")
+    named = outcomes.episodes(held("signal_predictions"), cfg).drop("bias")
     seeds = outcomes.seeds(open_, ahead, cfg).join(named, ["ticker", "signal_date"], "left")
     _merge(spark, root, "prediction_outcomes", checkpointed(seeds), ignore=True)
     out = outcomes.outcomes_v2(open_, ahead, bench, betas.select("ticker", "beta"), cfg).join(named, ["ticker", "signal_date"], "left")
-    done = _stored(spark, root, "prediction_outcomes").filter("resolved_at is not null").select("ticker", "signal_date", "horizon_days")
+    done = held("prediction_outcomes", since).filter("resolved_at is not null").select("ticker", "signal_date", "horizon_days")
     fresh = out.join(done, ["ticker", "signal_date", "horizon_days"], "left_anti").withColumn("resolved_at", F.current_timestamp())
     _merge(spark, root, "prediction_outcomes", checkpointed(fresh), keep=("price_at_signal", "episode_id", "is_episode_head"))
 
 
+def refresh(spark: SparkSession, root: str, history: DataFrame, index: DataFrame, bench: DataFrame, proxies: DataFrame, cfg: Config = DEFAULT) -> int:
+    """Replaces all that is stored of the tickers of ``history`` (whole, adjusted, valid) and what follows from it; gives how many there were.
+
+    Prices, signals, features, levels, betas, predictions and outcomes of these tickers become those of a rebuild; partitions
+    without them are not touched. Pairs of tickers wait for Sunday, briefs stay as they were sent.
+    """
+    history = checkpointed(given(history, "raw_prices"))
+    names = checkpointed(history.select("ticker").distinct())
+    groups = buckets_of(names)
+    if not groups:
+        return 0
+
+    def put(table: str, rows: DataFrame) -> None:
+        tables.replace_rows(spark, f"{root}/{table}", schema(table), given(rows, table), names, ["ticker"], part(table), within(buckets=groups))
+
+    put("raw_prices", history)
+    found = checkpointed(features.features(indicators.signals(indicators.indicators(history, cfg), indicators.vix_context(index, cfg), cfg), cfg))
+    found = found.withColumn("vix_source", F.when(F.col("vix_close").isNotNull(), cfg.vix_source))
+    put("stock_signals", found)
+    put("signal_features", found)
+    analysed = checkpointed(analysis.key_levels(analysis.analyse(found, cfg), cfg))
+    put("analysis", analysis.selected(analysed, cfg))
+    put("signal_predictions", outcomes.predictions(analysed, cfg=cfg))
+    put("prediction_outcomes", history.limit(0).select("ticker", F.col("date").alias("signal_date")))
+    end = _stored(spark, root, "raw_prices").agg(F.max("date")).first()[0]
+    near = end - dt.timedelta(days=max(cfg.windows) + 30)
+    recent = _stored(spark, root, "raw_prices", near)
+    own = recent.join(names, "ticker", "left_semi")
+    returns = relatedness.calendar_returns(own, recent).join(relatedness.eligible(history, cfg).select("ticker"), "ticker", "left_semi")
+    market = relatedness.calendar_returns(proxies.filter(F.col("date") >= F.lit(near)))
+    returns, market = (df.withColumn("r", relatedness.masked(F.col("r"), cfg)) for df in (returns, market))
+    cut = recent.agg(F.max("date").alias("_end"))  # one row
+    for days in cfg.windows:
+        fresh = relatedness.betas(checkpointed(returns.join(F.broadcast(cut), F.col("date") > F.date_sub("_end", days)).drop("_end")), market, days, cfg)
+        tables.replace_rows(spark, f"{root}/sector_beta", schema("sector_beta"), checkpointed(given(fresh, "sector_beta")), names, ["ticker"], part("sector_beta"), str(days).__eq__)
+    resolve(spark, root, prices(spark, root, names), bench, cfg, names)
+    return names.count()
+
+
+def night(
+    spark: SparkSession, root: str, on: dt.date, tickers: DataFrame, fetched: DataFrame, index: DataFrame, bench: DataFrame, proxies: DataFrame,
+    actions: tuple[DataFrame, DataFrame] | None = None, history: Callable[[DataFrame], DataFrame] | None = None, metadata: Callable[[DataFrame], DataFrame] | None = None,
+    now: dt.datetime | None = None, cfg: Config = DEFAULT, write: Callable[[str], str] = lambda prompt: prompt, alert: Callable[[str], None] = log.error,
+) -> bool:
+    """A night from its landed bars (as a provider gives them) to its tables; false on a holiday, when nothing is done.
+
+    The breaker stops it where too many of ``tickers`` are missing. Tickers with a split or dividend (``actions``) of the last two days get their
+    whole ``history``, tickers whose company data is a week old their ``metadata``: both are given the tickers as rows and give a provider's rows.
+    ``alert`` hears of what stopped the night, which is raised all the same.
+    """
+    try:
+        fetched = fetched.filter(F.col("date") == F.lit(on))
+        if not ingest.check(tickers, fetched, cfg):
+            return False
+        stamped = lambda df: df if "fetched_at" in df.columns else df.withColumn("fetched_at", F.current_timestamp())
+        good = lambda df: given(stamped(ingest.valid(ingest.adjusted(df))), "raw_prices")
+        _merge(spark, root, "raw_prices", checkpointed(good(fetched)), latest="fetched_at")
+        if actions and history:
+            changed = checkpointed(ingest.acted(*actions, F.lit(on - dt.timedelta(days=1)), F.lit(on)).join(tickers.select("ticker").distinct(), "ticker", "left_semi"))
+            if changed.head(1):
+                n = refresh(spark, root, good(history(changed).filter(F.col("date") <= F.lit(on))), index, bench, proxies, cfg)
+                log.info("%s tickers have a new adjustment", n)
+        if metadata:
+            due = checkpointed(ingest.due(tickers, _stored(spark, root, "ticker_metadata"), F.lit(now or dt.datetime.now(dt.UTC))))
+            if due.head(1):
+                _merge(spark, root, "ticker_metadata", checkpointed(given(metadata(due), "ticker_metadata")))
+        waits = _stored(spark, root, "prediction_outcomes").filter("resolved_at is null").agg(F.min("signal_date")).first()[0] or on
+        since = min(on - dt.timedelta(days=cfg.history_days), waits - dt.timedelta(days=4 * cfg.vol_lookback))
+        run(spark, root, prices(spark, root, since=since, until=on), index, bench, proxies, on, cfg, write, store=False)
+    except Exception as error:
+        alert(f"{on}: {error}")
+        raise
+    return True
+
+
 def brief(spark: SparkSession, root: str, when: dt.date, kind: str, text: str, n: int) -> None:
     row = spark.createDataFrame([(when, kind, text, n)], "date date, brief_type string, brief_text string, ticker_count int")
     _merge(spark, root, "daily_brief", row.withColumn("created_at", F.current_timestamp()))

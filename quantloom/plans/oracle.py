@@ -278,7 +278,7 @@ step("weights", f"SELECT * FROM (VALUES {_combos}) v(w0, w1, w2, w3)")
 step("symbols", "SELECT *, chr((65 + a % 26)::INT) || chr((65 + b % 26)::INT) || 'ZZ' || CASE k WHEN 0 THEN 'T' WHEN 1 THEN 'W' WHEN 2 THEN 'R' WHEN 3 THEN 'U' WHEN 4 THEN '-WT' WHEN 5 THEN '.WS' WHEN 6 THEN '-UN' ELSE '' END AS code, CASE WHEN p_partkey % 5 = 0 THEN 'ETF' ELSE 'Common Stock' END AS type, CASE WHEN p_partkey % 7 = 0 THEN 'CAD' ELSE 'USD' END AS currency, CASE WHEN p_partkey % 3 = 0 THEN 'NYSE' WHEN p_partkey % 3 = 1 THEN 'NASDAQ' ELSE 'OTC' END AS venue, p_name || CASE WHEN p_partkey % 11 = 0 THEN ' Warrant' WHEN p_partkey % 11 = 1 THEN ' acquisition corp' ELSE '' END AS name, p_partkey % 2 = 0 AS listed FROM (SELECT p_name, p_partkey, p_partkey % 26 AS a, (p_partkey // 26) % 26 AS b, p_size % 8 AS k FROM part) x")
 step("provided", "SELECT ticker || CASE WHEN day(date) % 7 = 0 THEN '.TO' WHEN day(date) % 11 = 0 THEN '.INDX' ELSE '' END AS ticker, date, open, high, low, CASE WHEN day(date) = 31 THEN 0.0::DOUBLE ELSE close END AS close, CASE WHEN day(date) = 30 THEN 0.0::DOUBLE WHEN month(date) < 7 THEN close / 2 ELSE close END AS adjusted_close, CASE WHEN day(date) = 29 THEN NULL ELSE volume END AS volume FROM bars")
 step("scaled", "SELECT *, CASE WHEN close <> 0 THEN adjusted_close / close ELSE 1.0::DOUBLE END AS f FROM provided WHERE adjusted_close > 0")
-step("companies", "SELECT 'S' || s_suppkey AS ticker, s_name AS name, CAST(round(s_acctbal * 100) AS BIGINT) AS market_cap, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE CAST(DATE '2024-01-01' + CAST(s_suppkey % 15 AS INTEGER) AS DATE) END AS updated_at FROM supplier")
+step("companies", "SELECT 'S' || s_suppkey AS ticker, s_name AS name, CAST(round(s_acctbal * 100) AS BIGINT) AS market_cap, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 1704067200 + s_suppkey % 15 * 86400 + s_suppkey % 24 * 3600 END AS updated_at FROM supplier")
 step("entries", "SELECT CASE WHEN venue = 'OTC' THEN 'tsx_venture' WHEN currency = 'CAD' THEN 'tsx' ELSE 'us' END AS exchange, type <> 'ETF' AS has_data, listed FROM symbols")
 _ends = lambda c, xs: "(" + " OR ".join(f"ends_with({c}, '{x}')" for x in xs) + ")"
 _five = lambda c, only="": f"(length({c}) = 5 AND NOT contains({c}, '-') AND substr({c}, 5, 1) IN ('W', 'R', 'U') AND substr({c}, 1, 4) IN (SELECT code FROM symbols {only}))"
@@ -296,7 +296,7 @@ step("proposed", f"SELECT 'signal_threshold' AS param_name, {C.signal_threshold}
 _r4 = lambda *cs: ", ".join(f"{r(c, 4)} AS {c}" for c in cs)
 SQL = {
     "bars_ohlcv": f"SELECT ticker, date, {_r4('open', 'high', 'low', 'close')}, volume FROM bars",
-    "validate_missing": f"SELECT count(*) AS requested, count(*) FILTER (b.ticker IS NULL) AS missing, count(*) FILTER (b.ticker IS NULL) < count(*) AND count(*) FILTER (b.ticker IS NULL) > {C.max_missing_share} * count(*) AS stop FROM (SELECT DISTINCT p_brand AS ticker FROM part) p LEFT JOIN (SELECT DISTINCT ticker FROM bars WHERE close > 0 AND volume >= 0 AND date = (SELECT max(date) FROM bars)) b USING (ticker)",
+    "validate_missing": f"SELECT count(*) AS requested, count(*) FILTER (b.ticker IS NULL) AS missing, (SELECT count(*) FROM bars) > 0 AND count(*) FILTER (b.ticker IS NULL) > {C.max_missing_share} * count(*) AS stop FROM (SELECT DISTINCT p_brand AS ticker FROM part) p LEFT JOIN (SELECT DISTINCT ticker FROM bars WHERE date = (SELECT max(date) FROM bars)) b USING (ticker)",
     "sma_50_200": f"SELECT ticker, date, {_r4('sma_50', 'sma_200')} FROM with_sma",
     "ema_macd": f"SELECT ticker, date, {_r4('macd', 'macd_signal', 'macd_hist')} FROM steps",
     "rsi_14": f"SELECT ticker, date, {_r4('rsi_14')} FROM with_rsi",
@@ -347,14 +347,18 @@ SQL = {
     "universe_audit": "SELECT code AS ticker, 'us' AS exchange, CASE WHEN regexp_matches(code, '^Z[A-Z]ZZT$') THEN 'nasdaq_test_symbol' WHEN " + _ends("code", HYPHENATED) + " THEN 'hyphenated_suffix' WHEN " + _ends("code", (".WT", ".WS", ".RT")) + " THEN 'dotted_suffix' WHEN substr(code, 5, 1) = 'W' THEN 'nasdaq5_warrant' WHEN substr(code, 5, 1) = 'R' THEN 'nasdaq5_rights' ELSE 'nasdaq5_unit' END AS reason FROM symbols WHERE regexp_matches(code, '^Z[A-Z]ZZT$') OR " + _ends("code", HYPHENATED) + " OR " + _ends("code", (".WT", ".WS", ".RT")) + " OR " + _five("code"),
     "listing_filter": "SELECT code, name, venue FROM symbols WHERE type = 'Common Stock' AND currency = 'USD' AND venue IN ('NYSE', 'NASDAQ') AND NOT regexp_matches(code, '^Z[A-Z]ZZT$') AND NOT " + _ends("upper(code)", DOTTED) + " AND NOT " + _ends("upper(code)", HYPHENATED) + " AND NOT " + _five("code", "WHERE listed") + " AND NOT (" + " OR ".join(f"contains(lower(name), '{n.lower()}')" for n in NAMES) + ")",
     "upsert_update": f"SELECT ticker, date, {r('CASE WHEN date >= DATE ' + chr(39) + '1998-01-01' + chr(39) + ' THEN close * 2 ELSE close END', 4)} AS close FROM bars WHERE date < DATE '1999-01-01' OR date >= DATE '1998-01-01'",
+    "upsert_latest": f"SELECT ticker, date, CASE WHEN year(date) < 1998 THEN volume END AS volume, CASE WHEN month(date) = 6 THEN 25 WHEN year(date) < 1998 AND day(date) % 2 = 1 THEN 20 ELSE 15 END AS fetched_at, {r('close + CASE WHEN month(date) = 6 THEN 1 WHEN year(date) < 1998 AND day(date) % 2 = 1 THEN 0 ELSE 2 END', 4)} AS close FROM bars",
+    "refreshed_history": "SELECT ticker, date, CASE WHEN halved THEN volume * 2 ELSE volume END AS volume, " + ", ".join(f"{r(f'CASE WHEN halved THEN {c} / 2 ELSE {c} END', 4)} AS {c}" for c in ("open", "high", "low", "close")) + " FROM (SELECT *, CAST(right(ticker, 1) AS INTEGER) IN (1, 3) AND date < DATE '1996-03-01' + 10 * CAST(right(ticker, 1) AS INTEGER) AS halved FROM bars) b",
+    "shifted_tickers": "SELECT DISTINCT ticker FROM bars WHERE CAST(right(ticker, 1) AS INTEGER) % 2 = 1 AND date < DATE '1996-03-01' + 10 * CAST(right(ticker, 1) AS INTEGER)",
     "upsert_ignore": f"SELECT ticker, date, {r('CASE WHEN date < DATE ' + chr(39) + '1999-01-01' + chr(39) + ' THEN close ELSE close * 2 END', 4)} AS close FROM bars",
     "proposals": f"SELECT param_name, current_value, proposed_value, {r('gain', 4)} AS accuracy_delta, sample_size, vix_regime_scope FROM proposed WHERE gain >= 0",
     "outcome_seeds": f"SELECT ticker, signal_date, horizon_days, {r('price_at_signal', 6)} AS price_at_signal, {r('vol_at_signal', 6)} AS vol_at_signal, {r('threshold_used', 6)} AS threshold_used FROM seeds",
     "beta_fallbacks": "SELECT count(*) AS tickers, count(*) FILTER (b.ticker IS NULL) AS fallbacks FROM (SELECT DISTINCT ticker FROM bars UNION SELECT ticker || 'x' FROM bars WHERE day(date) = 1) t LEFT JOIN beta_spy b USING (ticker)",
     "indicator_parity": " UNION ALL ".join(f"SELECT '{c}' AS column, count(*) - count(*) AS unmatched, count(*) - count(*) AS n_diff, true AS within FROM bars" for c in ("sma_50", "sma_200", "macd", "macd_signal", "macd_hist", "rsi_14", "bb_upper", "bb_lower")),
     "ingest_adjusted": f"SELECT ticker, date, {r('open * f', 6)} AS open, {r('high * f', 6)} AS high, {r('low * f', 6)} AS low, {r('adjusted_close', 4)} AS close, coalesce(volume, 0) AS volume, CASE WHEN ends_with(ticker, '.TO') OR ends_with(ticker, '.V') THEN 'CAD' ELSE 'USD' END AS currency, CASE WHEN regexp_matches(ticker, '[.](TO|V|INDX)$') THEN ticker ELSE ticker || '.US' END AS symbol, ticker IN ('VIX.INDX', 'VVIX.INDX') AS is_index FROM scaled",
-    "metadata_stale": "SELECT ticker, name, updated_at FROM companies WHERE updated_at IS NULL OR DATE '2024-01-14' >= updated_at + 7",
-    "metadata_upsert": "SELECT ticker, name || ' Ltd' AS name, market_cap + 1 AS market_cap, DATE '2024-02-01' AS updated_at FROM companies WHERE market_cap > 0 UNION ALL SELECT ticker, name, market_cap, updated_at FROM companies WHERE updated_at IS NOT NULL AND market_cap <= 0",
+    "metadata_stale": "SELECT ticker, name, updated_at FROM companies WHERE updated_at IS NULL OR epoch(TIMESTAMP '2024-01-14 12:00:00') - updated_at >= 7 * 86400",
+    "metadata_due": "SELECT ticker FROM companies WHERE NOT coalesce(market_cap > 0 AND epoch(TIMESTAMP '2024-01-14 12:00:00') - updated_at < 7 * 86400, false)",
+    "metadata_upsert": "SELECT ticker, CASE WHEN updated_at IS NOT NULL THEN name END AS name, market_cap + 1 AS market_cap, CAST(epoch(TIMESTAMP '2024-02-01') AS BIGINT) AS updated_at FROM companies WHERE market_cap > 0 UNION ALL SELECT ticker, name, market_cap, updated_at FROM companies WHERE updated_at IS NOT NULL AND market_cap <= 0",
     "universe_counts": "SELECT count(*) AS total_unique_tickers, count(*) FILTER (exchange = 'us') AS us_listed, count(*) FILTER (exchange = 'tsx') AS tsx_listed, count(*) FILTER (exchange = 'tsx_venture') AS tsx_venture_listed, count(*) FILTER (NOT has_data) AS no_data_tickers, sum(listed::INT)::BIGINT AS categories FROM entries",
     "replace_window": "SELECT ticker, etf_proxy, CAST(365 AS INTEGER) AS window_days, beta FROM beta_90 UNION ALL SELECT ticker, etf_proxy, window_days, -beta FROM beta_90",
 }

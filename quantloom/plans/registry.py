@@ -39,7 +39,7 @@ class Market:
     signals = property(lambda s: s._once("signals", lambda: indicators.signals(indicators.indicators(s.bars), s.context)))
     kept_signals = property(lambda s: s._once("kept_signals", lambda: indicators.signals(indicators.indicators(s.kept_bars), s.context), keep=True))
     features = property(lambda s: s._once("features", lambda: features.features(s.signals)))
-    kept_features = property(lambda s: s._once("kept_features", lambda: features.features(indicators.signals(indicators.indicators(s.kept_bars), s.context)), keep=True))
+    kept_features = property(lambda s: s._once("kept_features", lambda: features.features(s.kept_signals), keep=True))
     returns = property(lambda s: s._once("returns", lambda: s._masked(s.bars)))
     betas = property(lambda s: s._once("betas", lambda: relatedness.betas(s.returns, s._masked(s.etf), 90)))
     market_beta = property(lambda s: s._once("market_beta", lambda: s.betas.filter(F.col("etf_proxy") == DEFAULT.benchmark).select("ticker", "beta"), keep=True))
@@ -93,7 +93,7 @@ class Market:
     def companies(self) -> DataFrame:
         """Company data by rule from the suppliers."""
         return market.load(self.spark, self.dir, "supplier").selectExpr(
-            "concat('S', s_suppkey) as ticker", "s_name as name", "cast(round(s_acctbal * 100) as bigint) as market_cap", "case when s_suppkey % 7 = 0 then null else date_add(date'2024-01-01', cast(s_suppkey % 15 as int)) end as updated_at"
+            "concat('S', s_suppkey) as ticker", "s_name as name", "cast(round(s_acctbal * 100) as bigint) as market_cap", "case when s_suppkey % 7 = 0 then null else timestamp_seconds(1704067200 + s_suppkey % 15 * 86400 + s_suppkey % 24 * 3600) end as updated_at"
         )
 
 
@@ -108,7 +108,7 @@ def _long(m: Market) -> DataFrame:
 
 def _missing(m: Market) -> DataFrame:
     last = m.bars.agg(F.max("date").alias("_last"))  # one row
-    today = ingest.valid(m.bars).join(F.broadcast(last), F.col("date") == F.col("_last"))
+    today = m.bars.join(F.broadcast(last), F.col("date") == F.col("_last"))
     return ingest.missing(market.load(m.spark, m.dir, "part").select(F.col("p_brand").alias("ticker")), today)
 
 
@@ -119,8 +119,9 @@ def _ingested(m: Market) -> DataFrame:
 
 
 def _companies(m: Market) -> DataFrame:
-    new = m.companies.filter("market_cap > 0").selectExpr("ticker", "concat(name, ' Ltd') as name", "market_cap + 1 as market_cap", "date'2024-02-01' as updated_at")
-    return tables.upserted(m.companies.filter("updated_at is not null"), new, ["ticker"])
+    new = m.companies.filter("market_cap > 0").selectExpr("ticker", "market_cap + 1 as market_cap", "timestamp'2024-02-01' as updated_at")
+    out = tables.upserted(m.companies.filter("updated_at is not null"), new, ["ticker"])  # names stay as they are
+    return out.withColumn("updated_at", F.unix_seconds("updated_at"))
 
 
 def _parity(m: Market) -> DataFrame:
@@ -154,6 +155,27 @@ def _replace(m: Market) -> DataFrame:
     return tables.replaced(both, own.withColumn("beta", -F.col("beta")), "window_days", [90])
 
 
+def _landed(m: Market) -> DataFrame:
+    """Three versions of every bar that arrived one after another, the second before and the third after what is stored of odd days."""
+    stored = m.bars.select("ticker", "date", "close", "volume", F.expr("10 + day(date) % 2 * 10").alias("fetched_at"))
+    version = lambda n, at: m.bars.select("ticker", "date", (F.col("close") + n).alias("close"), at.alias("fetched_at"))
+    new = version(3.0, F.lit(5)).unionByName(version(2.0, F.lit(15))).unionByName(version(1.0, F.expr("case when month(date) = 6 then 25 else 12 end")))
+    return show(tables.upserted(stored.filter("year(date) < 1998"), new, ["ticker", "date"], latest="fetched_at"), "ticker date volume fetched_at", "close")
+
+
+def _split(m: Market) -> tuple[DataFrame, DataFrame]:
+    """Splits by rule from the brands: two for one on a day of 1996; and what the provider then gives of all bars."""
+    last = F.expr("cast(substring(ticker, -1) as int)")
+    splits = m.bars.select("ticker").distinct().filter(last % 2 == 1).select("ticker", F.expr("date_add(date'1996-03-01', 10 * cast(substring(ticker, -1) as int))").alias("date"), F.lit(2.0).alias("factor"))
+    return splits, ingest.rebased(m.bars, splits)
+
+
+def _refreshed(m: Market) -> DataFrame:
+    splits, provider = _split(m)
+    changed = ingest.acted(splits, splits.limit(0), F.lit("1996-03-01").cast("date"), F.lit("1996-04-15").cast("date"))
+    return show(ingest.refreshed(m.bars, provider.join(changed, "ticker", "left_semi")), "ticker date volume", "open high low close")
+
+
 _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "bars_ohlcv": lambda m: show(m.bars, "ticker date volume", "open high low close"),
     "validate_missing": _missing,
@@ -215,7 +237,8 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "beta_fallbacks": lambda m: relatedness.fallbacks(m.kept_bars.unionByName(m.kept_bars.filter("day(date) = 1").withColumn("ticker", F.concat("ticker", F.lit("x")))), m.market_beta),
     "indicator_parity": _parity,
     "ingest_adjusted": _ingested,
-    "metadata_stale": lambda m: ingest.stale(m.companies, F.lit("2024-01-14").cast("date")).select("ticker", "name", "updated_at"),
+    "metadata_stale": lambda m: ingest.stale(m.companies, F.lit("2024-01-14 12:00:00").cast("timestamp")).select("ticker", "name", F.unix_seconds("updated_at").alias("updated_at")),
+    "metadata_due": lambda m: ingest.due(m.companies, m.companies.filter("market_cap > 0"), F.lit("2024-01-14 12:00:00").cast("timestamp")),
     "metadata_upsert": _companies,
     "universe_counts": _counts,
     "threshold_grid": lambda m: research.threshold_grid(m.resolved),
@@ -224,6 +247,9 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "universe_audit": lambda m: universe.audit(m.symbols.select(F.col("code").alias("ticker"), F.lit("us").alias("exchange"))),
     "listing_filter": lambda m: universe.quality_listing(m.symbols, "US", m.symbols.filter("listed")).select("code", "name", "venue"),
     "upsert_update": lambda m: _upsert(m, "update"),
+    "upsert_latest": _landed,
+    "refreshed_history": _refreshed,
+    "shifted_tickers": lambda m: ingest.shifted(m.bars, _split(m)[1]),
     "upsert_ignore": lambda m: _upsert(m, "ignore"),
     "replace_window": _replace,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,13 +25,34 @@ TABLES = {
 }
 
 
-# what a table is partitioned by: the year of a date, or the length of a window; others are in one piece
+# what a table is partitioned by: the year of a date and one of ``BUCKETS`` groups of tickers, or the length of a window; others are in one piece
 YEARS = {"raw_prices": "date", "stock_signals": "date", "signal_features": "date", "analysis": "date", "signal_predictions": "signal_date", "prediction_outcomes": "signal_date"}
 WINDOWS = ("relatedness_matrix", "sector_beta")
+BUCKETS = 8
+
+
+def bucket() -> Column:
+    """A ticker's group, so that few tickers are few files, and a day's write is several tasks' work."""
+    return F.format_string("%02d", F.pmod(F.xxhash64("ticker"), F.lit(BUCKETS)))
 
 
 def part(table: str) -> Column | None:
-    return F.year(YEARS[table]) if table in YEARS else F.col("window_days") if table in WINDOWS else None
+    return F.concat_ws("-", F.year(YEARS[table]), bucket()) if table in YEARS else F.col("window_days") if table in WINDOWS else None
+
+
+def within(years: Callable[[int], bool] | None = None, buckets: Iterable[str] | None = None) -> Callable[[str], bool]:
+    """Which partitions of a table by year and bucket can have rows of these years and buckets; rows without a date are in all years."""
+    groups = None if buckets is None else set(buckets)
+
+    def wanted(name: str) -> bool:
+        year, _, group = name.rpartition("-")
+        return (not years or not year or years(int(year))) and (groups is None or group in groups)
+
+    return wanted
+
+
+def buckets_of(tickers: DataFrame) -> list[str]:
+    return [r[0] for r in tickers.select(bucket()).distinct().collect()]
 
 
 def key(table: str) -> list[str]:
@@ -40,6 +63,11 @@ def schema(table: str) -> T.StructType:
     return T._parse_datatype_string(TABLES[table][1])
 
 
+def given(df: DataFrame, table: str) -> DataFrame:
+    """Those of the table's columns that are given, in their types; an upsert leaves the others as they are."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema(table) if f.name in df.columns])
+
+
 def fit(df: DataFrame, table: str) -> DataFrame:
     """The table's columns in their order and types; what is not given is NULL."""
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema(table)])
