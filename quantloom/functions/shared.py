@@ -1,24 +1,43 @@
-"""Results that are read more than once, kept in the folder that executors share."""
+"""Results that are read more than once, kept in the folder that executors share until nothing refers to them."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import re
 import tempfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANS = "spark.cleaner.referenceTracking.cleanCheckpoints"
+
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; a temporary one where nothing names one and all is on one machine, as in tests."""
+    """The shared folder that ``spark.checkpoint.dir`` names; a temporary one where nothing names one and all is on one machine, as in tests.
+
+    What is in it goes when no DataFrame that reads it is left (Spark's cleaner, unless the session says otherwise), the rest when Python ends.
+    A folder that was set before is its owner's and stays.
+    """
     context = spark.sparkContext
+    conf = context._jsc.sc().conf()
+    if not conf.contains(CLEANS):
+        conf.set(CLEANS, "true")
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not re.match(r"local(\[|$)", context.master):
             raise ValueError("executors need a shared folder: name it in spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quantloom-"))
+        atexit.register(_remove, context, context.getCheckpointDir() if named else context.getCheckpointDir().rpartition("/")[0])
     return context.getCheckpointDir()
 
 
+def _remove(context: SparkContext, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone, and with it a session's last chance
+        at = context._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: it cuts the lineage and outlives executors."""
     checkpoint_folder(df.sparkSession)
