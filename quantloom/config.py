@@ -71,6 +71,15 @@ class Config:
         slowest = 2 * 37 * max(self.rsi_window, self.adx_window, (self.macd[1] + 1) // 2)
         return (self.min_history + self.year + slowest) * 366 // self.days_a_year + 30
 
+    @property
+    def tail_rows(self) -> int:
+        """Rows that the features of a bar need besides the averages' state: the year's window over the long average."""
+        return self.sma_long + self.year
+
+    @property
+    def tail_days(self) -> int:
+        return self.tail_rows * 366 // self.days_a_year + 30
+
     @property
     def min_history(self) -> int:
         """Rows of history that every feature needs: the slope window on top of the long average."""

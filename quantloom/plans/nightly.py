@@ -1,7 +1,7 @@
 """The nightly run as one function: stages in their order, tables written where they belong.
 
-The same plans serve a night and a backfill. A night reads as much history as its averages can feel, and unresolved predictions; what several
-tables are made of is computed once and kept in the shared folder. Relatedness and the review of parameters are Sunday's work; betas
+A backfill works from the whole history. A night steps on from the averages' stored states and reads the tail that windows need, and
+unresolved predictions; what several tables are made of is computed once and kept in the shared folder. Relatedness and the review of parameters are Sunday's work; betas
 come before outcomes, which use them.
 """
 
@@ -11,15 +11,16 @@ import datetime as dt
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions.shared import checkpointed
-from ..operators import analysis, features, indicators, ingest, outcomes, relatedness, research, tables
+from ..operators import analysis, averages, features, indicators, ingest, outcomes, relatedness, research, tables
 from ..schemas import YEARS, buckets_of, fit, given, key, part, schema, within
 
 log = logging.getLogger(__name__)
+TREND_ROWS = 4  # of the signal's trend, the bar itself included
 
 
 def _merge(spark: SparkSession, root: str, table: str, rows: DataFrame, ignore: bool = False, keep: tuple[str, ...] = (), latest: str | None = None) -> None:
@@ -49,16 +50,63 @@ def history(bars: DataFrame, on: dt.date | None, cfg: Config = DEFAULT) -> DataF
     return bars.filter((F.col("date") <= F.lit(on)) & (F.col("date") > F.lit(on - dt.timedelta(days=cfg.history_days))))
 
 
+def _whole(bars: DataFrame, context: DataFrame, cfg: Config) -> DataFrame:
+    return features.features(indicators.signals(indicators.indicators(bars, cfg), context, cfg), cfg)
+
+
+def tonight(spark: SparkSession, root: str, bars: DataFrame, context: DataFrame, on: dt.date, cfg: Config = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """Signals and features up to a night, ``_new`` where they are to be written, and the averages' states after it.
+
+    Tickers whose last state and signals are stored step on from them, over all bars since: of their history only the windows' tail is read. The others, new
+    ones and those whose state was forgotten, go through the history that their averages can feel.
+    """
+    near = bars.filter((F.col("date") <= F.lit(on)) & (F.col("date") > F.lit(on - dt.timedelta(days=cfg.tail_days))))
+    last = averages.newest(_stored(spark, root, "ewm_state", on - dt.timedelta(days=cfg.tail_days), on), F.lit(on))
+    old = _stored(spark, root, "stock_signals", on - dt.timedelta(days=cfg.tail_days), on).select("ticker", "date", *(c for c in averages.OUT if c != "adx_14"), F.lit(True).alias("_has"))
+    back = F.row_number().over(Window.partitionBy("ticker").orderBy(F.desc("date")))
+    before = near.join(last.select("ticker", F.col("date").alias("_since"), "n_bars"), "ticker").filter("date <= _since").withColumn("_back", back)
+    before = before.join(old, ["ticker", "date"], "left").groupBy("ticker").agg(
+        F.max("_since").alias("_since"), F.max("n_bars").alias("_n"), F.count("*").alias("_tail"), F.count(F.when((F.col("_back") < TREND_ROWS) & F.col("_has").isNull(), 1)).alias("_torn")
+    )
+    ready = checkpointed(before.filter(((F.col("_tail") == F.col("_n")) | (F.col("_tail") >= cfg.tail_rows)) & (F.col("_torn") == 0)).select("ticker", "_since"))
+    own = near.join(ready, "ticker")
+    done = checkpointed(averages.stepped(own.drop("_since"), last.join(ready, "ticker", "left_semi"), cfg))
+    made = averages.indicators(done)
+    known = made.unionByName(old.drop("_has").join(made.select("ticker", "date"), ["ticker", "date"], "left_anti").withColumn("adx_14", F.lit(None).cast("double")))
+    tail = indicators.with_bollinger(indicators.with_sma(own, cfg), cfg).join(known, ["ticker", "date"], "left")
+    found = features.with_regime(features.displacement(indicators.signals(tail, context, cfg), cfg), cfg)
+    found, states = found.withColumn("_new", F.col("date") > F.col("_since")).drop("_since"), averages.states(done)
+    rest = history(bars, on, cfg).join(ready, "ticker", "left_anti")
+    if rest.head(1):
+        rest = checkpointed(rest)
+        found = found.unionByName(_whole(rest, context, cfg).withColumn("_new", F.col("date") == F.lit(on)))
+        states = states.unionByName(averages.states(averages.stepped(rest, None, cfg, outputs=False)))
+    return found, states
+
+
+def forget(spark: SparkSession, root: str, corrected: DataFrame) -> None:
+    """Drops the states that bars (ticker, date) which arrived late have made wrong: the next night steps on from the last one before, over all bars since."""
+    first = checkpointed(corrected.groupBy("ticker").agg(F.min("date").alias("_from")))
+    groups = buckets_of(first)
+    kept = _stored(spark, root, "ewm_state", buckets=groups).join(first, "ticker").filter("date < _from").drop("_from")
+    tables.replace_rows(spark, f"{root}/ewm_state", schema("ewm_state"), checkpointed(kept), first, ["ticker"], part("ewm_state"), within(buckets=groups))
+
+
 def run(
     spark: SparkSession, root: str, bars: DataFrame, index: DataFrame, bench: DataFrame, proxies: DataFrame, on: dt.date | None = None, cfg: Config = DEFAULT, write: Callable[[str], str] = lambda prompt: prompt, store: bool = True
 ) -> None:
     """Computes and writes all tables below ``root``; ``on`` keeps one date (a night), None keeps all (a backfill). ``write`` turns a prompt into a text; without ``store`` the bars are there already."""
     sunday = on is None or on.weekday() == 6
-    day = (lambda df: df.filter(F.col("date") == F.lit(on))) if on else (lambda df: df)
+    day = lambda df: df.filter("_new")
     if store:
-        _merge(spark, root, "raw_prices", day(bars))
+        _merge(spark, root, "raw_prices", bars if on is None else bars.filter(F.col("date") == F.lit(on)))
     context = indicators.vix_context(index, cfg)
-    found = checkpointed(features.features(indicators.signals(indicators.indicators(history(bars, on, cfg), cfg), context, cfg), cfg))
+    if on is None:
+        found, states = _whole(bars, context, cfg).withColumn("_new", F.lit(True)), averages.states(averages.stepped(bars, None, cfg, outputs=False))
+    else:
+        found, states = tonight(spark, root, bars, context, on, cfg)
+    found = checkpointed(found)
+    _merge(spark, root, "ewm_state", checkpointed(states))
     found = found.withColumn("vix_source", F.when(F.col("vix_close").isNotNull(), cfg.vix_source))
     _merge(spark, root, "stock_signals", day(found))
     _merge(spark, root, "signal_features", day(found))
@@ -133,6 +181,7 @@ def refresh(spark: SparkSession, root: str, history: DataFrame, index: DataFrame
         tables.replace_rows(spark, f"{root}/{table}", schema(table), given(rows, table), names, ["ticker"], part(table), within(buckets=groups))
 
     put("raw_prices", history)
+    put("ewm_state", checkpointed(averages.states(averages.stepped(history, None, cfg, outputs=False))))
     found = checkpointed(features.features(indicators.signals(indicators.indicators(history, cfg), indicators.vix_context(index, cfg), cfg), cfg))
     found = found.withColumn("vix_source", F.when(F.col("vix_close").isNotNull(), cfg.vix_source))
     put("stock_signals", found)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..functions.expr import rounded
 from ..functions.shared import checkpointed
-from ..operators import analysis, events, features, indicators, ingest, outcomes, relatedness, research, tables, universe
+from ..operators import analysis, averages, events, features, indicators, ingest, outcomes, relatedness, research, tables, universe
 from ..sources import market
 from .oracle import ORACLE_SQL
 
@@ -170,6 +170,13 @@ def _split(m: Market) -> tuple[DataFrame, DataFrame]:
     return splits, ingest.rebased(m.bars, splits)
 
 
+def _stepped(m: Market) -> DataFrame:
+    """Indicators of the bars since 1996, stepped on from the states of the end of 1995."""
+    old = F.col("date") < F.lit("1996-01-01").cast("date")
+    before = averages.states(averages.stepped(m.kept_bars.filter(old), outputs=False))
+    return show(averages.indicators(averages.stepped(m.kept_bars, before)), "ticker date", "macd macd_signal macd_hist rsi_14 adx_14")
+
+
 def _refreshed(m: Market) -> DataFrame:
     splits, provider = _split(m)
     changed = ingest.acted(splits, splits.limit(0), F.lit("1996-03-01").cast("date"), F.lit("1996-04-15").cast("date"))
@@ -248,6 +255,7 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "listing_filter": lambda m: universe.quality_listing(m.symbols, "US", m.symbols.filter("listed")).select("code", "name", "venue"),
     "upsert_update": lambda m: _upsert(m, "update"),
     "upsert_latest": _landed,
+    "averages_stepped": _stepped,
     "refreshed_history": _refreshed,
     "shifted_tickers": lambda m: ingest.shifted(m.bars, _split(m)[1]),
     "upsert_ignore": lambda m: _upsert(m, "ignore"),

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .operators import averages
+
 _LEVEL = "array<struct<price:double,type:string,role:string,significance:string,note:string>>"
 TABLES = {
     "raw_prices": (("ticker", "date"), "ticker string, date date, open double, high double, low double, close double, volume bigint, currency string, source string, fetched_at timestamp"),
@@ -22,11 +24,12 @@ TABLES = {
     "parameter_proposals": (("id",), "id bigint, proposed_at timestamp, param_name string, current_value double, proposed_value double, rationale string, accuracy_delta double, sample_size int, vix_regime_scope string, vol_env_scope string, status string, reviewed_at timestamp, review_note string"),
     "prediction_outcomes": (("ticker", "signal_date", "horizon_days"), "ticker string, signal_date date, horizon_days int, price_at_signal double, future_price double, raw_return double, benchmark_return double, beta_used double, excess_return double, vol_at_signal double, threshold_used double, direction_correct boolean, threshold_correct boolean, episode_id string, is_episode_head boolean, resolved_at timestamp"),
     "signal_features": (("ticker", "date"), "ticker string, date date, dist_sma50 double, dist_sma200 double, dist_sma200_z double, rsi_centered double, bb_pctb double, macd_hist_norm double, dist_52w_high double, dist_52w_low double, vol_ratio double, ret_21d double, ret_63d double, adx_14 double, sma200_slope double, ticker_regime string, trend_direction string"),
+    "ewm_state": (("ticker", "date"), averages.STATE),
 }
 
 
 # what a table is partitioned by: the year of a date and one of ``BUCKETS`` groups of tickers, or the length of a window; others are in one piece
-YEARS = {"raw_prices": "date", "stock_signals": "date", "signal_features": "date", "analysis": "date", "signal_predictions": "signal_date", "prediction_outcomes": "signal_date"}
+YEARS = {"raw_prices": "date", "stock_signals": "date", "signal_features": "date", "analysis": "date", "signal_predictions": "signal_date", "prediction_outcomes": "signal_date", "ewm_state": "date"}
 WINDOWS = ("relatedness_matrix", "sector_beta")
 BUCKETS = 8
 
