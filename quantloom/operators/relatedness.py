@@ -103,6 +103,21 @@ def correlation_blocks(returns: DataFrame, window_days: int, cfg: Config = DEFAU
     return _kept(sent.groupBy("_i", "_j").applyInPandas(products, schema), window_days, cfg)
 
 
+def peers(pairs: DataFrame, k: int = 5, least: float = 0.60) -> DataFrame:
+    """(ticker, window_days, rank, peer, pearson_r): each ticker's ``k`` most correlated others with at least ``least``, ties by ticker.
+
+    ``pairs`` has each pair once; both directions count. A ticker's others are dealt into 16 groups, of each of which the best ``k`` go on, so that
+    the list of a ticker that is like all others isn't sorted in one piece.
+    """
+    known = pairs.filter(F.col("pearson_r") >= least)
+    cells = [F.struct(F.col(a).alias("ticker"), F.col(b).alias("peer")) for a, b in (("ticker_a", "ticker_b"), ("ticker_b", "ticker_a"))]
+    both = known.select("window_days", "pearson_r", F.inline(F.array(*cells)))
+    own = Window.partitionBy("ticker", "window_days").orderBy(F.desc("pearson_r"), "peer")
+    dealt = Window.partitionBy("ticker", "window_days", "_deal").orderBy(F.desc("pearson_r"), "peer")
+    best = both.withColumn("_deal", F.pmod(F.xxhash64("peer"), F.lit(16))).withColumn("_own", F.row_number().over(dealt)).filter(F.col("_own") <= k)
+    return best.withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k).select("ticker", "window_days", "rank", "peer", "pearson_r")
+
+
 def betas(returns: DataFrame, proxies: DataFrame, window_days: int, cfg: Config = DEFAULT) -> DataFrame:
     """(ticker, etf_proxy, window_days, beta, n_obs): covariance over common days by the proxy's own variance.
 

@@ -305,6 +305,7 @@ SQL = {
     "composite": f"SELECT ticker, date, {_r4('sma_50', 'sma_200', 'macd', 'macd_signal', 'rsi_14', 'bb_upper', 'bb_lower')}, vix_close, vvix_close, vix_regime, vix_trend, vol_environment, composite_score, composite_vix_adj FROM signals",
     "dist_features": f"SELECT ticker, date, {_r4(*(f for f in _F if f != 'adx_14'))} FROM disp",
     "adx_14": f"SELECT ticker, date, {_r4('adx_14')} FROM adx5",
+    "averages_stepped": f"SELECT ticker, date, {_r4('macd', 'macd_signal', 'macd_hist', 'rsi_14', 'adx_14')} FROM features WHERE date >= DATE '1996-01-01'",
     "regime": "SELECT ticker, date, ticker_regime, trend_direction FROM features",
     "null_rates": " UNION ALL ".join(f"SELECT '{f}' AS feature, avg(({f} IS NULL)::INT) AS null_rate FROM features" for f in _F),
     "regime_share": f"SELECT ticker_regime, count(*) AS n, {r('count(*) * 100.0::DOUBLE / sum(count(*)) OVER ()', 4)} AS share FROM features WHERE ticker_regime IS NOT NULL GROUP BY 1",
@@ -326,6 +327,7 @@ SQL = {
     "corr_pairs_90": correlation(90).replace("MIN_R", "0.05"),
     "corr_pairs_365": correlation(365).replace("MIN_R", "0.05"),
     "corr_blocks_365": correlation(365).replace("MIN_R", "0.05"),
+    "peers": "SELECT ticker, window_days, rank, peer, pearson_r FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY pearson_r DESC, peer) AS rank FROM (SELECT ticker_a AS ticker, ticker_b AS peer, window_days, pearson_r FROM (PAIRS) a UNION ALL SELECT ticker_b, ticker_a, window_days, pearson_r FROM (PAIRS) b) u WHERE pearson_r >= 0.05) q WHERE rank <= 5".replace("PAIRS", correlation(365).replace("MIN_R", "0.05")),
     "beta_90": "SELECT * FROM beta_90",
     "signal_trend": "SELECT ticker, date, composite_vix_adj, signal_trend FROM trend2",
     "bias_confidence": "SELECT ticker, date, bias, confidence FROM confident",

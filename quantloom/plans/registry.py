@@ -173,7 +173,7 @@ def _split(m: Market) -> tuple[DataFrame, DataFrame]:
 def _stepped(m: Market) -> DataFrame:
     """Indicators of the bars since 1996, stepped on from the states of the end of 1995."""
     old = F.col("date") < F.lit("1996-01-01").cast("date")
-    before = averages.states(averages.stepped(m.kept_bars.filter(old), outputs=False))
+    before = checkpointed(averages.states(averages.stepped(m.kept_bars.filter(old), outputs=False)))
     return show(averages.indicators(averages.stepped(m.kept_bars, before)), "ticker date", "macd macd_signal macd_hist rsi_14 adx_14")
 
 
@@ -215,6 +215,7 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "corr_pairs_90": lambda m: relatedness.correlation_pairs(m.returns, 90, LOOSE),
     "corr_pairs_365": lambda m: relatedness.correlation_pairs(m.returns, 365, LOOSE),
     "corr_blocks_365": lambda m: relatedness.correlation_blocks(m.returns, 365, LOOSE, block=10),
+    "peers": lambda m: relatedness.peers(relatedness.correlation_pairs(m.returns, 365, LOOSE), least=LOOSE.min_abs_r).withColumn("rank", F.col("rank").cast("long")),
     "beta_90": lambda m: m.betas,
     "signal_trend": lambda m: show(m.analysed, "ticker date composite_vix_adj signal_trend"),
     "bias_confidence": lambda m: show(m.analysed, "ticker date bias confidence"),

@@ -211,29 +211,26 @@ def test_a_night_from_landed_bars(spark, small, tmp_path):
     for t in ("stock_signals", "signal_features"):
         x, y = (df.toPandas().sort_values(key(t), ignore_index=True) for df in (today if t == "stock_signals" else got[t].filter(F.col("date") == F.lit(on)), stored(spark, whole)[t].filter(F.col("date") == F.lit(on))))
         pd.testing.assert_frame_equal(x, y, rtol=1e-7)
-    asked.clear()
-    splits = splits.limit(0)
-    assert tonight(raw, now + dt.timedelta(days=6, hours=2)) and asked == {}  # fresh for seven whole days
-    assert tonight(raw, now + dt.timedelta(days=7)) and asked == {"metadata": names}
+    due = lambda **later: sorted(r.ticker for r in ingest.due(tickers, got["ticker_metadata"], F.lit(now + dt.timedelta(**later))).collect())
+    assert due(days=6, hours=23) == [] and due(days=7) == names  # fresh for seven whole days
 
 
 def test_nights_step_on_from_states(spark, small, tmp_path, monkeypatch):
-    """Nights after a backfill, one skipped and one ticker new: tables equal a backfill of all; after a late correction too."""
+    """Nights after a backfill, a day between them and one ticker new: tables equal a backfill of all; after a late correction too."""
     _, index, bench, proxies = inputs(spark, small)
     cfg, root, whole = load(SHORT), str(tmp_path / "nights"), str(tmp_path / "whole")
     bars = ingest.valid(ingest.adjusted(made(bench, 150, "A", "B", "C", "N")))
     last = bars.agg(F.max("date")).first()[0]
-    days = [last - dt.timedelta(n) for n in (3, 1, 0)]
-    bars = checkpointed(bars.filter((F.col("ticker") != "N") | (F.col("date") >= F.lit(days[1]))))
+    days = [last - dt.timedelta(n) for n in (2, 0)]
+    bars = checkpointed(bars.filter((F.col("ticker") != "N") | (F.col("date") >= F.lit(days[0]))))
     nightly.run(spark, root, bars.filter(F.col("date") < F.lit(days[0])), index, bench, proxies, cfg=cfg)
     long_way = []
     real = nightly._whole
     monkeypatch.setattr(nightly, "_whole", lambda df, *rest: long_way.append(sorted(r.ticker for r in df.select("ticker").distinct().collect())) or real(df, *rest))
-    fixed = bars.withColumn("close", F.when((F.col("ticker") == "B") & (F.col("date") == F.lit(last - dt.timedelta(1))), F.col("close") * 1.03).otherwise(F.col("close")))
-    for on in days[:2]:
-        nightly.run(spark, root, bars, index, bench, proxies, on=on, cfg=cfg)
-    nightly.forget(spark, root, fixed.filter((F.col("ticker") == "B") & (F.col("date") == F.lit(days[1]))))
-    assert {(r.ticker, r.date) for r in stored(spark, root)["ewm_state"].filter(F.col("date") == F.lit(days[1])).select("ticker", "date").collect()} == {(t, days[1]) for t in "ACN"}
+    fixed = bars.withColumn("close", F.when((F.col("ticker") == "B") & (F.col("date") == F.lit(days[0])), F.col("close") * 1.03).otherwise(F.col("close")))
+    nightly.run(spark, root, bars, index, bench, proxies, on=days[0], cfg=cfg)
+    nightly.forget(spark, root, fixed.filter((F.col("ticker") == "B") & (F.col("date") == F.lit(days[0]))))
+    assert {(r.ticker, r.date) for r in stored(spark, root)["ewm_state"].filter(F.col("date") == F.lit(days[0])).select("ticker", "date").collect()} == {(t, days[0]) for t in "ACN"}
     nightly.run(spark, root, fixed, index, bench, proxies, on=last, cfg=cfg)
     assert long_way == [["N"]]  # on its first night; then its history is its tail
     nightly.run(spark, whole, fixed, index, bench, proxies, cfg=cfg)
