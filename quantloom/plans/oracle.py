@@ -305,7 +305,7 @@ SQL = {
     "composite": f"SELECT ticker, date, {_r4('sma_50', 'sma_200', 'macd', 'macd_signal', 'rsi_14', 'bb_upper', 'bb_lower')}, vix_close, vvix_close, vix_regime, vix_trend, vol_environment, composite_score, composite_vix_adj FROM signals",
     "dist_features": f"SELECT ticker, date, {_r4(*(f for f in _F if f != 'adx_14'))} FROM disp",
     "adx_14": f"SELECT ticker, date, {_r4('adx_14')} FROM adx5",
-    "averages_stepped": f"SELECT ticker, date, {_r4('macd', 'macd_signal', 'macd_hist', 'rsi_14', 'adx_14')} FROM features WHERE date >= DATE '1996-01-01'",
+    "averages_stepped": f"SELECT ticker, date, {_r4('macd', 'macd_signal', 'macd_hist', 'rsi_14', 'adx_14')} FROM features WHERE date >= DATE '1998-07-01'",
     "regime": "SELECT ticker, date, ticker_regime, trend_direction FROM features",
     "null_rates": " UNION ALL ".join(f"SELECT '{f}' AS feature, avg(({f} IS NULL)::INT) AS null_rate FROM features" for f in _F),
     "regime_share": f"SELECT ticker_regime, count(*) AS n, {r('count(*) * 100.0::DOUBLE / sum(count(*)) OVER ()', 4)} AS share FROM features WHERE ticker_regime IS NOT NULL GROUP BY 1",

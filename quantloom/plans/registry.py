@@ -171,8 +171,8 @@ def _split(m: Market) -> tuple[DataFrame, DataFrame]:
 
 
 def _stepped(m: Market) -> DataFrame:
-    """Indicators of the bars since 1996, stepped on from the states of the end of 1995."""
-    old = F.col("date") < F.lit("1996-01-01").cast("date")
+    """Indicators of the bars since July 1998, stepped on from the states before."""
+    old = F.col("date") < F.lit("1998-07-01").cast("date")
     before = checkpointed(averages.states(averages.stepped(m.kept_bars.filter(old), outputs=False)))
     return show(averages.indicators(averages.stepped(m.kept_bars, before)), "ticker date", "macd macd_signal macd_hist rsi_14 adx_14")
 
