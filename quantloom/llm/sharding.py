@@ -54,19 +54,36 @@ def curve(spark: SparkSession, dims: int, bits: int) -> DataFrame:
     return spark.createDataFrame([(int(c), int(h)) for c, h in zip(cells, hilbert_index(axes, bits), strict=True)], "cell long, hilbert long")
 
 
-def order_key(column: str) -> Column:
-    """A text's first seven bytes as a number: texts in order have keys in order."""
-    return F.conv(F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+VALUES = 100_000
+
+
+def steps_of(df: DataFrame, column: str, steps: int, values: int = VALUES) -> list[str]:
+    """At most ``steps - 1`` values that cut the rows, in the order of the whole text, into ``steps`` groups of about equally many.
+
+    Distinct values are counted, dealt by ranges of about ``values`` of them and summed along each range, the ranges' totals in front; only the cuts come
+    to the driver.
+    """
+    counts = checkpointed(df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count("*").alias("_n")))
+    distinct, total = counts.agg(F.count("*"), F.sum("_n")).first()
+    if not total:
+        return []
+    ranged = counts.repartitionByRange(-(-distinct // values), "_value").withColumn("_range", F.spark_partition_id())
+    ranged = checkpointed(ranged)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    shifts = ranged.groupBy("_range").agg(F.sum("_n").alias("_all")).select("_range", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_shift"))
+    along = Window.partitionBy("_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("_shift") + F.col("_own")
+    cell = lambda rows: F.floor(rows.cast("decimal(38,0)") * steps / F.lit(total).cast("decimal(38,0)"))
+    found = ranged.withColumn("_own", F.sum("_n").over(along)).join(shifts, "_range").filter((cell(upto) > cell(upto - F.col("_n"))) & (upto < total))
+    return sorted((r[0] for r in found.select("_value").collect()), key=str.encode)
 
 
 def ordered(df: DataFrame, columns: list[str], bits: int) -> dict[str, Column]:
-    """Texts quantised in their order, into steps of about equally many rows: a step is how many of ``2**bits - 1`` quantiles lie below. Null is 0.
+    """Texts quantised in their order, into steps of about equally many rows: a step is how many of the cuts lie below. Null is 0.
 
-    One aggregation with a bounded state; what comes to the driver is the quantiles.
+    Whole texts are compared, by bytes, however long their beginnings agree. A value is never cut, so that a very frequent one has a step of its own.
     """
-    at = [i / (1 << bits) for i in range(1, 1 << bits)]
-    row = df.agg(*[F.percentile_approx(order_key(c), at).alias(c) for c in columns]).first()
-    below = lambda c: sum((F.when(order_key(c) > q, 1).otherwise(0) for q in row[c] or []), F.lit(0))
+    below = lambda c: sum((F.when(F.col(c) > q, 1).otherwise(0) for q in steps_of(df, c, 1 << bits)), F.lit(0))
     return {c: F.coalesce(below(c), F.lit(0)).cast("long") for c in columns}
 
 

@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from quantloom.llm import bpe, spelling, whitening
+from quantloom.llm import bpe, sharding, spelling, whitening
 from quantloom.llm.jacobidavidson import largest
 
 DOCS = "doc_id long, text string, ids string, bytes int, word string, n int"
@@ -248,3 +248,16 @@ def test_bpe_odd_rows(spark):
     assert got == [(0, "<|endoftext|>", 7), (1, "", 0), (1, "", 0), (2, "a b", 2), (2, "a b", 2)]
     nothing = bpe.decode(spark.createDataFrame([(None,), ([64],)], "ids array<int>")).collect()
     assert [bytes(r["bytes"]) for r in nothing] == [b"", b"a"]
+
+
+def test_steps_of_long_texts(spark):
+    """Sources that agree in a long beginning are told apart; cuts are where the counts say, in one range of values and in many; a very frequent value has a step."""
+    rows = [(f"https://example.org/crawl/{i % 300:04d}", "en") for i in range(6000)] + [("https://example.org/crawl/0100x", "é")] * 3000 + [(None, None)] * 5
+    df = spark.createDataFrame(rows, "source string, lang string").repartition(5)
+    values = sorted(r[0] for r in rows if r[0])
+    expected = sorted({values[-(-k * len(values) // 16) - 1] for k in range(1, 16)} - {values[-1]})
+    for most in (sharding.VALUES, 40):
+        assert sharding.steps_of(df, "source", 16, most) == expected
+    cells = {(r[0] or "", r[1], r[2]) for r in df.select("source", *[c.alias(n) for n, c in sharding.ordered(df, ["source", "lang"], 4).items()]).distinct().collect()}
+    assert all(c == sum(q < s for q in expected) for s, c, _ in cells if s) and {c[1:] for c in cells if not c[0]} == {(0, 0)} and len({c[1] for c in cells}) > 10
+    assert sharding.steps_of(df.limit(0), "source", 16) == []
