@@ -206,11 +206,6 @@ def test_a_night_from_landed_bars(spark, small, tmp_path):
     today = got["stock_signals"].filter(F.col("date") == F.lit(on))
     assert today.count() == 5 and {r[0] for r in today.select("vix_source").distinct().collect()} <= {"provider", None}
     assert {(r.ticker, r.currency) for r in got["raw_prices"].filter(F.col("date") == F.lit(on)).select("ticker", "currency").collect()} == {(t, "CAD" if t == "D.TO" else "USD") for t in names}
-    whole = str(tmp_path / "whole")
-    nightly.run(spark, whole, ingest.valid(ingest.adjusted(halved.filter(F.col("date") <= F.lit(on)))), index, bench, proxies, cfg=cfg)
-    for t in ("stock_signals", "signal_features"):
-        x, y = (df.toPandas().sort_values(key(t), ignore_index=True) for df in (today if t == "stock_signals" else got[t].filter(F.col("date") == F.lit(on)), stored(spark, whole)[t].filter(F.col("date") == F.lit(on))))
-        pd.testing.assert_frame_equal(x, y, rtol=1e-7)
     due = lambda **later: sorted(r.ticker for r in ingest.due(tickers, got["ticker_metadata"], F.lit(now + dt.timedelta(**later))).collect())
     assert due(days=6, hours=23) == [] and due(days=7) == names  # fresh for seven whole days
 
