@@ -83,7 +83,11 @@ def _waiting(preds: DataFrame, ahead: DataFrame, cfg: Config) -> DataFrame:
     f = ahead.select("ticker", F.col("date").alias("signal_date"), "vol_at_signal", *[f"{n}_{h}" for h in cfg.horizons_v2 for n in ("close", "seam")])
     cells = F.array(*[F.struct(F.lit(h).alias("horizon_days"), F.col(f"close_{h}").alias("future_price"), F.coalesce(F.col(f"seam_{h}"), F.lit(False)).alias("seam")) for h in cfg.horizons_v2])
     df = preds.join(f, ["ticker", "signal_date"]).select("ticker", "signal_date", "bias", "price_at_signal", "vol_at_signal", F.inline(cells))
-    return df.withColumn("threshold_used", cfg.threshold_k * F.col("vol_at_signal") * F.sqrt(F.col("horizon_days").cast("double")))
+    return df.withColumn("threshold_used", threshold(cfg))
+
+
+def threshold(cfg: Config = DEFAULT) -> Column:
+    return cfg.threshold_k * F.col("vol_at_signal") * F.sqrt(F.col("horizon_days").cast("double"))
 
 
 def seeds(preds: DataFrame, ahead: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -95,14 +99,20 @@ def seeds(preds: DataFrame, ahead: DataFrame, cfg: Config = DEFAULT) -> DataFram
 def outcomes_v2(preds: DataFrame, ahead: DataFrame, bench: DataFrame, betas: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """One row a prediction and horizon: excess over beta times the benchmark, volatility-scaled threshold, seams set aside.
 
-    ``bench`` is (date, close) of the benchmark, counted on its own rows; ``betas`` is (ticker, beta).
     Each horizon is resolved by itself.
     """
+    return judged(_waiting(preds, ahead, cfg).filter("future_price is not null and not seam").drop("seam"), bench, betas, cfg)
+
+
+def judged(df: DataFrame, bench: DataFrame, betas: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+    """Excess and correctness of predictions with their future price and threshold.
+
+    ``bench`` is (date, close) of the benchmark, counted on its own rows; ``betas`` is (ticker, beta).
+    """
     one = Window.partitionBy("ticker").orderBy("date")
     market = bench.withColumns({f"bench_{h}": ratio(F.lead("close", h).over(one), F.col("close")) - 1.0 for h in cfg.horizons_v2})
     cells = F.array(*[F.struct(F.lit(h).alias("horizon_days"), F.col(f"bench_{h}").alias("benchmark_return")) for h in cfg.horizons_v2])
     market = market.select(F.col("date").alias("signal_date"), F.inline(cells))
-    df = _waiting(preds, ahead, cfg).filter("future_price is not null and not seam").drop("seam")
     df = df.join(market, ["signal_date", "horizon_days"], "left").join(betas.select("ticker", "beta"), "ticker", "left")
     df = df.withColumn("beta_used", shrunk(F.col("beta"), cfg)).drop("beta").withColumn("raw_return", fractional(F.col("future_price"), F.col("price_at_signal")))
     df = df.withColumn("excess_return", F.col("raw_return") - F.col("beta_used") * F.col("benchmark_return"))

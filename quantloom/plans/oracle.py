@@ -365,6 +365,7 @@ SQL = {
     "replace_window": "SELECT ticker, etf_proxy, CAST(365 AS INTEGER) AS window_days, beta FROM beta_90 UNION ALL SELECT ticker, etf_proxy, window_days, -beta FROM beta_90",
 }
 ORACLE_SQL = {name: chain(sql) for name, sql in SQL.items()}
+ORACLE_SQL["outcomes_matured"] = ORACLE_SQL["outcomes_v2"]
 ORACLE_SQL["event_dedup"] = kept_sql("SELECT ticker, event, position, date FROM kept_dated")
 _bull = " + ".join(f"(count(*) FILTER (event = '{e}') > 0)::INT" for e in BULLISH)
 _fired = "SELECT k.event, k.date, e.horizon, e.excess, coalesce(c.sma200_slope > 0, false) AS up, coalesce(c.vol_ratio >= {C.volume_confirm}, false) AS loud FROM kept_dated k JOIN long_excess e ON e.ticker = k.ticker AND e.date = k.date LEFT JOIN crossed c ON c.ticker = k.ticker AND c.date = k.date".replace("{C.volume_confirm}", str(C.volume_confirm))

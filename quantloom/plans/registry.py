@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.expr import rounded
-from ..functions.shared import checkpointed
+from ..functions.shared import checkpoint_folder, checkpointed
 from ..operators import analysis, averages, events, features, indicators, ingest, outcomes, relatedness, research, tables, universe
 from ..sources import market
+from ..streaming import maturity
 from .oracle import ORACLE_SQL
 
 LOOSE = replace(DEFAULT, min_abs_r=0.05)  # the derived prices are nearly independent
@@ -177,6 +179,16 @@ def _stepped(m: Market) -> DataFrame:
     return show(averages.indicators(averages.stepped(m.kept_bars, before)), "ticker date", "macd macd_signal macd_hist rsi_14 adx_14")
 
 
+def _matured(m: Market) -> DataFrame:
+    """Outcomes by a stream over the bars and predictions of one year after another, each year a batch of its own."""
+    folder = f"{checkpoint_folder(m.spark)}/matured-{uuid4().hex}"
+    rows = checkpointed(maturity.rows_of(m.kept_bars, m.preds).withColumn("_year", F.year("date")))
+    for year in [r[0] for r in rows.select("_year").distinct().orderBy("_year").collect()]:  # calendar years: a handful
+        rows.filter(F.col("_year") == year).drop("_year").write.mode("append").parquet(f"{folder}/landed")
+        maturity.take(m.spark, f"{folder}/landed", f"{folder}/state", lambda new, batch: new.write.mode("overwrite").parquet(f"{folder}/out/batch={batch}"))
+    return maturity.resolved(m.spark.read.parquet(f"{folder}/out").drop("batch"), m.bench, m.market_beta)
+
+
 def _refreshed(m: Market) -> DataFrame:
     splits, provider = _split(m)
     changed = ingest.acted(splits, splits.limit(0), F.lit("1996-03-01").cast("date"), F.lit("1996-04-15").cast("date"))
@@ -227,6 +239,7 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "accuracy_rollup": lambda m: outcomes.accuracy_rollup(m.resolved),
     "vol_threshold": lambda m: show(m.ahead.withColumn("threshold_21", DEFAULT.threshold_k * F.col("vol_at_signal") * F.sqrt(F.lit(21.0))), "ticker date", r6="vol_at_signal threshold_21"),
     "outcomes_v2": lambda m: show(m.outcomes, "ticker signal_date bias horizon_days direction_correct threshold_correct", r6="raw_return benchmark_return beta_used excess_return threshold_used"),
+    "outcomes_matured": lambda m: show(_matured(m), "ticker signal_date bias horizon_days direction_correct threshold_correct", r6="raw_return benchmark_return beta_used excess_return threshold_used"),
     "episodes": lambda m: outcomes.episodes(m.preds),
     "unresolved_anti": lambda m: show(outcomes.unresolved(m.preds, m.outcomes), "ticker signal_date signal_version bias"),
     "events_cross": lambda m: show(events.fires(m.crossed), "ticker date event"),

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from oracle import same
 
-NAMES = ["composite", "adx_14", "regime", "key_levels", "reasoning_text", "top_brief", "accuracy_rollup", "outcomes_v2", "outcome_seeds", "episodes", "event_dedup", "event_splits", "event_verdict", "confluence_monotonic", "equivalence_gate", "proposals", "weight_grid", "ingest_adjusted", "metadata_upsert", "universe_audit", "universe_counts", "listing_filter", "upsert_update", "upsert_latest", "refreshed_history", "metadata_stale", "metadata_due", "validate_missing", "averages_stepped", "peers", "replace_window", "corr_blocks_365"]
+NAMES = ["composite", "adx_14", "regime", "key_levels", "reasoning_text", "top_brief", "accuracy_rollup", "outcomes_v2", "outcome_seeds", "outcomes_matured", "episodes", "event_dedup", "event_splits", "event_verdict", "confluence_monotonic", "equivalence_gate", "proposals", "weight_grid", "ingest_adjusted", "metadata_upsert", "universe_audit", "universe_counts", "listing_filter", "upsert_update", "upsert_latest", "refreshed_history", "metadata_stale", "metadata_due", "validate_missing", "averages_stepped", "peers", "replace_window", "corr_blocks_365"]
 
 
 @pytest.mark.parametrize("name", NAMES)
