@@ -56,6 +56,11 @@ class Config:
     dedup_rows: int = 21
     volume_confirm: float = 1.5
     winsor: tuple[float, float] = (0.01, 0.99)
+    # rank model
+    rank_horizon: int = 42
+    rank_embargo: int = 63
+    rank_l2: float = 1.0
+    episode_weight: float = 0.25
     # ingest
     max_missing_share: float = 0.20
     days_a_year: int = 252

@@ -10,6 +10,7 @@ import re
 from ..config import DEFAULT as C
 from ..operators.analysis import NOTES, SIGNIFICANCE
 from ..operators.events import BULLISH, EVENTS
+from ..operators.ranking import COEFFICIENTS, DEEP, INPUTS
 from ..operators.research import DISTANCES, FARTHEST, GRID, weight_combos
 from ..operators.universe import DOTTED, HYPHENATED, NAMES
 
@@ -294,7 +295,24 @@ step("best_2", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY param_n
 step("proposed", f"SELECT 'signal_threshold' AS param_name, {C.signal_threshold}::DOUBLE AS current_value, candidate AS proposed_value, accuracy - b.a AS gain, n AS sample_size, NULL::VARCHAR AS vix_regime_scope FROM best_1, (SELECT avg(hit) AS a FROM hits_own HAVING count(*) >= {C.min_sample}) b UNION ALL SELECT param_name, now, candidate, accuracy - b.a, w.n, g.vix_regime FROM best_2 g JOIN (SELECT vix_regime, avg(hit) AS a FROM hits_own GROUP BY 1 HAVING count(*) >= {C.min_sample}) b ON b.vix_regime = g.vix_regime JOIN (SELECT vix_regime, count(*) AS n FROM hits GROUP BY 1 HAVING count(*) >= {C.min_sample}) w ON w.vix_regime = g.vix_regime")
 
 _r4 = lambda *cs: ", ".join(f"{r(c, 4)} AS {c}" for c in cs)
+_day = "OVER (PARTITION BY date)"
+_past = lambda n: f"close / nullif(lag(close, {n}) OVER ({W}), 0)"
+_DERIVED = {"mom_12_1": f"{_past(C.year)} - {_past(C.ret_windows[0])}", "vol_63d": f"stddev_samp(ret1) OVER ({W} ROWS BETWEEN {C.ret_windows[1] - 1} PRECEDING AND CURRENT ROW)", "above_sma200": "(dist_sma200 > 0)::INT::DOUBLE", "trend_up": "coalesce(trend_direction = 'up', false)::INT::DOUBLE", "trend_down": "coalesce(trend_direction = 'down', false)::INT::DOUBLE", "stretch_down": "dist_sma200_z * coalesce(trend_direction = 'down', false)::INT::DOUBLE"}
+step("rank_steps", f"SELECT *, {_past(1)} - 1 AS ret1, (row_number() OVER ({W}) - 1) % {C.episode_gap + 1} = 0 AS is_head FROM features")
+step("rank_inputs", f"SELECT *, {', '.join(f'{v} AS {k}' for k, v in _DERIVED.items())} FROM rank_steps")
+step("rank_rows", f"SELECT i.*, e.excess_{C.rank_horizon} AS gain FROM rank_inputs i JOIN excess e ON e.ticker = i.ticker AND e.date = i.date WHERE e.excess_{C.rank_horizon} IS NOT NULL AND " + " AND ".join(f"{c} IS NOT NULL" for c in INPUTS))
+step("rank_scaled", "SELECT ticker, date, trend_direction, vix_regime, dist_sma200, is_head, gain, " + ", ".join(f"CASE WHEN stddev_pop({c}) {_day} > 1e-12 THEN ({c} - avg({c}) {_day}) / stddev_pop({c}) {_day} ELSE 0 END AS x_{c}" for c in INPUTS) + " FROM rank_rows")
+step("rank_scored", f"SELECT *, {r('1 / (1 + exp(-(' + ' + '.join(f'{v}::DOUBLE' if k == 'intercept' else f'({v}::DOUBLE) * x_{k}' for k, v in COEFFICIENTS.items()) + ')))', 9)} AS score FROM rank_scaled")
+step("rank_placed", "SELECT *, CAST(ntile(10) OVER (PARTITION BY date ORDER BY score, ticker) AS INTEGER) AS decile, CAST(year(date) AS INTEGER) AS fold FROM rank_scored")
+step("rank_counts", "SELECT coalesce(trend_direction, 'none') AS trend_direction, coalesce(vix_regime, 'none') AS vix_regime, decile, count(*) AS n, sum((gain > 1e-9)::INT)::BIGINT AS hits FROM rank_placed WHERE is_head GROUP BY 1, 2, 3")
+step("rank_cells", "SELECT c.trend_direction, c.vix_regime, CAST(d AS INTEGER) AS decile, coalesce(max(n) FILTER (decile = d), 0) AS n, coalesce(max(hits) FILTER (decile = d), 0) AS hits, sum(n) >= " + str(C.min_sample) + " AS enough FROM rank_counts c, range(1, 11) t(d) GROUP BY 1, 2, 3")
+step("rank_pools", "SELECT x.trend_direction, x.vix_regime, x.decile AS first, y.decile AS last, sum(z.hits)::DOUBLE / nullif(sum(z.n), 0) AS rate FROM rank_cells x JOIN rank_cells y ON x.trend_direction = y.trend_direction AND x.vix_regime = y.vix_regime AND x.decile <= y.decile JOIN rank_cells z ON x.trend_direction = z.trend_direction AND x.vix_regime = z.vix_regime AND z.decile BETWEEN x.decile AND y.decile GROUP BY 1, 2, 3, 4")
+step("rank_floors", "SELECT p.trend_direction, p.vix_regime, c.decile, first, min(rate) AS least FROM rank_pools p JOIN rank_cells c ON c.trend_direction = p.trend_direction AND c.vix_regime = p.vix_regime AND c.decile BETWEEN first AND last GROUP BY 1, 2, 3, 4")
+
 SQL = {
+    "rank_spread": f"SELECT fold, n, {r('hi', 6)} AS top, {r('lo', 6)} AS bottom, {r('hi - lo', 6)} AS spread FROM (SELECT fold, count(*) AS n, avg(clipped) FILTER (decile = 10) AS hi, avg(clipped) FILTER (decile = 1) AS lo FROM (SELECT *, least(greatest(gain, quantile_cont(gain, {C.winsor[0]}) OVER (PARTITION BY fold)), quantile_cont(gain, {C.winsor[1]}) OVER (PARTITION BY fold)) AS clipped FROM rank_placed) q GROUP BY 1) g",
+    "rank_picks": f"SELECT ticker, date, pick, decile, {r('score', 6)} AS score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY date ORDER BY score DESC, ticker) AS INTEGER) AS pick FROM rank_placed WHERE NOT coalesce(dist_sma200 < {DEEP} AND trend_direction = 'down', false)) q WHERE pick <= 5",
+    "rank_confidence": f"SELECT c.trend_direction, c.vix_regime, c.decile, any_value(n) AS n, any_value(hits) AS hits, CASE WHEN bool_and(enough) THEN {r('max(least)', 6)} END AS confidence FROM rank_cells c LEFT JOIN rank_floors f ON f.trend_direction = c.trend_direction AND f.vix_regime = c.vix_regime AND f.decile = c.decile GROUP BY 1, 2, 3",
     "bars_ohlcv": f"SELECT ticker, date, {_r4('open', 'high', 'low', 'close')}, volume FROM bars",
     "validate_missing": f"SELECT count(*) AS requested, count(*) FILTER (b.ticker IS NULL) AS missing, (SELECT count(*) FROM bars) > 0 AND count(*) FILTER (b.ticker IS NULL) > {C.max_missing_share} * count(*) AS stop FROM (SELECT DISTINCT p_brand AS ticker FROM part) p LEFT JOIN (SELECT DISTINCT ticker FROM bars WHERE date = (SELECT max(date) FROM bars)) b USING (ticker)",
     "sma_50_200": f"SELECT ticker, date, {_r4('sma_50', 'sma_200')} FROM with_sma",
@@ -365,6 +383,8 @@ SQL = {
     "replace_window": "SELECT ticker, etf_proxy, CAST(365 AS INTEGER) AS window_days, beta FROM beta_90 UNION ALL SELECT ticker, etf_proxy, window_days, -beta FROM beta_90",
 }
 ORACLE_SQL = {name: chain(sql) for name, sql in SQL.items()}
+for _query, _than in (("latest_signal", ">="), ("latest_signal_before", ">")):
+    ORACLE_SQL[_query] = chain(f"SELECT b.ticker, b.date, p.signal_date, p.bias, {r('p.price_at_signal', 4)} AS price_at_signal FROM bars b ASOF LEFT JOIN preds p ON b.ticker = p.ticker AND b.date {_than} p.signal_date")
 ORACLE_SQL["outcomes_matured"] = ORACLE_SQL["outcomes_v2"]
 ORACLE_SQL["event_dedup"] = kept_sql("SELECT ticker, event, position, date FROM kept_dated")
 _bull = " + ".join(f"(count(*) FILTER (event = '{e}') > 0)::INT" for e in BULLISH)

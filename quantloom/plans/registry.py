@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..functions.expr import rounded
 from ..functions.shared import checkpoint_folder, checkpointed
-from ..operators import analysis, averages, events, features, indicators, ingest, outcomes, relatedness, research, tables, universe
+from ..operators import analysis, asof, averages, events, features, indicators, ingest, outcomes, ranking, relatedness, research, tables, universe
 from ..sources import market
 from ..streaming import maturity
 from .oracle import ORACLE_SQL
@@ -54,8 +54,15 @@ class Market:
     kept = property(lambda s: s._once("kept", lambda: events.dedup(events.fires(s.crossed))))
     excess = property(lambda s: s._once("excess", lambda: events.forward_excess(events.priced(s.kept_bars), s.bench, s.market_beta), keep=True))
     graded = property(lambda s: s._once("graded", lambda: s._robust(events.splits(s.kept, s.crossed, s.excess), ["event", "horizon", "split", "value"]), keep=True))
+    framed = property(lambda s: s._once("framed", lambda: ranking.frame(s.kept_features, s.excess), keep=True))
+    ranked = property(lambda s: s._once("ranked", lambda: ranking.deciles(ranking.scored(s.framed, ranking.COEFFICIENTS)).withColumn("fold", F.year("date")), keep=True))
+    walked = property(lambda s: s._once("walked", lambda: ranking.deciles(ranking.walked(s.framed, ranking.fit(s.framed, s.years))), keep=True))
     base = property(lambda s: s._once("base", lambda: s._robust(events.base_rows(s.crossed, s.excess), ["horizon", "slope"]), keep=True))
 
+    @property
+    def years(self) -> list[int]:
+        return sorted(r[0] for r in self.framed.select(F.year("date")).distinct().collect())  # calendar years: a handful
+
     @property
     def confluent(self) -> DataFrame:
         """Buckets of bullish events on all dates, and on those with the long average rising."""
@@ -180,15 +187,21 @@ def _stepped(m: Market) -> DataFrame:
 
 
 def _matured(m: Market) -> DataFrame:
-    """Outcomes by a stream over the bars and predictions of one year after another, each year a batch of its own."""
+    """Outcomes by a stream over the bars and predictions of one time after another, three years a batch."""
     folder = f"{checkpoint_folder(m.spark)}/matured-{uuid4().hex}"
-    rows = checkpointed(maturity.rows_of(m.kept_bars, m.preds).withColumn("_year", F.year("date")))
-    for year in [r[0] for r in rows.select("_year").distinct().orderBy("_year").collect()]:  # calendar years: a handful
-        rows.filter(F.col("_year") == year).drop("_year").write.mode("append").parquet(f"{folder}/landed")
+    rows = checkpointed(maturity.rows_of(m.kept_bars, m.preds).withColumn("_span", F.floor(F.year("date") / 3)))
+    for span in [r[0] for r in rows.select("_span").distinct().orderBy("_span").collect()]:  # a handful
+        rows.filter(F.col("_span") == span).drop("_span").write.mode("append").parquet(f"{folder}/landed")
         maturity.take(m.spark, f"{folder}/landed", f"{folder}/state", lambda new, batch: new.write.mode("overwrite").parquet(f"{folder}/out/batch={batch}"))
     return maturity.resolved(m.spark.read.parquet(f"{folder}/out").drop("batch"), m.bench, m.market_beta)
 
 
+def _latest(m: Market, strict: bool) -> DataFrame:
+    """Each day of a ticker with its latest signal, that day's included or not."""
+    signals = m.preds.select("ticker", F.col("signal_date").alias("date"), "bias", "price_at_signal")
+    return show(asof.asof(m.kept_bars.select("ticker", "date"), signals, ["ticker"], "date", ["bias", "price_at_signal"], matched="signal_date", strict=strict), "ticker date signal_date bias", "price_at_signal")
+
+
 def _refreshed(m: Market) -> DataFrame:
     splits, provider = _split(m)
     changed = ingest.acted(splits, splits.limit(0), F.lit("1996-03-01").cast("date"), F.lit("1996-04-15").cast("date"))
@@ -240,6 +253,8 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "vol_threshold": lambda m: show(m.ahead.withColumn("threshold_21", DEFAULT.threshold_k * F.col("vol_at_signal") * F.sqrt(F.lit(21.0))), "ticker date", r6="vol_at_signal threshold_21"),
     "outcomes_v2": lambda m: show(m.outcomes, "ticker signal_date bias horizon_days direction_correct threshold_correct", r6="raw_return benchmark_return beta_used excess_return threshold_used"),
     "outcomes_matured": lambda m: show(_matured(m), "ticker signal_date bias horizon_days direction_correct threshold_correct", r6="raw_return benchmark_return beta_used excess_return threshold_used"),
+    "latest_signal": lambda m: _latest(m, strict=False),
+    "latest_signal_before": lambda m: _latest(m, strict=True),
     "episodes": lambda m: outcomes.episodes(m.preds),
     "unresolved_anti": lambda m: show(outcomes.unresolved(m.preds, m.outcomes), "ticker signal_date signal_version bias"),
     "events_cross": lambda m: show(events.fires(m.crossed), "ticker date event"),
@@ -253,6 +268,11 @@ _BY_NAME: dict[str, Callable[[Market], DataFrame]] = {
     "confluence": lambda m: m.confluent,
     "confluence_monotonic": lambda m: events.monotonic(m.confluent),
     "equivalence_gate": lambda m: events.equivalence(events.priced(m.kept_bars), m.bench, m.market_beta, m.excess),
+    "rank_spread": lambda m: ranking.spreads(m.ranked),
+    "rank_picks": lambda m: ranking.picks(m.ranked, 5).select("ticker", "date", "pick", "decile", rounded(F.col("score"), 6).alias("score")),
+    "rank_confidence": lambda m: ranking.calibration(m.ranked),
+    "rank_walk_forward": lambda m: ranking.spreads(m.walked),
+    "rank_walk_confidence": lambda m: ranking.calibration(m.walked),
     "proposals": lambda m: research.proposals(m.resolved, least=0.0),
     "outcome_seeds": lambda m: show(outcomes.seeds(m.preds, m.ahead), "ticker signal_date horizon_days", r6="price_at_signal vol_at_signal threshold_used"),
     "beta_fallbacks": lambda m: relatedness.fallbacks(m.kept_bars.unionByName(m.kept_bars.filter("day(date) = 1").withColumn("ticker", F.concat("ticker", F.lit("x")))), m.market_beta),
