@@ -18,7 +18,8 @@ def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, valu
 
     Both sides are sorted together within a key and a ``bucket`` of time (a function that never falls as time grows, and not finer than time), so that a
     key of any size is as many tasks' work as it has buckets. What a bucket's first rows need is carried over: of each key and bucket the last row of
-    ``right``, a summary by which windows over buckets, not rows, are filled. Each side is shuffled once; nothing is broadcast.
+    ``right``, a summary by which windows over buckets, not rows, are filled. Each side is read twice and shuffled once, the summary
+    after it is combined; the join with it keeps that partitioning.
 
     Every row of ``left`` comes back once, repeated ones as often as they are there, with NULL where nothing matches: also where a key or the time is NULL. A
     NULL among the values of a match stays. Of rows of ``right`` with the same keys and time the one with the greatest values, in their order, counts. Columns

@@ -53,8 +53,17 @@ def test_empty_sides_and_clashing_names(spark):
         asof(full.withColumn("v", F.lit(1)), other, ["k", "g"], "t", ["v"])
 
 
-def test_a_hot_key_is_split_and_each_side_shuffled_once(spark):
+def test_a_hot_key_is_dealt_by_its_buckets_and_rows_are_shuffled_once(spark):
     left, right = (spark.range(1000).select(F.lit("hot").alias("k"), F.expr("date_add(date'2000-01-01', cast(id as int))").alias("t"), F.col("id").alias(n)) for n in ("id", "v"))
-    plan = asof(left, right, ["k"], "t", ["v"])._jdf.queryExecution().executedPlan().toString()
+    was = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = asof(left, right, ["k"], "t", ["v"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # rows by key and bucket; the summary, combined first, by key and bucket, by key for its window, and back
+    assert sum("_bucket" in line.split("],")[0].split(", 8)")[0] for line in shuffles) == 3 and len(shuffles) == 4, plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
-    assert "hashpartitioning(k#" in plan and "_bucket" in plan
