@@ -119,3 +119,15 @@ def test_deciles_spread_and_confidence_by_hand(rows):
     assert looked.filter("confidence is null").count() == looked.filter("trend_direction is distinct from 'up'").count() == 2000
     heads = data[data["is_head"]].groupby("decile")["label"].mean()
     assert heads[1] <= heads[2] and {(r.decile, round(r.confidence, 5)) for r in looked.filter("is_head").select("decile", "confidence").distinct().collect()} == {(d, round(v, 5)) for d, v in heads.items()}
+
+
+def test_each_year_is_scored_by_the_model_that_saw_nothing_of_it(rows):
+    models = ranking.fit(rows, [2018, 2019, 2020, 2021], inputs=INPUTS)
+    renamed = {f: dict(zip(("intercept", *INPUTS), m)) for f, m in models.items()}
+    got = ranking.walked(rows, renamed).toPandas()
+    data = rows.toPandas()
+    assert set(got["fold"]) == {2019, 2020, 2021} and len(got) == sum(d.year in models for d in data["date"])
+    for r in got.itertuples():
+        beta = models[r.date.year]
+        assert r.fold == r.date.year and abs(r.score - 1 / (1 + np.exp(-(beta @ [1, r.x_a, r.x_b, r.x_c])))) < 1e-8
+    assert ranking.walked(rows, {}).count() == 0
