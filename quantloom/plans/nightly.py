@@ -217,7 +217,7 @@ def night(
     ``alert`` hears of what stopped the night, which is raised all the same.
     """
     try:
-        fetched = fetched.filter(F.col("date") == F.lit(on))
+        fetched = checkpointed(fetched.filter(F.col("date") == F.lit(on)))  # of a provider that is asked, once
         if not ingest.check(tickers, fetched, cfg):
             return False
         stamped = lambda df: df if "fetched_at" in df.columns else df.withColumn("fetched_at", F.current_timestamp())

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PROVIDER_BARS = "date date, open double, high double, low double, close double, adjusted_close double, volume bigint"
+COMPANY = "ticker string, Name string, Sector string, Industry string, MarketCapitalization bigint, Exchange string"
 PROVIDER_SYMBOLS = "Code string, Name string, Exchange string, Currency string, Type string"
 ENTRY = "struct<exchange:string,has_data:boolean,cap_tier:string,provider_sector:string,provider_industry:string,signal_categories:array<string>>"
 
@@ -42,8 +43,11 @@ def tickers(universe: DataFrame, exchanges: list[str] | None = None, extra: Data
 
 
 def metadata(spark: SparkSession, path: str) -> DataFrame:
+    return company(spark.read.schema(COMPANY).json(path))
+
+
+def company(raw: DataFrame) -> DataFrame:
     """Company data as a provider gives them, as rows of ``ticker_metadata``."""
-    raw = spark.read.schema("ticker string, Name string, Sector string, Industry string, MarketCapitalization bigint, Exchange string").json(path)
     named = {"Name": "name", "Sector": "sector", "Industry": "industry", "MarketCapitalization": "market_cap", "Exchange": "exchange"}
     df = raw.withColumnsRenamed(named)
     return df.withColumns({"provider_sector": F.col("sector"), "provider_industry": F.col("industry"), "updated_at": F.current_timestamp()})
