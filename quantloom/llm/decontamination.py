@@ -8,7 +8,8 @@ window, laid so that the word falls on its position in it, lies within the docum
 positional bounds), and is then verified word by word.
 
 The benchmark is a stated query set: it is taken in blocks of bounded size and each block is held against
-all documents. Counting rarities and joining both run in tasks over bounded slices of documents.
+all documents. Counting rarities and joining both run in tasks over bounded slices of documents. Of more than ``LIVE`` blocks
+the first ones' results are written before the next are read, so that executors hold no more than that many at any size of the benchmark.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z, compared by 64-bit hashes. Nulls: a null
 text has no words, as an empty one, a null item id is left out of the list of items. Ties in rarity go by position. A very long text is taken
@@ -27,9 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .buffers import LOWER, PUNCT, prefix_hash, span_hash, text_buffer, words
-from .common import lean, slices, table
+from .common import checkpointed, lean, slices, table
 
 WINDOW, BLOCK_MB = 10, 8
+LIVE = 8  # blocks that are broadcast at a time
 
 
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -123,6 +125,7 @@ def rarities(docs: DataFrame, block: Block, text: str = "text") -> np.ndarray:
     out = np.zeros(len(block.vocabulary) or 1, np.int64)
     for r in docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():  # a row for each word of the block
         out[r["word"]] = r["n"]
+    vocabulary.unpersist()
     return out
 
 
@@ -153,8 +156,9 @@ def _against(df: DataFrame, block: Block, at: int) -> DataFrame:
             doc, start, window = block.occurrences(block.number(hashes), first)
             spans, items = (batch.column(batch.num_columns - k).to_pylist() for k in (2, 1))
             spans = [[(x["start"], x["end"]) for x in s] for s in spans]
-            for d, s, w in zip(doc.tolist(), (start - first[doc]).tolist(), window.tolist(), strict=True):
-                spans[d].append((s, s + int(block.length[w])))
+            for d, s, e in zip(doc.tolist(), (start - first[doc]).tolist(), (start - first[doc] + block.length[window]).tolist(), strict=True):
+                spans[d].append((s, e))
+            for d, w in zip(*(x.tolist() for x in np.unique(np.stack([doc, window]), axis=1)), strict=True):  # a window's items once a document
                 items[d] += [str(block.item_ids[i]) for i in block.items[w] if block.item_ids[i] is not None]
             for d in set(doc.tolist()):
                 spans[d], items[d] = merge(spans[d]), sorted(set(items[d]))
@@ -165,14 +169,16 @@ def _against(df: DataFrame, block: Block, at: int) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_mb: int = BLOCK_MB, text: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_mb: int = BLOCK_MB, text: str = "text", live: int = LIVE) -> DataFrame:
     """Adds to each document n_words, the hit ``spans`` of words (merged) and the ids of the ``items`` with occurring windows, sorted as strings."""
     docs = docs.drop("n_words", "spans", "items")
     out = docs.select(
         *docs.columns, F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"), F.array().cast("array<string>").alias("items")
     )
     at = docs.columns.index(text)
-    for block in blocks(benchmark, window, block_mb) if benchmark.head(1) else [Block([], [], window)]:
+    for n, block in enumerate(blocks(benchmark, window, block_mb) if benchmark.head(1) else [Block([], [], window)]):
+        if n and n % live == 0:
+            out = checkpointed(out)  # nothing refers to the blocks before any more
         block.order(rarities(docs, block, text))
         out = _against(out, block, at)
     return out

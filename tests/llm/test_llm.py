@@ -326,7 +326,7 @@ def test_contamination_on_odd_rows(spark, odd):
     out = {r.doc_id: r for r in decontamination.contamination(odd, bench).collect()}
     assert out[1]["items"] == ["1"] and sum(s["end"] - s["start"] for s in out[1].spans) == 14
     assert out[7]["items"] == ["2"] and out[3].n_words == 0 and not out[4].spans
-    by_block = {r.doc_id: r for r in decontamination.contamination(odd, bench, block_mb=0).collect()}
+    by_block = {r.doc_id: r for r in decontamination.contamination(odd, bench, block_mb=0, live=2).collect()}
     assert {i: (r.spans, r["items"]) for i, r in by_block.items()} == {i: (r.spans, r["items"]) for i, r in out.items()}
     assert decontamination.contamination(odd, nothing(bench)).filter(F.size("spans") > 0).count() == 0
     assert decontamination.contamination(nothing(odd), bench).count() == 0
