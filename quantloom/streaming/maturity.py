@@ -77,8 +77,11 @@ class Maturity(StatefulProcessor):
             out += [(key[0], date, h, bias, price, vol, bars[at[date] + h][1], self.torn(bars, at[date], h)) for h in due]
             if passed < self.horizons[-1]:
                 still.append((date, bias, version, price, max([reached, *due])))
-        self.bars.put(bars[-self.keeps :])
-        self.open.put(still)
+        for state, left in ((self.bars, bars[-self.keeps :]), (self.open, still)):
+            if left:
+                state.put(left)
+            else:  # an empty list can't be written
+                state.clear()
         yield pd.DataFrame(out, columns=[c.split()[0] for c in MATURED.split(", ")])
 
     def step(self, bars: list[tuple], i: int) -> float | None:

@@ -68,3 +68,17 @@ def test_a_higher_version_that_comes_later_speaks_anew(spark, tmp_path):
         maturity.rows_of(b, p).coalesce(1).write.mode("append").parquet(landed)
         maturity.take(spark, landed, state, lambda rows, _: seen.extend((r.horizon_days, r.price_at_signal) for r in rows.collect()))
     assert sorted(seen[:2]) == [(5, 10.0), (10, 10.0)] and sorted(seen[2:]) == [(5, 11.0), (10, 11.0)]
+
+
+def test_a_ticker_without_open_predictions_or_without_bars(spark, tmp_path):
+    """B has bars alone, C a prediction before any bar; A's last prediction matures, and D's is dropped, in a batch after it came."""
+    landed, state = f"{tmp_path}/landed", f"{tmp_path}/state"
+    seen = []
+    bars = lambda lo, hi: [(t, d, 10.0 + DAYS.index(d)) for t in "ABD" for d in DAYS[lo:hi]]
+    preds = [("A", DAYS[0], "v1.0", "bullish", 10.0), ("C", DAYS[100], "v1.0", "bearish", 7.0), ("D", DAYS[5], "v1.0", "bullish", 15.0)]
+    batches = [([b for b in bars(0, 5)], preds), ([b for b in bars(5, 100) if b[::2] != ("D", 15.0)], []), ([("C", d, 5.0) for d in DAYS[100:106]], [])]
+    for b, p in batches:
+        p = spark.createDataFrame(p, "ticker string, signal_date date, signal_version string, bias string, price_at_signal double")
+        maturity.rows_of(spark.createDataFrame(b, "ticker string, date date, close double"), p).coalesce(1).write.mode("append").parquet(landed)
+        maturity.take(spark, landed, state, lambda rows, _: seen.extend((r.ticker, r.horizon_days, r.future_price) for r in rows.collect()))
+    assert sorted(seen) == [*[("A", h, 10.0 + h) for h in sorted(maturity.DEFAULT.horizons_v2)], ("C", 5, 5.0)]
