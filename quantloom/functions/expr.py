@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -29,14 +30,30 @@ def ratio(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0.0))
 
 
+def _decimal(c: Column, digits: int) -> Column:
+    """A double as a decimal, half up from its tenth place.
+
+    SQL engines take that place from the double itself, times 1e10. Spark's cast takes the shortest text that reads back as the double, and of a large
+    one that can be a half where the double is under it. So the tenths of a billionth are counted here, as whole numbers: ``high`` * 2**32 + ``low``.
+    """
+    unit, over = 10 ** (10 - digits), 2**32
+    places = F.rint(c * 1e10)
+    high, low = (places / float(over)).cast("long"), (places % float(over)).cast("long")
+    whole = lambda a: F.call_function("div", a, F.lit(unit))
+    n = whole(high) * over + whole(high % unit * over + low + (F.signum(places) * (unit // 2)).cast("long"))
+    fits = F.abs(c) < 1e18  # what is larger fails in the cast, or is NULL if it is no number
+    kind = f"decimal(18,{digits})"
+    return F.when(fits, (n.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(kind)).otherwise(c.cast("decimal(28,10)").cast(kind))
+
+
 def rounded(c: Column, digits: int) -> Column:
     """Half-up rounding that other engines repeat: through decimals, back to double."""
-    return c.cast("decimal(28,10)").cast(f"decimal(18,{digits})").cast("double")
+    return _decimal(c, digits).cast("double")
 
 
 def fixed(c: Column, digits: int = 2) -> Column:
     """A number as text with fixed digits."""
-    return c.cast("decimal(28,10)").cast(f"decimal(18,{digits})").cast("string")
+    return _decimal(c, digits).cast("string")
 
 
 def trailing(rows: int) -> WindowSpec:

@@ -1,3 +1,4 @@
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -38,6 +39,22 @@ def test_rounding_is_half_up(spark):
     assert (row.a, row.b, row.c) == (1.01, -2.68, "0.95")
 
 
+def test_large_numbers_are_rounded_as_in_sql(spark):
+    """As another engine rounds them: 5639017.895 as a double is under the half."""
+    rng = np.random.default_rng(6)
+    values = [5639017.895, -5639017.895, 1623501.515, 0.0, 1.005, 99999999999.99]
+    values += [float(np.round(v, d)) for e in range(-6, 12) for v in rng.uniform(-1, 1, 60) * 10.0**e for d in (3, 5, 12)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*values, None, float("nan")])], "i int, v double")
+    got = df.select("i", *[rounded(F.col("v"), d).alias(f"r{d}") for d in (4, 6)], fixed(F.col("v")).alias("t")).orderBy("i").collect()
+    con = duckdb.connect()
+    con.execute("create table x(i int, v double)")
+    con.executemany("insert into x values (?, ?)", list(enumerate(values)))
+    r = lambda d, to: f"cast(cast(cast(v as decimal(28,10)) as decimal(18,{d})) as {to})"
+    want = con.execute(f"select i, {r(4, 'double')}, {r(6, 'double')}, {r(2, 'varchar')} from x order by i").fetchall()
+    assert [tuple(g) for g in got[: len(values)]] == want
+    assert want[0][3] == "5639017.89" and all(tuple(g)[1:] == (None, None, None) for g in got[len(values) :])
+
+
 def test_averages_of_one_call_share_blocks_over_sparse_values(spark):
     rng = np.random.default_rng(4)
     x = 50 + rng.normal(size=3000).cumsum()
