@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
-from functools import reduce
+from math import log1p
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -75,7 +75,7 @@ def band(value: Column, bands: Sequence[tuple], last: object, take: int = 1) ->
     return F.when(value.isNotNull(), out.otherwise(F.lit(last)))
 
 
-BLOCK = "_block"
+BLOCK, ROWS = "_block", 256
 
 
 def in_blocks() -> WindowSpec:
@@ -89,19 +89,18 @@ def ewms(df: DataFrame, averages: Mapping[str, tuple[str, float]]) -> DataFrame:
 
     The recurrence y = a y' + b x is summed in closed form: with L the running sum of ln a,
     y = exp(L) * sum(b x exp(-L)). exp(-L) would overflow on long histories, so the sums start anew in every
-    block, and a block starts from the one before; what stands two blocks back has a weight
-    below 1e-16 if a value is known in half of the rows that have any. No UDF, any length of history.
+    block of ``ROWS`` rows. What a block starts from is folded over the ends of all blocks before it, once a block. No UDF, any length of history,
+    and nothing is forgotten: a large value that is far back still counts beside small ones.
 
-    All averages of a call share the block, and so do those of later calls: the first leaves it in ``_block`` (as long as the slowest
-    of its averages needs; later ones may not be slower), so that all their windows share one sort.
+    Blocks are counted on the ticker's rows alone: an average is the same, to the last bit, whatever is averaged beside it. The first call leaves
+    the block in ``_block`` for later ones (whose averages may not be much faster), so that all their windows share one sort.
     """
     before, so_far = (Window.unboundedPreceding, -1), (Window.unboundedPreceding, 0)
     items = [(out, F.col(value), alpha, f"_{i}") for i, (out, (value, alpha)) in enumerate(averages.items())]
     keep = [c for c in df.columns if c != BLOCK]
     if BLOCK not in df.columns:
-        some = reduce(lambda a, b: a | b, [x.isNotNull() for _, x, _, _ in items])
-        rows = 2 * int(37 / min(alpha for *_, alpha, _ in items))
-        df = df.withColumn(BLOCK, F.floor(F.count(F.when(some, 1)).over(by_ticker().rowsBetween(*before)) / rows))
+        rows = min(ROWS, int(600 / -log1p(-max(alpha for *_, alpha, _ in items))))  # exp(600) is no overflow
+        df = df.withColumn(BLOCK, F.floor((F.row_number().over(by_ticker()) - 1) / rows))
     w = in_blocks()
     inner = Window.partitionBy(KEY, BLOCK).orderBy(TIME).rowsBetween(*so_far)
     df = df.withColumn("_p", F.row_number().over(w))
@@ -115,9 +114,11 @@ def ewms(df: DataFrame, averages: Mapping[str, tuple[str, float]]) -> DataFrame:
     df = df.withColumns(steps)
     df = df.withColumns({f"_l{i}": F.sum(f"_a{i}").over(inner) for *_, i in items})
     df = df.withColumns({f"_y{i}": F.exp(f"_l{i}") * F.sum(F.col(f"_b{i}") * F.exp(-F.col(f"_l{i}"))).over(inner) for *_, i in items})
-    ends = F.lead(BLOCK).over(w) != F.col(BLOCK)
-    df = df.withColumn("_ends", F.coalesce(ends, F.lit(False)))
-    df = df.withColumns({f"_f{i}": F.coalesce(F.last(F.when(F.col("_ends"), F.col(f"_y{i}")), ignorenulls=True).over(w.rowsBetween(*before)), F.lit(0.0)) for *_, i in items})
+    df = df.withColumns({"_ends": F.coalesce(F.lead(BLOCK).over(w) != F.col(BLOCK), F.lit(False)), "_starts": F.coalesce(F.lag(BLOCK).over(w) != F.col(BLOCK), F.lit(True))})
+    df = df.withColumn("_past", F.collect_list(F.when(F.col("_ends"), F.struct(*[f"{n}{i}" for *_, i in items for n in ("_y", "_l")]))).over(w.rowsBetween(*before)))
+    carried = lambda i: F.aggregate("_past", F.lit(0.0), lambda f, end: end[f"_y{i}"] + F.exp(end[f"_l{i}"]) * f)
+    df = df.withColumns({f"_f{i}": F.when(F.col("_starts"), carried(i)) for *_, i in items})
+    df = df.withColumns({f"_f{i}": F.last(f"_f{i}", ignorenulls=True).over(w.rowsBetween(*so_far)) for *_, i in items})
     known = {i: x.isNotNull() | F.col(f"_q{i}").isNotNull() for _, x, _, i in items}
     return df.select(*keep, BLOCK, *[F.when(known[i], F.col(f"_y{i}") + F.exp(f"_l{i}") * F.col(f"_f{i}")).alias(out) for out, _, _, i in items])
 

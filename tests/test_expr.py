@@ -69,3 +69,18 @@ def test_averages_of_one_call_share_blocks_over_sparse_values(spark):
     want["again"] = want["fast"].ewm(alpha=0.2, adjust=False).mean()
     for name, w in want.items():
         np.testing.assert_allclose(got[name].astype(float), w, rtol=1e-9)
+
+
+def test_an_average_is_the_same_alone_and_beside_others_and_forgets_nothing(spark):
+    """Prices that fall from 1e60 to 1e-20 and gaps of whole blocks: what is far back outweighs what is near."""
+    x = 10.0 ** np.concatenate([np.linspace(60, -20, 900), np.full(700, -20.0), np.linspace(-20, 8, 900)]) * np.random.default_rng(5).uniform(0.5, 2, 2500)
+    gaps = x.copy()
+    gaps[300:1000:3] = np.nan
+    days = pd.date_range("2010-01-01", periods=2500).date
+    df = spark.createDataFrame([("A", d, float(a), None if np.isnan(b) else float(b)) for d, a, b in zip(days, x, gaps)], "ticker string, date date, x double, g double")
+    both = ewms(df, {"fast": ("x", 2 / 13), "slow": ("g", 1 / 14)}).orderBy("date").toPandas()
+    alone = {"fast": ewm(df, "x", 2 / 13, "y"), "slow": ewm(df, "g", 1 / 14, "y")}
+    for name, values, alpha in (("fast", x, 2 / 13), ("slow", gaps, 1 / 14)):
+        got = both[name].astype(float).to_numpy()
+        assert (got == column(alone[name], "y")).all()
+        np.testing.assert_allclose(got, pd.Series(values).ewm(alpha=alpha, adjust=False).mean(), rtol=1e-9)
