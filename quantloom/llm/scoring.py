@@ -8,10 +8,10 @@ request for each of its distinct words, however many buckets there are.
 
 Attention. Where a group's answers come back its texts are encoded, once, and the subword ids are
 checkpointed. Over the ids of all training texts are then counted: the ids, and their neighbours among frequent
-ids, from which ``attention`` takes classes, shares and the prior. The network starts from ``WINDOWS`` windows
-on the driver (a bounded sample, the lowest by a hash) and goes on where the data is: in each of ``ROUNDS`` rounds every
-partition of the ids steps through a fixed share, one window in ``SHARE``, and what the partitions learnt is averaged, an
-embedding over those that met its id. So all that is gathered grows with the corpus; what reaches the driver is
+ids, from which ``attention`` takes classes, shares and the prior. The network's first weights come from ``WINDOWS`` windows
+on the driver (a bounded start, the lowest by a hash); it then learns from every window of every training text where the data is: a window
+belongs to one of ``ROUNDS`` rounds, in which every partition of the ids steps through its windows of that round, and what the
+partitions learnt is averaged, an embedding over those that met its id. So all that is gathered grows with the corpus; what reaches the driver is
 bounded by the vocabulary, as sums over a tree of tasks. Texts are then scored whole.
 
 Nulls: a null text is empty and has its end token alone; a null id counts as the empty text in the choice
@@ -37,7 +37,7 @@ from .langid import remainder
 from .subwords import subwords
 
 GROUP_MB, LOT = 8, 128
-WINDOWS, SHARE, ROUNDS, FAN = 40_000, 64, 2, 16
+WINDOWS, ROUNDS, FAN = 40_000, 2, 16
 END_WORD = mix(np.array([0xE2D], np.uint64))[0]
 
 
@@ -211,7 +211,7 @@ def _sample(ids: DataFrame, total: float) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def _learn(model: attention.Model, turn: int, batch: int = 128, rate: float = 0.002) -> Callable:
-    """Steps through a partition's windows of this round; what changed, times its weight, and the weights."""
+    """Steps through all of a partition's windows of this round; what changed, times its weight, and the weights."""
     at = np.cumsum([0, *(w.size for w in model.p.values())])
     names, size, dim = list(model.p), int(at[-1]), attention.DIM
 
@@ -220,7 +220,7 @@ def _learn(model: attention.Model, turn: int, batch: int = 128, rate: float = 0.
         trainer, met, seen = attention.Trainer(model), np.zeros(attention.VOCABULARY, bool), 0
         rng = np.random.default_rng(turn)
         for part in slices(batches, 0, limit=2 << 20, rows=10_000):
-            _, line, begin, y, real = _drawn(part.column(0).to_pylist(), lambda d: d % np.uint64(SHARE) == np.uint64(turn))
+            _, line, begin, y, real = _drawn(part.column(0).to_pylist(), lambda d: d % np.uint64(ROUNDS) == np.uint64(turn))
             own = rng.permutation(len(begin))
             for i in range(0, len(own), batch):
                 pick = own[i : i + batch]

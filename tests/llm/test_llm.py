@@ -419,6 +419,22 @@ def test_what_partitions_learn_is_averaged(spark):
     assert out[3] == 2 * cells.count() and out[5] == 2 * cells.count() and out.sum() == out[3] + out[5]
 
 
+def test_every_window_of_the_training_texts_teaches(spark):
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, 300, n).astype("<u2").tobytes() for n in (0, 5, 700, 5000, 24, 25, 700)]
+    ids = spark.createDataFrame([(t,) for t in [*texts, texts[3]]], "_ids binary").repartition(3)
+    model, _ = made_model(rng.integers(0, 300, 50), steps=1)
+    size, dim = sum(w.size for w in model.p.values()), attention.DIM
+    bias = sum(w.size for n, w in list(model.p.items())[: list(model.p).index("bias")])
+    seen, met = 0, np.zeros(attention.VOCABULARY, bool)
+    for turn in range(scoring.ROUNDS):
+        out = scoring.tree_sum(ids.mapInArrow(scoring._learn(model, turn), scoring.CELLS), 2 * size, 3)
+        seen += out[size + bias]  # windows stepped through
+        met |= out[2 * size - attention.VOCABULARY * dim :: dim] > 0
+    assert seen == sum(attention.n_windows(len(t) // 2) for t in [*texts, texts[3]])
+    assert set(np.frombuffer(b"".join(texts), "<u2").tolist()) <= set(np.flatnonzero(met).tolist())
+
+
 def test_attention_beats_unigrams_on_held_out_texts(spark, small, texts):
     rows = {r.doc_id: r for r in scoring.op7_attention_lm(spark, small).collect()}
     ids = {i: np.append(subwords().encode(t or ""), attention.END) for i, t in texts.items()}
