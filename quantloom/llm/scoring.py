@@ -36,16 +36,17 @@ from .common import checkpointed, lean, parts_for, slices, table
 from .langid import remainder
 from .subwords import subwords
 
-GROUP_MB, LOT = 8, 128
+GROUP_MB = 8
+BLOCK = 24 << 10  # bytes hashed at a time: eight bytes for each of them stay in a core's cache
 WINDOWS, ROUNDS, FAN = 40_000, 2, 16
 END_WORD = mix(np.array([0xE2D], np.uint64))[0]
 
 
 def word_stream(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words and of an end after each text's, and each text's first; about a megabyte at a time."""
+    """Hashes of all words and of an end after each text's, and each text's first; a block at a time."""
     buffer, offsets = text_buffer(texts)
     hashes, firsts, total = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0
-    for i, j in row_ranges(offsets, 1 << 20):
+    for i, j in row_ranges(offsets, BLOCK):
         part = LOWER[buffer[offsets[i] : offsets[j]]]
         start, end, at = words(part, offsets[i : j + 1] - offsets[i], WHITE)
         hashes.append(np.insert(span_hash(prefix_hash(part), start, end), at[1:], END_WORD))
@@ -129,8 +130,9 @@ CELLS = "part int, cell binary, value binary"
 
 
 def _cells(part: int, cell: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
-    cell, at = np.unique(cell, return_inverse=True)
-    value = np.bincount(at, weights=value, minlength=len(cell))
+    if (cell[1:] <= cell[:-1]).any():
+        cell, at = np.unique(cell, return_inverse=True)
+        value = np.bincount(at, weights=value, minlength=len(cell))
     blobs = [pa.array([x.tobytes()], pa.binary()) for x in (cell.astype("<i8"), value.astype("<f8"))]
     return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *blobs], names=["part", "cell", "value"])
 
@@ -187,7 +189,8 @@ def _drawn(blobs: list[bytes], keep: Callable[[np.ndarray], np.ndarray]) -> tupl
     seed = np.array([zlib.crc32(b) for b in blobs], np.uint64)[of]
     draw = mix(seed * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64))
     own = np.flatnonzero(keep(draw))
-    texts, which = np.unique(of[own], return_inverse=True)
+    texts = np.flatnonzero(np.bincount(of[own], minlength=len(blobs)))
+    which = np.searchsorted(texts, of[own])
     line, begin, y, real, _ = _laid([blobs[t] for t in texts])
     at = (np.cumsum(many[texts]) - many[texts])[which] + place[own]
     return draw[own], line, begin[at], y[at], real[at]
@@ -259,12 +262,11 @@ def fit(ids: DataFrame) -> attention.Model:
 def text_scores(model: attention.Model, blobs: list[bytes]) -> np.ndarray:
     """log10 probability of each text's ids and end; windows of many texts go through the model together."""
     line, begin, targets, real, of = _laid(blobs)
-    out = np.zeros(len(blobs))
-    for i in range(0, len(begin), LOT):
-        lot = slice(i, i + LOT)
-        logs = np.where(real[lot], model.log10(attention.inputs_at(line, begin[lot]), targets[lot]), 0).sum(axis=1, dtype=np.float64)
-        out += np.bincount(of[lot], weights=logs, minlength=len(blobs))
-    return out
+    logs, joined = np.zeros(real.shape, np.float32), model.joined()
+    for i in range(0, len(begin), attention.LOT):
+        lot = slice(i, i + attention.LOT)
+        logs[lot] = model.log10(attention.inputs_at(line, begin[lot]), targets[lot], joined)
+    return np.bincount(of, weights=np.where(real, logs, 0).sum(axis=1, dtype=np.float64), minlength=len(blobs))
 
 
 def _score(model: attention.Model) -> Callable:

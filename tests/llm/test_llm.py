@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -435,6 +436,42 @@ def test_every_window_of_the_training_texts_teaches(spark):
     assert set(np.frombuffer(b"".join(texts), "<u2").tolist()) <= set(np.flatnonzero(met).tolist())
 
 
+def test_a_step_takes_windows_in_lots_that_fit_a_cache(monkeypatch):
+    """What a step and a score hold at once is bounded by the lot; lots change nothing but the order of sums; gradients are those of the score."""
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 500, 24 * 255)
+    model, (x, y, real) = made_model(ids, steps=5)
+    blob = ids.astype("<u2").tobytes()
+    trainer, whole = attention.Trainer(model), attention.Trainer(model)
+    trainer.step(x[:128], y[:128], real[:128], 0.002)
+    tracemalloc.start()
+    trainer.step(x[128:], y[128:], real[128:], 0.002)
+    stepped = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    scores = scoring.text_scores(model, [blob, blob])
+    scored = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert stepped < 2e6 and scored < 2e6, (stepped, scored)  # before: 5.5 MB and 2.5 MB
+    np.testing.assert_allclose(scores, plain_logs(model, ids.tolist()).sum(), rtol=1e-4)
+    monkeypatch.setattr(attention, "LOT", 1000)
+    whole.step(x[:128], y[:128], real[:128], 0.002)
+    whole.step(x[128:], y[128:], real[128:], 0.002)
+    for n, w in whole.model.p.items():
+        np.testing.assert_allclose(trainer.model.p[n], w, atol=1e-4)
+    one = attention.Trainer(model)
+    g, _ = one.gradient(x[:9], model.class_of[y[:9]].ravel(), real[:9].ravel().astype(np.float32), one.model.joined())
+    g = attention._named(g)
+    loss = lambda: -model.log10(x[:9], y[:9])[real[:9]].sum(dtype=float) * np.log(10)
+    for n, own in g.items():
+        at = np.unravel_index(np.abs(own).argmax(), own.shape)
+        kept, sides = model.p[n][at], []
+        for d in (0.01, -0.01):
+            model.p[n][at] = kept + d
+            sides.append(loss())
+        model.p[n][at] = kept
+        assert own[at] == pytest.approx((sides[0] - sides[1]) / 0.02, rel=0.05), n
+
+
 def test_attention_beats_unigrams_on_held_out_texts(spark, small, texts):
     rows = {r.doc_id: r for r in scoring.op7_attention_lm(spark, small).collect()}
     ids = {i: np.append(subwords().encode(t or ""), attention.END) for i, t in texts.items()}
